@@ -1,0 +1,191 @@
+"""Bounded stateful folds for the streaming forms (``applyInPandasWithState``).
+
+Streams cannot use ``row_number``, and the output of a Python stateful
+operator cannot feed a later stateful aggregate (Spark rejects that plan:
+its rows would be late for the downstream watermark). So each streaming
+result is produced by one stateful operator keyed by the result's own key
+and window, which keeps per placement (and minute) only
+
+    click count, amount total, and the first N clicks seen so far
+    (as (order key, amount), N = the fraud limit)
+
+— O(N) per placement, whatever the click volume — and emits the final row
+when the watermark passes the window end (event-time timeout), which is the
+"emit only when the window closes" rule. Input arrives in Arrow batches;
+each batch is reduced with pandas (sort + group head) before it touches the
+state, so Python does per-placement work, not per-row work.
+
+State is one JSON text column (a list of placement entries), so the state
+schema stays fixed however many placements a key has.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+
+# One placement entry in the state: [fine key values..., count, total, top]
+# with top = [[order values..., amount], ...] sorted, at most N long.
+
+
+def _order_matrix(pdf: pd.DataFrame, order: Sequence[str]) -> list[np.ndarray]:
+    cols = []
+    for o in order:
+        s = pdf[o]
+        if pd.api.types.is_datetime64_any_dtype(s):
+            cols.append(s.values.astype("datetime64[us]").astype("int64"))
+        else:
+            cols.append(s.fillna(-1).astype("int64").to_numpy())
+    return cols
+
+
+def _norm(v):
+    """A fine-key value in a form that survives the JSON state round trip."""
+    if v is None:
+        return None
+    if isinstance(v, (float, np.floating)):
+        return None if np.isnan(v) else (int(v) if float(v).is_integer() else float(v))
+    if isinstance(v, np.integer):
+        return int(v)
+    if v is pd.NA or v is pd.NaT:
+        return None
+    if isinstance(v, (pd.Timestamp, np.datetime64)):
+        return int(pd.Timestamp(v).value // 1000)
+    return v
+
+
+def _merge_entries(entries: dict, pdf: pd.DataFrame, fine: Sequence[str], order: Sequence[str],
+                   limit: int) -> None:
+    """Fold one batch of clicks into ``entries`` (fine key -> [count, total, top])."""
+    if pdf.empty:
+        return
+    pdf = pdf.assign(_amt=pdf["amount"].fillna(0).astype("int64"))
+    okeys = _order_matrix(pdf, order)
+    for i, o in enumerate(order):
+        pdf[f"_o{i}"] = okeys[i]
+    ocols = [f"_o{i}" for i in range(len(order))]
+    pdf = pdf.sort_values(ocols, kind="mergesort")
+    grouped = pdf.groupby(list(fine), dropna=False, sort=False)
+    sizes = grouped.size()
+    totals = grouped["_amt"].sum()
+    heads = grouped.head(limit)
+    head_rows: dict = {}
+    for row in heads[list(fine) + ocols + ["_amt"]].itertuples(index=False, name=None):
+        key = tuple(_norm(v) for v in row[:len(fine)])
+        head_rows.setdefault(key, []).append([int(x) for x in row[len(fine):]])
+    for idx, n in sizes.items():
+        key = idx if isinstance(idx, tuple) else (idx,)
+        key = tuple(_norm(v) for v in key)
+        count, total, top = entries.get(key, (0, 0, []))
+        top = sorted(top + head_rows.get(key, []))[:limit]
+        entries[key] = (count + int(n), total + int(totals[idx]), top)
+
+
+def _load(state) -> dict:
+    if not state.exists:
+        return {}
+    raw = json.loads(state.get[0])
+    return {tuple(e[0]): (e[1], e[2], e[3]) for e in raw}
+
+
+def _dump(entries: dict) -> tuple:
+    return (json.dumps([[list(k), c, t, top] for k, (c, t, top) in entries.items()]),)
+
+
+def _split(count_total_top) -> tuple[int, int]:
+    """(normal, fraudulent) of one placement: first N amounts are normal."""
+    _, total, top = count_total_top
+    normal = sum(r[-1] for r in top)
+    return normal, total - normal
+
+
+STATE_SCHEMA = "entries string, impressions long, clicks long"
+
+
+def billing_fold(fine: Sequence[str], order: Sequence[str], limit: int, window_ms: int):
+    """State function of the streaming partner billing, keyed by
+    (partner_id, window_start): one row per partner and closed minute."""
+
+    def fn(key, batches: Iterator[pd.DataFrame], state):
+        partner, start = key
+        start_ms = int(pd.Timestamp(start).value // 1_000_000)
+        end_ms = start_ms + window_ms
+        if state.hasTimedOut:
+            entries = _load(state)
+            state.remove()
+            normal = fraud = 0
+            for v in entries.values():
+                n, f = _split(v)
+                normal += n
+                fraud += f
+            yield pd.DataFrame({
+                "partner_id": [partner], "aggregated_amount": [normal], "fraudulent_amount": [fraud],
+                "total_billing_amount": [normal],
+                "window_start": [pd.Timestamp(start)],
+                "window_end": [pd.Timestamp(start) + pd.Timedelta(milliseconds=window_ms)],
+            })
+            return
+        wm = state.getCurrentWatermarkMs()
+        if wm > 0 and end_ms <= wm:
+            return  # window already closed: late rows
+        entries = _load(state)
+        for pdf in batches:
+            _merge_entries(entries, pdf, fine, order, limit)
+        state.update(_dump(entries) + (0, 0))
+        state.setTimeoutTimestamp(end_ms - 1)
+
+    return fn
+
+
+def group_fold(fine: Sequence[str], order: Sequence[str], limit: int, window_ms: int,
+               fraud_only: bool, keep_click_only: bool = False):
+    """State function of the streaming partner-group metrics, keyed by
+    (partner_id, group_id, window_start of 5 minutes). Placement entries are
+    kept per (target, display, product, minute start); impressions are only
+    counted. ``fraud_only`` emits the 5-minute fraud rows instead
+    (groups with at least one flagged placement-minute)."""
+
+    def fn(key, batches: Iterator[pd.DataFrame], state):
+        partner, group, start = key
+        start_ms = int(pd.Timestamp(start).value // 1_000_000)
+        end_ms = start_ms + window_ms
+        if state.hasTimedOut:
+            entries = _load(state)
+            imps, clicks = int(state.get[1]), int(state.get[2])
+            state.remove()
+            flags = amount = 0
+            for v in entries.values():
+                _, f = _split(v)
+                if f > 0:
+                    flags += 1
+                    amount += f
+            ws = pd.Timestamp(start)
+            we = ws + pd.Timedelta(milliseconds=window_ms)
+            if fraud_only:
+                if flags > 0:
+                    yield pd.DataFrame({"partner_id": [partner], "group_id": [group],
+                                        "window_start": [ws], "window_end": [we],
+                                        "fraudulent_click_count": [flags], "fraudulent_amount": [amount]})
+            elif imps > 0 or keep_click_only:
+                yield pd.DataFrame({"partner_id": [partner], "group_id": [group],
+                                    "impression_count": [imps], "click_count": [clicks],
+                                    "fraudulent_click_count": [flags], "fraudulent_amount": [amount],
+                                    "window_start": [ws], "window_end": [we]})
+            return
+        wm = state.getCurrentWatermarkMs()
+        if wm > 0 and end_ms <= wm:
+            return
+        entries = _load(state)
+        imps, clicks = (int(state.get[1]), int(state.get[2])) if state.exists else (0, 0)
+        for pdf in batches:
+            is_click = pdf["kind"] == "click"
+            imps += int((~is_click).sum())
+            clicks += int(is_click.sum())
+            _merge_entries(entries, pdf[is_click], fine, order, limit)
+        state.update(_dump(entries) + (imps, clicks))
+        state.setTimeoutTimestamp(end_ms - 1)
+
+    return fn

@@ -1 +1,165 @@
-"""Structured Streaming forms (filled in below)."""
+"""Structured Streaming forms of the three results.
+
+* ``partner_billing_stream`` / ``group_metrics_stream`` /
+  ``group_fraud_stream``: watermark on the event time (no grace by default),
+  one bounded stateful fold each (``streaming.fold``), append mode: a row
+  appears once, when its window has closed.
+* ``display_metrics_stream``: an update-mode aggregate (running counts per
+  display, JVM-side state), written by ``foreachBatch`` as an idempotent
+  per-batch update log; ``sinks.files.latest_per_key`` gives the current
+  table.
+
+``run_*`` start a query with ``availableNow`` and a checkpoint under the
+shared checkpoint folder, so a restarted job resumes where it stopped.
+The ``stream_*`` registry entries run the stream over the whole events
+table and return what the sink holds.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from ..config import CLICK, DEFAULT_RULES, IMPRESSION, Rules, shared_dir
+from ..functions.columns import with_window
+from ..schemas import DISPLAY_KEY
+from ..sinks.files import latest_per_key
+from ..sources.tables import clicks as only_clicks
+from .fold import STATE_SCHEMA, billing_fold, group_fold
+from .sources import ad_event_stream
+
+BILLING_OUT = ("partner_id long, aggregated_amount long, fraudulent_amount long, "
+               "total_billing_amount long, window_start timestamp, window_end timestamp")
+GROUP_OUT = ("partner_id long, group_id long, impression_count long, click_count long, "
+             "fraudulent_click_count long, fraudulent_amount long, "
+             "window_start timestamp, window_end timestamp")
+FRAUD_OUT = ("partner_id long, group_id long, window_start timestamp, window_end timestamp, "
+             "fraudulent_click_count long, fraudulent_amount long")
+
+_FINE_BILLING = ["display_target", "display_id", "product_id"]
+_FINE_GROUP = ["display_target", "display_id", "product_id", "minute"]
+
+
+def _ms(duration: str) -> int:
+    n, unit = duration.split()
+    scale = {"second": 1_000, "minute": 60_000, "hour": 3_600_000}[unit.rstrip("s")]
+    return int(n) * scale
+
+
+def partner_billing_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Streaming Q1 (append): closed (partner, minute) rows."""
+    c = (only_clicks(ad).where(F.col("partner_id").isNotNull() & F.col("ts").isNotNull())
+         .withWatermark("ts", rules.watermark_delay))
+    c = with_window(c, rules.billing_window)
+    cols = ["partner_id", "window_start", *_FINE_BILLING, *rules.order, "amount"]
+    fn = billing_fold(_FINE_BILLING, list(rules.order), rules.fraud_limit, _ms(rules.billing_window))
+    return (c.select(*dict.fromkeys(cols))
+             .groupBy("partner_id", "window_start")
+             .applyInPandasWithState(fn, BILLING_OUT, STATE_SCHEMA, "append",
+                                     GroupStateTimeout.EventTimeTimeout))
+
+
+def _group_input(ad: DataFrame, rules: Rules, only_click_rows: bool) -> DataFrame:
+    ev = ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull() & F.col("ts").isNotNull())
+    if only_click_rows:
+        ev = only_clicks(ev)
+    ev = ev.withWatermark("ts", rules.watermark_delay)
+    ev = with_window(ev, rules.billing_window, prefix="m").withColumnRenamed("m_start", "minute").drop("m_end")
+    ev = with_window(ev, rules.group_window)
+    cols = ["partner_id", "group_id", "window_start", "kind", *_FINE_GROUP, *rules.order, "amount"]
+    return ev.select(*dict.fromkeys(cols))
+
+
+def group_metrics_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES,
+                         keep_click_only: bool = False) -> DataFrame:
+    """Streaming Q2 (append): closed (partner, group, 5 minutes) rows, one
+    stateful operator for impressions, clicks and fraud flags together."""
+    fn = group_fold(_FINE_GROUP, list(rules.order), rules.fraud_limit, _ms(rules.group_window),
+                    fraud_only=False, keep_click_only=keep_click_only)
+    return (_group_input(ad, rules, False)
+            .groupBy("partner_id", "group_id", "window_start")
+            .applyInPandasWithState(fn, GROUP_OUT, STATE_SCHEMA, "append",
+                                    GroupStateTimeout.EventTimeTimeout))
+
+
+def group_fraud_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Streaming 1-minute fraud flags rolled up to 5 minutes (append)."""
+    fn = group_fold(_FINE_GROUP, list(rules.order), rules.fraud_limit, _ms(rules.group_window),
+                    fraud_only=True)
+    return (_group_input(ad, rules, True)
+            .groupBy("partner_id", "group_id", "window_start")
+            .applyInPandasWithState(fn, FRAUD_OUT, STATE_SCHEMA, "append",
+                                    GroupStateTimeout.EventTimeTimeout))
+
+
+def display_metrics_stream(ad: DataFrame) -> DataFrame:
+    """Streaming Q3 (update mode): running counts per display."""
+    ev = (ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull()
+                   & F.col("display_target").isNotNull())
+            .withColumn("display_id", F.coalesce(F.col("display_id"), F.lit(""))))
+    return (ev.groupBy(*DISPLAY_KEY)
+              .agg(F.count_if(F.col("kind") == IMPRESSION).alias("impression_count"),
+                   F.count_if(F.col("kind") == CLICK).alias("click_count")))
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    return (df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+              .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+
+
+def run_append(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+               processing_time: str | None = None):
+    """Start an append-mode stream into a parquet file sink (exactly-once
+    through the sink's commit log)."""
+    w = (stream.writeStream.format("parquet").outputMode("append")
+               .option("path", path).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
+    return w.start()
+
+
+def upsert_log_writer(path: str):
+    """foreachBatch function: each micro-batch's changed rows go to their own
+    ``batch_id`` partition; a retried batch overwrites its partition only,
+    so the log is idempotent."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("batch_id").parquet(path))
+    return write
+
+
+def run_update(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+               processing_time: str | None = None):
+    w = (stream.writeStream.outputMode("update").foreachBatch(upsert_log_writer(path))
+               .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
+    return w.start()
+
+
+def _run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    base = shared_dir(spark, f"stream-{name}")
+    q = run_append(stream, f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def stream_partner_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(_run_to_table(spark, partner_billing_stream(ad_event_stream(spark, sf_dir)), "billing"))
+
+
+def stream_group_fraud_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(_run_to_table(spark, group_fraud_stream(ad_event_stream(spark, sf_dir)), "fraud5"))
+
+
+def stream_partner_group_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(_run_to_table(spark, group_metrics_stream(ad_event_stream(spark, sf_dir)), "group"))
+
+
+def stream_display_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = shared_dir(spark, "stream-display")
+    q = run_update(display_metrics_stream(ad_event_stream(spark, sf_dir)), f"{base}/log", f"{base}/checkpoint")
+    q.awaitTermination()
+    log = spark.read.parquet(f"{base}/log")
+    latest = latest_per_key(log, DISPLAY_KEY)
+    return latest.where(F.col("impression_count") > 0).select(*DISPLAY_KEY, "impression_count", "click_count")
