@@ -65,7 +65,12 @@ def decode_records(records: DataFrame, event_time: str = "record") -> DataFrame:
     """
     raw = F.from_json("value", RAW_PAYLOAD_SCHEMA,
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    staged = records.withColumn("_raw", raw)
+    # The payload struct is produced by a one-element explode: a Generate
+    # node is a barrier for predicate pushdown, so a later filter on
+    # ``error_reason`` is not rewritten into the scan side with the
+    # ``from_json`` call copied into every field check (the JSON is parsed
+    # once per record, not once per reference).
+    staged = records.select("*", F.explode(F.array(raw)).alias("_raw"))
     r = F.col("_raw")
     typed = [
         r["groupId"].try_cast("long").alias("group_id"),
