@@ -22,11 +22,16 @@ schema stays fixed however many placements a key has.
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 
+# Empty outputs of a state function make pandas warn inside the Arrow
+# serializer; the result is correct, the warning is noise in worker logs.
+warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
+
 # One placement entry in the state: [fine key values..., count, total, top]
 # with top = [[order values..., amount], ...] sorted, at most N long.
 
