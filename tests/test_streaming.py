@@ -118,8 +118,9 @@ def test_late_rows_dropped_in_stream(spark):
     base = shared_dir(spark, "test-late")
     t = dt.datetime(2024, 1, 1, 12, 0, 0)
     mk = lambda i, s: (i, t + dt.timedelta(seconds=s), "click", 100, 1, 1, "WEB", "display-1", 1000)
-    spark.createDataFrame([mk(1, 10), mk(2, 130)], AD_EVENT_SCHEMA).write.parquet(f"{base}/in/p=0")
-    spark.createDataFrame([mk(3, 20), mk(4, 200)], AD_EVENT_SCHEMA).write.parquet(f"{base}/in/p=1")
+    # one file per arrival step, written in arrival order
+    spark.createDataFrame([mk(1, 10), mk(2, 130)], AD_EVENT_SCHEMA).coalesce(1).write.parquet(f"{base}/in/p=0")
+    spark.createDataFrame([mk(3, 20), mk(4, 200)], AD_EVENT_SCHEMA).coalesce(1).write.parquet(f"{base}/in/p=1")
     s = (spark.readStream.schema(AD_EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
          .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
     q = run_append(partner_billing_stream(s), f"{base}/out", f"{base}/cp")
