@@ -80,7 +80,7 @@ def start(spark: SparkSession, cfg: JobConfig) -> dict:
         "partner_group_metrics": (group_metrics_stream(events, rules), ["partner_id", "group_id"],
                                   codec.GROUP_JSON_FIELDS, cfg.topics.partner_group_metrics, "append"),
         "display_metrics": (display_metrics_stream(events), list(DISPLAY_KEY),
-                            codec.DISPLAY_JSON_FIELDS, cfg.topics.display_metrics, "update"),
+                            codec.STREAM_DISPLAY_JSON_FIELDS, cfg.topics.display_metrics, "update"),
     }
     started = {}
     for name, (df, key, fields, topic, mode) in results.items():

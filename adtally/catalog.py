@@ -16,7 +16,7 @@ from .functions import codec
 from .operators.late import late_flags
 from .plans import billing, display_metrics, group_metrics
 from .sinks.files import roundtrip
-from .sources.tables import ad_events, clicks, load_ad_events, load_events
+from .sources.tables import ad_events, clicks, load_ad_events, load_events, spread_if_narrow
 from .sources.topics import topic_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,7 @@ def _on_ad(fn) -> Query:
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records derived from ``events`` and decoded (good and bad rows)."""
-    return codec.decode_records(topic_records(load_events(spark, sf_dir)))
+    return codec.decode_records(topic_records(spread_if_narrow(load_events(spark, sf_dir))))
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:

@@ -140,3 +140,4 @@ DISPLAY_JSON_FIELDS = (
     ("partnerId", "partner_id"), ("groupId", "group_id"), ("displayTarget", "display_target"),
     ("displayId", "display_id"), ("impressionCount", "impression_count"), ("clickCount", "click_count"),
 )
+STREAM_DISPLAY_JSON_FIELDS = DISPLAY_JSON_FIELDS + (("emittedAt", "emitted_at"),)

@@ -33,6 +33,21 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``min_partitions`` (default: the cluster's
+    default parallelism) when the input has fewer partitions than that.
+
+    For CPU-heavy per-record work (JSON decode) on a source that arrives in
+    few splits — one large file with a single row group, a topic with few
+    partitions. A source that is already wide (the normal case at scale)
+    is returned unchanged, so no shuffle is added there.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare_session(spark)
     return load_table(spark, sf_dir, "events")

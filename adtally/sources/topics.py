@@ -84,14 +84,20 @@ def topic_records(events: DataFrame) -> DataFrame:
 
 
 def kafka_options(bootstrap_servers: str, topics: list[str], starting_offsets: str = "earliest",
-                  **extra: str) -> dict[str, str]:
-    """Options of Spark's Kafka source for the event topics."""
+                  min_partitions: int | None = None, **extra: str) -> dict[str, str]:
+    """Options of Spark's Kafka source for the event topics.
+
+    ``min_partitions`` splits topic partitions into more Spark tasks
+    (decode is CPU-heavy; a topic may have fewer partitions than cores).
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting_offsets,
         "includeHeaders": "false",
     }
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra)
     return opts
 

@@ -98,9 +98,12 @@ def display_metrics_stream(ad: DataFrame) -> DataFrame:
     ev = (ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull()
                    & F.col("display_target").isNotNull())
             .withColumn("display_id", F.coalesce(F.col("display_id"), F.lit(""))))
+    # ``emitted_at``: when the update was produced (the reference stamps its
+    # rows with the wall clock); evaluated once per micro-batch.
     return (ev.groupBy(*DISPLAY_KEY)
               .agg(F.count_if(F.col("kind") == IMPRESSION).alias("impression_count"),
-                   F.count_if(F.col("kind") == CLICK).alias("click_count")))
+                   F.count_if(F.col("kind") == CLICK).alias("click_count"))
+              .withColumn("emitted_at", F.current_timestamp()))
 
 
 def _ntz(df: DataFrame) -> DataFrame:

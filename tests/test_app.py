@@ -54,3 +54,22 @@ def test_kafka_options():
     o = kafka_options("b:9092", ["ad-impressed", "ad-clicked"], maxOffsetsPerTrigger="1000")
     assert o["subscribe"] == "ad-impressed,ad-clicked"
     assert o["kafka.bootstrap.servers"] == "b:9092" and o["maxOffsetsPerTrigger"] == "1000"
+
+
+def test_batch_job(spark):
+    from adtally.batch import run_batch
+    from adtally.plans.group_metrics import partner_group_metrics
+    base = shared_dir(spark, "test-batch")
+    recs = topic_records(load_events(spark, "/root/testdata/sf0.001"))
+    paths = run_batch(spark, recs, f"{base}/out")
+    decoded = codec.decode_records(recs)
+    good = codec.valid_events(decoded).withColumn(
+        "event_id", F.col("offset") * F.lit(1 << 16) + F.col("partition"))
+    for name, fn in (("partner_billing", partner_billing), ("partner_group_metrics", partner_group_metrics),
+                     ("display_metrics", display_metrics)):
+        got = spark.read.parquet(paths[name])
+        want = fn(good)
+        cols = sorted(want.columns)
+        assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
+            sorted(tuple(r) for r in want.select(*cols).collect()), name
+    assert spark.read.parquet(paths["dead_letter"]).count() == codec.dead_letter(decoded).count()
