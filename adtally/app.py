@@ -21,13 +21,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import DEFAULT_RULES, Rules, Topics, get_session
+from .config import DEFAULT_RULES, STATE_BUCKETS, Rules, Topics, get_session
 from .functions import codec
 from .schemas import DISPLAY_KEY, RAW_RECORD_SCHEMA
 from .sources.topics import kafka_records
-from .streaming.queries import (
-    display_metrics_stream, group_metrics_stream, partner_billing_stream, run_append, run_update,
-)
+from .streaming.queries import display_metrics_stream, run_append, run_update, run_windowed
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -45,6 +43,7 @@ class JobConfig:
     trigger: str = "1 second"          # commit interval of the reference
     max_per_trigger: int | None = None
     rocksdb: bool = True
+    state_buckets: int = STATE_BUCKETS  # fixed for the life of a checkpoint
     topics: Topics = Topics()
     rules: Rules = DEFAULT_RULES
 
@@ -74,28 +73,34 @@ def start(spark: SparkSession, cfg: JobConfig) -> dict:
     decoded = codec.decode_records(record_stream(spark, cfg))
     events = _events_for_pipelines(decoded)
     rules = cfg.rules
-    results = {
-        "partner_billing": (partner_billing_stream(events, rules), ["partner_id"],
-                            codec.BILLING_JSON_FIELDS, cfg.topics.partner_billing, "append"),
-        "partner_group_metrics": (group_metrics_stream(events, rules), ["partner_id", "group_id"],
-                                  codec.GROUP_JSON_FIELDS, cfg.topics.partner_group_metrics, "append"),
-        "display_metrics": (display_metrics_stream(events), list(DISPLAY_KEY),
-                            codec.STREAM_DISPLAY_JSON_FIELDS, cfg.topics.display_metrics, "update"),
-    }
     started = {}
-    for name, (df, key, fields, topic, mode) in results.items():
-        cp = f"{cp_root}/{name}"
-        if cfg.sink == "kafka":
-            out = codec.encode_records(df, key, fields)
-            w = (out.writeStream.format("kafka").outputMode(mode)
-                    .option("kafka.bootstrap.servers", cfg.bootstrap).option("topic", topic)
-                    .option("checkpointLocation", cp))
-            w = w.trigger(availableNow=True) if cfg.available_now else w.trigger(processingTime=cfg.trigger)
-            started[name] = w.start()
-        elif mode == "append":
-            started[name] = run_append(df, f"{cfg.output}/{name}", cp, cfg.available_now, cfg.trigger)
-        else:
-            started[name] = run_update(df, f"{cfg.output}/{name}", cp, cfg.available_now, cfg.trigger)
+
+    def kafka_writer(key, fields, topic):
+        def write(rows: DataFrame, batch_id: int) -> None:
+            (codec.encode_records(rows, key, fields).write.format("kafka")
+                 .option("kafka.bootstrap.servers", cfg.bootstrap).option("topic", topic).save())
+        return write
+
+    windowed = {
+        "partner_billing": (["partner_id"], codec.BILLING_JSON_FIELDS, cfg.topics.partner_billing),
+        "partner_group_metrics": (["partner_id", "group_id"], codec.GROUP_JSON_FIELDS,
+                                  cfg.topics.partner_group_metrics),
+    }
+    for name, (key, fields, topic) in windowed.items():
+        writer = kafka_writer(key, fields, topic) if cfg.sink == "kafka" else None
+        started[name] = run_windowed(name, events, f"{cfg.output}/{name}", f"{cp_root}/{name}", rules,
+                                     cfg.available_now, cfg.trigger, cfg.state_buckets, writer)
+    display = display_metrics_stream(events)
+    if cfg.sink == "kafka":
+        out = codec.encode_records(display, list(DISPLAY_KEY), codec.STREAM_DISPLAY_JSON_FIELDS)
+        w = (out.writeStream.format("kafka").outputMode("update")
+                .option("kafka.bootstrap.servers", cfg.bootstrap).option("topic", cfg.topics.display_metrics)
+                .option("checkpointLocation", f"{cp_root}/display_metrics"))
+        w = w.trigger(availableNow=True) if cfg.available_now else w.trigger(processingTime=cfg.trigger)
+        started["display_metrics"] = w.start()
+    else:
+        started["display_metrics"] = run_update(display, f"{cfg.output}/display_metrics",
+                                                f"{cp_root}/display_metrics", cfg.available_now, cfg.trigger)
     dead = codec.dead_letter(decoded)
     if cfg.sink == "kafka":
         w = (dead.select(F.col("key"), F.to_json(F.struct(*dead.columns)).alias("value"))
@@ -124,13 +129,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--max-per-trigger", type=int)
     p.add_argument("--watermark-delay", default=DEFAULT_RULES.watermark_delay)
     p.add_argument("--fraud-limit", type=int, default=DEFAULT_RULES.fraud_limit)
+    p.add_argument("--state-buckets", type=int, default=STATE_BUCKETS)
     a = p.parse_args(argv)
     rules = Rules(fraud_limit=a.fraud_limit, watermark_delay=a.watermark_delay,
                   order=("ts", "event_id"))
     cfg = JobConfig(source=a.source, input=a.input, input_format=a.input_format, bootstrap=a.bootstrap,
                     sink=a.sink, output=a.output, checkpoint_root=a.checkpoint_root,
                     available_now=a.available_now, trigger=a.trigger, max_per_trigger=a.max_per_trigger,
-                    rules=rules)
+                    state_buckets=a.state_buckets, rules=rules)
     spark = get_session()
     queries = start(spark, cfg)
     for q in queries.values():

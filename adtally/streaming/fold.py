@@ -1,22 +1,29 @@
-"""Bounded stateful folds for the streaming forms (``applyInPandasWithState``).
+"""Bounded stateful fold for the streaming forms (``applyInPandasWithState``).
 
 Streams cannot use ``row_number``, and the output of a Python stateful
 operator cannot feed a later stateful aggregate (Spark rejects that plan:
-its rows would be late for the downstream watermark). So each streaming
-result is produced by one stateful operator keyed by the result's own key
-and window, which keeps per placement (and minute) only
-
-    click count, amount total, and the first N clicks seen so far
-    (as (order key, amount), N = the fraud limit)
-
-— O(N) per placement, whatever the click volume — and emits the final row
-when the watermark passes the window end (event-time timeout), which is the
-"emit only when the window closes" rule. Input arrives in Arrow batches;
-each batch is reduced with pandas (sort + group head) before it touches the
-state, so Python does per-placement work, not per-row work.
-
-State is one JSON text column (a list of placement entries), so the state
-schema stays fixed however many placements a key has.
+its rows would be late for the downstream watermark). The streaming results
+are therefore built in two steps:
+
+1. **One stateful operator keyed by (partner[, group], placement bucket,
+   window)** (``placement_fold``); the bucket is a hash of the placement
+   modulo ``STATE_BUCKETS``. Per key it keeps impression and click counts
+   and, per placement and fold window (the whole window for billing, each
+   minute for the group metrics), the click count, the amount total and the
+   first N clicks seen so far as (order key, amount) — O(N) state per
+   placement whatever the click volume. When the watermark passes the
+   window end (event-time timeout) it emits one closed row per key.
+2. **A plain batch rollup of each micro-batch** (``streaming.queries``,
+   ``foreachBatch``). Every key of a window shares the window's timeout and
+   the watermark is global, so all of them close in the same micro-batch:
+   summing that micro-batch's closed rows per partner (and group) gives
+   complete result rows.
+
+The bucket spreads a large partner over ``STATE_BUCKETS`` tasks while
+amortising the per-key cost of a Python state call over many placements.
+Input arrives in Arrow batches; each batch
+is reduced with pandas (sort + group head) before it touches the state, so
+Python does per-placement work, not per-row work.
 """
 
 from __future__ import annotations
@@ -32,8 +39,9 @@ import pandas as pd
 # serializer; the result is correct, the warning is noise in worker logs.
 warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 
-# One placement entry in the state: [fine key values..., count, total, top]
-# with top = [[order values..., amount], ...] sorted, at most N long.
+STATE_SCHEMA = "impressions long, clicks long, entries string"
+FOLD_COLUMNS = ("impression_count", "click_count", "normal_amount", "fraudulent_amount",
+                "flagged_count", "flagged_amount")
 
 
 def _order_matrix(pdf: pd.DataFrame, order: Sequence[str]) -> list[np.ndarray]:
@@ -48,149 +56,118 @@ def _order_matrix(pdf: pd.DataFrame, order: Sequence[str]) -> list[np.ndarray]:
 
 
 def _norm(v):
-    """A fine-key value in a form that survives the JSON state round trip."""
-    if v is None:
+    """A sub-key value in a form that survives the JSON state round trip."""
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
+    if isinstance(v, (pd.Timestamp, np.datetime64)):
+        return int(pd.Timestamp(v).value // 1000)
     if isinstance(v, (float, np.floating)):
         return None if np.isnan(v) else (int(v) if float(v).is_integer() else float(v))
     if isinstance(v, np.integer):
         return int(v)
-    if v is pd.NA or v is pd.NaT:
-        return None
-    if isinstance(v, (pd.Timestamp, np.datetime64)):
-        return int(pd.Timestamp(v).value // 1000)
     return v
 
 
-def _merge_entries(entries: dict, pdf: pd.DataFrame, fine: Sequence[str], order: Sequence[str],
-                   limit: int) -> None:
-    """Fold one batch of clicks into ``entries`` (fine key -> [count, total, top])."""
-    if pdf.empty:
+def merge_clicks(entries: dict, pdf: pd.DataFrame, sub: Sequence[str], order: Sequence[str],
+                 limit: int) -> None:
+    """Fold one Arrow batch of clicks into ``entries`` (sub key -> (count,
+    total, first ``limit`` [order..., amount] rows, sorted)).
+
+    Vectorised: one lexsort of the batch by (sub key, order), segment
+    boundaries per sub key, ``reduceat`` for the totals; Python then touches
+    each sub key once, with at most ``limit`` rows.
+    """
+    n = len(pdf)
+    if n == 0:
         return
-    pdf = pdf.assign(_amt=pdf["amount"].fillna(0).astype("int64"))
+    amt = pdf["amount"].fillna(0).to_numpy(dtype="int64")
     okeys = _order_matrix(pdf, order)
-    for i, o in enumerate(order):
-        pdf[f"_o{i}"] = okeys[i]
-    ocols = [f"_o{i}" for i in range(len(order))]
-    pdf = pdf.sort_values(ocols, kind="mergesort")
-    grouped = pdf.groupby(list(fine), dropna=False, sort=False)
-    sizes = grouped.size()
-    totals = grouped["_amt"].sum()
-    heads = grouped.head(limit)
-    head_rows: dict = {}
-    for row in heads[list(fine) + ocols + ["_amt"]].itertuples(index=False, name=None):
-        key = tuple(_norm(v) for v in row[:len(fine)])
-        head_rows.setdefault(key, []).append([int(x) for x in row[len(fine):]])
-    for idx, n in sizes.items():
-        key = idx if isinstance(idx, tuple) else (idx,)
-        key = tuple(_norm(v) for v in key)
+    index: dict = {}
+    if sub:
+        cols = []
+        for c in sub:
+            col = pdf[c]
+            cols.append((col.astype(object).where(col.notna(), None) if col.hasnans else col).tolist())
+        codes = np.fromiter((index.setdefault(t, len(index)) for t in zip(*cols)), dtype=np.int64, count=n)
+    else:
+        index[()] = 0
+        codes = np.zeros(n, dtype=np.int64)
+    perm = np.lexsort([*reversed(okeys), codes])
+    c_sorted = codes[perm]
+    amt_sorted = amt[perm]
+    o_sorted = [k[perm] for k in okeys]
+    starts = np.flatnonzero(np.r_[True, c_sorted[1:] != c_sorted[:-1]])
+    ends = np.r_[starts[1:], n]
+    totals = np.add.reduceat(amt_sorted, starts)
+    keys = [tuple(_norm(v) for v in k) for k in index]
+    for s, e, tot in zip(starts.tolist(), ends.tolist(), totals.tolist()):
+        key = keys[c_sorted[s]]
+        head = [[*(int(k[j]) for k in o_sorted), int(amt_sorted[j])] for j in range(s, min(e, s + limit))]
         count, total, top = entries.get(key, (0, 0, []))
-        top = sorted(top + head_rows.get(key, []))[:limit]
-        entries[key] = (count + int(n), total + int(totals[idx]), top)
-
-
-def _load(state) -> dict:
-    if not state.exists:
-        return {}
-    raw = json.loads(state.get[0])
-    return {tuple(e[0]): (e[1], e[2], e[3]) for e in raw}
+        entries[key] = (count + (e - s), total + tot, sorted(top + head)[:limit])
 
 
-def _dump(entries: dict) -> tuple:
-    return (json.dumps([[list(k), c, t, top] for k, (c, t, top) in entries.items()]),)
-
-
-def _split(count_total_top) -> tuple[int, int]:
-    """(normal, fraudulent) of one placement: first N amounts are normal."""
-    _, total, top = count_total_top
+def split(entry) -> tuple[int, int]:
+    """(normal, fraudulent) of one fold entry: the first N amounts are normal."""
+    _, total, top = entry
     normal = sum(r[-1] for r in top)
     return normal, total - normal
 
 
-STATE_SCHEMA = "entries string, impressions long, clicks long"
+def _load(state) -> tuple[int, int, dict]:
+    if not state.exists:
+        return 0, 0, {}
+    imps, clicks, raw = state.get
+    return int(imps), int(clicks), {tuple(e[0]): (e[1], e[2], e[3]) for e in json.loads(raw)}
 
 
-def billing_fold(fine: Sequence[str], order: Sequence[str], limit: int, window_ms: int):
-    """State function of the streaming partner billing, keyed by
-    (partner_id, window_start): one row per partner and closed minute."""
+def _dump(imps: int, clicks: int, entries: dict) -> tuple:
+    return imps, clicks, json.dumps([[list(k), c, t, top] for k, (c, t, top) in entries.items()])
 
-    def fn(key, batches: Iterator[pd.DataFrame], state):
-        partner, start = key
-        start_ms = int(pd.Timestamp(start).value // 1_000_000)
-        end_ms = start_ms + window_ms
-        if state.hasTimedOut:
-            entries = _load(state)
-            state.remove()
-            normal = fraud = 0
-            for v in entries.values():
-                n, f = _split(v)
-                normal += n
-                fraud += f
-            yield pd.DataFrame({
-                "partner_id": [partner], "aggregated_amount": [normal], "fraudulent_amount": [fraud],
-                "total_billing_amount": [normal],
-                "window_start": [pd.Timestamp(start)],
-                "window_end": [pd.Timestamp(start) + pd.Timedelta(milliseconds=window_ms)],
-            })
-            return
-        wm = state.getCurrentWatermarkMs()
-        if wm > 0 and end_ms <= wm:
-            return  # window already closed: late rows
-        entries = _load(state)
-        for pdf in batches:
-            _merge_entries(entries, pdf, fine, order, limit)
-        state.update(_dump(entries) + (0, 0))
-        state.setTimeoutTimestamp(end_ms - 1)
-
-    return fn
 
+def placement_fold(key_cols: Sequence[str], sub: Sequence[str], order: Sequence[str], limit: int,
+                   window_ms: int):
+    """State function keyed by (``key_cols``..., window_start).
 
-def group_fold(fine: Sequence[str], order: Sequence[str], limit: int, window_ms: int,
-               fraud_only: bool, keep_click_only: bool = False):
-    """State function of the streaming partner-group metrics, keyed by
-    (partner_id, group_id, window_start of 5 minutes). Placement entries are
-    kept per (target, display, product, minute start); impressions are only
-    counted. ``fraud_only`` emits the 5-minute fraud rows instead
-    (groups with at least one flagged placement-minute)."""
+    Output per closed key: the key, window_start/end and ``FOLD_COLUMNS``
+    (``flagged_count``/``flagged_amount``: fold entries whose excess amount
+    is > 0, and that excess).
+    """
 
     def fn(key, batches: Iterator[pd.DataFrame], state):
-        partner, group, start = key
-        start_ms = int(pd.Timestamp(start).value // 1_000_000)
+        start = pd.Timestamp(key[-1])
+        start_ms = int(start.value // 1_000_000)
         end_ms = start_ms + window_ms
         if state.hasTimedOut:
-            entries = _load(state)
-            imps, clicks = int(state.get[1]), int(state.get[2])
+            imps, clicks, entries = _load(state)
             state.remove()
-            flags = amount = 0
-            for v in entries.values():
-                _, f = _split(v)
+            normal = fraud = flagged = flagged_amount = 0
+            for entry in entries.values():
+                n, f = split(entry)
+                normal += n
+                fraud += f
                 if f > 0:
-                    flags += 1
-                    amount += f
-            ws = pd.Timestamp(start)
-            we = ws + pd.Timedelta(milliseconds=window_ms)
-            if fraud_only:
-                if flags > 0:
-                    yield pd.DataFrame({"partner_id": [partner], "group_id": [group],
-                                        "window_start": [ws], "window_end": [we],
-                                        "fraudulent_click_count": [flags], "fraudulent_amount": [amount]})
-            elif imps > 0 or keep_click_only:
-                yield pd.DataFrame({"partner_id": [partner], "group_id": [group],
-                                    "impression_count": [imps], "click_count": [clicks],
-                                    "fraudulent_click_count": [flags], "fraudulent_amount": [amount],
-                                    "window_start": [ws], "window_end": [we]})
+                    flagged += 1
+                    flagged_amount += f
+            row = {c: [v] for c, v in zip(key_cols, key[:-1])}
+            row.update({"window_start": [start], "window_end": [start + pd.Timedelta(milliseconds=window_ms)],
+                        "impression_count": [imps], "click_count": [clicks], "normal_amount": [normal],
+                        "fraudulent_amount": [fraud], "flagged_count": [flagged],
+                        "flagged_amount": [flagged_amount]})
+            yield pd.DataFrame(row)
             return
         wm = state.getCurrentWatermarkMs()
         if wm > 0 and end_ms <= wm:
-            return
-        entries = _load(state)
-        imps, clicks = (int(state.get[1]), int(state.get[2])) if state.exists else (0, 0)
+            return  # the window has closed: late rows
+        imps, clicks, entries = _load(state)
         for pdf in batches:
-            is_click = pdf["kind"] == "click"
-            imps += int((~is_click).sum())
-            clicks += int(is_click.sum())
-            _merge_entries(entries, pdf[is_click], fine, order, limit)
-        state.update(_dump(entries) + (imps, clicks))
+            is_click = pdf["kind"].to_numpy() == "click"
+            n_click = int(is_click.sum())
+            imps += len(pdf) - n_click
+            clicks += n_click
+            if n_click:
+                merge_clicks(entries, pdf if n_click == len(pdf) else pdf[is_click], sub, order, limit)
+        state.update(_dump(imps, clicks, entries))
         state.setTimeoutTimestamp(end_ms - 1)
 
     return fn

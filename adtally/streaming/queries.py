@@ -1,45 +1,39 @@
 """Structured Streaming forms of the three results.
 
-* ``partner_billing_stream`` / ``group_metrics_stream`` /
-  ``group_fraud_stream``: watermark on the event time (no grace by default),
-  one bounded stateful fold each (``streaming.fold``), append mode: a row
-  appears once, when its window has closed.
+* Windowed results (billing, group metrics, group fraud): watermark on the
+  event time (no grace by default), one bounded stateful fold keyed by
+  placement and window (``streaming.fold``), and a per-micro-batch rollup to
+  partner (and group) in ``foreachBatch``. A result row is written once,
+  in the micro-batch in which its window closes.
 * ``display_metrics_stream``: an update-mode aggregate (running counts per
-  display, JVM-side state), written by ``foreachBatch`` as an idempotent
-  per-batch update log; ``sinks.files.latest_per_key`` gives the current
-  table.
-
-``run_*`` start a query with ``availableNow`` and a checkpoint under the
-shared checkpoint folder, so a restarted job resumes where it stopped.
-The ``stream_*`` registry entries run the stream over the whole events
-table and return what the sink holds.
+  display, JVM-side state) written as an update log.
+
+Both sinks write each micro-batch into its own ``batch_id`` partition with
+dynamic partition overwrite, so a retried batch replaces only its own
+output: exactly-once results with the checkpoint. ``run_*`` start a query
+with ``availableNow`` (or a processing-time trigger) and a checkpoint under
+the shared checkpoint folder; a restarted job resumes where it stopped. The
+``stream_*`` registry entries run a stream over the whole events table and
+return what the sink holds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..config import CLICK, DEFAULT_RULES, IMPRESSION, Rules, shared_dir
+from ..config import CLICK, DEFAULT_RULES, IMPRESSION, STATE_BUCKETS, Rules, shared_dir
 from ..functions.columns import with_window
-from ..schemas import DISPLAY_KEY
+from ..schemas import BILLING_FRAUD_KEY, DISPLAY_KEY, GROUP_FRAUD_KEY, PARTNER_BILLING_COLUMNS
+from ..schemas import PARTNER_GROUP_METRICS_COLUMNS
 from ..sinks.files import latest_per_key
 from ..sources.tables import clicks as only_clicks
-from .fold import STATE_SCHEMA, billing_fold, group_fold
+from .fold import FOLD_COLUMNS, STATE_SCHEMA, placement_fold
 from .sources import ad_event_stream
 
-BILLING_OUT = ("partner_id long, aggregated_amount long, fraudulent_amount long, "
-               "total_billing_amount long, window_start timestamp, window_end timestamp")
-GROUP_OUT = ("partner_id long, group_id long, impression_count long, click_count long, "
-             "fraudulent_click_count long, fraudulent_amount long, "
-             "window_start timestamp, window_end timestamp")
-FRAUD_OUT = ("partner_id long, group_id long, window_start timestamp, window_end timestamp, "
-             "fraudulent_click_count long, fraudulent_amount long")
-
-_FINE_BILLING = ["display_target", "display_id", "product_id"]
-_FINE_GROUP = ["display_target", "display_id", "product_id", "minute"]
-
 
 def _ms(duration: str) -> int:
     n, unit = duration.split()
@@ -47,50 +41,90 @@ def _ms(duration: str) -> int:
     return int(n) * scale
 
 
-def partner_billing_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Streaming Q1 (append): closed (partner, minute) rows."""
+def _fold(ev: DataFrame, key: list[str], placement: list[str], sub: list[str], window: str, rules: Rules,
+          buckets: int) -> DataFrame:
+    """Closed rows per (key, placement bucket, window) from the bounded fold."""
+    ev = ev.withColumn("bucket", F.pmod(F.xxhash64(*placement), F.lit(buckets)))
+    types = dict(ev.dtypes)
+    state_key = [*key, "bucket"]
+    out_schema = ", ".join([f"{k} {types[k]}" for k in state_key]
+                           + ["window_start timestamp", "window_end timestamp"]
+                           + [f"{c} long" for c in FOLD_COLUMNS])
+    fn = placement_fold(state_key, [*placement, *sub], list(rules.order), rules.fraud_limit, _ms(window))
+    cols = [*state_key, "window_start", "kind", *placement, *sub, *rules.order, "amount"]
+    return (ev.select(*dict.fromkeys(cols))
+              .groupBy(*state_key, "window_start")
+              .applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
+                                      GroupStateTimeout.EventTimeTimeout))
+
+
+def placement_billing_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES,
+                             buckets: int = STATE_BUCKETS) -> DataFrame:
+    """Closed (partner, placement bucket, minute) fold rows of the billing
+    stream; the fold runs per placement inside."""
     c = (only_clicks(ad).where(F.col("partner_id").isNotNull() & F.col("ts").isNotNull())
          .withWatermark("ts", rules.watermark_delay))
     c = with_window(c, rules.billing_window)
-    cols = ["partner_id", "window_start", *_FINE_BILLING, *rules.order, "amount"]
-    fn = billing_fold(_FINE_BILLING, list(rules.order), rules.fraud_limit, _ms(rules.billing_window))
-    return (c.select(*dict.fromkeys(cols))
-             .groupBy("partner_id", "window_start")
-             .applyInPandasWithState(fn, BILLING_OUT, STATE_SCHEMA, "append",
-                                     GroupStateTimeout.EventTimeTimeout))
+    return _fold(c, ["partner_id"], list(BILLING_FRAUD_KEY[1:]), [], rules.billing_window, rules, buckets)
 
 
-def _group_input(ad: DataFrame, rules: Rules, only_click_rows: bool) -> DataFrame:
+def placement_group_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES, clicks_only: bool = False,
+                           buckets: int = STATE_BUCKETS) -> DataFrame:
+    """Closed (partner, group, placement bucket, 5 minutes) rows; the fraud
+    fold runs per placement and minute inside."""
     ev = ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull() & F.col("ts").isNotNull())
-    if only_click_rows:
+    if clicks_only:
         ev = only_clicks(ev)
     ev = ev.withWatermark("ts", rules.watermark_delay)
     ev = with_window(ev, rules.billing_window, prefix="m").withColumnRenamed("m_start", "minute").drop("m_end")
     ev = with_window(ev, rules.group_window)
-    cols = ["partner_id", "group_id", "window_start", "kind", *_FINE_GROUP, *rules.order, "amount"]
-    return ev.select(*dict.fromkeys(cols))
+    return _fold(ev, ["partner_id", "group_id"], list(GROUP_FRAUD_KEY[2:]), ["minute"],
+                 rules.group_window, rules, buckets)
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    return (df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+              .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+
 
+def billing_rollup(closed: DataFrame) -> DataFrame:
+    """Partner billing rows from one micro-batch of closed placement rows."""
+    out = (closed.groupBy("partner_id", "window_start", "window_end")
+                 .agg(F.sum("normal_amount").alias("aggregated_amount"),
+                      F.sum("fraudulent_amount").alias("fraudulent_amount"))
+                 .withColumn("total_billing_amount", F.col("aggregated_amount")))
+    return _ntz(out).select(*PARTNER_BILLING_COLUMNS)
 
-def group_metrics_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES,
-                         keep_click_only: bool = False) -> DataFrame:
-    """Streaming Q2 (append): closed (partner, group, 5 minutes) rows, one
-    stateful operator for impressions, clicks and fraud flags together."""
-    fn = group_fold(_FINE_GROUP, list(rules.order), rules.fraud_limit, _ms(rules.group_window),
-                    fraud_only=False, keep_click_only=keep_click_only)
-    return (_group_input(ad, rules, False)
-            .groupBy("partner_id", "group_id", "window_start")
-            .applyInPandasWithState(fn, GROUP_OUT, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
 
+def group_rollup(closed: DataFrame, keep_click_only: bool = False) -> DataFrame:
+    """Partner-group metrics rows from one micro-batch of closed rows."""
+    out = (closed.groupBy("partner_id", "group_id", "window_start", "window_end")
+                 .agg(F.sum("impression_count").alias("impression_count"),
+                      F.sum("click_count").alias("click_count"),
+                      F.sum("flagged_count").alias("fraudulent_click_count"),
+                      F.sum("flagged_amount").alias("fraudulent_amount")))
+    if not keep_click_only:
+        out = out.where(F.col("impression_count") > 0)
+    return _ntz(out).select(*PARTNER_GROUP_METRICS_COLUMNS)
 
-def group_fraud_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Streaming 1-minute fraud flags rolled up to 5 minutes (append)."""
-    fn = group_fold(_FINE_GROUP, list(rules.order), rules.fraud_limit, _ms(rules.group_window),
-                    fraud_only=True)
-    return (_group_input(ad, rules, True)
-            .groupBy("partner_id", "group_id", "window_start")
-            .applyInPandasWithState(fn, FRAUD_OUT, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+
+def fraud_rollup(closed: DataFrame) -> DataFrame:
+    """5-minute fraud rows (groups with a flagged placement-minute)."""
+    out = (closed.groupBy("partner_id", "group_id", "window_start", "window_end")
+                 .agg(F.sum("flagged_count").alias("fraudulent_click_count"),
+                      F.sum("flagged_amount").alias("fraudulent_amount"))
+                 .where(F.col("fraudulent_click_count") > 0))
+    return _ntz(out)
+
+
+# result name -> (closed-row stream builder, micro-batch rollup)
+WINDOWED_RESULTS: dict[str, tuple[Callable, Callable]] = {
+    "partner_billing": (placement_billing_stream, billing_rollup),
+    "partner_group_metrics": (placement_group_stream, group_rollup),
+    "group_fraud_5min": (lambda ad, rules=DEFAULT_RULES, buckets=STATE_BUCKETS:
+                         placement_group_stream(ad, rules, clicks_only=True, buckets=buckets),
+                         fraud_rollup),
+}
 
 
 def display_metrics_stream(ad: DataFrame) -> DataFrame:
@@ -106,57 +140,76 @@ def display_metrics_stream(ad: DataFrame) -> DataFrame:
               .withColumn("emitted_at", F.current_timestamp()))
 
 
-def _ntz(df: DataFrame) -> DataFrame:
-    return (df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-              .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+def batch_partition_writer(path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df):
+    """foreachBatch function: ``transform(micro-batch)`` goes to its own
+    ``batch_id`` partition; a retried batch overwrites that partition only."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (transform(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(path))
+    return write
+
+
+def _start(stream: DataFrame, mode: str, writer, checkpoint: str, available_now: bool,
+           processing_time: str | None):
+    w = (stream.writeStream.outputMode(mode).foreachBatch(writer)
+               .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
+    return w.start()
+
+
+def run_windowed(result: str, ad: DataFrame, path: str, checkpoint: str, rules: Rules = DEFAULT_RULES,
+                 available_now: bool = True, processing_time: str | None = None,
+                 buckets: int = STATE_BUCKETS, writer=None):
+    """Start a windowed result stream; result rows go under ``path`` (or to
+    ``writer(rows, batch_id)`` when given, e.g. a Kafka writer)."""
+    build, rollup = WINDOWED_RESULTS[result]
+    if writer is None:
+        sink = batch_partition_writer(path, rollup)
+    else:
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            writer(rollup(batch), batch_id)
+    return _start(build(ad, rules, buckets=buckets), "append", sink, checkpoint, available_now, processing_time)
 
 
 def run_append(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                processing_time: str | None = None):
-    """Start an append-mode stream into a parquet file sink (exactly-once
-    through the sink's commit log)."""
+    """Start a stateless append stream (the dead letter) into a parquet file
+    sink, exactly once through the sink's commit log."""
     w = (stream.writeStream.format("parquet").outputMode("append")
                .option("path", path).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
     return w.start()
 
 
-def upsert_log_writer(path: str):
-    """foreachBatch function: each micro-batch's changed rows go to their own
-    ``batch_id`` partition; a retried batch overwrites its partition only,
-    so the log is idempotent."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(path))
-    return write
-
-
 def run_update(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                processing_time: str | None = None):
-    w = (stream.writeStream.outputMode("update").foreachBatch(upsert_log_writer(path))
-               .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
-    return w.start()
+    """Start an update-mode stream writing its update log under ``path``."""
+    return _start(stream, "update", batch_partition_writer(path), checkpoint, available_now, processing_time)
+
+
+def read_result(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a windowed result table (each written once)."""
+    return spark.read.parquet(path).drop("batch_id")
 
 
-def _run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    base = shared_dir(spark, f"stream-{name}")
-    q = run_append(stream, f"{base}/out", f"{base}/checkpoint")
+def _run_to_table(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
+    base = shared_dir(spark, f"stream-{result}")
+    q = run_windowed(result, ad_event_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return read_result(spark, f"{base}/out")
 
 
 def stream_partner_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ntz(_run_to_table(spark, partner_billing_stream(ad_event_stream(spark, sf_dir)), "billing"))
+    return _run_to_table(spark, sf_dir, "partner_billing")
 
 
 def stream_group_fraud_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ntz(_run_to_table(spark, group_fraud_stream(ad_event_stream(spark, sf_dir)), "fraud5"))
+    return _run_to_table(spark, sf_dir, "group_fraud_5min")
 
 
 def stream_partner_group_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ntz(_run_to_table(spark, group_metrics_stream(ad_event_stream(spark, sf_dir)), "group"))
+    return _run_to_table(spark, sf_dir, "partner_group_metrics")
 
 
 def stream_display_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

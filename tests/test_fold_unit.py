@@ -1,0 +1,47 @@
+"""The streaming fold's batch merge against the literal counter, with
+chunked input in any order and null sub keys (no Spark needed)."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from adtally.streaming.fold import merge_clicks, split
+
+rows = st.lists(st.tuples(st.integers(0, 30), st.sampled_from(["a", "b", None]),
+                          st.one_of(st.none(), st.integers(1, 3)), st.one_of(st.none(), st.integers(-5, 50))),
+                min_size=1, max_size=80)
+
+
+def frame(data):
+    return pd.DataFrame({
+        "ts": pd.to_datetime([pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=s) for s, *_ in data]),
+        "event_id": np.arange(len(data), dtype="int64"),
+        "display_id": [d for _, d, _, _ in data],
+        "product_id": pd.array([p for _, _, p, _ in data], dtype="Int64").astype("float64"),
+        "amount": pd.array([a for *_, a in data], dtype="Int64").astype("float64"),
+    })
+
+
+@settings(max_examples=60, deadline=None)
+@given(rows, st.integers(1, 5), st.randoms())
+def test_merge_equals_counter(data, chunks, rnd):
+    df = frame(data)
+    order = list(range(len(df)))
+    rnd.shuffle(order)
+    df = df.iloc[order].reset_index(drop=True)
+    entries: dict = {}
+    for part in np.array_split(df, chunks):
+        merge_clicks(entries, part, ["display_id", "product_id"], ["ts", "event_id"], 10)
+    # literal counter in (ts, event_id) order
+    want: dict = {}
+    for r in df.sort_values(["ts", "event_id"]).itertuples():
+        pid = None if pd.isna(r.product_id) else int(r.product_id)
+        n, normal, fraud = want.get((r.display_id, pid), (0, 0, 0))
+        amt = 0 if pd.isna(r.amount) else int(r.amount)
+        n += 1
+        want[(r.display_id, pid)] = (n, normal + amt, fraud) if n <= 10 else (n, normal, fraud + amt)
+    got = {k: (v[0], *split(v)) for k, v in entries.items()}
+    assert got == want
