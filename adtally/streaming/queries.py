@@ -188,16 +188,44 @@ def run_update(stream: DataFrame, path: str, checkpoint: str, available_now: boo
     return _start(stream, "update", batch_partition_writer(path), checkpoint, available_now, processing_time)
 
 
-def read_result(spark: SparkSession, path: str) -> DataFrame:
+RESULT_SCHEMAS = {
+    "partner_billing": ("partner_id long, aggregated_amount long, fraudulent_amount long, "
+                        "total_billing_amount long, window_start timestamp_ntz, window_end timestamp_ntz"),
+    "partner_group_metrics": ("partner_id long, group_id long, impression_count long, click_count long, "
+                              "fraudulent_click_count long, fraudulent_amount long, "
+                              "window_start timestamp_ntz, window_end timestamp_ntz"),
+    "group_fraud_5min": ("partner_id long, group_id long, window_start timestamp_ntz, window_end timestamp_ntz, "
+                         "fraudulent_click_count long, fraudulent_amount long"),
+    "display_metrics": ("partner_id long, group_id long, display_target string, display_id string, "
+                        "impression_count long, click_count long, emitted_at timestamp"),
+}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_log(spark: SparkSession, path: str, result: str) -> DataFrame:
+    """A sink table with its ``batch_id`` partitions; empty (with the right
+    schema) when no micro-batch has written rows yet."""
+    schema = RESULT_SCHEMAS[result] + ", batch_id long"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_result(spark: SparkSession, path: str, result: str = "partner_billing") -> DataFrame:
     """Rows of a windowed result table (each written once)."""
-    return spark.read.parquet(path).drop("batch_id")
+    return read_log(spark, path, result).drop("batch_id")
 
 
 def _run_to_table(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
     base = shared_dir(spark, f"stream-{result}")
     q = run_windowed(result, ad_event_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
-    return read_result(spark, f"{base}/out")
+    return read_result(spark, f"{base}/out", result)
 
 
 def stream_partner_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +244,6 @@ def stream_display_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream-display")
     q = run_update(display_metrics_stream(ad_event_stream(spark, sf_dir)), f"{base}/log", f"{base}/checkpoint")
     q.awaitTermination()
-    log = spark.read.parquet(f"{base}/log")
+    log = read_log(spark, f"{base}/log", "display_metrics")
     latest = latest_per_key(log, DISPLAY_KEY)
     return latest.where(F.col("impression_count") > 0).select(*DISPLAY_KEY, "impression_count", "click_count")

@@ -55,7 +55,7 @@ def test_stream_equals_batch_multi_batch(spark):
         q = run_windowed(name, stream_of(spark, base, 4), f"{out}/data", f"{out}/cp", buckets=buckets)
         q.awaitTermination()
         assert q.lastProgress is not None
-        got = read_result(spark, f"{out}/data")
+        got = read_result(spark, f"{out}/data", name)
         cut = ad_batch.where(kinds).agg(F.max("ts").cast("timestamp_ntz")).first()[0]
         want = closed(make_batch(ad_batch), cut)
         cols = sorted(want.columns)
