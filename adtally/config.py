@@ -108,14 +108,27 @@ def prepare_session(spark: SparkSession) -> SparkSession:
       cluster names one; only a test session without it gets a default.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if not spark.sparkContext.getCheckpointDir():
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            base = os.environ.get("ADTALLY_CHECKPOINT_DIR", "/tmp/adtally-checkpoints")
-        spark.sparkContext.setCheckpointDir(base)
+    base = _checkpoint_base(spark)
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
+        pass
     return spark
 
 
+def _checkpoint_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``);
+    only a session without one (a test) falls back to a local default."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001
+            base = None
+    return (base or os.environ.get("ADTALLY_CHECKPOINT_DIR", "/tmp/adtally-checkpoints")).rstrip("/")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -123,6 +136,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     machine-local temporary folder.
     """
     prepare_session(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = base.rstrip("/")
+    base = _checkpoint_base(spark)
     return f"{base}/adtally/{purpose}-{uuid.uuid4().hex}"

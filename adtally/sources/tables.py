@@ -42,10 +42,12 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     partitions. A source that is already wide (the normal case at scale)
     is returned unchanged, so no shuffle is added there.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without an RDD view (Spark Connect)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
