@@ -11,26 +11,24 @@ from pyspark.sql import functions as F
 def with_window(df: DataFrame, duration: str, ts: str = "ts",
                 prefix: str = "window") -> DataFrame:
     """Add flat ``{prefix}_start`` / ``{prefix}_end`` of an epoch-aligned
-    tumbling window ``[start, end)`` over ``ts``."""
+    tumbling window ``[start, end)`` over ``ts`` (one projection)."""
     w = F.window(ts, duration)
-    return df.withColumn(f"{prefix}_start", w.start).withColumn(f"{prefix}_end", w.end)
+    return df.select("*", w.start.alias(f"{prefix}_start"), w.end.alias(f"{prefix}_end"))
 
 
 def rewindow(df: DataFrame, duration: str, start: str = "window_start",
              prefix: str = "window") -> DataFrame:
     """Put a finer window into the coarser tumbling window that holds its
-    start (1-minute flags into 5-minute buckets)."""
+    start (1-minute flags into 5-minute buckets); replaces the bounds."""
     w = F.window(F.col(start), duration)
-    return (df.withColumn(f"_{prefix}_coarse", w)
-              .withColumn(f"{prefix}_start", F.col(f"_{prefix}_coarse.start"))
-              .withColumn(f"{prefix}_end", F.col(f"_{prefix}_coarse.end"))
-              .drop(f"_{prefix}_coarse"))
+    keep = [c for c in df.columns if c not in (f"{prefix}_start", f"{prefix}_end")]
+    return df.select(*keep, w.start.alias(f"{prefix}_start"), w.end.alias(f"{prefix}_end"))
 
 
 def output_window(df: DataFrame, start: str = "window_start", end: str = "window_end") -> DataFrame:
     """Window bounds as wall-clock TIMESTAMP_NTZ at the output edge."""
-    return (df.withColumn(start, F.col(start).cast("timestamp_ntz"))
-              .withColumn(end, F.col(end).cast("timestamp_ntz")))
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in (start, end) else F.col(c)
+                       for c in df.columns])
 
 
 def zero_if_null(c: Column | str) -> Column:

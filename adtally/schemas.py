@@ -38,6 +38,16 @@ AD_EVENT_SCHEMA = T.StructType([
     T.StructField("amount", T.LongType(), True),
 ])
 
+# The given ``events`` table (declared, never inferred).
+EVENTS_TABLE_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType(), True),
+    T.StructField("ts", T.TimestampNTZType(), True),
+    T.StructField("user_id", T.LongType(), True),
+    T.StructField("event_type", T.StringType(), True),
+    T.StructField("value", T.DoubleType(), True),
+    T.StructField("props", T.StringType(), True),
+])
+
 # Kafka-style record envelope (the columns Spark's Kafka source provides,
 # with key and value already as text).
 RAW_RECORD_SCHEMA = T.StructType([

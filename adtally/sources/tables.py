@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CLICK, DISPLAY_TARGETS, IMPRESSION, prepare_session
+from ..schemas import EVENTS_TABLE_SCHEMA
 
 # Fixed values of the view: epoch of the compressed clock and its factor.
 VIEW_EPOCH = "2024-01-01 00:00:00"
@@ -51,47 +52,48 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table with its declared schema (no footer-reading
+    inference job per query)."""
     prepare_session(spark)
-    return load_table(spark, sf_dir, "events")
+    return spark.read.schema(EVENTS_TABLE_SCHEMA).parquet(table_path(sf_dir, "events"))
 
 
-def compressed_ts(ts: str) -> Column:
-    """2024-01-01 + (micros since then) div 1440, as TIMESTAMP_NTZ.
+def compressed_ts_sql(ts: str = "ts") -> str:
+    """2024-01-01 + (micros since then) div 1440, as TIMESTAMP_NTZ (SQL).
 
     Integer arithmetic on TIMESTAMP_NTZ: independent of the session zone.
     """
     epoch = f"TIMESTAMP_NTZ'{VIEW_EPOCH}'"
-    return F.expr(f"timestampadd(MICROSECOND, timestampdiff(MICROSECOND, {epoch}, `{ts}`) "
-                  f"div {TIME_COMPRESSION}, {epoch})")
+    return f"timestampadd(MICROSECOND, timestampdiff(MICROSECOND, {epoch}, `{ts}`) div {TIME_COMPRESSION}, {epoch})"
 
 
-def _if(cond: Column, a: Column, b: Column) -> Column:
-    return F.when(cond, a).otherwise(b)
+def compressed_ts(ts: str) -> Column:
+    return F.expr(compressed_ts_sql(ts))
 
 
 def ad_fields(events: DataFrame) -> DataFrame:
     """The ad fields of every ``events`` row (before choosing event types).
 
     Columns: event_id, ts, event_type, k, user_id and the typed ad fields.
+    Written as SQL expressions: the projection is parsed on the JVM in one
+    call instead of being assembled from hundreds of column objects.
     """
-    k = F.get_json_object("props", "$.k").cast("long")
-    hot = (F.col("event_type") == "click") & (F.col("k") < HOT_K_BELOW)
-    targets = F.array(*[F.lit(t) for t in DISPLAY_TARGETS])
-    pick = lambda hot_val, cold_val: _if(hot, hot_val, cold_val)
-    base = events.select(
+    hot = f"(event_type = 'click' AND k < {HOT_K_BELOW})"
+    targets = ", ".join(f"'{t}'" for t in DISPLAY_TARGETS)
+    base = events.selectExpr(
         "event_id", "event_type", "user_id",
-        compressed_ts("ts").cast("timestamp").alias("ts"),
-        k.alias("k"),
-        F.round(F.col("value") * 100).cast("long").alias("amount"),
+        f"CAST({compressed_ts_sql('ts')} AS TIMESTAMP) AS ts",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+        "CAST(round(value * 100) AS BIGINT) AS amount",
     )
-    return base.select(
+    return base.selectExpr(
         "event_id", "ts", "event_type", "k", "user_id",
-        _if(F.col("event_type") == "view", F.lit(IMPRESSION), F.lit(CLICK)).alias("kind"),
-        (F.lit(100) * (1 + pick(F.col("k") % 3, F.col("user_id") % 5))).cast("long").alias("partner_id"),
-        (1 + pick(F.col("k") % 2, F.floor(F.col("user_id") / 5) % 5)).cast("long").alias("group_id"),
-        (1 + pick(F.col("k") % 3, F.col("k") % 8)).cast("long").alias("product_id"),
-        F.element_at(targets, (F.col("k") % 3 + 1).cast("int")).alias("display_target"),
-        F.concat(F.lit("display-"), (1 + pick(F.col("k") % 3, F.col("k") % 10)).cast("string")).alias("display_id"),
+        f"IF(event_type = 'view', '{IMPRESSION}', '{CLICK}') AS kind",
+        f"CAST(100 * (1 + IF({hot}, k % 3, user_id % 5)) AS BIGINT) AS partner_id",
+        f"CAST(1 + IF({hot}, k % 2, (user_id div 5) % 5) AS BIGINT) AS group_id",
+        f"CAST(1 + IF({hot}, k % 3, k % 8) AS BIGINT) AS product_id",
+        f"element_at(array({targets}), CAST(k % 3 + 1 AS INT)) AS display_target",
+        f"concat('display-', CAST(1 + IF({hot}, k % 3, k % 10) AS STRING)) AS display_id",
         "amount",
     )
 
@@ -110,11 +112,10 @@ def ad_events(events: DataFrame, with_arrival: bool = False) -> DataFrame:
     the late-record rule).
     """
     f = ad_fields(events.where(F.col("event_type").isin("view", "click")))
-    cols = [F.col(c) for c in AD_COLUMNS]
+    cols = list(AD_COLUMNS)
     if with_arrival:
-        cols.append((F.col("event_id") + _if(F.col("k") % 10 == 0, F.lit(40), F.lit(0))).cast("long")
-                    .alias("arrival"))
-    return f.select(*cols)
+        cols.append("CAST(event_id + IF(k % 10 = 0, 40, 0) AS BIGINT) AS arrival")
+    return f.selectExpr(*cols)
 
 
 def load_ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ quoted amount, which is valid).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TOPIC_CLICKED, TOPIC_IMPRESSED
@@ -28,58 +28,44 @@ DERIVED_PARTITIONS = 4
 DEFECTS = ("truncated", "target_tv", "target_lowercase", "amount_text", "partner_null", "amount_quoted")
 
 
-def _num(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit("null"))
-
-
-def event_json(partner: Column, group: Column, product: Column, target: Column, display: Column,
-               amount: Column, ts: Column) -> Column:
-    """The event payload as JSON text, fields in the published order.
-
-    ``target``, ``display`` and ``amount`` are already JSON literals
-    (quoted where needed).
-    """
-    return F.concat(
-        F.lit('{"groupId":'), _num(group),
-        F.lit(',"partnerId":'), _num(partner),
-        F.lit(',"productId":'), _num(product),
-        F.lit(',"displayTarget":'), target,
-        F.lit(',"displayId":'), display,
-        F.lit(',"amount":'), amount,
-        F.lit(',"timestamp":"'), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('"}'),
-    )
-
-
-def _quote(c: Column) -> Column:
-    return F.concat(F.lit('"'), c, F.lit('"'))
+def _json_sql(partner: str, target: str, amount: str) -> str:
+    """The event payload as JSON text (SQL), fields in the published order.
+    ``partner``, ``target`` and ``amount`` are SQL expressions yielding the
+    JSON literal of that field."""
+    return ("concat('{\"groupId\":', coalesce(CAST(group_id AS STRING), 'null'), "
+            f"',\"partnerId\":', {partner}, "
+            "',\"productId\":', coalesce(CAST(product_id AS STRING), 'null'), "
+            f"',\"displayTarget\":', {target}, "
+            "',\"displayId\":\"', display_id, '\"', "
+            f"',\"amount\":', {amount}, "
+            "',\"timestamp\":\"', date_format(ts, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS'), '\"}')")
 
 
 def topic_records(events: DataFrame) -> DataFrame:
     """Kafka-style records (topic, partition, offset, timestamp, key, value)
-    derived from ``events``; one narrow stage."""
+    derived from ``events``; one narrow stage, projections written as SQL
+    expressions."""
     f = ad_fields(events.where(F.col("event_type").isin("view", "click", "error")))
-    defect = F.when(F.col("event_type") == "error", F.col("event_id") % len(DEFECTS))
-    target = (F.when(defect == 1, F.lit('"TV"'))
-               .when(defect == 2, _quote(F.lower("display_target")))
-               .otherwise(_quote(F.col("display_target"))))
-    amount = (F.when(defect == 3, F.lit('"abc"'))
-               .when(defect == 5, _quote(F.col("amount").cast("string")))
-               .otherwise(_num(F.col("amount"))))
-    partner = F.when(defect == 4, F.lit(None).cast("long")).otherwise(F.col("partner_id"))
-    value = F.when(defect == 0, F.expr("substring(_v, 1, length(_v) - 1)")).otherwise(F.col("_v"))
-    topic = (F.when(F.col("event_type") == "view", F.lit(TOPIC_IMPRESSED))
-              .when(F.col("event_type") == "click", F.lit(TOPIC_CLICKED))
-              .when(F.col("k") % 2 == 0, F.lit(TOPIC_CLICKED))
-              .otherwise(F.lit(TOPIC_IMPRESSED)))
-    staged = f.withColumn("_v", event_json(partner, F.col("group_id"), F.col("product_id"), target,
-                                           _quote(F.col("display_id")), amount, F.col("ts")))
-    return staged.select(
-        topic.alias("topic"),
-        (F.col("event_id") % DERIVED_PARTITIONS).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / DERIVED_PARTITIONS).cast("long").alias("offset"),
-        F.col("ts").alias("timestamp"),
-        F.concat(F.lit("ev-"), F.col("event_id").cast("string")).alias("key"),
-        value.alias("value"),
+    defect = f"IF(event_type = 'error', event_id % {len(DEFECTS)}, NULL)"
+    partner = "IF(_defect = 4, 'null', coalesce(CAST(partner_id AS STRING), 'null'))"
+    target = ("CASE WHEN _defect = 1 THEN '\"TV\"' "
+              "WHEN _defect = 2 THEN concat('\"', lower(display_target), '\"') "
+              "ELSE concat('\"', display_target, '\"') END")
+    amount = ("CASE WHEN _defect = 3 THEN '\"abc\"' "
+              "WHEN _defect = 5 THEN concat('\"', CAST(amount AS STRING), '\"') "
+              "ELSE coalesce(CAST(amount AS STRING), 'null') END")
+    topic = (f"CASE WHEN event_type = 'view' THEN '{TOPIC_IMPRESSED}' "
+             f"WHEN event_type = 'click' THEN '{TOPIC_CLICKED}' "
+             f"WHEN k % 2 = 0 THEN '{TOPIC_CLICKED}' ELSE '{TOPIC_IMPRESSED}' END")
+    staged = (f.selectExpr("*", f"{defect} AS _defect")
+               .selectExpr("*", f"{_json_sql(partner, target, amount)} AS _v"))
+    return staged.selectExpr(
+        f"{topic} AS topic",
+        f"CAST(event_id % {DERIVED_PARTITIONS} AS INT) AS partition",
+        f"CAST(event_id div {DERIVED_PARTITIONS} AS BIGINT) AS offset",
+        "ts AS timestamp",
+        "concat('ev-', CAST(event_id AS STRING)) AS key",
+        "IF(_defect = 0, substring(_v, 1, length(_v) - 1), _v) AS value",
     )
 
 

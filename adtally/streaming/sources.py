@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import prepare_session
 from ..functions import codec
-from ..sources.tables import ad_events, table_path
+from ..schemas import EVENTS_TABLE_SCHEMA
+from ..sources.tables import ad_events
 from ..sources.topics import kafka_records
 
 
@@ -15,8 +16,7 @@ def event_file_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
     """``events.parquet`` of a folder as a stream (schema taken from the
     file, never inferred per batch)."""
     prepare_session(spark)
-    schema = spark.read.parquet(table_path(sf_dir, "events")).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    reader = spark.readStream.schema(EVENTS_TABLE_SCHEMA).option("pathGlobFilter", "events.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(sf_dir)
