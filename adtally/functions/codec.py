@@ -37,22 +37,22 @@ REASON_TOPIC = "unknown topic"
 REASON_KEY = "missing key: "
 
 
-def _reason(raw: Column) -> Column:
+def _reason_sql() -> str:
+    """First failed check of a record, as one SQL CASE over ``_raw``."""
+    targets = ", ".join(f"'{t}'" for t in DISPLAY_TARGETS)
     checks = [
-        (F.col("value").isNull(), F.lit(REASON_EMPTY)),
-        (raw["_corrupt"].isNotNull(), F.lit(REASON_MALFORMED)),
-        (raw["displayTarget"].isNotNull() & ~raw["displayTarget"].isin(*DISPLAY_TARGETS), F.lit(REASON_TARGET)),
+        ("value IS NULL", REASON_EMPTY),
+        ("_raw._corrupt IS NOT NULL", REASON_MALFORMED),
+        (f"_raw.displayTarget IS NOT NULL AND _raw.displayTarget NOT IN ({targets})", REASON_TARGET),
     ]
-    for f in _NUMERIC:
-        checks.append((raw[f].isNotNull() & raw[f].try_cast("long").isNull(), F.lit(REASON_NUMBER + f)))
-    checks.append((raw["timestamp"].isNotNull() & F.try_to_timestamp(raw["timestamp"]).isNull(),
-                   F.lit(REASON_TIMESTAMP)))
-    checks.append((raw["partnerId"].isNull(), F.lit(REASON_PARTNER)))
-    checks.append((~F.col("topic").isin(TOPIC_IMPRESSED, TOPIC_CLICKED), F.lit(REASON_TOPIC)))
-    out = None
-    for cond, why in checks:
-        out = F.when(cond, why) if out is None else out.when(cond, why)
-    return out
+    checks += [(f"_raw.{f} IS NOT NULL AND try_cast(_raw.{f} AS BIGINT) IS NULL", REASON_NUMBER + f)
+               for f in _NUMERIC]
+    checks += [
+        ("_raw.timestamp IS NOT NULL AND try_to_timestamp(_raw.timestamp) IS NULL", REASON_TIMESTAMP),
+        ("_raw.partnerId IS NULL", REASON_PARTNER),
+        (f"topic NOT IN ('{TOPIC_IMPRESSED}', '{TOPIC_CLICKED}')", REASON_TOPIC),
+    ]
+    return "CASE " + " ".join(f"WHEN {cond} THEN '{why}'" for cond, why in checks) + " END"
 
 
 def decode_records(records: DataFrame, event_time: str = "record") -> DataFrame:
@@ -71,22 +71,20 @@ def decode_records(records: DataFrame, event_time: str = "record") -> DataFrame:
     # ``from_json`` call copied into every field check (the JSON is parsed
     # once per record, not once per reference).
     staged = records.select("*", F.explode(F.array(raw)).alias("_raw"))
-    r = F.col("_raw")
-    typed = [
-        r["groupId"].try_cast("long").alias("group_id"),
-        r["partnerId"].try_cast("long").alias("partner_id"),
-        r["productId"].try_cast("long").alias("product_id"),
-        r["displayTarget"].alias("display_target"),
-        r["displayId"].alias("display_id"),
-        r["amount"].try_cast("long").alias("amount"),
-        F.try_to_timestamp(r["timestamp"]).alias("payload_ts"),
-    ]
-    kind = (F.when(F.col("topic") == TOPIC_IMPRESSED, F.lit(IMPRESSION))
-             .when(F.col("topic") == TOPIC_CLICKED, F.lit(CLICK)))
-    out = staged.select("topic", "partition", "offset", "timestamp", "key", "value",
-                        kind.alias("kind"), *typed, _reason(r).alias("error_reason"))
-    ts = F.col("timestamp") if event_time == "record" else F.col("payload_ts")
-    return out.withColumn("ts", ts)
+    event_ts = "timestamp" if event_time == "record" else "try_to_timestamp(_raw.timestamp)"
+    return staged.selectExpr(
+        "topic", "partition", "offset", "timestamp", "key", "value",
+        f"CASE topic WHEN '{TOPIC_IMPRESSED}' THEN '{IMPRESSION}' WHEN '{TOPIC_CLICKED}' THEN '{CLICK}' END AS kind",
+        "try_cast(_raw.groupId AS BIGINT) AS group_id",
+        "try_cast(_raw.partnerId AS BIGINT) AS partner_id",
+        "try_cast(_raw.productId AS BIGINT) AS product_id",
+        "_raw.displayTarget AS display_target",
+        "_raw.displayId AS display_id",
+        "try_cast(_raw.amount AS BIGINT) AS amount",
+        "try_to_timestamp(_raw.timestamp) AS payload_ts",
+        f"{_reason_sql()} AS error_reason",
+        f"{event_ts} AS ts",
+    )
 
 
 def require(decoded: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
