@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from ..functions.columns import with_window
 from .running import running_sums
 
-# Rows of one source partition per slice of the running maximum.
-ARRIVAL_SLICE_ROWS = 1 << 16
+# Arrival positions per slice of the running maximum. Bounds both the rows
+# of one window task (<= this many) and the per-slice offset table (one row
+# per slice of a source partition, i.e. rows / 2^20).
+ARRIVAL_SLICE_ROWS = 1 << 20
 
 
 def late_flags(df: DataFrame, window: str = "1 minute", arrival: Sequence[str] = ("arrival", "event_id"),

@@ -40,3 +40,18 @@ def test_running_sums_match_window(spark):
     w = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.pos: r.s for r in df.withColumn("s", F.sum("x").over(w)).collect()}
     assert {r.pos: r.s for r in got.collect()} == want
+
+
+def test_spread_if_narrow(spark):
+    from adtally.sources.tables import spread_if_narrow
+    one = spark.range(100).coalesce(1)
+    assert spread_if_narrow(one, 4).rdd.getNumPartitions() == 4
+    wide = spark.range(100).repartition(6)
+    assert spread_if_narrow(wide, 4) is wide
+
+
+def test_latest_per_key(spark):
+    from adtally.sinks.files import latest_per_key
+    log = spark.createDataFrame([(1, "a", 1, 0), (1, "a", 3, 2), (1, "a", 2, 1), (2, "b", 5, 0)],
+                                "k long, d string, n long, batch_id long")
+    assert sorted(tuple(r) for r in latest_per_key(log, ["k", "d"]).collect()) == [(1, "a", 3), (2, "b", 5)]
