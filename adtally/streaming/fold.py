@@ -126,17 +126,18 @@ def _dump(imps: int, clicks: int, entries: dict) -> tuple:
 
 
 def placement_fold(key_cols: Sequence[str], sub: Sequence[str], order: Sequence[str], limit: int,
-                   window_ms: int):
+                   window_ms: int, session_tz: str = "UTC"):
     """State function keyed by (``key_cols``..., window_start).
 
     Output per closed key: the key, window_start/end and ``FOLD_COLUMNS``
     (``flagged_count``/``flagged_amount``: fold entries whose excess amount
-    is > 0, and that excess).
+    is > 0, and that excess). Timestamps reach pandas as wall-clock values
+    of ``session_tz``; the timeout is set on the true epoch instant.
     """
 
     def fn(key, batches: Iterator[pd.DataFrame], state):
         start = pd.Timestamp(key[-1])
-        start_ms = int(start.value // 1_000_000)
+        start_ms = int(start.tz_localize(session_tz, ambiguous=True, nonexistent="shift_forward").value // 1_000_000)
         end_ms = start_ms + window_ms
         if state.hasTimedOut:
             imps, clicks, entries = _load(state)

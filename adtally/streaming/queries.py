@@ -50,7 +50,8 @@ def _fold(ev: DataFrame, key: list[str], placement: list[str], sub: list[str], w
     out_schema = ", ".join([f"{k} {types[k]}" for k in state_key]
                            + ["window_start timestamp", "window_end timestamp"]
                            + [f"{c} long" for c in FOLD_COLUMNS])
-    fn = placement_fold(state_key, [*placement, *sub], list(rules.order), rules.fraud_limit, _ms(window))
+    tz = ev.sparkSession.conf.get("spark.sql.session.timeZone")
+    fn = placement_fold(state_key, [*placement, *sub], list(rules.order), rules.fraud_limit, _ms(window), tz)
     cols = [*state_key, "window_start", "kind", *placement, *sub, *rules.order, "amount"]
     return (ev.select(*dict.fromkeys(cols))
               .groupBy(*state_key, "window_start")

@@ -45,3 +45,26 @@ def test_merge_equals_counter(data, chunks, rnd):
         want[(r.display_id, pid)] = (n, normal + amt, fraud) if n <= 10 else (n, normal, fraud + amt)
     got = {k: (v[0], *split(v)) for k, v in entries.items()}
     assert got == want
+
+
+def test_timeout_uses_session_zone():
+    from adtally.streaming.fold import placement_fold
+
+    class State:
+        exists, hasTimedOut = False, False
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def update(self, v):
+            self.exists, self.get = True, v
+
+        def setTimeoutTimestamp(self, t):
+            self.timeout = t
+
+    start_local = pd.Timestamp("2024-01-01 13:00:00")  # 12:00 UTC seen in Europe/Paris
+    pdf = pd.DataFrame({"kind": ["click"], "display_id": ["d"], "ts": [start_local], "event_id": [1], "amount": [5]})
+    st = State()
+    list(placement_fold(["p"], ["display_id"], ["ts", "event_id"], 10, 60_000, "Europe/Paris")(
+        (100, start_local), iter([pdf]), st))
+    assert st.timeout == int(pd.Timestamp("2024-01-01 12:01:00", tz="UTC").value // 1_000_000) - 1
