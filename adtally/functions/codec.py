@@ -9,7 +9,8 @@ afterwards, so that
   ``web`` as display target, a bad timestamp, broken JSON) is reported
   with a reason instead of turning silently into null;
 * a missing or null amount is 0 downstream; a null partner id is an error
-  for every result.
+  for every result;
+* numbers must be integral (``10.5`` is reported, not truncated).
 
 Good and bad rows come out of the same projection; ``valid_events`` and
 ``dead_letter`` are two filters on it, so one scan feeds both.
@@ -41,7 +42,7 @@ def _reason_sql() -> str:
     """First failed check of a record, as one SQL CASE over ``_raw``."""
     targets = ", ".join(f"'{t}'" for t in DISPLAY_TARGETS)
     checks = [
-        ("value IS NULL", REASON_EMPTY),
+        ("value IS NULL OR value = ''", REASON_EMPTY),
         ("_raw._corrupt IS NOT NULL", REASON_MALFORMED),
         (f"_raw.displayTarget IS NOT NULL AND _raw.displayTarget NOT IN ({targets})", REASON_TARGET),
     ]

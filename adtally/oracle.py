@@ -168,7 +168,7 @@ dec AS (
     TRY_CAST(r_amount AS BIGINT) AS amount,
     TRY_CAST(r_ts AS TIMESTAMP) AS payload_ts,
     CASE
-      WHEN "value" IS NULL THEN 'empty value'
+      WHEN "value" IS NULL OR "value" = '' THEN 'empty value'
       WHEN NOT ok THEN 'malformed json'
       WHEN r_target IS NOT NULL AND r_target NOT IN ('WEB', 'MOBILE', 'APP') THEN 'unknown displayTarget'
       WHEN r_group IS NOT NULL AND TRY_CAST(r_group AS BIGINT) IS NULL THEN 'not a number: groupId'

@@ -33,10 +33,13 @@ def test_f15_malformed_and_wrong_values(spark):
         GOOD.replace('"amount":1000', '"amount":"abc"'),
         GOOD.replace('"2024-01-01T12:00:00"', '"yesterday"'),
         None,
+        "",
+        GOOD.replace('"amount":1000', '"amount":10.5'),
     ]
     assert reasons(spark, values) == [
         None, codec.REASON_MALFORMED, codec.REASON_TARGET, codec.REASON_TARGET,
         codec.REASON_NUMBER + "amount", codec.REASON_TIMESTAMP, codec.REASON_EMPTY,
+        codec.REASON_EMPTY, codec.REASON_NUMBER + "amount",
     ]
 
 
