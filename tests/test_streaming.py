@@ -121,3 +121,20 @@ def test_late_rows_dropped_in_stream(spark):
     out = {r.window_start.minute: r.aggregated_amount for r in read_result(spark, f"{base}/out").collect()}
     assert out[0] == 1000  # the 12:00:20 row arrived after the watermark passed 12:01
     assert out[2] == 1000
+
+
+def test_retried_batch_replaces_its_output(spark):
+    """foreachBatch may run a micro-batch again after a failure; the sink
+    overwrites that batch's partition only."""
+    from adtally.streaming.queries import batch_partition_writer, read_result
+    base = shared_dir(spark, "test-retry")
+    rows = spark.createDataFrame([(100, 5, 0, 5, dt.datetime(2024, 1, 1, 12), dt.datetime(2024, 1, 1, 12, 1))],
+                                 "partner_id long, aggregated_amount long, fraudulent_amount long, "
+                                 "total_billing_amount long, window_start timestamp_ntz, window_end timestamp_ntz")
+    other = rows.withColumn("partner_id", F.lit(200).cast("long"))
+    write = batch_partition_writer(f"{base}/out")
+    write(rows, 0)
+    write(other, 1)
+    write(other, 1)  # retry of batch 1
+    got = read_result(spark, f"{base}/out")
+    assert sorted(r.partner_id for r in got.collect()) == [100, 200]
