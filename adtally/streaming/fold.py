@@ -29,15 +29,29 @@ Python does per-placement work, not per-row work.
 from __future__ import annotations
 
 import json
+import sys
 import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 
-# Empty outputs of a state function make pandas warn inside the Arrow
-# serializer; the result is correct, the warning is noise in worker logs.
-warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
+# The state function runs in Python workers, which need not have this
+# package installed: ship this module's code with the function (pickled by
+# value) instead of by import path. It only imports numpy and pandas.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover - older pickler
+    pass
+
+
+
+def _quiet() -> None:
+    """Empty outputs of a state function make pandas warn inside the Arrow
+    serializer; the result is correct, the warning is noise in worker logs.
+    (Set inside the function: this module is not imported on workers.)"""
+    warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 
 STATE_SCHEMA = "impressions long, clicks long, entries string"
 FOLD_COLUMNS = ("impression_count", "click_count", "normal_amount", "fraudulent_amount",
@@ -136,6 +150,7 @@ def placement_fold(key_cols: Sequence[str], sub: Sequence[str], order: Sequence[
     """
 
     def fn(key, batches: Iterator[pd.DataFrame], state):
+        _quiet()
         start = pd.Timestamp(key[-1])
         start_ms = int(start.tz_localize(session_tz, ambiguous=True, nonexistent="shift_forward").value // 1_000_000)
         end_ms = start_ms + window_ms

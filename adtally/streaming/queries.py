@@ -20,6 +20,7 @@ return what the sink holds.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -225,10 +226,28 @@ def read_result(spark: SparkSession, path: str, result: str = "partner_billing")
     return read_log(spark, path, result).drop("batch_id")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Number of state partitions of streams *started* inside the block
+    (``spark.sql.shuffle.partitions`` when a checkpoint is created; it is then
+    fixed for that checkpoint). Default: the cluster's cores."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = n or spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext handle
+        n = int(old)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def _run_to_table(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
     base = shared_dir(spark, f"stream-{result}")
-    q = run_windowed(result, ad_event_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
-    q.awaitTermination()
+    with state_partitions(spark):
+        q = run_windowed(result, ad_event_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
+        q.awaitTermination()
     return read_result(spark, f"{base}/out", result)
 
 
@@ -246,8 +265,9 @@ def stream_partner_group_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_display_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream-display")
-    q = run_update(display_metrics_stream(ad_event_stream(spark, sf_dir)), f"{base}/log", f"{base}/checkpoint")
-    q.awaitTermination()
+    with state_partitions(spark):
+        q = run_update(display_metrics_stream(ad_event_stream(spark, sf_dir)), f"{base}/log", f"{base}/checkpoint")
+        q.awaitTermination()
     log = read_log(spark, f"{base}/log", "display_metrics")
     latest = latest_per_key(log, DISPLAY_KEY)
     return latest.where(F.col("impression_count") > 0).select(*DISPLAY_KEY, "impression_count", "click_count")

@@ -68,3 +68,16 @@ def test_timeout_uses_session_zone():
     list(placement_fold(["p"], ["display_id"], ["ts", "event_id"], 10, 60_000, "Europe/Paris")(
         (100, start_local), iter([pdf]), st))
     assert st.timeout == int(pd.Timestamp("2024-01-01 12:01:00", tz="UTC").value // 1_000_000) - 1
+
+
+def test_fold_ships_by_value():
+    """Workers need not have the package installed: the state function's
+    module is pickled by value."""
+    import pickle
+
+    from pyspark import cloudpickle
+
+    from adtally.streaming import fold
+    payload = cloudpickle.dumps(fold.placement_fold(["p"], [], ["ts"], 10, 60_000))
+    assert b"adtally.streaming.fold" not in payload or b"merge_clicks" in payload
+    assert callable(pickle.loads(payload))
