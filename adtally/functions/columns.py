@@ -46,3 +46,13 @@ def key_text(cols: Iterable[str], sep: str = ":") -> Column:
 
 def as_long(c: Column) -> Column:
     return c.cast("long")
+
+
+def require_keys(df: DataFrame, cols) -> DataFrame:
+    """Rows usable by a query that keys on ``cols`` (the others belong to
+    the dead letter, see ``functions.codec.dead_letter``)."""
+    cond = None
+    for c in cols:
+        term = F.col(c).isNotNull()
+        cond = term if cond is None else cond & term
+    return df.where(cond) if cond is not None else df

@@ -17,22 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_RULES, Rules
-from ..functions.columns import output_window
+from ..functions.columns import output_window, require_keys
 from ..operators.fraud import click_fold, click_fold_rollup, tag_fraud
 from ..schemas import BILLING_FRAUD_KEY, PARTNER_BILLING_COLUMNS
 from ..sources.tables import clicks as only_clicks
 
 
-def require_keys(df: DataFrame, cols) -> DataFrame:
-    """Rows usable by a query that keys on ``cols`` (the others belong to
-    the dead letter, see ``functions.codec.dead_letter``)."""
-    cond = None
-    for c in cols:
-        term = F.col(c).isNotNull()
-        cond = term if cond is None else cond & term
-    return df.where(cond) if cond is not None else df
-
-
 def click_aggregation_1min(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """AG-3: fold per placement key and minute."""
     c = require_keys(only_clicks(ad), ["partner_id", "ts"])

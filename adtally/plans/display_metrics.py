@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CLICK, DEFAULT_RULES, IMPRESSION, Rules
+from ..functions.columns import require_keys
 from ..operators.counts import total_count
 from ..operators.running import running_sums
 from ..schemas import DISPLAY_KEY, DISPLAY_METRICS_COLUMNS
 from ..sources.tables import clicks as only_clicks
 from ..sources.tables import impressions as only_impressions
-from .billing import require_keys
 
 # Length of the time slices that split one display's history for the
 # running counts of the changelog.

@@ -25,13 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CLICK, DEFAULT_RULES, IMPRESSION, Rules
-from ..functions.columns import output_window, rewindow, with_window, zero_if_null
+from ..functions.columns import output_window, require_keys, rewindow, with_window, zero_if_null
 from ..operators.counts import windowed_count
 from ..operators.fraud import click_fold, first_n
 from ..schemas import GROUP_FRAUD_KEY, GROUP_KEY, PARTNER_GROUP_METRICS_COLUMNS
 from ..sources.tables import clicks as only_clicks
 from ..sources.tables import impressions as only_impressions
-from .billing import require_keys
 
 _KEYED = ["partner_id", "group_id", "ts"]
 
