@@ -73,3 +73,13 @@ def test_batch_job(spark):
         assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
             sorted(tuple(r) for r in want.select(*cols).collect()), name
     assert spark.read.parquet(paths["dead_letter"]).count() == codec.dead_letter(decoded).count()
+
+
+def test_cli_help():
+    import pytest
+
+    from adtally import app, batch
+    for main in (app.main, batch.main):
+        with pytest.raises(SystemExit) as e:
+            main(["--help"])
+        assert e.value.code == 0

@@ -39,10 +39,12 @@ def test_group_metrics_union_plan_exchanges(spark):
 
 def test_scan_prunes_and_pushes(spark):
     text = plan(queries()["partner_billing"](spark, SF))
-    assert "PushedFilters: [In(event_type, [click,view])" in text or "event_type" in text
-    assert "user_id" in text  # needed by the view
+    assert "PushedFilters: [IsNotNull(ts), In(event_type, [click,view])]" in text
+    # every column of the table is needed by the view (ids, time, type, amount, props.k)
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string," \
            "value:double,props:string>" in text
+    counts = plan(queries()["display_metrics"](spark, SF))
+    assert "PushedFilters: [In(event_type, [click,view])]" in counts
 
 
 def test_display_changelog_no_unsliced_window(spark):
