@@ -58,3 +58,10 @@ def test_no_python_udf_in_batch_queries(spark):
                  "display_metrics_changelog", "late_click_filter", "decode_valid_only"):
         text = plan(queries()[name](spark, SF))
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
+
+
+def test_columns_pruned_at_scan(spark):
+    text = plan(queries()["display_metrics"](spark, SF))
+    assert "ReadSchema: struct<user_id:bigint,event_type:string,props:string>" in text
+    late = plan(queries()["late_click_filter"](spark, SF))
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,props:string>" in late
