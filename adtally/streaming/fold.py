@@ -21,9 +21,9 @@ are therefore built in two steps:
 
 The bucket spreads a large partner over ``STATE_BUCKETS`` tasks while
 amortising the per-key cost of a Python state call over many placements.
-Input arrives in Arrow batches; each batch
-is reduced with pandas (sort + group head) before it touches the state, so
-Python does per-placement work, not per-row work.
+Input arrives in Arrow batches; each batch is merged with numpy (one
+lexsort, segment sums, at most N rows kept per placement) before it touches
+the state, so Python does per-placement work, not per-row work.
 """
 
 from __future__ import annotations
@@ -46,13 +46,13 @@ except (ImportError, AttributeError, ValueError):  # pragma: no cover - older pi
     pass
 
 
-
 def _quiet() -> None:
     """Empty outputs of a state function make pandas warn inside the Arrow
     serializer; the result is correct, the warning is noise in worker logs.
     (Set inside the function: this module is not imported on workers.)"""
     warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
 
+
 STATE_SCHEMA = "impressions long, clicks long, entries string"
 FOLD_COLUMNS = ("impression_count", "click_count", "normal_amount", "fraudulent_amount",
                 "flagged_count", "flagged_amount")
