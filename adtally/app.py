@@ -25,7 +25,10 @@ from .config import DEFAULT_RULES, STATE_BUCKETS, Rules, Topics, get_session
 from .functions import codec
 from .schemas import DISPLAY_KEY, RAW_RECORD_SCHEMA
 from .sources.topics import kafka_records
-from .streaming.queries import display_metrics_stream, run_append, run_update, run_windowed
+from .streaming.queries import (
+    batch_partition_writer, display_changelog_stream, display_metrics_stream, run_append, run_update,
+    run_windowed, start_stream,
+)
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -44,6 +47,7 @@ class JobConfig:
     max_per_trigger: int | None = None
     rocksdb: bool = True
     state_buckets: int = STATE_BUCKETS  # fixed for the life of a checkpoint
+    display_mode: str = "totals"       # "totals" (update mode) | "changelog" (one row per impression)
     topics: Topics = Topics()
     rules: Rules = DEFAULT_RULES
 
@@ -90,14 +94,20 @@ def start(spark: SparkSession, cfg: JobConfig) -> dict:
         writer = kafka_writer(key, fields, topic) if cfg.sink == "kafka" else None
         started[name] = run_windowed(name, events, f"{cfg.output}/{name}", f"{cp_root}/{name}", rules,
                                      cfg.available_now, cfg.trigger, cfg.state_buckets, writer)
-    display = display_metrics_stream(events)
+    changelog = cfg.display_mode == "changelog"
+    display = display_changelog_stream(events, rules) if changelog else display_metrics_stream(events)
+    mode = "append" if changelog else "update"
+    fields = codec.DISPLAY_JSON_FIELDS if changelog else codec.STREAM_DISPLAY_JSON_FIELDS
     if cfg.sink == "kafka":
-        out = codec.encode_records(display, list(DISPLAY_KEY), codec.STREAM_DISPLAY_JSON_FIELDS)
-        w = (out.writeStream.format("kafka").outputMode("update")
+        out = codec.encode_records(display, list(DISPLAY_KEY), fields)
+        w = (out.writeStream.format("kafka").outputMode(mode)
                 .option("kafka.bootstrap.servers", cfg.bootstrap).option("topic", cfg.topics.display_metrics)
                 .option("checkpointLocation", f"{cp_root}/display_metrics"))
         w = w.trigger(availableNow=True) if cfg.available_now else w.trigger(processingTime=cfg.trigger)
         started["display_metrics"] = w.start()
+    elif changelog:
+        started["display_metrics"] = start_stream(display, "append", batch_partition_writer(f"{cfg.output}/display_metrics"),
+                                            f"{cp_root}/display_metrics", cfg.available_now, cfg.trigger)
     else:
         started["display_metrics"] = run_update(display, f"{cfg.output}/display_metrics",
                                                 f"{cp_root}/display_metrics", cfg.available_now, cfg.trigger)
@@ -130,13 +140,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--watermark-delay", default=DEFAULT_RULES.watermark_delay)
     p.add_argument("--fraud-limit", type=int, default=DEFAULT_RULES.fraud_limit)
     p.add_argument("--state-buckets", type=int, default=STATE_BUCKETS)
+    p.add_argument("--display-mode", choices=["totals", "changelog"], default="totals")
     a = p.parse_args(argv)
     rules = Rules(fraud_limit=a.fraud_limit, watermark_delay=a.watermark_delay,
                   order=("ts", "event_id"))
     cfg = JobConfig(source=a.source, input=a.input, input_format=a.input_format, bootstrap=a.bootstrap,
                     sink=a.sink, output=a.output, checkpoint_root=a.checkpoint_root,
                     available_now=a.available_now, trigger=a.trigger, max_per_trigger=a.max_per_trigger,
-                    state_buckets=a.state_buckets, rules=rules)
+                    state_buckets=a.state_buckets, display_mode=a.display_mode, rules=rules)
     spark = get_session()
     queries = start(spark, cfg)
     for q in queries.values():

@@ -122,7 +122,7 @@ def queries() -> dict[str, Query]:
         "sink_roundtrip_display": sink_roundtrip_display,
     }
     for name in ("stream_partner_billing", "stream_group_fraud_5min",
-                 "stream_partner_group_metrics", "stream_display_metrics"):
+                 "stream_partner_group_metrics", "stream_display_metrics", "stream_display_changelog"):
         if hasattr(streams, name):
             q[name] = getattr(streams, name)
     return q

@@ -295,4 +295,5 @@ FROM fraud5 WHERE w5 + INTERVAL 5 minute <= {_stream_cut("kind = 'click'")}"""
     q["stream_partner_group_metrics"] = _with(_GROUP_RANK) + f"""
 SELECT * FROM pgm WHERE window_end <= {_stream_cut("true")}"""
     q["stream_display_metrics"] = q["display_metrics"]
+    q["stream_display_changelog"] = q["display_metrics_changelog"]
     return q

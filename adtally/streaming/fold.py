@@ -187,3 +187,39 @@ def placement_fold(key_cols: Sequence[str], sub: Sequence[str], order: Sequence[
         state.setTimeoutTimestamp(end_ms - 1)
 
     return fn
+
+
+CHANGELOG_STATE_SCHEMA = "impressions long, clicks long"
+
+
+def display_changelog_fold(key_cols: Sequence[str], order: Sequence[str]):
+    """State function keyed by the display key: the reference's display
+    update stream. State is the display's running (impressions, clicks);
+    each impression emits (key, event_id, ts, impressions including it,
+    clicks before it).
+
+    Rows are taken Arrow batch by Arrow batch (bounded memory) and in
+    ``order`` inside a batch; across micro-batches the order is arrival
+    order, as in the reference.
+    """
+
+    def fn(key, batches: Iterator[pd.DataFrame], state):
+        _quiet()
+        imps, clicks = (int(state.get[0]), int(state.get[1])) if state.exists else (0, 0)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            okeys = _order_matrix(pdf, order)
+            pdf = pdf.iloc[np.lexsort(list(reversed(okeys)))]
+            is_imp = pdf["kind"].to_numpy() == "impression"
+            run_imp = imps + np.cumsum(is_imp)
+            run_clk = clicks + np.cumsum(~is_imp)
+            if is_imp.any():
+                out = {c: [v] * int(is_imp.sum()) for c, v in zip(key_cols, key)}
+                out.update({"event_id": pdf["event_id"].to_numpy()[is_imp], "ts": pdf["ts"].to_numpy()[is_imp],
+                            "impression_count": run_imp[is_imp], "click_count": run_clk[is_imp]})
+                yield pd.DataFrame(out)
+            imps, clicks = int(run_imp[-1]), int(run_clk[-1])
+        state.update((imps, clicks))
+
+    return fn

@@ -32,7 +32,7 @@ from ..schemas import BILLING_FRAUD_KEY, DISPLAY_KEY, GROUP_FRAUD_KEY, PARTNER_B
 from ..schemas import PARTNER_GROUP_METRICS_COLUMNS
 from ..sinks.files import latest_per_key
 from ..sources.tables import clicks as only_clicks
-from .fold import FOLD_COLUMNS, STATE_SCHEMA, placement_fold
+from .fold import CHANGELOG_STATE_SCHEMA, FOLD_COLUMNS, STATE_SCHEMA, display_changelog_fold, placement_fold
 from .sources import ad_event_stream
 
 
@@ -142,6 +142,23 @@ def display_metrics_stream(ad: DataFrame) -> DataFrame:
               .withColumn("emitted_at", F.current_timestamp()))
 
 
+def display_changelog_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Streaming Q3 as the reference emits it (append): one row per
+    impression with the display's impressions so far and the clicks before
+    it. No window, no watermark; state is two counters per display."""
+    ev = (ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull()
+                   & F.col("display_target").isNotNull())
+            .withColumn("display_id", F.coalesce(F.col("display_id"), F.lit(""))))
+    types = dict(ev.dtypes)
+    out_schema = ", ".join([f"{k} {types[k]}" for k in DISPLAY_KEY]
+                           + ["event_id long", "ts timestamp", "impression_count long", "click_count long"])
+    fn = display_changelog_fold(list(DISPLAY_KEY), list(rules.order))
+    cols = [*DISPLAY_KEY, "kind", *dict.fromkeys([*rules.order, "event_id", "ts"])]
+    return (ev.select(*cols).groupBy(*DISPLAY_KEY)
+              .applyInPandasWithState(fn, out_schema, CHANGELOG_STATE_SCHEMA, "append",
+                                      GroupStateTimeout.NoTimeout))
+
+
 def batch_partition_writer(path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df):
     """foreachBatch function: ``transform(micro-batch)`` goes to its own
     ``batch_id`` partition; a retried batch overwrites that partition only."""
@@ -152,7 +169,7 @@ def batch_partition_writer(path: str, transform: Callable[[DataFrame], DataFrame
     return write
 
 
-def _start(stream: DataFrame, mode: str, writer, checkpoint: str, available_now: bool,
+def start_stream(stream: DataFrame, mode: str, writer, checkpoint: str, available_now: bool,
            processing_time: str | None):
     w = (stream.writeStream.outputMode(mode).foreachBatch(writer)
                .option("checkpointLocation", checkpoint))
@@ -171,7 +188,7 @@ def run_windowed(result: str, ad: DataFrame, path: str, checkpoint: str, rules:
     else:
         def sink(batch: DataFrame, batch_id: int) -> None:
             writer(rollup(batch), batch_id)
-    return _start(build(ad, rules, buckets=buckets), "append", sink, checkpoint, available_now, processing_time)
+    return start_stream(build(ad, rules, buckets=buckets), "append", sink, checkpoint, available_now, processing_time)
 
 
 def run_append(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
@@ -187,7 +204,7 @@ def run_append(stream: DataFrame, path: str, checkpoint: str, available_now: boo
 def run_update(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                processing_time: str | None = None):
     """Start an update-mode stream writing its update log under ``path``."""
-    return _start(stream, "update", batch_partition_writer(path), checkpoint, available_now, processing_time)
+    return start_stream(stream, "update", batch_partition_writer(path), checkpoint, available_now, processing_time)
 
 
 RESULT_SCHEMAS = {
@@ -200,6 +217,8 @@ RESULT_SCHEMAS = {
                          "fraudulent_click_count long, fraudulent_amount long"),
     "display_metrics": ("partner_id long, group_id long, display_target string, display_id string, "
                         "impression_count long, click_count long, emitted_at timestamp"),
+    "display_changelog": ("partner_id long, group_id long, display_target string, display_id string, "
+                          "event_id long, ts timestamp, impression_count long, click_count long"),
 }
 
 
@@ -271,3 +290,13 @@ def stream_display_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = read_log(spark, f"{base}/log", "display_metrics")
     latest = latest_per_key(log, DISPLAY_KEY)
     return latest.where(F.col("impression_count") > 0).select(*DISPLAY_KEY, "impression_count", "click_count")
+
+
+def stream_display_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = shared_dir(spark, "stream-display-changelog")
+    with state_partitions(spark):
+        q = start_stream(display_changelog_stream(ad_event_stream(spark, sf_dir)), "append",
+                   batch_partition_writer(f"{base}/log"), f"{base}/checkpoint", True, None)
+        q.awaitTermination()
+    log = read_log(spark, f"{base}/log", "display_changelog").drop("batch_id")
+    return log.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -83,3 +83,23 @@ def test_cli_help():
         with pytest.raises(SystemExit) as e:
             main(["--help"])
         assert e.value.code == 0
+
+
+def test_job_display_changelog_mode(spark):
+    from adtally.plans.display_metrics import display_metrics_changelog
+    base = shared_dir(spark, "test-app-changelog")
+    recs = topic_records(load_events(spark, "/root/testdata/sf0.001"))
+    recs.coalesce(1).write.json(f"{base}/records")
+    cfg = JobConfig(source="files", input=f"{base}/records", input_format="json", sink="parquet",
+                    output=f"{base}/out", checkpoint_root=f"{base}/cp", available_now=True,
+                    display_mode="changelog")
+    for q in start(spark, cfg).values():
+        q.awaitTermination()
+    good = codec.valid_events(codec.decode_records(spark.read.schema(recs.schema).json(f"{base}/records"))) \
+        .withColumn("event_id", F.col("offset") * F.lit(1 << 16) + F.col("partition"))
+    got = spark.read.parquet(f"{base}/out/display_metrics").drop("batch_id") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    want = display_metrics_changelog(good)
+    cols = sorted(want.columns)
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
+        sorted(tuple(r) for r in want.select(*cols).collect())

@@ -138,3 +138,21 @@ def test_retried_batch_replaces_its_output(spark):
     write(other, 1)  # retry of batch 1
     got = read_result(spark, f"{base}/out")
     assert sorted(r.partner_id for r in got.collect()) == [100, 200]
+
+
+def test_display_changelog_stream_equals_batch(spark):
+    """The reference's display update stream over several micro-batches
+    (arrival = file order) equals the batch changelog (F13, F14 at scale)."""
+    from adtally.plans.display_metrics import display_metrics_changelog
+    from adtally.streaming.queries import (batch_partition_writer, display_changelog_stream, read_log,
+                                           start_stream)
+    base = split_input(spark, 3)
+    q = start_stream(display_changelog_stream(stream_of(spark, base, 3)), "append",
+                     batch_partition_writer(f"{base}/log"), f"{base}/cp", True, None)
+    q.awaitTermination()
+    got = read_log(spark, f"{base}/log", "display_changelog").drop("batch_id") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    ad_batch = spark.read.schema(AD_EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+    want = display_metrics_changelog(ad_batch)
+    cols = sorted(want.columns)
+    assert rows(got, cols) == rows(want, cols)
