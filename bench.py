@@ -22,7 +22,7 @@ HEADLINE = (
     "partner_billing", "click_aggregation_1min", "partner_group_metrics",
     "partner_group_metrics_join", "display_metrics", "display_metrics_changelog",
     "display_metrics_asof", "late_click_filter", "decode_valid_only", "decode_dead_letter",
-    "stream_partner_billing", "stream_partner_group_metrics", "stream_display_metrics",
+    "stream_partner_billing", "stream_partner_group_metrics", "stream_display_metrics", "stream_display_changelog",
 )
 
 
