@@ -107,3 +107,64 @@ def test_hot_key_holds_a_third(spark):
     got = {(r.partner_id, r.window_start): (r.aggregated_amount, r.fraudulent_amount)
            for r in partner_billing(df).collect()}
     assert got == brute_billing(rows)
+
+
+def brute_group(rows, limit=10):
+    """Q2 literally: fold per group-inclusive placement-minute, flag when
+    the excess amount is > 0, count impressions/clicks per 5 minutes, keep
+    windows with impressions."""
+    fold = defaultdict(lambda: [0, 0])
+    imps, clks = defaultdict(int), defaultdict(int)
+    for eid, ts, kind, p, g, pr, t, d, a in sorted(rows, key=lambda r: (r[1], r[0])):
+        w5 = ts.replace(minute=ts.minute - ts.minute % 5, second=0, microsecond=0)
+        if kind == "impression":
+            imps[(p, g, w5)] += 1
+            continue
+        clks[(p, g, w5)] += 1
+        s = fold[(p, g, t, d, pr, ts.replace(second=0, microsecond=0))]
+        s[0] += 1
+        if s[0] > limit:
+            s[1] += a or 0
+    flags, amount = defaultdict(int), defaultdict(int)
+    for (p, g, t, d, pr, m), (_, excess) in fold.items():
+        if excess > 0:
+            w5 = m.replace(minute=m.minute - m.minute % 5)
+            flags[(p, g, w5)] += 1
+            amount[(p, g, w5)] += excess
+    return {k: (n, clks[k], flags[k], amount[k]) for k, n in imps.items()}
+
+
+@settings(**SETTINGS)
+@given(st.lists(event, min_size=1, max_size=80))
+def test_group_metrics_equals_brute_force(spark, events):
+    rows = to_rows(events)
+    got = {(r.partner_id, r.group_id, r.window_start):
+           (r.impression_count, r.click_count, r.fraudulent_click_count, r.fraudulent_amount)
+           for r in partner_group_metrics(spark.createDataFrame(rows, AD_EVENT_SCHEMA)).collect()}
+    assert got == brute_group(rows)
+
+
+hot_event = st.tuples(
+    st.integers(0, 119),
+    st.sampled_from(["impression", "click", "click", "click"]),
+    st.just(100),
+    st.just(1),
+    st.integers(1, 2),
+    st.one_of(st.none(), st.integers(-30, 300)),
+)
+
+
+@settings(**SETTINGS)
+@given(st.lists(hot_event, min_size=20, max_size=90))
+def test_concentrated_clicks_against_brute_force(spark, events):
+    """Many clicks per placement-minute: the flag path and signed excess
+    amounts are exercised in both results."""
+    rows = to_rows(events)
+    df = spark.createDataFrame(rows, AD_EVENT_SCHEMA)
+    got = {(r.partner_id, r.group_id, r.window_start):
+           (r.impression_count, r.click_count, r.fraudulent_click_count, r.fraudulent_amount)
+           for r in partner_group_metrics(df).collect()}
+    assert got == brute_group(rows)
+    bill = {(r.partner_id, r.window_start): (r.aggregated_amount, r.fraudulent_amount)
+            for r in partner_billing(df).collect()}
+    assert bill == brute_billing(rows)
