@@ -114,6 +114,13 @@ def test_late_rows_dropped_in_stream(spark):
     # one file per arrival step, written in arrival order
     spark.createDataFrame([mk(1, 10), mk(2, 130)], AD_EVENT_SCHEMA).coalesce(1).write.parquet(f"{base}/in/p=0")
     spark.createDataFrame([mk(3, 20), mk(4, 200)], AD_EVENT_SCHEMA).coalesce(1).write.parquet(f"{base}/in/p=1")
+    # the file source takes files in modification-time order: make the second step unambiguously later
+    import glob
+    import os
+    import time
+    later = time.time() + 10
+    for f in glob.glob(f"{base}/in/p=1/*.parquet"):
+        os.utime(f, (later, later))
     s = (spark.readStream.schema(AD_EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
          .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
     q = run_windowed("partner_billing", s, f"{base}/out", f"{base}/cp")
