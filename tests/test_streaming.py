@@ -24,8 +24,14 @@ def split_input(spark, parts: int):
     base = shared_dir(spark, "test-input")
     ad = ad_events(load_events(spark, SF))
     ad = ad.withColumn("_part", (F.col("event_id") * parts / F.lit(10_000)).cast("int"))
+    import glob
+    import os
+    import time
+    start = time.time()
     for p in range(parts):
         ad.where(F.col("_part") == p).drop("_part").coalesce(1).write.parquet(f"{base}/in/part={p:03d}")
+        for f in glob.glob(f"{base}/in/part={p:03d}/*.parquet"):  # arrival order = file order
+            os.utime(f, (start + p, start + p))
     return base
 
 
