@@ -93,22 +93,17 @@ def tag_fraud(clicks: DataFrame, key: Sequence[str], window: str = "1 minute",
               n: int = FRAUD_CLICK_LIMIT, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
     """Every click with ``is_fraud`` (its rank in key and window is > n).
 
-    The n-th click of each group is found with the partial group limit; a
-    click is fraudulent iff it sorts after that n-th click. The per-group
-    threshold table holds one row per group with at least n clicks and is
-    joined back on the group key: AQE broadcasts it when its measured size
-    is small and splits a skewed group otherwise, so no group is ranked in
-    one task.
+    The first n clicks of each group come from the partial group limit
+    (at most n rows per group and map task cross the network). Every click
+    is then left-joined to that set on (group key, order key): the order key
+    makes the join key unique per click, so a hot group is hash-spread over
+    all partitions instead of landing in one, and a click is fraudulent
+    exactly when it has no match.
     """
     c = with_window(clicks, window)
     group = [*key, "window_start"]
-    pos = F.struct(*[F.col(o) for o in order])
-    nth = (first_n(c.select(*group, *order), group, n, order)
-           .groupBy(*group)
-           .agg(F.count(F.lit(1)).alias("_taken"), F.max(pos).alias("_nth"))
-           .where(F.col("_taken") == n)
-           .drop("_taken"))
-    cond = [c[g].eqNullSafe(nth[g]) for g in group]
-    joined = c.join(nth, cond, "left")
-    return (joined
-            .select(c["*"], F.coalesce(pos > nth["_nth"], F.lit(False)).alias("is_fraud")))
+    head = (first_n(c.select(*group, *order), group, n, order)
+            .withColumn("_normal", F.lit(True)))
+    cond = [c[g].eqNullSafe(head[g]) for g in [*group, *order]]
+    return (c.join(head, cond, "left")
+             .select(c["*"], head["_normal"].isNull().alias("is_fraud")))
