@@ -168,3 +168,50 @@ def test_concentrated_clicks_against_brute_force(spark, events):
     bill = {(r.partner_id, r.window_start): (r.aggregated_amount, r.fraudulent_amount)
             for r in partner_billing(df).collect()}
     assert bill == brute_billing(rows)
+
+
+placement_event = st.tuples(
+    st.integers(0, 179),
+    st.sampled_from(["impression", "click", "click", "click"]),
+    st.just(100),
+    st.just(1),
+    st.one_of(st.none(), st.integers(1, 2)),   # product may be null
+    st.one_of(st.none(), st.integers(0, 50)),
+)
+
+
+@settings(**SETTINGS)
+@given(st.lists(placement_event, min_size=5, max_size=90))
+def test_fraud_tags_equal_rank(spark, events):
+    from adtally.plans.billing import click_fraud_tagged
+    rows = to_rows(events)
+    df = spark.createDataFrame(rows, AD_EVENT_SCHEMA)
+    got = {r.event_id: r.is_fraud for r in click_fraud_tagged(df).collect()}
+    seen = defaultdict(int)
+    want = {}
+    for eid, ts, kind, p, g, pr, t, d, a in sorted(rows, key=lambda r: (r[1], r[0])):
+        if kind != "click":
+            continue
+        k = (p, t, d, pr, ts.replace(second=0, microsecond=0))
+        seen[k] += 1
+        want[eid] = seen[k] > 10
+    assert got == want
+
+
+@settings(**SETTINGS)
+@given(st.lists(placement_event, min_size=1, max_size=90))
+def test_changelog_equals_running_counts(spark, events):
+    from adtally.plans.display_metrics import display_metrics_changelog
+    rows = to_rows(events)
+    df = spark.createDataFrame(rows, AD_EVENT_SCHEMA)
+    got = {r.event_id: (r.impression_count, r.click_count)
+           for r in display_metrics_changelog(df, slice_duration="1 minute").collect()}
+    imps = clks = 0
+    want = {}
+    for eid, ts, kind, p, g, pr, t, d, a in sorted(rows, key=lambda r: (r[1], r[0])):
+        if kind == "impression":
+            imps += 1
+            want[eid] = (imps, clks)
+        else:
+            clks += 1
+    assert got == want
