@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import DEFAULT_RULES, STATE_BUCKETS, Rules, Topics, get_session
+from .config import DEFAULT_RULES, STATE_BUCKETS, Rules, Topics, checkpoint_base, get_session
 from .functions import codec
 from .schemas import DISPLAY_KEY, RAW_RECORD_SCHEMA
 from .sources.topics import kafka_records
@@ -73,7 +73,7 @@ def start(spark: SparkSession, cfg: JobConfig) -> dict:
     """Start the four streaming queries; returns name -> StreamingQuery."""
     if cfg.rocksdb:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    cp_root = (cfg.checkpoint_root or f"{spark.conf.get('spark.checkpoint.dir')}/adtally").rstrip("/")
+    cp_root = (cfg.checkpoint_root or f"{checkpoint_base(spark)}/adtally").rstrip("/")
     decoded = codec.decode_records(record_stream(spark, cfg))
     events = _events_for_pipelines(decoded)
     rules = cfg.rules
@@ -106,8 +106,9 @@ def start(spark: SparkSession, cfg: JobConfig) -> dict:
         w = w.trigger(availableNow=True) if cfg.available_now else w.trigger(processingTime=cfg.trigger)
         started["display_metrics"] = w.start()
     elif changelog:
-        started["display_metrics"] = start_stream(display, "append", batch_partition_writer(f"{cfg.output}/display_metrics"),
-                                            f"{cp_root}/display_metrics", cfg.available_now, cfg.trigger)
+        started["display_metrics"] = start_stream(display, "append",
+                                                  batch_partition_writer(f"{cfg.output}/display_metrics"),
+                                                  f"{cp_root}/display_metrics", cfg.available_now, cfg.trigger)
     else:
         started["display_metrics"] = run_update(display, f"{cfg.output}/display_metrics",
                                                 f"{cp_root}/display_metrics", cfg.available_now, cfg.trigger)

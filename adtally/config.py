@@ -108,7 +108,7 @@ def prepare_session(spark: SparkSession) -> SparkSession:
       cluster names one; only a test session without it gets a default.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    base = _checkpoint_base(spark)
+    base = checkpoint_base(spark)
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(base)
@@ -117,7 +117,7 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _checkpoint_base(spark: SparkSession) -> str:
+def checkpoint_base(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``);
     only a session without one (a test) falls back to a local default."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -136,5 +136,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     machine-local temporary folder.
     """
     prepare_session(spark)
-    base = _checkpoint_base(spark)
+    base = checkpoint_base(spark)
     return f"{base}/adtally/{purpose}-{uuid.uuid4().hex}"
