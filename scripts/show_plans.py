@@ -55,6 +55,11 @@ def main() -> None:
                      f"{s['single-partition exchanges']} | {s['broadcasts']} | "
                      f"{s['partial group limits']} | {s['windows']} | {s['python']} | "
                      f"{' '.join(s['pushed filters'])} |")
+    for name in ("partner_billing", "partner_group_metrics", "display_metrics_changelog"):
+        tree = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().treeString()
+        tree = re.sub(r"#\d+L?", "", tree)  # drop expression ids
+        tree = "\n".join(line[:170] for line in tree.splitlines())
+        lines += ["", f"## `{name}`", "", "```", tree.rstrip(), "```"]
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(out, "w") as f:
         f.write("\n".join(lines) + "\n")
