@@ -106,3 +106,18 @@ def with_global_offset(parts: DataFrame, part: str, order: list, value: str, out
             .join(offsets, F.col(part) == F.col("_part"), "left")
             .withColumn(out, (F.col("_before") + F.col("_offset")).cast("long"))
             .drop("_part", "_before", "_offset"))
+
+
+# Ids that may be broadcast to filter a table (8 bytes each, some 50 MB hashed).
+BROADCAST_IDS = 1 << 20
+
+
+def by_ids(df: DataFrame, ids: DataFrame, how: str, limit: int = BROADCAST_IDS) -> DataFrame:
+    """``left_semi`` or ``left_anti`` of ``df`` by the one column of ``ids``
+    against df.doc_id (null equals null). ``ids`` must be materialised; it is
+    broadcast while it has at most ``limit`` rows, else both sides shuffle."""
+    key = ids.columns[0]
+    side = ids.select(F.col(key).alias("__ids_key"))
+    if ids.count() <= limit:
+        side = F.broadcast(side)
+    return df.join(side, df["doc_id"].eqNullSafe(side["__ids_key"]), how)

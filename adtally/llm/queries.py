@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import decontaminate, mixing, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_token_output": tokens.op1_token_output,
+        "op4_decontamination": decontaminate.op4_decontamination,
         "op8_mixing": mixing.op8_mixing,
     }
 
