@@ -31,6 +31,19 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows that one Arrow batch carries into a Python task (Spark's default: 10,000).
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Long texts: hand fewer rows at a time to Python tasks, unless the
+    session already asks for fewer. Like the time zone of the other plans, a
+    session setting."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def crc_mod(col: str, n: int):
     """crc32 of the id written as text, modulo n; a null id counts as ''."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % n

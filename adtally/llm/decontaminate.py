@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, by_ids, materialize, read_table, shingle_hashes, text_slices
+from .common import WordHashes, by_ids, materialize, read_table, shingle_hashes, small_batches, text_slices
 
 WINDOW = 10
 SHINGLE = 5
@@ -114,6 +114,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
          broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """One row per document: (doc_id, n_words, spans array<struct<start, stop>>
     of benchmark windows in it, item_ids array<string>, sorted)."""
+    small_batches(docs.sparkSession)
     windows = materialize(benchmark_windows(benchmark, window, shingle), "decon-windows")
     needed = windows.select("width", F.explode("shingles").alias("shingle")).distinct()
     widths = sorted(r[0] for r in needed.select("width").distinct().collect())  # 1 to 5

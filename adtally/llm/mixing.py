@@ -77,21 +77,20 @@ def apportion(claims: DataFrame, key: list[str], claim: str, seats_in_all) -> Da
          .withColumn("_seats", seats_in_all.cast("long"))
          .withColumn("_ideal", F.when(F.col("_all") > 0, F.col(claim) / F.col("_all") * F.col("_seats")).otherwise(0.0))
          .withColumn("_reach", F.ceil(F.col("_ideal") / F.greatest(F.col("_seats"), F.lit(1)) * F.col("_rows")) + 2)
-         .withColumn("_sure", F.greatest(F.lit(0), F.round("_ideal").cast("long") - F.col("_reach"))))
+         .withColumn("_sure", F.when(F.col(claim) > 0, F.greatest(F.lit(0), F.round("_ideal").cast("long") - F.col("_reach"))).otherwise(0))
+         .withColumn("_dealt", F.sum("_sure").over(everything)))
     open_seats = (x.where(F.col(claim) > 0)
                   .withColumn("_seat", F.explode(F.sequence(F.col("_sure"), F.col("_sure") + 2 * F.col("_reach") + 1)))
                   .withColumn("_quotient", F.col(claim) / (2 * F.col("_seat") + 1)))
-    sure = x.agg(F.sum(F.when(F.col(claim) > 0, F.col("_sure")).otherwise(0)).alias("_sum"))
     best = Window.orderBy(F.desc("_quotient"), *[F.asc(k) for k in key])
     won = (open_seats.withColumn("_rank", F.row_number().over(best))
-           .crossJoin(F.broadcast(sure))  # one row: the seats already dealt
-           .where(F.col("_rank") <= F.col("_seats") - F.col("_sum"))
+           .where(F.col("_rank") <= F.col("_seats") - F.col("_dealt"))
            .groupBy(*key).agg(F.count(F.lit(1)).alias("_won")))
     on = [F.col(f"x.{k}").eqNullSafe(F.col(f"won.{k}")) for k in key]
     return (x.alias("x").join(won.alias("won"), on, "left")
             .select("x.*", F.when(F.col(claim) > 0, F.col("_sure") + F.coalesce("_won", F.lit(0)))
                     .otherwise(0).cast("long").alias("quota"))
-            .drop("_all", "_rows", "_seats", "_ideal", "_reach", "_sure"))
+            .drop("_all", "_rows", "_seats", "_ideal", "_reach", "_sure", "_dealt"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, repeat_cap: float = REPEAT_CAP,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, tokens
+from . import decontaminate, minhash, mixing, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_output": tokens.op1_token_output,
         "op4_decontamination": decontaminate.op4_decontamination,
+        "op7_minhash": minhash.op7_minhash,
         "op8_mixing": mixing.op8_mixing,
     }
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import shared_dir
-from .common import CACHE_WORDS, read_table, text_slices, with_global_offset
+from .common import CACHE_WORDS, read_table, small_batches, text_slices, with_global_offset
 
 END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
@@ -103,6 +103,7 @@ class WordIds(dict):
 def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = None, keep: tuple[str, ...] = ()) -> None:
     """Tokenize ``docs`` into ``path`` in ascending doc_id order. ``parts``:
     how many files; by default as many as adaptive execution finds fit."""
+    small_batches(docs.sparkSession)
     ids = docs.schema["doc_id"].dataType.simpleString()
     kept = [f"k_{k}" for k in keep]
     schema = f"doc_id {ids}, part int, n_tokens int, ids array<int>" + "".join(
