@@ -44,6 +44,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+# lower case for A-Z; everything that is no letter, digit or non-ASCII byte is a gap
+FOLD = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    return text.translate(FOLD).split() if text else []
+
+
 def crc_mod(col: str, n: int):
     """crc32 of the id written as text, modulo n; a null id counts as ''."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % n
@@ -134,3 +142,13 @@ def by_ids(df: DataFrame, ids: DataFrame, how: str, limit: int = BROADCAST_IDS)
     if ids.count() <= limit:
         side = F.broadcast(side)
     return df.join(side, df["doc_id"].eqNullSafe(side["__ids_key"]), how)
+
+
+def bounded_sample(rows: DataFrame, most: int, seed: int) -> DataFrame:
+    """Rows whose seeded hash of doc_id is low, about ``most`` of them in all
+    (every row while there are no more). Deterministic."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    share = int(most / n * (1 << 30))
+    return rows.where(F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) < share)

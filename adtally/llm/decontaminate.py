@@ -30,17 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, by_ids, materialize, read_table, shingle_hashes, small_batches, text_slices
+from .common import WordHashes, by_ids, materialize, read_table, shingle_hashes, small_batches, text_slices, words_of
 
 WINDOW = 10
 SHINGLE = 5
 BROADCAST_LIMIT = 1 << 20
-# lower case for A-Z; everything that is no letter, digit or non-ASCII byte is a gap
-FOLD = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.translate(FOLD).split() if text else []
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, minhash, mixing, tokens
+from . import decontaminate, language, minhash, mixing, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,8 @@ def queries() -> dict[str, Query]:
         "op4_decontamination": decontaminate.op4_decontamination,
         "op7_minhash": minhash.op7_minhash,
         "op8_mixing": mixing.op8_mixing,
+        "op9_toxicity": toxicity.op9_toxicity,
+        "op10_language": language.op10_language,
     }
 
 
