@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, mixing, tokens, toxicity
+from . import decontaminate, language, minhash, mixing, quality, syncmers, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_output": tokens.op1_token_output,
         "op4_decontamination": decontaminate.op4_decontamination,
+        "op5_quality": quality.op5_quality,
+        "op6_syncmers": syncmers.op6_syncmers,
         "op7_minhash": minhash.op7_minhash,
         "op8_mixing": mixing.op8_mixing,
         "op9_toxicity": toxicity.op9_toxicity,
