@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, mixing, quality, syncmers, tokens, toxicity
+from . import decontaminate, language, minhash, mixing, quality, suffix_tree, syncmers, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_token_output": tokens.op1_token_output,
+        "op2_suffix_tree": suffix_tree.op2_suffix_tree,
         "op4_decontamination": decontaminate.op4_decontamination,
         "op5_quality": quality.op5_quality,
         "op6_syncmers": syncmers.op6_syncmers,
