@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, mixing, quality, suffix_tree, syncmers, tokens, toxicity
+from . import decontaminate, language, minhash, mixing, quality, revisits, suffix_tree, syncmers, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_output": tokens.op1_token_output,
         "op2_suffix_tree": suffix_tree.op2_suffix_tree,
+        "op3_revisits": revisits.op3_revisits,
         "op4_decontamination": decontaminate.op4_decontamination,
         "op5_quality": quality.op5_quality,
         "op6_syncmers": syncmers.op6_syncmers,
@@ -26,4 +27,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_revisits": revisits.ORACLE_SQL}
