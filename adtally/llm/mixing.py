@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import BROADCAST_IDS, materialize, read_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -133,7 +133,30 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, repeat_cap: fl
                     (passes * F.col("size") + part).cast("long").alias("taken"), *[f"k_{k}" for k in keep])
 
 
-def op8_mixing(spark, sf_dir: str) -> DataFrame:
-    from .common import read_table
+def cut_words(text, words):
+    """``text`` up to the end of its first ``words`` words."""
+    ends = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"  # a piece is a word with the space before it
+    return F.array_join(F.slice(F.split(text, ends), F.lit(1), words.cast("int")), "")
+
+
+def apply_mix(docs: DataFrame, **options) -> DataFrame:
+    """The mixed corpus, columns as in ``docs``: a document stands there once
+    for each whole pass, and once more, cut after the words taken, for a partial
+    one (``n_chars``, if there, is then the cut text's length)."""
+    columns = docs.columns
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    found = mix(rows, keep=("__row",), **options).where(F.col("taken") > 0)
+    found = materialize(found.select(F.col("k___row").alias("__r"), F.floor(F.col("taken") / F.col("size")).cast("int").alias("__whole"),
+                                     (F.col("taken") % F.col("size")).alias("__rest")), "mix-taken")
+    side = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
+    copies = F.concat(F.array_repeat(F.lit(0).cast("long"), F.col("__whole")),
+                      F.when(F.col("__rest") > 0, F.array(F.col("__rest"))).otherwise(F.array().cast("array<bigint>")))
+    out = (rows.join(side, rows["__row"] == side["__r"]).withColumn("__words", F.explode(copies))
+           .withColumn("text", F.when(F.col("__words") > 0, cut_words(F.col("text"), F.greatest(F.col("__words"), F.lit(0)))).otherwise(F.col("text"))))
+    if "n_chars" in columns:
+        out = out.withColumn("n_chars", F.when(F.col("__words") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*columns)
 
+
+def op8_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
