@@ -10,14 +10,18 @@ none: empty, linked with nothing). Shingles are 64-bit hashes.
    in its own fixed random order) and ``bands`` bucket keys.
 2. Stars: in each bucket, every member is paired with the bucket's smallest
    node only. Pairs are confirmed on full sets and linked.
-3. Rest, exact: buckets whose members still lie in several components. Every
-   pair of a bucket across components has an end outside the bucket's largest
-   component. A node's shingles that no other such node has cannot be shared,
-   so sizes and private counts bound its similarity with any member; a second
-   star goes out from the member with the smallest private share, and then
-   the pairs within the bounds are confirmed, ``slice_pairs`` at a time, with
-   components merged in between. No cap on partners: a link between two nodes
-   that share a bucket is found or implied by others.
+3. Rest, exact: buckets whose members still lie in several components. Shingles
+   in fewer than ``RARE`` of their nodes are rare. A second star goes out from
+   each bucket's member with the smallest share of rare shingles. Then every
+   pair across components is either
+   - one that shares a rare shingle: listed by shingle (fewer than RARE nodes
+     each), with the number shared; or
+   - one that doesn't: then only frequent shingles can be common, which with
+     the sizes bounds the similarity; what remains is listed by bucket, from
+     the members outside its largest component, ``slice_pairs`` at a time, with
+     components merged in between.
+   Pairs within the bounds are confirmed on full sets. No cap on partners: a
+   link between two nodes that share a bucket is found or implied by others.
 4. Components by minimum-label propagation with pointer jumping.
 
 Two sets of similarity 0.8 share no bucket with probability (1 - 0.8^rows)^bands
@@ -45,6 +49,7 @@ SIMILARITY = 0.8
 ROWS = 7
 BANDS = 50
 SLICE_PAIRS = 20_000_000
+RARE = 8
 SEED = 7
 
 
@@ -184,41 +189,60 @@ def classes(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARIT
 
 
 def _rest(members: DataFrame, sets: DataFrame, links: DataFrame, similarity: float, slice_pairs: int):
-    """Step 3: pairs across components that share a bucket."""
+    """Step 3: links across components, exactly."""
     comp = components(links)
 
+    def labelled(x):
+        return x.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
     def open_members():
-        x = members.select("bucket", "node", "n").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        x = labelled(members.select("bucket", "node", "n"))
         several = x.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("bucket")
         return materialize(x.join(several, "bucket"), "dup-open")
 
     left = open_members()
     if left.isEmpty():
         return links, comp
-    inside = sets.join(left.select("node").distinct(), "node", "left_semi")
-    single = (inside.mapInArrow(_explode_sets, "node long, h long").groupBy("h")
-              .agg(F.min("node").alias("node"), F.max("node").alias("_hi")).where("node = _hi"))
-    private = materialize(single.groupBy("node").agg(F.count(F.lit(1)).alias("private")), "dup-private")
-    known = lambda x: x.join(private, "node", "left").withColumn("private", F.coalesce("private", F.lit(0)))
-
-    # second star: from the member with the smallest private share
+    nodes = materialize(left.select("node", "n", "comp").distinct(), "dup-open-nodes")
+    # nodes by shingle, for the shingles of fewer than RARE of them
+    spread = (sets.join(nodes.select("node", "comp"), "node").select("node", "comp", "members")
+              .mapInArrow(_explode_sets, "node long, comp long, h long"))
+    rare = spread.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") < RARE).select("h")
+    lists = materialize(spread.join(rare, "h").groupBy("h").agg(F.collect_list(F.struct("comp", "node")).alias("held")).select("held"), "dup-rare")
+    few = lists.select(F.explode("held.node").alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("private"))
+    info = materialize(nodes.join(few, "node", "left").select("node", "n", F.coalesce("private", F.lit(0)).alias("private")), "dup-info")
+    known = lambda x: x.join(info.select("node", "private"), "node")
+
+    # second star: from the member with the smallest share of rare shingles
     left = materialize(known(left), "dup-left")
-    best = left.groupBy("bucket").agg(F.min(F.struct((F.col("private") / F.col("n")).alias("share"), "node", "n", "private", "comp")).alias("c"))
+    best = left.groupBy("bucket").agg(F.min(F.struct((F.col("private") / F.col("n")).alias("share"), "node", "n", "comp")).alias("c"))
     star = (left.join(best, "bucket").where(F.col("comp") != F.col("c.comp"))
-            .where(may_reach(F.col("n"), F.col("private"), F.col("c.n"), F.col("c.private"), similarity))
+            .where(F.least(F.col("n"), F.col("c.n")) >= similarity * F.greatest(F.col("n"), F.col("c.n")) - 1e-9)
             .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct())
     links = materialize(links.union(confirm(star, sets, similarity)), "dup-links")
+    comp = components(links)
 
+    # pairs that share a rare shingle, with the number of rare ones they share
+    mixed = lists.where(F.size(F.array_distinct("held.comp")) > 1)
+    sharing = (mixed.select("held", F.explode("held").alias("x")).select("x", F.explode("held").alias("y"))
+               .where((F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")))
+               .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
+    side = labelled(info)
+    ends = [side.select(F.col("node").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", "private", "comp")]) for k in "ab"]
+    common = F.least(F.col("n_a") - F.col("private_a"), F.col("n_b") - F.col("private_b")) + F.col("shared")
+    near = (sharing.join(ends[0], "a").join(ends[1], "b").where("comp_a <> comp_b")
+            .where(common >= similarity * (F.col("n_a") + F.col("n_b") - common) - 1e-9).select("a", "b"))
+    links = materialize(links.union(confirm(near, sets, similarity)), "dup-links")
+
+    # pairs that share none: rare shingles count for neither. The largest component of
+    # each bucket waits, the others' members go out; chosen once, as components only grow
     comp = components(links)
     left = known(open_members())
-    # largest component of each bucket; the others' members go out from there. The
-    # choice is made once: components only grow, so it covers every pair still apart
     per = left.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"))
     top = per.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("_t"), F.sum("k").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     rest = left.join(top, "bucket").where(F.col("comp") != F.col("_t.comp"))
     # the best partner a member can have: as many members as it can share, within the bucket's sizes
-    both = F.col("n") - F.col("private")
-    ideal = F.greatest(F.col("lo"), F.least(F.col("hi"), both))
+    ideal = F.greatest(F.col("lo"), F.least(F.col("hi"), F.col("n") - F.col("private")))
     rest = materialize(rest.where(may_reach(F.col("n"), F.col("private"), ideal, F.lit(0), similarity))
                        .select("bucket", "node", "size"), "dup-rest")
     total = rest.agg(F.sum("size")).first()[0] or 0
@@ -238,10 +262,11 @@ def _rest(members: DataFrame, sets: DataFrame, links: DataFrame, similarity: flo
 
 def _explode_sets(batches):
     for rows in batches:
-        found = [np.frombuffer(x, np.int64) for x in rows.column(1).to_pylist()]
+        found = [np.frombuffer(x, np.int64) for x in rows.column(2).to_pylist()]
         sizes = [len(x) for x in found]
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rows.column(0).to_numpy(), sizes)),
-                                          pa.array(np.concatenate([*found, np.empty(0, np.int64)]))], ["node", "h"])
+        repeat = lambda i: pa.array(np.repeat(rows.column(i).to_numpy(), sizes))
+        yield pa.RecordBatch.from_arrays([repeat(0), repeat(1), pa.array(np.concatenate([*found, np.empty(0, np.int64)]))],
+                                         ["node", "comp", "h"])
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
