@@ -3,40 +3,41 @@ letter out, as parquet tables.
 
     python -m adtally.batch --input <records> --input-format json --output <folder>
 
-The records are decoded once and the good events are written as a table in
-the output folder; the three results are computed from that table. Writing
-it cuts the lineage (a lost executor re-reads the table instead of
-re-decoding the JSON) and lets the three results share one decode.
+The records are read and decoded once, into a table in the output folder
+(good and bad rows, partitioned by kind); the dead letter and the three results
+are computed from that table. Writing it cuts the lineage: a lost executor
+re-reads the table instead of decoding the JSON again.
 """
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .config import DEFAULT_RULES, Rules, get_session
+from .app import add_topic_flags, topics_of
+from .config import DEFAULT_RULES, RECORD_ORDER, Rules, Topics, get_session
 from .functions import codec
 from .plans.billing import partner_billing
 from .plans.display_metrics import display_metrics
 from .plans.group_metrics import partner_group_metrics
 from .schemas import RAW_RECORD_SCHEMA
 from .sinks.files import write_table
-from .sources.tables import spread_if_narrow
+from .sources.tables import spread
 
 
-def run_batch(spark: SparkSession, records: DataFrame, output: str, rules: Rules = DEFAULT_RULES,
-              event_time: str = "record") -> dict[str, str]:
-    """Decode, write good events and dead letter, then the three results.
-    Returns name -> table path."""
-    decoded = codec.decode_records(spread_if_narrow(records), event_time)
+def run_batch(spark: SparkSession, records: DataFrame, output: str, rules: Rules = replace(DEFAULT_RULES, order=RECORD_ORDER),
+              event_time: str = "record", topics: Topics = Topics(), partitions: int | None = None) -> dict[str, str]:
+    """Decode once into a table, then the dead letter and the three results
+    from that table. ``partitions`` deals records of a narrow source over so
+    many tasks first. Returns name -> table path."""
     out = output.rstrip("/")
-    paths = {"dead_letter": write_table(codec.dead_letter(decoded), f"{out}/dead_letter")}
-    good = codec.valid_events(decoded).withColumn(
-        "event_id", F.col("offset") * F.lit(1 << 16) + F.col("partition"))
-    paths["events"] = write_table(good, f"{out}/events", partition_by=["kind"])
-    events = spark.read.parquet(paths["events"])
+    decoded = codec.decode_records(spread(records, partitions), event_time, topics)
+    paths = {"decoded": write_table(decoded, f"{out}/decoded", partition_by=["kind"])}
+    decoded = spark.read.schema(decoded.schema).parquet(paths["decoded"])
+    events = codec.valid_events(decoded, envelope=True)
+    paths["dead_letter"] = write_table(codec.dead_letter(decoded), f"{out}/dead_letter")
     paths["partner_billing"] = write_table(partner_billing(events, rules), f"{out}/partner_billing")
     paths["partner_group_metrics"] = write_table(partner_group_metrics(events, rules),
                                                  f"{out}/partner_group_metrics")
@@ -50,10 +51,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--input-format", choices=["parquet", "json"], default="parquet")
     p.add_argument("--output", required=True)
     p.add_argument("--event-time", choices=["record", "payload"], default="record")
+    p.add_argument("--partitions", type=int, help="deal the records over so many tasks before decoding")
+    add_topic_flags(p)
     a = p.parse_args(argv)
     spark = get_session()
     records = spark.read.schema(RAW_RECORD_SCHEMA).format(a.input_format).load(a.input)
-    for name, path in run_batch(spark, records, a.output, event_time=a.event_time).items():
+    for name, path in run_batch(spark, records, a.output, event_time=a.event_time, topics=topics_of(a),
+                                 partitions=a.partitions).items():
         print(name, path)
 
 

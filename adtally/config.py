@@ -34,18 +34,18 @@ TOPIC_PARTNER_GROUP_METRICS = "partner-group-metrics"
 TOPIC_DISPLAY_METRICS = "display-metrics"
 TOPIC_DEAD_LETTER = "ad-streams-dlq"
 
-# Placement buckets per partner (and group) of the streaming folds: how many
-# tasks one partner's stream state is spread over. Part of the state key, so
-# it must stay the same for the life of a checkpoint. Each bucket costs a
-# fixed Python call per window and micro-batch; raise it on large clusters.
-STATE_BUCKETS = 4
+# Salts of a placement's open window on streams: how many state rows (and
+# tasks) the clicks of one placement are spread over. Part of the state key,
+# so it must stay the same for the life of a checkpoint.
+STATE_SALTS = 4
 
 IMPRESSION = "impression"
 CLICK = "click"
 
 # Total order of events inside one key and window: event time, then a
-# tie-break (Kafka partition/offset in production, event_id in the tables).
+# tie-break (event_id in the tables; topic, partition, offset of a record).
 DEFAULT_ORDER = ("ts", "event_id")
+RECORD_ORDER = ("ts", "topic", "partition", "offset")
 
 
 @dataclass(frozen=True)
@@ -118,15 +118,24 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``);
-    only a session without one (a test) falls back to a local default."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a session on a local master (a test) may leave it unset and gets a
+    local default; anywhere else that is an error, because executors would
+    write to folders that nobody else can read.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         try:
             base = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001
             base = None
-    return (base or os.environ.get("ADTALLY_CHECKPOINT_DIR", "/tmp/adtally-checkpoints")).rstrip("/")
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.split("[")[0] == "local":
+            raise ValueError(f"spark.checkpoint.dir must name a folder shared by the cluster (master {master!r})")
+        base = os.environ.get("ADTALLY_CHECKPOINT_DIR", "/tmp/adtally-checkpoints")
+    return base.rstrip("/")
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

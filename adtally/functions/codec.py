@@ -23,8 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import CLICK, DISPLAY_TARGETS, IMPRESSION, TOPIC_CLICKED, TOPIC_IMPRESSED
-from ..schemas import RAW_PAYLOAD_SCHEMA
+from ..config import CLICK, DISPLAY_TARGETS, IMPRESSION, Topics
+from ..schemas import RAW_PAYLOAD_SCHEMA, RESULT_KEYS
 
 _NUMERIC = ("groupId", "partnerId", "productId", "amount")
 # Reasons, in the order they are checked.
@@ -35,10 +35,15 @@ REASON_NUMBER = "not a number: "
 REASON_TIMESTAMP = "bad timestamp"
 REASON_PARTNER = "missing partnerId"
 REASON_TOPIC = "unknown topic"
+REASON_TIME = "missing event time"
 REASON_KEY = "missing key: "
 
 
-def _reason_sql() -> str:
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _reason_sql(topics: Topics, event_ts: str) -> str:
     """First failed check of a record, as one SQL CASE over ``_raw``."""
     targets = ", ".join(f"'{t}'" for t in DISPLAY_TARGETS)
     checks = [
@@ -51,17 +56,19 @@ def _reason_sql() -> str:
     checks += [
         ("_raw.timestamp IS NOT NULL AND try_to_timestamp(_raw.timestamp) IS NULL", REASON_TIMESTAMP),
         ("_raw.partnerId IS NULL", REASON_PARTNER),
-        (f"topic NOT IN ('{TOPIC_IMPRESSED}', '{TOPIC_CLICKED}')", REASON_TOPIC),
+        (f"topic IS NULL OR topic NOT IN ({_text(topics.impressed)}, {_text(topics.clicked)})", REASON_TOPIC),
+        (f"{event_ts} IS NULL", REASON_TIME),
     ]
     return "CASE " + " ".join(f"WHEN {cond} THEN '{why}'" for cond, why in checks) + " END"
 
 
-def decode_records(records: DataFrame, event_time: str = "record") -> DataFrame:
+def decode_records(records: DataFrame, event_time: str = "record", topics: Topics = Topics()) -> DataFrame:
     """Decode Kafka-style records into typed ad events plus ``error_reason``
     (null for a good row).
 
     ``event_time`` = ``"record"`` uses the record timestamp (Kafka's default
-    event time), ``"payload"`` the payload's ``timestamp`` field.
+    event time), ``"payload"`` the payload's ``timestamp`` field; a record
+    without that time is bad. ``topics`` names the two source topics.
     Keeps topic, partition, offset, key and value for the dead letter.
     """
     raw = F.from_json("value", RAW_PAYLOAD_SCHEMA,
@@ -75,7 +82,7 @@ def decode_records(records: DataFrame, event_time: str = "record") -> DataFrame:
     event_ts = "timestamp" if event_time == "record" else "try_to_timestamp(_raw.timestamp)"
     return staged.selectExpr(
         "topic", "partition", "offset", "timestamp", "key", "value",
-        f"CASE topic WHEN '{TOPIC_IMPRESSED}' THEN '{IMPRESSION}' WHEN '{TOPIC_CLICKED}' THEN '{CLICK}' END AS kind",
+        f"CASE topic WHEN {_text(topics.impressed)} THEN '{IMPRESSION}' WHEN {_text(topics.clicked)} THEN '{CLICK}' END AS kind",
         "try_cast(_raw.groupId AS BIGINT) AS group_id",
         "try_cast(_raw.partnerId AS BIGINT) AS partner_id",
         "try_cast(_raw.productId AS BIGINT) AS product_id",
@@ -83,30 +90,36 @@ def decode_records(records: DataFrame, event_time: str = "record") -> DataFrame:
         "_raw.displayId AS display_id",
         "try_cast(_raw.amount AS BIGINT) AS amount",
         "try_to_timestamp(_raw.timestamp) AS payload_ts",
-        f"{_reason_sql()} AS error_reason",
+        f"{_reason_sql(topics, event_ts)} AS error_reason",
         f"{event_ts} AS ts",
     )
 
 
-def require(decoded: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Add to ``error_reason`` the first null among ``keys`` (key columns
-    the consuming query groups on)."""
-    reason = F.col("error_reason")
-    for k in keys:
-        reason = F.when(reason.isNull() & F.col(k).isNull(), F.lit(REASON_KEY + k)).otherwise(reason)
-    return decoded.withColumn("error_reason", reason)
+def valid_events(decoded: DataFrame, envelope: bool = False) -> DataFrame:
+    """Good rows as typed ad events. ``envelope`` adds the topic, whose name
+    with partition and offset orders records of one event time."""
+    return (decoded.where(F.col("error_reason").isNull())
+                   .select(*(["topic"] if envelope else []), "partition", "offset", "ts", "kind", "partner_id",
+                           "group_id", "product_id", "display_target", "display_id", "amount", "payload_ts"))
 
 
-def valid_events(decoded: DataFrame) -> DataFrame:
-    """Good rows as typed ad events (ordered by ts, partition, offset)."""
-    return (decoded.where(F.col("error_reason").isNull())
-                   .select("partition", "offset", "ts", "kind", "partner_id", "group_id", "product_id",
-                           "display_target", "display_id", "amount", "payload_ts"))
+def unusable_for(result: str) -> Column:
+    """Whether a good row lacks a key of ``result`` (which then skips it)."""
+    missing = F.lit(False)
+    for k in RESULT_KEYS[result]:
+        missing = missing | F.col(k).isNull()
+    return missing
 
 
 def dead_letter(decoded: DataFrame) -> DataFrame:
-    """Bad rows with their raw record and reason: the dead-letter output."""
-    return (decoded.where(F.col("error_reason").isNotNull())
+    """Rows that some result can't use, with their raw record and reason: bad
+    rows, which no result uses, and good rows without a key of some result,
+    where the reason names the results that skip the row."""
+    skipped = F.concat_ws("; ", *[
+        F.when(F.col(k).isNull(), F.lit(f"{REASON_KEY}{k} ({', '.join(r for r, ks in RESULT_KEYS.items() if k in ks)})"))
+        for k in dict.fromkeys(k for ks in RESULT_KEYS.values() for k in ks)])
+    reason = F.coalesce("error_reason", F.when(skipped != "", skipped))
+    return (decoded.withColumn("error_reason", reason).where(F.col("error_reason").isNotNull())
                    .select("topic", "partition", "offset", "timestamp", "key", "value", "error_reason"))
 
 

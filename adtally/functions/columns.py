@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,18 +34,6 @@ def zero_if_null(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0).cast("long"))
 
 
-def key_text(cols: Iterable[str], sep: str = ":") -> Column:
-    """Text key of a grouping, as a Kafka record key (``100:1``).
-
-    A null part is written as ``null``, as string concatenation does.
-    """
-    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols])
-
-
-def as_long(c: Column) -> Column:
-    return c.cast("long")
-
-
 def require_keys(df: DataFrame, cols) -> DataFrame:
     """Rows usable by a query that keys on ``cols`` (the others belong to
     the dead letter, see ``functions.codec.dead_letter``)."""

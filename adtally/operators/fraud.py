@@ -93,17 +93,20 @@ def tag_fraud(clicks: DataFrame, key: Sequence[str], window: str = "1 minute",
               n: int = FRAUD_CLICK_LIMIT, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
     """Every click with ``is_fraud`` (its rank in key and window is > n).
 
-    The first n clicks of each group come from the partial group limit
-    (at most n rows per group and map task cross the network). Every click
-    is then left-joined to that set on (group key, order key): the order key
-    makes the join key unique per click, so a hot group is hash-spread over
-    all partitions instead of landing in one, and a click is fraudulent
-    exactly when it has no match.
+    The first n clicks of each group come from the partial group limit (at
+    most n rows per group and map task cross the network), counted per order
+    key. Every click is ranked among the clicks with its own group and order
+    key, and is fraudulent when its rank exceeds the number of those among the
+    first n. Window and join share the key (group, order key), so a hot group
+    is hash-spread over all partitions. Clicks that repeat an order key stay
+    one row each, and which of them count as the first is arbitrary.
     """
     c = with_window(clicks, window)
     group = [*key, "window_start"]
-    head = (first_n(c.select(*group, *order), group, n, order)
-            .withColumn("_normal", F.lit(True)))
-    cond = [c[g].eqNullSafe(head[g]) for g in [*group, *order]]
-    return (c.join(head, cond, "left")
-             .select(c["*"], head["_normal"].isNull().alias("is_fraud")))
+    at = [*group, *order]
+    head = (first_n(c.select(*at), group, n, order).groupBy(*at).agg(F.count(F.lit(1)).alias("_normal")))
+    ranked = c.withColumn("_same", F.row_number().over(Window.partitionBy(*at).orderBy(*_order_cols(order))))
+    cond = [ranked[g].eqNullSafe(head[g]) for g in at]
+    return (ranked.join(head, cond, "left")
+                  .select(*[ranked[x] for x in c.columns],
+                          (ranked["_same"] > F.coalesce(head["_normal"], F.lit(0))).alias("is_fraud")))

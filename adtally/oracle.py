@@ -192,6 +192,12 @@ def _stream_cut(kind_filter: str) -> str:
     return f"(SELECT max(ts) FROM ad WHERE {kind_filter})"
 
 
+def _slower_source() -> str:
+    """The smaller of the two sources' largest event times."""
+    imp, clk = _stream_cut("kind = 'impression'"), _stream_cut("kind = 'click'")
+    return f"least({imp}, {clk})"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["partner_billing"] = _with(_BILLING) + "SELECT * FROM billing"
@@ -249,7 +255,7 @@ FROM dlog WHERE kind = 'impression' GROUP BY ALL"""
     q["late_click_filter"] = _with("""
 lc AS (
   SELECT event_id, arrival, ts, time_bucket(INTERVAL 1 minute, ts) AS window_start,
-         max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen_max_ts
+         max(ts) OVER (PARTITION BY event_id % 4 ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen_max_ts
   FROM ad WHERE kind = 'click'
 )""") + """
 SELECT event_id, arrival, ts, window_start, window_start + INTERVAL 1 minute AS window_end, seen_max_ts,
@@ -293,7 +299,8 @@ SELECT partner_id, group_id, w5 AS window_start, w5 + INTERVAL 5 minute AS windo
        CAST(fc AS BIGINT) AS fraudulent_click_count, CAST(fa AS BIGINT) AS fraudulent_amount
 FROM fraud5 WHERE w5 + INTERVAL 5 minute <= {_stream_cut("kind = 'click'")}"""
     q["stream_partner_group_metrics"] = _with(_GROUP_RANK) + f"""
-SELECT * FROM pgm WHERE window_end <= {_stream_cut("true")}"""
+SELECT * FROM pgm WHERE window_end <= {_slower_source()}"""
+    q["stream_billing_restart"] = q["stream_partner_billing"]
     q["stream_display_metrics"] = q["display_metrics"]
     q["stream_display_changelog"] = q["display_metrics_changelog"]
     return q

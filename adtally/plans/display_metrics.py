@@ -17,7 +17,7 @@ group or display target go to the dead letter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CLICK, DEFAULT_RULES, IMPRESSION, Rules
@@ -69,15 +69,34 @@ def display_metrics_changelog(ad: DataFrame, rules: Rules = DEFAULT_RULES,
          "click_count": (F.col("kind") == CLICK).cast("long")},
     )
     return (run.where(F.col("kind") == IMPRESSION)
-               .select(*DISPLAY_KEY, "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
+               .select(*DISPLAY_KEY, *[o for o in rules.order if o != "ts"], F.col("ts").cast("timestamp_ntz").alias("ts"),
                        "impression_count", "click_count"))
 
 
-def display_metrics_asof(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def display_metrics_asof(ad: DataFrame, rules: Rules = DEFAULT_RULES,
+                         slice_duration: str = CHANGELOG_SLICE) -> DataFrame:
     """Last changelog row per display: what a consumer of the update stream
-    ends up with (clicks after the last impression are missing)."""
-    log = display_metrics_changelog(ad, rules)
-    pos = F.struct(*[F.col(o) for o in rules.order])
-    last = F.max_by(F.struct("impression_count", "click_count"), pos)
-    return (log.groupBy(*DISPLAY_KEY).agg(last.alias("_last"))
-               .select(*DISPLAY_KEY, "_last.impression_count", "_last.click_count"))
+    ends up with (clicks after the last impression are missing).
+
+    Counts and the last impression's place per (display, time slice) come from
+    one partial aggregate; per display, the slices before its last impression
+    count in full, and only the clicks inside that one slice are looked at row
+    by row."""
+    ev = _keyed(ad).withColumn("_slice", F.window("ts", slice_duration).start)
+    place = F.struct(*[F.col(o) for o in rules.order])
+    is_imp, is_click = F.col("kind") == IMPRESSION, F.col("kind") == CLICK
+    slices = ev.groupBy(*DISPLAY_KEY, "_slice").agg(F.count_if(is_imp).alias("_i"), F.count_if(is_click).alias("_c"),
+                                                    F.max(F.when(is_imp, place)).alias("_at"))
+    # all slices of a display, folded: totals up to the last slice with an impression
+    upto = Window.partitionBy(*DISPLAY_KEY).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    last = (slices.withColumn("_before", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
+            .withColumn("_imps", F.coalesce(F.sum("_i").over(upto), F.lit(0)) + F.col("_i"))
+            .where(F.col("_i") > 0).groupBy(*DISPLAY_KEY)
+            .agg(F.max_by(F.struct("_slice", "_at", "_imps", "_before"), "_slice").alias("_l"))
+            .select(*DISPLAY_KEY, "_l.*"))
+    clk = ev.where(is_click).select(*DISPLAY_KEY, "_slice", place.alias("_p"))
+    tail = (clk.join(last.select(*DISPLAY_KEY, "_slice", "_at"), [*DISPLAY_KEY, "_slice"])
+            .where(F.col("_p") < F.col("_at")).groupBy(*DISPLAY_KEY).agg(F.count(F.lit(1)).alias("_in")))
+    return (last.join(tail, list(DISPLAY_KEY), "left")
+                .select(*DISPLAY_KEY, F.col("_imps").alias("impression_count"),
+                        (F.col("_before") + F.coalesce("_in", F.lit(0))).alias("click_count")))

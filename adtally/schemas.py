@@ -8,7 +8,7 @@ becoming null.
 
 from pyspark.sql import types as T
 
-# JSON field name -> typed column name of the decoded event.
+# JSON field name of the published event -> typed column name.
 JSON_FIELDS = (
     ("groupId", "group_id"),
     ("partnerId", "partner_id"),
@@ -72,6 +72,13 @@ DISPLAY_METRICS_COLUMNS = (
     "impression_count", "click_count",
 )
 
+# Key columns a good event needs to be used by each result.
+RESULT_KEYS = {
+    "partner_billing": ("partner_id", "ts"),
+    "partner_group_metrics": ("partner_id", "group_id", "ts"),
+    "display_metrics": ("partner_id", "group_id", "display_target"),
+}
+
 # Key columns of each grouping.
 BILLING_FRAUD_KEY = ("partner_id", "display_target", "display_id", "product_id")
 GROUP_FRAUD_KEY = ("partner_id", "group_id", "display_target", "display_id", "product_id")

@@ -51,6 +51,59 @@ def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, key_cols: Seq
         .save())
 
 
+class UpsertTable:
+    """A table keyed by ``key`` that each micro-batch upserts into.
+
+    Rows of a batch go to ``log/batch_id=N``; after ``compact_every`` batches
+    the table so far is rewritten as ``base/version=N`` and the logs in it are
+    dropped, so the number of files does not grow with the number of batches.
+    A base holds finished batches only, so a retried batch replaces its own
+    log and finds the same table before it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], schema: str, compact_every: int = 16):
+        self.spark, self.path, self.key, self.compact_every = spark, path.rstrip("/"), list(key), compact_every
+        self.schema = f"{schema}, batch_id long"
+
+    def _folder(self, *parts: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _done(self, kind: str) -> list[int]:
+        """Numbers of the finished folders of ``kind`` ("log" or "base")."""
+        fs, path = self._folder(kind)
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        found = sorted(int(n.split("=")[1]) for n in names if "=" in n)
+        return [n for n in found if fs.exists(self._folder(kind, f"n={n}", "_SUCCESS")[1])]
+
+    def _rows(self, before: int | None) -> DataFrame:
+        base = [n for n in self._done("base") if before is None or n < before][-1:]
+        logs = [n for n in self._done("log") if n > (base[0] if base else -1) and (before is None or n < before)]
+        paths = [f"{self.path}/base/n={n}" for n in base] + [f"{self.path}/log/n={n}" for n in logs]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """The table (as it was before batch ``before``)."""
+        return latest_per_key(self._rows(before), self.key)
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """Upsert ``rows`` (one per key) as batch ``batch_id``."""
+        base = self._done("base")[-1:]
+        if len([n for n in self._done("log") if (base[0] if base else -1) < n < batch_id]) >= self.compact_every:
+            version = F.max("batch_id").alias("batch_id")
+            values = [c.split()[0] for c in self.schema.split(", ") if c.split()[0] not in (*self.key, "batch_id")]
+            table = (self._rows(batch_id).groupBy(*self.key)
+                     .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"), version).select(*self.key, "_v.*", "batch_id"))
+            write_table(table, f"{self.path}/base/n={batch_id - 1}")
+            for kind, n in [("log", n) for n in self._done("log") if n < batch_id] + [("base", n) for n in base]:
+                fs, path = self._folder(kind, f"n={n}")
+                fs.delete(path, True)
+        write_table(rows.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{self.path}/log/n={batch_id}")
+
+
 def latest_per_key(updates: DataFrame, key: Sequence[str], version: str = "batch_id") -> DataFrame:
     """Collapse an update log (one row per changed key per micro-batch) to
     the newest row per key: the state an upserting consumer ends with.

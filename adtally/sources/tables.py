@@ -30,25 +30,15 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
-
-
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over ``min_partitions`` (default: the cluster's
-    default parallelism) when the input has fewer partitions than that.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``df`` dealt round-robin over ``partitions`` tasks, or as it is.
 
     For CPU-heavy per-record work (JSON decode) on a source that arrives in
-    few splits — one large file with a single row group, a topic with few
-    partitions. A source that is already wide (the normal case at scale)
-    is returned unchanged, so no shuffle is added there.
+    few splits: one large file with a single row group, a topic with few
+    partitions. The caller decides; a source that is already wide (the normal
+    case at scale) needs no such exchange.
     """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without an RDD view (Spark Connect)
-        return df
-    return df.repartition(want) if have < want else df
+    return df.repartition(partitions) if partitions else df
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,10 +70,12 @@ def ad_fields(events: DataFrame) -> DataFrame:
     """
     hot = f"(event_type = 'click' AND k < {HOT_K_BELOW})"
     targets = ", ".join(f"'{t}'" for t in DISPLAY_TARGETS)
+    # a one-element explode keeps later filters on columns derived from ``k``
+    # above the parse, so that each row's JSON is parsed once
     base = events.selectExpr(
         "event_id", "event_type", "user_id",
         f"CAST({compressed_ts_sql('ts')} AS TIMESTAMP) AS ts",
-        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+        "explode(array(CAST(get_json_object(props, '$.k') AS BIGINT))) AS k",
         "CAST(round(value * 100) AS BIGINT) AS amount",
     )
     return base.selectExpr(
@@ -102,24 +94,26 @@ AD_COLUMNS = ("event_id", "ts", "kind", "partner_id", "group_id", "product_id",
               "display_target", "display_id", "amount")
 
 
-def ad_events(events: DataFrame, with_arrival: bool = False) -> DataFrame:
+def ad_events(events: DataFrame, with_arrival: bool = False, kind: str | None = None) -> DataFrame:
     """Typed ad events (schema ``AD_EVENT_SCHEMA``) from the ``events`` table.
 
-    Only projections and a pushed-down ``event_type IN (...)`` filter: one
-    narrow stage, no shuffle. ``with_arrival`` adds ``arrival``: the
+    Only projections and a pushed-down filter on ``event_type``: one narrow
+    stage, no shuffle. ``kind`` restricts the view to impressions or clicks,
+    which then reaches the scan as an equality. ``with_arrival`` adds ``arrival``: the
     position at which the row reaches the engine — ``event_id``, except
     that rows with ``k % 10 = 0`` arrive 40 positions late (the input of
     the late-record rule).
     """
-    f = ad_fields(events.where(F.col("event_type").isin("view", "click")))
+    types = {IMPRESSION: ["view"], CLICK: ["click"]}.get(kind, ["view", "click"])
+    f = ad_fields(events.where(F.col("event_type").isin(*types)))
     cols = list(AD_COLUMNS)
     if with_arrival:
         cols.append("CAST(event_id + IF(k % 10 = 0, 40, 0) AS BIGINT) AS arrival")
     return f.selectExpr(*cols)
 
 
-def load_ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad_events(load_events(spark, sf_dir))
+def load_ad_events(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
+    return ad_events(load_events(spark, sf_dir), kind=kind)
 
 
 def impressions(ad: DataFrame) -> DataFrame:

@@ -1,20 +1,22 @@
-"""Structured Streaming forms of the three results.
-
-* Windowed results (billing, group metrics, group fraud): watermark on the
-  event time (no grace by default), one bounded stateful fold keyed by
-  placement and window (``streaming.fold``), and a per-micro-batch rollup to
-  partner (and group) in ``foreachBatch``. A result row is written once,
-  in the micro-batch in which its window closes.
+"""Structured Streaming forms of the three results, JVM-side throughout.
+
+* Windowed results (billing, group metrics, group fraud): a watermark on each
+  source (no grace by default; the smaller one counts), and one append-mode
+  aggregate per placement, window and salt that keeps the counts, the amounts
+  and the clicks in order. A window's rows all close in one micro-batch, in
+  which ``foreachBatch`` merges the salts, splits off what exceeds the limit
+  and sums up to partner (and group). A result row is written once.
 * ``display_metrics_stream``: an update-mode aggregate (running counts per
-  display, JVM-side state) written as an update log.
-
-Both sinks write each micro-batch into its own ``batch_id`` partition with
-dynamic partition overwrite, so a retried batch replaces only its own
-output: exactly-once results with the checkpoint. ``run_*`` start a query
-with ``availableNow`` (or a processing-time trigger) and a checkpoint under
-the shared checkpoint folder; a restarted job resumes where it stopped. The
-``stream_*`` registry entries run a stream over the whole events table and
-return what the sink holds.
+  display), upserted into a compacted table.
+* ``changelog_writer``: one row per impression with the counts so far; the
+  running counts inside a micro-batch are the batch plan's, on top of the
+  displays' totals before it, which are a table of their own.
+
+A retried micro-batch replaces its own output: exactly-once results with the
+checkpoint. ``run_*`` start a query with ``availableNow`` (or a processing-time
+trigger) and a checkpoint under the shared checkpoint folder; a restarted job
+resumes where it stopped. The ``stream_*`` registry entries run a stream over
+the whole events table and return what the sink holds.
 """
 
 from __future__ import annotations
@@ -24,64 +26,75 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..config import CLICK, DEFAULT_RULES, IMPRESSION, STATE_BUCKETS, Rules, shared_dir
-from ..functions.columns import with_window
-from ..schemas import BILLING_FRAUD_KEY, DISPLAY_KEY, GROUP_FRAUD_KEY, PARTNER_BILLING_COLUMNS
+from ..config import CLICK, DEFAULT_RULES, IMPRESSION, STATE_SALTS, Rules, shared_dir
+from ..functions.columns import require_keys, rewindow, zero_if_null
+from ..plans.display_metrics import display_metrics_changelog
+from ..schemas import AD_EVENT_SCHEMA, BILLING_FRAUD_KEY, DISPLAY_KEY, GROUP_FRAUD_KEY, GROUP_KEY, PARTNER_BILLING_COLUMNS
 from ..schemas import PARTNER_GROUP_METRICS_COLUMNS
-from ..sinks.files import latest_per_key
-from ..sources.tables import clicks as only_clicks
-from .fold import CHANGELOG_STATE_SCHEMA, FOLD_COLUMNS, STATE_SCHEMA, display_changelog_fold, placement_fold
-from .sources import ad_event_stream
+from ..sinks.files import UpsertTable
+from ..sources.tables import load_ad_events
+from .sources import ad_event_streams
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _ms(duration: str) -> int:
+def _micros(duration: str) -> int:
     n, unit = duration.split()
-    scale = {"second": 1_000, "minute": 60_000, "hour": 3_600_000}[unit.rstrip("s")]
-    return int(n) * scale
-
-
-def _fold(ev: DataFrame, key: list[str], placement: list[str], sub: list[str], window: str, rules: Rules,
-          buckets: int) -> DataFrame:
-    """Closed rows per (key, placement bucket, window) from the bounded fold."""
-    ev = ev.withColumn("bucket", F.pmod(F.xxhash64(*placement), F.lit(buckets)))
-    types = dict(ev.dtypes)
-    state_key = [*key, "bucket"]
-    out_schema = ", ".join([f"{k} {types[k]}" for k in state_key]
-                           + ["window_start timestamp", "window_end timestamp"]
-                           + [f"{c} long" for c in FOLD_COLUMNS])
-    tz = ev.sparkSession.conf.get("spark.sql.session.timeZone")
-    fn = placement_fold(state_key, [*placement, *sub], list(rules.order), rules.fraud_limit, _ms(window), tz)
-    cols = [*state_key, "window_start", "kind", *placement, *sub, *rules.order, "amount"]
-    return (ev.select(*dict.fromkeys(cols))
-              .groupBy(*state_key, "window_start")
-              .applyInPandasWithState(fn, out_schema, STATE_SCHEMA, "append",
-                                      GroupStateTimeout.EventTimeTimeout))
-
-
-def placement_billing_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES,
-                             buckets: int = STATE_BUCKETS) -> DataFrame:
-    """Closed (partner, placement bucket, minute) fold rows of the billing
-    stream; the fold runs per placement inside."""
-    c = (only_clicks(ad).where(F.col("partner_id").isNotNull() & F.col("ts").isNotNull())
-         .withWatermark("ts", rules.watermark_delay))
-    c = with_window(c, rules.billing_window)
-    return _fold(c, ["partner_id"], list(BILLING_FRAUD_KEY[1:]), [], rules.billing_window, rules, buckets)
-
-
-def placement_group_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES, clicks_only: bool = False,
-                           buckets: int = STATE_BUCKETS) -> DataFrame:
-    """Closed (partner, group, placement bucket, 5 minutes) rows; the fraud
-    fold runs per placement and minute inside."""
-    ev = ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull() & F.col("ts").isNotNull())
-    if clicks_only:
-        ev = only_clicks(ev)
-    ev = ev.withWatermark("ts", rules.watermark_delay)
-    ev = with_window(ev, rules.billing_window, prefix="m").withColumnRenamed("m_start", "minute").drop("m_end")
-    ev = with_window(ev, rules.group_window)
-    return _fold(ev, ["partner_id", "group_id"], list(GROUP_FRAUD_KEY[2:]), ["minute"],
-                 rules.group_window, rules, buckets)
+    return int(n) * {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}[unit.rstrip("s")]
+
+
+def _open_windows(ev: DataFrame, key: tuple[str, ...], window: str, rules: Rules, salts: int) -> DataFrame:
+    """Closed rows per (key, fraud minute, window, salt): impressions, clicks,
+    their amount, and the first clicks in order.
+
+    State is the clicks of the open windows, spread over ``salts`` rows per
+    key; the salt is a hash of the order key."""
+    is_click = F.col("kind") == CLICK
+    amount = zero_if_null("amount")
+    entry = F.struct(*rules.order, amount.alias("_amt"))
+    minute = F.floor(F.unix_micros("ts") / _micros(rules.billing_window))
+    return (ev.groupBy(*key, minute.alias("_minute"), F.window("ts", window).alias("_w"),
+                       F.pmod(F.xxhash64(*rules.order), F.lit(salts)).alias("_salt"))
+              .agg(F.count_if(F.col("kind") == IMPRESSION).alias("_imp"), F.count_if(is_click).alias("_clk"),
+                   zero_if_null(F.sum(F.when(is_click, amount))).alias("_all"),
+                   F.slice(F.sort_array(F.collect_list(F.when(is_click, entry))), 1, rules.fraud_limit).alias("_head"))
+              .select(*key, "_minute", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
+                      "_imp", "_clk", "_all", "_head"))
+
+
+def _folded(closed: DataFrame, key: tuple[str, ...], rules: Rules) -> DataFrame:
+    """Salts merged: per key and fraud minute the counts, normal and fraudulent amount."""
+    head = F.slice(F.sort_array(F.flatten(F.collect_list("_head"))), 1, rules.fraud_limit)
+    merged = (closed.groupBy(*key, "_minute", "window_start", "window_end")
+              .agg(F.sum("_imp").alias("_imp"), F.sum("_clk").alias("_clk"), F.sum("_all").alias("_all"), head.alias("_head")))
+    normal = F.aggregate("_head", F.lit(0).cast("long"), lambda total, c: total + c["_amt"])
+    return (merged.withColumn("_normal", normal).withColumn("_fraud", F.col("_all") - F.col("_normal")).drop("_head"))
+
+
+def _watermarked(rules: Rules, cols: tuple[str, ...], *streams: DataFrame) -> DataFrame:
+    """The streams' usable rows, each with its own watermark, as one."""
+    out = None
+    for s in streams:
+        s = require_keys(s, [*cols, "ts"]).withWatermark("ts", rules.watermark_delay)
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def billing_stream(imp: DataFrame, clk: DataFrame, rules: Rules = DEFAULT_RULES, salts: int = STATE_SALTS) -> DataFrame:
+    """Open billing windows per placement; clicks only."""
+    return _open_windows(_watermarked(rules, ("partner_id",), clk), BILLING_FRAUD_KEY, rules.billing_window, rules, salts)
+
+
+def group_metrics_stream(imp: DataFrame, clk: DataFrame, rules: Rules = DEFAULT_RULES, salts: int = STATE_SALTS) -> DataFrame:
+    """Open group windows per placement and fraud minute, both kinds; a window
+    closes when the watermarks of both sources have passed it."""
+    return _open_windows(_watermarked(rules, GROUP_KEY, imp, clk), GROUP_FRAUD_KEY, rules.group_window, rules, salts)
+
+
+def group_fraud_stream(imp: DataFrame, clk: DataFrame, rules: Rules = DEFAULT_RULES, salts: int = STATE_SALTS) -> DataFrame:
+    """The same for clicks alone."""
+    return _open_windows(_watermarked(rules, GROUP_KEY, clk), GROUP_FRAUD_KEY, rules.group_window, rules, salts)
 
 
 def _ntz(df: DataFrame) -> DataFrame:
@@ -89,95 +102,91 @@ def _ntz(df: DataFrame) -> DataFrame:
               .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
 
 
-def billing_rollup(closed: DataFrame) -> DataFrame:
-    """Partner billing rows from one micro-batch of closed placement rows."""
-    out = (closed.groupBy("partner_id", "window_start", "window_end")
-                 .agg(F.sum("normal_amount").alias("aggregated_amount"),
-                      F.sum("fraudulent_amount").alias("fraudulent_amount"))
-                 .withColumn("total_billing_amount", F.col("aggregated_amount")))
+def billing_rollup(closed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Partner billing rows from the windows closed in one micro-batch."""
+    out = (_folded(closed, BILLING_FRAUD_KEY, rules).groupBy("partner_id", "window_start", "window_end")
+           .agg(F.sum("_normal").alias("aggregated_amount"), F.sum("_fraud").alias("fraudulent_amount"))
+           .withColumn("total_billing_amount", F.col("aggregated_amount")))
     return _ntz(out).select(*PARTNER_BILLING_COLUMNS)
 
 
-def group_rollup(closed: DataFrame, keep_click_only: bool = False) -> DataFrame:
-    """Partner-group metrics rows from one micro-batch of closed rows."""
-    out = (closed.groupBy("partner_id", "group_id", "window_start", "window_end")
-                 .agg(F.sum("impression_count").alias("impression_count"),
-                      F.sum("click_count").alias("click_count"),
-                      F.sum("flagged_count").alias("fraudulent_click_count"),
-                      F.sum("flagged_amount").alias("fraudulent_amount")))
+def _group_totals(closed: DataFrame, rules: Rules) -> DataFrame:
+    flagged = F.col("_fraud") > 0
+    return (_folded(closed, GROUP_FRAUD_KEY, rules).groupBy(*GROUP_KEY, "window_start", "window_end")
+            .agg(F.sum("_imp").alias("impression_count"), F.sum("_clk").alias("click_count"),
+                 F.count_if(flagged).alias("fraudulent_click_count"),
+                 zero_if_null(F.sum(F.when(flagged, F.col("_fraud")))).alias("fraudulent_amount")))
+
+
+def group_rollup(closed: DataFrame, rules: Rules = DEFAULT_RULES, keep_click_only: bool = False) -> DataFrame:
+    """Partner-group metrics rows from the windows closed in one micro-batch."""
+    out = _group_totals(closed, rules)
     if not keep_click_only:
         out = out.where(F.col("impression_count") > 0)
     return _ntz(out).select(*PARTNER_GROUP_METRICS_COLUMNS)
 
 
-def fraud_rollup(closed: DataFrame) -> DataFrame:
+def fraud_rollup(closed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """5-minute fraud rows (groups with a flagged placement-minute)."""
-    out = (closed.groupBy("partner_id", "group_id", "window_start", "window_end")
-                 .agg(F.sum("flagged_count").alias("fraudulent_click_count"),
-                      F.sum("flagged_amount").alias("fraudulent_amount"))
-                 .where(F.col("fraudulent_click_count") > 0))
-    return _ntz(out)
-
-
-def group_metrics_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES, buckets: int = STATE_BUCKETS) -> DataFrame:
-    """Closed rows of the partner-group metrics: a JVM windowed count of
-    impressions and clicks per (partner, group, 5 minutes), unioned with
-    the clicks-only fold for the fraud flags. Impressions never reach
-    Python. Both branches close a window in the micro-batch in which the
-    global watermark passes its end, so the per-batch rollup sees both."""
-    ev = (ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull() & F.col("ts").isNotNull())
-            .withWatermark("ts", rules.watermark_delay))
-    zero = F.lit(0).cast("long")
-    counts = (ev.groupBy("partner_id", "group_id", F.window("ts", rules.group_window).alias("_w"))
-                .agg(F.count_if(F.col("kind") == IMPRESSION).alias("impression_count"),
-                     F.count_if(F.col("kind") == CLICK).alias("click_count"))
-                .select("partner_id", "group_id", F.col("_w.start").alias("window_start"),
-                        F.col("_w.end").alias("window_end"), "impression_count", "click_count",
-                        zero.alias("flagged_count"), zero.alias("flagged_amount")))
-    fraud = (placement_group_stream(ad, rules, clicks_only=True, buckets=buckets)
-             .select("partner_id", "group_id", "window_start", "window_end",
-                     zero.alias("impression_count"), zero.alias("click_count"), "flagged_count", "flagged_amount"))
-    return counts.unionByName(fraud)
-
-
-# result name -> (closed-row stream builder, micro-batch rollup)
+    out = _group_totals(closed, rules).where(F.col("fraudulent_click_count") > 0)
+    return _ntz(out).select(*GROUP_KEY, "window_start", "window_end", "fraudulent_click_count", "fraudulent_amount")
+
+
+# result name -> (open-window stream builder, rollup of a micro-batch's closed windows)
 WINDOWED_RESULTS: dict[str, tuple[Callable, Callable]] = {
-    "partner_billing": (placement_billing_stream, billing_rollup),
+    "partner_billing": (billing_stream, billing_rollup),
     "partner_group_metrics": (group_metrics_stream, group_rollup),
-    "group_fraud_5min": (lambda ad, rules=DEFAULT_RULES, buckets=STATE_BUCKETS:
-                         placement_group_stream(ad, rules, clicks_only=True, buckets=buckets),
-                         fraud_rollup),
+    "group_fraud_5min": (group_fraud_stream, fraud_rollup),
 }
 
 
-def display_metrics_stream(ad: DataFrame) -> DataFrame:
-    """Streaming Q3 (update mode): running counts per display."""
-    ev = (ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull()
-                   & F.col("display_target").isNotNull())
-            .withColumn("display_id", F.coalesce(F.col("display_id"), F.lit(""))))
+def _display_events(imp: DataFrame, clk: DataFrame) -> DataFrame:
+    ev = require_keys(imp.unionByName(clk), ["partner_id", "group_id", "display_target"])
+    return ev.withColumn("display_id", F.coalesce(F.col("display_id"), F.lit("")))
+
+
+def display_metrics_stream(imp: DataFrame, clk: DataFrame) -> DataFrame:
+    """Streaming Q3 (update mode): running counts of displays with impressions."""
     # ``emitted_at``: when the update was produced (the reference stamps its
     # rows with the wall clock); evaluated once per micro-batch.
-    return (ev.groupBy(*DISPLAY_KEY)
-              .agg(F.count_if(F.col("kind") == IMPRESSION).alias("impression_count"),
-                   F.count_if(F.col("kind") == CLICK).alias("click_count"))
-              .withColumn("emitted_at", F.current_timestamp()))
-
-
-def display_changelog_stream(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Streaming Q3 as the reference emits it (append): one row per
-    impression with the display's impressions so far and the clicks before
-    it. No window, no watermark; state is two counters per display."""
-    ev = (ad.where(F.col("partner_id").isNotNull() & F.col("group_id").isNotNull()
-                   & F.col("display_target").isNotNull())
-            .withColumn("display_id", F.coalesce(F.col("display_id"), F.lit(""))))
-    types = dict(ev.dtypes)
-    out_schema = ", ".join([f"{k} {types[k]}" for k in DISPLAY_KEY]
-                           + ["event_id long", "ts timestamp", "impression_count long", "click_count long"])
-    fn = display_changelog_fold(list(DISPLAY_KEY), list(rules.order))
-    cols = [*DISPLAY_KEY, "kind", *dict.fromkeys([*rules.order, "event_id", "ts"])]
-    return (ev.select(*cols).groupBy(*DISPLAY_KEY)
-              .applyInPandasWithState(fn, out_schema, CHANGELOG_STATE_SCHEMA, "append",
-                                      GroupStateTimeout.NoTimeout))
+    return (_display_events(imp, clk).groupBy(*DISPLAY_KEY)
+            .agg(F.count_if(F.col("kind") == IMPRESSION).alias("impression_count"),
+                 F.count_if(F.col("kind") == CLICK).alias("click_count"))
+            .where(F.col("impression_count") > 0).withColumn("emitted_at", F.current_timestamp()))
+
+
+def display_events_stream(imp: DataFrame, clk: DataFrame) -> DataFrame:
+    """The rows the display changelog is made of (stateless; see ``changelog_writer``)."""
+    return _display_events(imp, clk)
+
+
+TOTALS_SCHEMA = ("partner_id long, group_id long, display_target string, display_id string, "
+                 "_imps long, _clks long")
+
+
+def changelog_writer(spark: SparkSession, path: str, totals: str, rules: Rules = DEFAULT_RULES, writer=None):
+    """foreachBatch function of the display changelog: one row per impression
+    with the display's impressions so far and the clicks before it, in the
+    order of ``rules`` inside a micro-batch and of arrival across them. The
+    displays' totals are upserted as batch ``batch_id`` under ``totals``."""
+    table = UpsertTable(spark, totals, DISPLAY_KEY, TOTALS_SCHEMA)
+    put = writer or batch_partition_writer(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = table.read(before=batch_id)
+        batch = batch.persist()
+        try:
+            on = list(DISPLAY_KEY)
+            log = display_metrics_changelog(batch, rules).join(before, on, "left")
+            add = lambda c, t: (F.col(c) + zero_if_null(t)).alias(c)
+            rest = [c for c in log.columns if c not in ("impression_count", "click_count", "_imps", "_clks")]
+            put(log.select(*rest, add("impression_count", "_imps"), add("click_count", "_clks")), batch_id)
+            here = batch.groupBy(*on).agg(F.count_if(F.col("kind") == IMPRESSION).alias("_i"), F.count_if(F.col("kind") == CLICK).alias("_c"))
+            table.write(here.join(before, on, "left").select(
+                *on, (F.col("_i") + zero_if_null("_imps")).alias("_imps"), (F.col("_c") + zero_if_null("_clks")).alias("_clks")), batch_id)
+        finally:
+            batch.unpersist()
+    return write
 
 
 def batch_partition_writer(path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df):
@@ -198,34 +207,40 @@ def start_stream(stream: DataFrame, mode: str, writer, checkpoint: str, availabl
     return w.start()
 
 
-def run_windowed(result: str, ad: DataFrame, path: str, checkpoint: str, rules: Rules = DEFAULT_RULES,
+def run_windowed(result: str, imp: DataFrame, clk: DataFrame, path: str, checkpoint: str, rules: Rules = DEFAULT_RULES,
                  available_now: bool = True, processing_time: str | None = None,
-                 buckets: int = STATE_BUCKETS, writer=None):
-    """Start a windowed result stream; result rows go under ``path`` (or to
-    ``writer(rows, batch_id)`` when given, e.g. a Kafka writer)."""
+                 salts: int = STATE_SALTS, writer=None):
+    """Start a windowed result stream over impressions and clicks; result rows
+    go under ``path`` (or to ``writer(rows, batch_id)`` when given, e.g. a
+    Kafka writer)."""
     build, rollup = WINDOWED_RESULTS[result]
     if writer is None:
-        sink = batch_partition_writer(path, rollup)
+        sink = batch_partition_writer(path, lambda closed: rollup(closed, rules))
     else:
         def sink(batch: DataFrame, batch_id: int) -> None:
-            writer(rollup(batch), batch_id)
-    return start_stream(build(ad, rules, buckets=buckets), "append", sink, checkpoint, available_now, processing_time)
+            writer(rollup(batch, rules), batch_id)
+    return start_stream(build(imp, clk, rules, salts), "append", sink, checkpoint, available_now, processing_time)
 
 
 def run_append(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-               processing_time: str | None = None):
-    """Start a stateless append stream (the dead letter) into a parquet file
-    sink, exactly once through the sink's commit log."""
-    w = (stream.writeStream.format("parquet").outputMode("append")
+               processing_time: str | None = None, partition_by: list[str] | None = None):
+    """Start a stateless append stream (the decoded table, the dead letter)
+    into a parquet file sink, exactly once through the sink's commit log."""
+    w = (stream.writeStream.format("parquet").outputMode("append").partitionBy(*(partition_by or []))
                .option("path", path).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
     return w.start()
 
 
+def display_table(spark: SparkSession, path: str) -> UpsertTable:
+    return UpsertTable(spark, path, DISPLAY_KEY, RESULT_SCHEMAS["display_metrics"])
+
+
 def run_update(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                processing_time: str | None = None):
-    """Start an update-mode stream writing its update log under ``path``."""
-    return start_stream(stream, "update", batch_partition_writer(path), checkpoint, available_now, processing_time)
+    """Start the display totals stream, upserting the table under ``path``."""
+    table = display_table(stream.sparkSession, path)
+    return start_stream(stream, "update", table.write, checkpoint, available_now, processing_time)
 
 
 RESULT_SCHEMAS = {
@@ -239,7 +254,7 @@ RESULT_SCHEMAS = {
     "display_metrics": ("partner_id long, group_id long, display_target string, display_id string, "
                         "impression_count long, click_count long, emitted_at timestamp"),
     "display_changelog": ("partner_id long, group_id long, display_target string, display_id string, "
-                          "event_id long, ts timestamp, impression_count long, click_count long"),
+                          "event_id long, ts timestamp_ntz, impression_count long, click_count long"),
 }
 
 
@@ -286,7 +301,7 @@ def state_partitions(spark: SparkSession, n: int | None = None):
 def _run_to_table(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
     base = shared_dir(spark, f"stream-{result}")
     with state_partitions(spark):
-        q = run_windowed(result, ad_event_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
+        q = run_windowed(result, *ad_event_streams(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
         q.awaitTermination()
     return read_result(spark, f"{base}/out", result)
 
@@ -306,18 +321,56 @@ def stream_partner_group_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_display_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream-display")
     with state_partitions(spark):
-        q = run_update(display_metrics_stream(ad_event_stream(spark, sf_dir)), f"{base}/log", f"{base}/checkpoint")
+        q = run_update(display_metrics_stream(*ad_event_streams(spark, sf_dir)), f"{base}/table", f"{base}/checkpoint")
         q.awaitTermination()
-    log = read_log(spark, f"{base}/log", "display_metrics")
-    latest = latest_per_key(log, DISPLAY_KEY)
-    return latest.where(F.col("impression_count") > 0).select(*DISPLAY_KEY, "impression_count", "click_count")
+    return display_table(spark, f"{base}/table").read().select(*DISPLAY_KEY, "impression_count", "click_count")
 
 
 def stream_display_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream-display-changelog")
     with state_partitions(spark):
-        q = start_stream(display_changelog_stream(ad_event_stream(spark, sf_dir)), "append",
-                   batch_partition_writer(f"{base}/log"), f"{base}/checkpoint", True, None)
+        q = start_stream(display_events_stream(*ad_event_streams(spark, sf_dir)), "append",
+                         changelog_writer(spark, f"{base}/log", f"{base}/totals"), f"{base}/checkpoint", True, None)
         q.awaitTermination()
-    log = read_log(spark, f"{base}/log", "display_changelog").drop("batch_id")
-    return log.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return read_log(spark, f"{base}/log", "display_changelog").drop("batch_id")
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside the block keep their state in RocksDB."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old) if old else spark.conf.unset(name)
+
+
+def stream_billing_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Billing over the whole table in four time-ordered arrivals: two under a
+    processing-time trigger, then stopped, two more, and restarted from the
+    checkpoint. State is in RocksDB."""
+    base = shared_dir(spark, "stream-restart")
+    clk = load_ad_events(spark, sf_dir, CLICK)
+    lo, hi = clk.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    quarter = F.floor((F.unix_micros("ts") - F.lit(lo or 0)) * 4 / F.lit((hi or 0) - (lo or 0) + 1))
+
+    def arrive(n: int) -> None:
+        clk.where(quarter == n).write.parquet(f"{base}/in/part={n}")
+
+    def start(**how):
+        files = (spark.readStream.schema(AD_EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
+                 .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
+        return run_windowed("partner_billing", files, files, f"{base}/out", f"{base}/checkpoint", **how)
+
+    with state_partitions(spark), rocksdb_state(spark):
+        arrive(0)
+        arrive(1)
+        q = start(available_now=False, processing_time="1 second")
+        q.processAllAvailable()
+        q.stop()
+        arrive(2)
+        arrive(3)
+        start().awaitTermination()
+    return read_result(spark, f"{base}/out")

@@ -12,66 +12,91 @@ from adtally.functions import codec
 from adtally.plans.billing import partner_billing
 from adtally.plans.display_metrics import display_metrics
 from adtally.schemas import DISPLAY_KEY
-from adtally.sinks.files import latest_per_key
 from adtally.sources.tables import load_events
 from adtally.sources.topics import kafka_options, topic_records
+from adtally.streaming.queries import display_table, read_result
 
 SF = "/root/testdata/sf0.01"
 
 
+def ordered(frame, cols):
+    return sorted(tuple(r) for r in frame.select(*cols).collect())
+
+
+def run_job(spark, base, **options):
+    cfg = JobConfig(source="files", input=f"{base}/records", input_format="json", sink="parquet",
+                    output=f"{base}/out", checkpoint_root=f"{base}/cp", available_now=True, **options)
+    for q in start(spark, cfg).values():
+        q.awaitTermination()
+    return cfg
+
+
 def test_job_on_record_files(spark):
     base = shared_dir(spark, "test-app")
     recs = topic_records(load_events(spark, SF))
     recs.repartition(3).write.json(f"{base}/records")
-    cfg = JobConfig(source="files", input=f"{base}/records", input_format="json", sink="parquet",
-                    output=f"{base}/out", checkpoint_root=f"{base}/cp", available_now=True, rocksdb=True)
-    for q in start(spark, cfg).values():
-        q.awaitTermination()
+    cfg = run_job(spark, base)
     decoded = codec.decode_records(spark.read.schema(recs.schema).json(f"{base}/records"))
-    good = codec.valid_events(decoded).withColumn(
-        "event_id", F.col("offset") * F.lit(1 << 16) + F.col("partition"))
+    good = codec.valid_events(decoded, envelope=True)
     # billing: closed windows equal batch
-    got = spark.read.parquet(f"{base}/out/partner_billing").drop("batch_id")
+    got = read_result(spark, f"{base}/out/partner_billing")
     cut = good.where("kind = 'click'").agg(F.max("ts")).first()[0]
-    want = partner_billing(good).where(F.col("window_end") <= F.lit(cut).cast("timestamp_ntz"))
+    want = partner_billing(good, cfg.rules).where(F.col("window_end") <= F.lit(cut).cast("timestamp_ntz"))
     cols = sorted(want.columns)
-    norm = lambda df: sorted(tuple(r) for r in df.select(*cols).collect())
-    got = got.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
-             .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
-    assert norm(got) == norm(want) and got.count() > 0
-    # display: final upsert state equals batch totals
-    log = spark.read.parquet(f"{base}/out/display_metrics")
-    d_got = latest_per_key(log, DISPLAY_KEY).where("impression_count > 0")
-    dcols = [*DISPLAY_KEY, "impression_count", "click_count"]
-    assert sorted(tuple(r) for r in d_got.select(*dcols).collect()) == \
-        sorted(tuple(r) for r in display_metrics(good).select(*dcols).collect())
+    assert ordered(got, cols) == ordered(want, cols) and got.count() > 0
+    # display: the job's own table equals batch totals
+    cols = [*DISPLAY_KEY, "impression_count", "click_count"]
+    assert ordered(display_table(spark, f"{base}/out/display_metrics").read(), cols) == ordered(display_metrics(good), cols)
     # dead letter: same rows as batch
     dl = spark.read.parquet(f"{base}/out/dead_letter")
     assert dl.count() == codec.dead_letter(decoded).count() > 0
 
 
+def test_renamed_topics_equal_default(spark):
+    from adtally.config import Topics
+    base, other = shared_dir(spark, "test-app-names"), shared_dir(spark, "test-app-renamed")
+    recs = topic_records(load_events(spark, "/root/testdata/sf0.001"))
+    recs.coalesce(1).write.json(f"{base}/records")
+    recs.withColumn("topic", F.concat(F.lit("prod-"), "topic")).coalesce(1).write.json(f"{other}/records")
+    run_job(spark, base)
+    run_job(spark, other, topics=Topics(impressed="prod-ad-impressed", clicked="prod-ad-clicked"))
+    for name in ("partner_billing", "partner_group_metrics"):
+        a, b = (read_result(spark, f"{d}/out/{name}", name) for d in (base, other))
+        assert ordered(a, a.columns) == ordered(b, a.columns) and a.count() > 0
+    a, b = (spark.read.parquet(f"{d}/out/dead_letter").drop("topic") for d in (base, other))
+    assert ordered(a, a.columns) == ordered(b, a.columns)
+
+
 def test_kafka_options():
     o = kafka_options("b:9092", ["ad-impressed", "ad-clicked"], maxOffsetsPerTrigger="1000")
     assert o["subscribe"] == "ad-impressed,ad-clicked"
     assert o["kafka.bootstrap.servers"] == "b:9092" and o["maxOffsetsPerTrigger"] == "1000"
 
 
-def test_batch_job(spark):
+def test_batch_job_reads_its_input_once(spark):
     from adtally.batch import run_batch
+    from adtally.config import RECORD_ORDER, Rules
     from adtally.plans.group_metrics import partner_group_metrics
     base = shared_dir(spark, "test-batch")
     recs = topic_records(load_events(spark, "/root/testdata/sf0.001"))
-    paths = run_batch(spark, recs, f"{base}/out")
+    recs.write.json(f"{base}/records")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    raw = spark.read.schema(recs.schema).json(f"{base}/records")
+    paths = run_batch(spark, raw.mapInArrow(counted, raw.schema), f"{base}/out")
+    assert reads.value == recs.count()  # each record was read and decoded once
     decoded = codec.decode_records(recs)
-    good = codec.valid_events(decoded).withColumn(
-        "event_id", F.col("offset") * F.lit(1 << 16) + F.col("partition"))
+    good, rules = codec.valid_events(decoded, envelope=True), Rules(order=RECORD_ORDER)
     for name, fn in (("partner_billing", partner_billing), ("partner_group_metrics", partner_group_metrics),
                      ("display_metrics", display_metrics)):
-        got = spark.read.parquet(paths[name])
-        want = fn(good)
+        want = fn(good, rules)
         cols = sorted(want.columns)
-        assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
-            sorted(tuple(r) for r in want.select(*cols).collect()), name
+        assert ordered(spark.read.parquet(paths[name]), cols) == ordered(want, cols), name
     assert spark.read.parquet(paths["dead_letter"]).count() == codec.dead_letter(decoded).count()
 
 
@@ -89,17 +114,10 @@ def test_job_display_changelog_mode(spark):
     from adtally.plans.display_metrics import display_metrics_changelog
     base = shared_dir(spark, "test-app-changelog")
     recs = topic_records(load_events(spark, "/root/testdata/sf0.001"))
-    recs.coalesce(1).write.json(f"{base}/records")
-    cfg = JobConfig(source="files", input=f"{base}/records", input_format="json", sink="parquet",
-                    output=f"{base}/out", checkpoint_root=f"{base}/cp", available_now=True,
-                    display_mode="changelog")
-    for q in start(spark, cfg).values():
-        q.awaitTermination()
-    good = codec.valid_events(codec.decode_records(spark.read.schema(recs.schema).json(f"{base}/records"))) \
-        .withColumn("event_id", F.col("offset") * F.lit(1 << 16) + F.col("partition"))
-    got = spark.read.parquet(f"{base}/out/display_metrics").drop("batch_id") \
-        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    want = display_metrics_changelog(good)
+    recs.repartition(4).write.json(f"{base}/records")
+    cfg = run_job(spark, base, display_mode="changelog")
+    good = codec.valid_events(codec.decode_records(spark.read.schema(recs.schema).json(f"{base}/records")), envelope=True)
+    got = spark.read.parquet(f"{base}/out/display_metrics").drop("batch_id")
+    want = display_metrics_changelog(good, cfg.rules)
     cols = sorted(want.columns)
-    assert sorted(tuple(r) for r in got.select(*cols).collect()) == \
-        sorted(tuple(r) for r in want.select(*cols).collect())
+    assert ordered(got, cols) == ordered(want, cols)

@@ -45,9 +45,35 @@ def test_f15_malformed_and_wrong_values(spark):
 
 def test_f16_null_partner_is_dead_letter(spark):
     assert reasons(spark, [GOOD.replace('"partnerId":100', '"partnerId":null')]) == [codec.REASON_PARTNER]
-    d = codec.require(codec.decode_records(records(spark, [GOOD.replace('"groupId":1', '"groupId":null')])),
-                      ["group_id"])
-    assert [r.error_reason for r in d.collect()] == [codec.REASON_KEY + "group_id"]
+
+
+def test_null_key_reaches_dead_letter_per_result(spark):
+    """Per result, rows used + rows dead-lettered = records (E3)."""
+    values = [GOOD, GOOD.replace('"groupId":1', '"groupId":null'), GOOD.replace('"WEB"', "null"), "{"]
+    d = codec.decode_records(records(spark, values))
+    dead = {r.value: r.error_reason for r in codec.dead_letter(d).collect()}
+    assert dead == {values[1]: "missing key: group_id (partner_group_metrics, display_metrics)",
+                    values[2]: "missing key: display_target (display_metrics)", "{": codec.REASON_MALFORMED}
+    good = codec.valid_events(d)
+    for result, used in (("partner_billing", 3), ("partner_group_metrics", 2), ("display_metrics", 1)):
+        assert good.where(~codec.unusable_for(result)).count() == used
+        named = sum(codec.REASON_KEY not in why or result in why for why in dead.values())
+        assert used + named == len(values)
+
+
+def test_missing_event_time_is_dead_letter(spark):
+    bare = GOOD.replace(',"timestamp":"2024-01-01T12:00:00"', "")
+    d = codec.decode_records(records(spark, [GOOD, bare]), event_time="payload")
+    assert [r.error_reason for r in d.orderBy("offset").collect()] == [None, codec.REASON_TIME]
+
+
+def test_renamed_topics(spark):
+    from adtally.config import Topics
+    named = Topics(impressed="prod-seen", clicked="prod-click's")
+    rows = records(spark, [GOOD], "prod-seen").union(records(spark, [GOOD], "prod-click's")).union(records(spark, [GOOD], "ad-clicked"))
+    d = codec.decode_records(rows, topics=named)
+    assert sorted((r.kind or "", r.error_reason or "") for r in d.collect()) == \
+        [("", codec.REASON_TOPIC), ("click", ""), ("impression", "")]
 
 
 def test_f22_quoted_number_accepted(spark):

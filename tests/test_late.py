@@ -42,12 +42,32 @@ def test_running_sums_match_window(spark):
     assert {r.pos: r.s for r in got.collect()} == want
 
 
-def test_spread_if_narrow(spark):
-    from adtally.sources.tables import spread_if_narrow
+def test_spread_only_when_asked(spark):
+    from adtally.sources.tables import spread
     one = spark.range(100).coalesce(1)
-    assert spread_if_narrow(one, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(100).repartition(6)
-    assert spread_if_narrow(wide, 4) is wide
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    assert spread(one) is one
+
+
+def test_late_rule_per_source_partition(spark):
+    rows = [(1, 1, 0, T + dt.timedelta(seconds=90)), (2, 2, 1, T + dt.timedelta(seconds=10)), (3, 3, 0, T + dt.timedelta(seconds=20))]
+    df = spark.createDataFrame(rows, "event_id long, arrival long, partition int, ts timestamp")
+    out = {r.event_id: r.is_late for r in late_flags(df, partition_cols=["partition"]).collect()}
+    assert out == {1: False, 2: False, 3: True}  # 2 is the first of its partition
+
+
+def test_upsert_table_compacts_and_survives_a_retry(spark):
+    from adtally.config import shared_dir
+    from adtally.sinks.files import UpsertTable
+    path = shared_dir(spark, "test-upsert")
+    t = UpsertTable(spark, path, ["k"], "k long, n long", compact_every=3)
+    rows = lambda *x: spark.createDataFrame(list(x), "k long, n long").coalesce(1)
+    for b in range(10):
+        t.write(rows((b % 2, b), (100 + b, b)), b)
+        t.write(rows((b % 2, b), (100 + b, b)), b)  # the batch runs again
+        assert {r.k: r.n for r in t.read(before=b).collect()}.get((b + 1) % 2) == (b - 1 if b else None)
+    assert {r.k: r.n for r in t.read().collect()} == {0: 8, 1: 9, **{100 + b: b for b in range(10)}}
+    assert len(t._done("log")) + len(t._done("base")) <= 3 + 2
 
 
 def test_latest_per_key(spark):

@@ -39,7 +39,7 @@ def test_group_metrics_union_plan_exchanges(spark):
 
 def test_scan_prunes_and_pushes(spark):
     text = plan(queries()["partner_billing"](spark, SF))
-    assert "PushedFilters: [IsNotNull(ts), In(event_type, [click,view])]" in text
+    assert "EqualTo(event_type,click)" in text and "IsNotNull(ts)" in text and "view" not in text.split("ReadSchema")[0]
     # every column of the table is needed by the view (ids, time, type, amount, props.k)
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string," \
            "value:double,props:string>" in text
@@ -47,10 +47,24 @@ def test_scan_prunes_and_pushes(spark):
     assert "PushedFilters: [In(event_type, [click,view])]" in counts
 
 
+def test_props_parsed_once_per_scan(spark):
+    for name in ("partner_billing", "partner_group_metrics", "display_metrics", "click_aggregation_1min"):
+        text = plan(queries()[name](spark, SF))
+        assert text.count("get_json_object") == text.count("FileScan parquet"), name
+
+
+def test_no_single_partition_exchange(spark):
+    for name in ("late_click_filter", "display_metrics_changelog", "display_metrics_asof"):
+        assert "SinglePartition" not in plan(queries()[name](spark, SF)), name
+
+
 def test_display_changelog_no_unsliced_window(spark):
+    import re
     text = optimized(queries()["display_metrics_changelog"](spark, SF))
-    # every window over rows is partitioned by the slice column as well
-    assert "_slice" in text
+    windows = re.findall(r"Window \[.*?windowspecdefinition\((.*?)specifiedwindowframe", text)
+    assert len(windows) == 2
+    # one over rows, partitioned by display and slice; one over the per-slice totals, ordered by slice
+    assert all("_slice" in w for w in windows)
 
 
 def test_no_python_udf_in_batch_queries(spark):

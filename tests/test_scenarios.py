@@ -160,3 +160,11 @@ def test_null_partner_excluded(make):
 
 def test_time_fixture_helper():
     assert at(60) == W1
+
+
+def test_tagged_clicks_that_repeat_an_order_key(make):
+    """One row per click, whatever repeats: 12 equal clicks, 2 of them fraud."""
+    tagged = click_fraud_tagged(make([ev(1, 5) for _ in range(12)])).collect()
+    assert sorted(r.is_fraud for r in tagged) == [False] * 10 + [True] * 2
+    few = click_fraud_tagged(make([ev(1, 5), ev(1, 5), ev(2, 6)])).collect()
+    assert [r.is_fraud for r in few] == [False] * 3
