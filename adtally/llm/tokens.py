@@ -12,10 +12,10 @@ sizes, and Parquet's column and page indexes let a reader fetch some columns
 of some ids only. ``start`` (ids of all documents before) is not stored: it is
 the running sum of ``n_tokens``, read without touching the ids.
 
-Tokenizing goes by white-space-separated word. The tokenizer normalises,
-splits and merges inside such words only (its pre-tokenizer pieces hold no
-white space), so a word's ids do not depend on its neighbours and are cached
-per task; plain Latin words with trailing punctuation are cached by piece.
+The tokenizer normalises, splits and merges inside white-space-separated words
+only, and there inside the pieces of its own split, so ids do not depend on
+neighbours: they are cached per task, by piece in plain Latin texts and by word
+in all others.
 
 Defined results: a null or empty text has only the end id; repeated rows are
 documents of their own; an empty table gives an empty file set; extra columns
@@ -39,65 +39,64 @@ END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-# A plain word: letters of ASCII or Latin-1, then punctuation without an apostrophe.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# A plain text: printable ASCII, ASCII white space and the letters of Latin-1.
+# There NFC changes nothing, lower case is per character, and the tokenizer's
+# own split (fixed value, below, for lower case) is the same in ``re``.
+ODD = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
-class WordIds(dict):
-    """word (bytes) -> its token ids as little-endian unsigned 32-bit bytes."""
+class WordIds:
+    """Token ids of texts, cached by piece (plain texts) or by word (others)."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        suffix = "</w>"
-        self.vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(self.vocabulary.values()) + 1, bool)
-        for token, at in self.vocabulary.items():
-            self.last[at] = token.endswith(suffix)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, at in vocabulary.items():
+            self.last[at] = token.endswith("</w>")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
-        """Fill the caches for words that are not there yet."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
+    def learn_pieces(self, used: list[list[str]]) -> None:
         if len(self.pieces) > CACHE_WORDS:
             self.pieces.clear()
-        parts, need = {}, set()
-        for word in words:
-            if word in self:
-                continue
-            text = word.decode()
-            m = PLAIN.fullmatch(text)
-            if m and not (m[2] and any(s in text for s in self.special)):
-                parts[word] = p = [x for x in (m[1].lower(), m[2]) if x]
-                need.update(x for x in p if x not in self.pieces)
-            else:
-                self[word] = self.whole(text)
-        need = list(need)
-        for at in range(0, len(need), 512):  # pieces in one string: each ends with its first end-of-word token
-            some = need[at:at + 512]
+        need = list(set().union(*used) - self.pieces.keys())
+        for at in range(0, len(need), 4096):  # many in one string: each ends with its first end-of-word token
+            some = need[at:at + 4096]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
-            ends = np.flatnonzero(self.last[ids]) + 1
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
             if len(ends) == len(some):
-                for piece, x in zip(some, np.split(ids, ends[:-1])):
-                    self.pieces[piece] = x.tobytes()
+                raw = ids.tobytes()
+                self.pieces.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
             else:
-                for piece in some:
-                    self.pieces[piece] = self.whole(piece)
-        for word, p in parts.items():
-            self[word] = b"".join(self.pieces[x] for x in p)
+                self.pieces.update((piece, self.whole(piece)) for piece in some)
+
+    def by_words(self, text: bytes) -> bytes:
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        words = text.split()
+        for word in set(words):
+            if word not in self.words:
+                self.words[word] = self.whole(word.decode())
+        return b"".join(map(self.words.__getitem__, words))
 
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        split = [(t or b"").split() for t in texts]
-        self.learn(set().union(*split))
+        found: list = []
+        for t in texts:
+            text = (t or b"").decode()
+            plain = not ODD.search(text) and not any(s in text for s in self.special)
+            found.append(PIECE.findall(text.lower()) if plain else t)
+        self.learn_pieces([f for f in found if isinstance(f, list)])
         end = np.uint32(END_ID).tobytes()
-        return [np.frombuffer(b"".join(map(self.__getitem__, words)) + end, np.uint32) for words in split]
+        get = self.pieces.__getitem__
+        return [np.frombuffer((b"".join(map(get, f)) if isinstance(f, list) else self.by_words(f)) + end, np.uint32) for f in found]
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = None, keep: tuple[str, ...] = ()) -> None:
