@@ -7,8 +7,9 @@ document that holds a window holds each of its shingles (5 words; the whole
 window if it is shorter), and the rarest of them alone is a complete prefix.
 
 1. One pass over the documents finds every place of a benchmark shingle. The
-   shingle set is broadcast while it has at most ``broadcast_limit`` entries
-   (8 bytes each); a larger set is joined with the exploded shingles instead.
+   shingle set and the benchmark's words are broadcast while there are at most
+   ``broadcast_limit`` shingles (8 bytes each, five words at most); a larger
+   set is joined with the exploded shingles instead.
 2. Shingles are counted over all documents; each window's prefix is its rarest
    shingle (ties: smaller offset).
 3. Prefix places join the windows; the shingle's offset fixes the only
@@ -25,6 +26,8 @@ are ignored by ``find`` and kept by ``clean``.
 
 from __future__ import annotations
 
+from itertools import chain, repeat
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,38 +69,60 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, shingle: int =
             .withColumn("window_id", F.xxhash64("item_id", "width", "n_words", "shingles", "win")))
 
 
-def _scan(docs: DataFrame, widths: list[int], wanted: np.ndarray | None) -> DataFrame:
-    """documents -> (doc_id, n_words, hits array<struct<pos, width, shingle>>);
-    all places if ``wanted`` is None, else those of its sorted hashes."""
+def benchmark_words(benchmark: DataFrame) -> DataFrame:
+    """Distinct words of all items."""
+    def run(batches):
+        for _, texts in text_slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(list(set().union(*map(words_of, texts))), pa.binary())], ["word"])
+
+    return benchmark.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary").distinct()
+
+
+def _scan(docs: DataFrame, widths: list[int], known: dict[bytes, int] | None, wanted: np.ndarray | None) -> DataFrame:
+    """documents -> (doc_id, n_words, hits array<struct<pos, width, shingle>>).
+
+    With ``known`` (hash of each benchmark word) and ``wanted`` (sorted shingle
+    hashes) only their places, looked for where enough known words follow each
+    other; else all places."""
     ids = docs.schema["doc_id"].dataType
 
     def run(batches):
         hashes = WordHashes()
-        if wanted is not None:
-            bits = np.zeros(1 << 22, bool)
-            bits[(wanted >> np.uint64(42)).astype(np.int64)] = True
         for rows, texts in text_slices(batches):
-            counts, pos, wid, val, sizes = [], [], [], [], []
-            for text in texts:
-                words = hashes.of(words_of(text))
-                counts.append(len(words))
-                n = 0
-                for width in widths:
-                    h = shingle_hashes(words, width)
-                    at = np.arange(len(h))
-                    if wanted is not None and len(h):
-                        at = np.flatnonzero(bits[(h >> np.uint64(42)).astype(np.int64)])
-                        at = at[np.isin(h[at], wanted)]
-                    n += len(at)
-                    pos.append(at)
-                    wid.append(np.full(len(at), width))
-                    val.append(h[at].view(np.int64))
-                sizes.append(n)
-            cat = lambda x, t: np.concatenate([*x, np.empty(0, t)]).astype(t)
-            hits = pa.StructArray.from_arrays([pa.array(cat(pos, np.int64)), pa.array(cat(wid, np.int64)),
-                                               pa.array(cat(val, np.int64))], ["pos", "width", "shingle"])
-            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(ends, hits)],
+            split = [words_of(t) for t in texts]
+            counts = np.fromiter(map(len, split), np.int64, len(split))
+            first = np.cumsum(counts) - counts
+            total = int(counts.sum())
+            if known is None:
+                h = np.concatenate([*(hashes.of(w) for w in split), np.empty(0, np.uint64)])
+            else:
+                h = np.fromiter(chain.from_iterable(map(known.get, w, repeat(0)) for w in split), np.uint64, total)
+            doc = np.repeat(np.arange(len(split)), counts)
+            pos, wid, val = [], [], []
+            for width in widths:
+                if total < width:
+                    continue
+                at = np.arange(total - width + 1)
+                at = at[doc[at] == doc[at + width - 1]]
+                if known is not None:
+                    strange = np.concatenate([[0], np.cumsum(h == 0)])
+                    at = at[strange[at + width] == strange[at]]
+                    parts = h[at[:, None] + np.arange(width)]
+                    value = shingle_hashes(parts.reshape(-1), width)[::width] if len(at) else np.empty(0, np.uint64)
+                    keep = np.isin(value, wanted)
+                    at, value = at[keep], value[keep]
+                else:
+                    value = shingle_hashes(h, width)[at]
+                pos.append(at)
+                wid.append(np.full(len(at), width))
+                val.append(value.view(np.int64))
+            cat = lambda x: np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)
+            pos, wid, val = cat(pos), cat(wid), cat(val)
+            order = np.argsort(pos, kind="stable")
+            pos, wid, val = pos[order], wid[order], val[order]
+            hits = pa.StructArray.from_arrays([pa.array(pos - first[doc[pos]]), pa.array(wid), pa.array(val)], ["pos", "width", "shingle"])
+            ends = np.concatenate([[0], np.cumsum(np.bincount(doc[pos], minlength=len(split)))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts), pa.ListArray.from_arrays(pa.array(ends), hits)],
                                              ["doc_id", "n_words", "hits"])
 
     return (docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -114,7 +139,10 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: i
     widths = sorted(r[0] for r in needed.select("width").distinct().collect())  # 1 to 5
     small = needed.limit(broadcast_limit + 1).count() <= broadcast_limit
     wanted = np.sort(np.array([r[0] for r in needed.select("shingle").distinct().collect()], np.int64).view(np.uint64)) if small else None
-    scanned = _scan(docs, widths, wanted).withColumn("row", F.monotonically_increasing_id())
+    # at most five words a shingle
+    words = [bytes(r[0]) for r in benchmark_words(benchmark).collect()] if small else []
+    known = dict(zip(words, WordHashes().of(words).tolist())) if small else None
+    scanned = _scan(docs, widths, known, wanted).withColumn("row", F.monotonically_increasing_id())
     scanned = materialize(scanned, "decon-scan")
     hits = scanned.select("row", "n_words", F.explode("hits").alias("h")).select("row", "n_words", "h.*")
     if not small:
