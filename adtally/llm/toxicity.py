@@ -96,8 +96,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """(doc_id, text, label) of documents with one agreed, non-null label."""
     y = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("__id"))
          .agg(F.min(label).alias("label"), F.max(label).alias("__hi")).where(F.col("label") == F.col("__hi")))
-    return (docs.join(y, docs["doc_id"] == y["__id"])
-            .select(docs["doc_id"], docs["text"].cast("string").alias("text"), F.col("label").cast("long").alias("label")))
+    d = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return d.join(y, d["doc_id"] == y["__id"]).select("doc_id", "text", F.col("label").cast("long").alias("label"))
 
 
 def fit(rows: DataFrame, train_docs: int = TRAIN_DOCS) -> np.ndarray:
