@@ -265,7 +265,9 @@ def score(docs: DataFrame, train, hot_words: int = HOT_WORDS, **options) -> Data
     known = hot_count > 0
     root = np.where(known, np.maximum(hot_count - d0, 1e-9) / max(1, total), 0.0)
     unknown = d0 * distinct / max(1, total)
-    root[OTHER] = max(1e-12, 1 - root.sum()) if total else 1.0
+    root[OTHER] = max(1e-12, 1 - root.sum())
+    if not total:  # one kind of token, unknown
+        root[:] = 1.0
     base_log = np.where(known, np.log10((hot_count + 0.1) / base), 0.0)
     tree = grow(table.where(~F.col("held_out")).select("symbols"), root, total, **options) if total else Tree(root)
 

@@ -48,12 +48,13 @@ def anchors(texts: DataFrame, key: list[str], text: str = "text", k: int = K, s:
               .withColumn("_starts", F.least(F.lit(BLOCK), F.length("_t") - (k - 1)))
               .withColumn("_h", F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_starts") + (k - s))),
                                             lambda i: F.hash(F.substring(F.col("_t"), i, F.lit(s))))))
-    at = F.when((F.col("_n") > 0) & (F.col("_n") < k), F.array(F.lit(0))).when(F.col("_starts") > 0, F.sequence(F.lit(0), F.col("_starts") - 1))
+    at = F.when((F.col("_n") > 0) & (F.col("_n") < k), F.array(F.lit(0))).when(F.col("_b").isNotNull() & (F.col("_starts") > 0), F.sequence(F.lit(0), F.col("_starts") - 1))
     placed = blocks.select(*key, "_n", "_b", "_t", "_h", F.explode_outer(at).alias("_i"))
     inner = [F.get(F.col("_h"), F.col("_i") + j) for j in range(w)]
     least = F.least(*inner)
     closed = (inner[0] == least) | (inner[-1] == least)
-    hits = placed.where(F.col("_i").isNull() | (F.col("_n") < 2 * k - s + 1) | closed)
+    chosen = (F.col("_n") < 2 * k - s + 1) | closed
+    hits = placed.where(F.col("_b").isNull() | (F.col("_i").isNotNull() & chosen))  # no block: an empty text
     return hits.select(*key, (F.col("_b") * BLOCK + F.col("_i")).alias("pos"),
                        F.when(F.col("_i").isNotNull(), F.xxhash64(F.substring(F.col("_t"), F.col("_i") + 1, F.lit(k)))).alias("anchor"))
 
