@@ -168,6 +168,6 @@ def op5_quality(spark, sf_dir: str) -> DataFrame:
     """Every document's expected grade and tail probability; learned from graded
     rows whose id is not 3 modulo 4 in its crc32 (``held_out``)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = labelled(docs, graded(read_table(spark, sf_dir, "labels")), "grade").where(crc_mod("doc_id", 4) != 3)
+    rows = labelled(docs, graded(read_table(spark, sf_dir, "labels")), "grade", crc_mod("doc_id", 4) != 3, TRAIN_DOCS, SEED)
     out = score(docs, fit(rows))
     return out.select("doc_id", (crc_mod("doc_id", 4) == 3).alias("held_out"), "expected_grade", "tail_prob", "selected")

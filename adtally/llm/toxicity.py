@@ -92,12 +92,16 @@ def _train(batches):
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(w[at])], ["place", "weight"])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, text, label) of documents with one agreed, non-null label."""
-    y = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("__id"))
-         .agg(F.min(label).alias("label"), F.max(label).alias("__hi")).where(F.col("label") == F.col("__hi")))
+def labelled(docs: DataFrame, labels: DataFrame, label: str, keep=None, most: int | None = None, seed: int = SEED) -> DataFrame:
+    """(doc_id, text, label) of documents with one agreed, non-null label.
+    ``keep``: a condition on doc_id; ``most``: sample about so many labels, a
+    number that is then broadcast, so that no text is shuffled."""
+    y = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id")
+         .agg(F.min(label).cast("long").alias("label"), F.max(label).cast("long").alias("__hi")).where(F.col("label") == F.col("__hi")))
+    y = y.where(keep) if keep is not None else y
+    y = F.broadcast(bounded_sample(y, most, seed)) if most else y
     d = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return d.join(y, d["doc_id"] == y["__id"]).select("doc_id", "text", F.col("label").cast("long").alias("label"))
+    return d.join(y, "doc_id").select("doc_id", "text", "label")
 
 
 def fit(rows: DataFrame, train_docs: int = TRAIN_DOCS) -> np.ndarray:
@@ -138,7 +142,7 @@ def score(docs: DataFrame, weights: np.ndarray, column: str = "score") -> DataFr
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    train = labelled(docs, read_table(spark, sf_dir, "labels"), "toxic").where(crc_mod("doc_id", 4) != 2)
+    train = labelled(docs, read_table(spark, sf_dir, "labels"), "toxic", crc_mod("doc_id", 4) != 2, TRAIN_DOCS)
     out = score(docs, fit(train))
     return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score",
                       (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
