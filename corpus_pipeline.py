@@ -22,8 +22,8 @@ ORACLE_SQL = None
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold by a model of all labelled ones."""
-    weights = toxicity.fit(toxicity.labelled(docs, read_table(spark, sf_dir, "labels"), "toxic"))
+    """Documents scored below the threshold by a model of the labelled ones."""
+    weights = toxicity.fit(toxicity.labelled(docs, read_table(spark, sf_dir, "labels"), "toxic", most=toxicity.TRAIN_DOCS))
     scored = toxicity.score(docs, weights, "__toxicity")
     return scored.where(F.col("__toxicity") < toxicity.THRESHOLD).drop("__toxicity")
 
