@@ -16,8 +16,8 @@ from .functions import codec
 from .operators.late import late_flags
 from .plans import billing, display_metrics, group_metrics
 from .sinks.files import roundtrip
+from .sources.derived import DERIVED_PARTITIONS, topic_records
 from .sources.tables import ad_events, load_ad_events, load_events, spread
-from .sources.topics import DERIVED_PARTITIONS, topic_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -13,7 +13,8 @@ from adtally.plans.billing import partner_billing
 from adtally.plans.display_metrics import display_metrics
 from adtally.schemas import DISPLAY_KEY
 from adtally.sources.tables import load_events
-from adtally.sources.topics import kafka_options, topic_records
+from adtally.sources.derived import topic_records
+from adtally.sources.topics import kafka_options
 from adtally.streaming.queries import display_table, read_result
 
 SF = "/root/testdata/sf0.01"
