@@ -49,7 +49,7 @@ SIMILARITY = 0.8
 ROWS = 7
 BANDS = 50
 SLICE_PAIRS = 20_000_000
-RARE = 8
+RARE = 32
 SEED = 7
 
 
@@ -222,16 +222,17 @@ def _rest(members: DataFrame, sets: DataFrame, links: DataFrame, similarity: flo
     links = materialize(links.union(confirm(star, sets, similarity)), "dup-links")
     comp = components(links)
 
-    # pairs that share a rare shingle, with the number of rare ones they share
-    mixed = lists.where(F.size(F.array_distinct("held.comp")) > 1)
-    sharing = (mixed.select("held", F.explode("held").alias("x")).select("x", F.explode("held").alias("y"))
-               .where((F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")))
-               .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("shared")))
-    side = labelled(info)
-    ends = [side.select(F.col("node").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", "private", "comp")]) for k in "ab"]
-    common = F.least(F.col("n_a") - F.col("private_a"), F.col("n_b") - F.col("private_b")) + F.col("shared")
-    near = (sharing.join(ends[0], "a").join(ends[1], "b").where("comp_a <> comp_b")
-            .where(common >= similarity * (F.col("n_a") + F.col("n_b") - common) - 1e-9).select("a", "b"))
+    # pairs that share a rare shingle, with the number of rare ones they share: lists
+    # that mix components, once more with the components of now
+    mixed = (lists.where(F.size(F.array_distinct("held.comp")) > 1).withColumn("list", F.monotonically_increasing_id())
+             .select("list", F.explode("held.node").alias("node")))
+    held = labelled(mixed.join(info, "node")).groupBy("list").agg(F.collect_list(F.struct("comp", "node", "n", "private")).alias("held"))
+    sharing = (held.where(F.size(F.array_distinct("held.comp")) > 1).select("held", F.explode("held").alias("x"))
+               .select("x", F.explode(F.filter("held", lambda y: (F.col("x.node") < y["node"]) & (F.col("x.comp") != y["comp"]))).alias("y"))
+               .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),
+                        F.col("x.private").alias("p_a"), F.col("y.private").alias("p_b")).agg(F.count(F.lit(1)).alias("shared")))
+    common = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) + F.col("shared")
+    near = sharing.where(common >= similarity * (F.col("n_a") + F.col("n_b") - common) - 1e-9).select("a", "b")
     links = materialize(links.union(confirm(near, sets, similarity)), "dup-links")
 
     # pairs that share none: rare shingles count for neither. The largest component of
