@@ -7,22 +7,25 @@ number of distinct ones.
 Root: P0(x) = (c(x) - d0) / N for a known token, d0 V / N for an unknown one,
 d0 = n1 / (n1 + 2 n2) from the numbers of words seen once and twice.
 
-Symbols of the tree are the ``HOT_WORDS`` most frequent words, the end, and one
-class for every other word. A context is the last 1 to ``DEPTH`` symbols of the
-same text. It is a candidate while it makes up ``P_MIN`` of all tokens or more
-and its own suffix is retained; it is retained if its next-symbol distribution
-diverges from that of its suffix: the gain in training log-likelihood,
-sum over x of N(sx) ln P(x|s) / P(x|suffix), is at least ``MIN_GAIN`` nats per
-occurrence and ``MIN_TOTAL`` in all. Distributions are smoothed by absolute
-discounting into the suffix: P(x|s) = max(N(sx) - D, 0) / N(s) + g(s) P(x|suffix)
-over the next symbols that make up P_MIN of all tokens themselves; g(s) is the
-mass left. Each position is scored by its longest suffix in the tree; a word of
-the class "other" by the class times P0(x) / P0(other).
-
-P_MIN bounds the tree whatever the corpus: at most 1 / P_MIN (context, next)
-pairs at each depth, 16 bytes each, are broadcast. The vocabulary is not
-bounded: words outside the hot list are counted and looked up by shuffles (one
-aggregate, one join on the word's hash), so these grow with the input.
+Symbols of the tree are all words and the end; with ``hot_words`` given, only
+the most frequent words, the end, and one class for every other word. A context
+is the last 1 to ``DEPTH`` symbols of the same text. It is a candidate while it
+occurs ``MIN_COUNT`` times or more (or makes up ``p_min`` of all tokens, if that
+is more) and its own suffix is retained; it is retained if its next-symbol
+distribution diverges from that of its suffix: the gain in training
+log-likelihood, sum over x of N(sx) ln P(x|s) / P(x|suffix), is at least
+``MIN_GAIN`` nats per occurrence and ``MIN_TOTAL`` in all. Distributions are
+smoothed by absolute discounting into the suffix: P(x|s) = max(N(sx) - D, 0) /
+N(s) + g(s) P(x|suffix) over the next symbols that occur as often as a context
+must; g(s) is the mass left. Each position is scored by its longest suffix in
+the tree; a word of the class "other" by the class times P0(x) / P0(other).
+
+The tree grows with the input and is never gathered: it is a table of grams (a
+context, or a context and its next symbol), built level by level with shuffled
+joins. Texts are handled in slices of some 4 MB; each slice names its distinct
+grams once, one shuffle by gram counts them and lists the slices, and the states
+of retained grams return to those slices. A hot gram is one row a slice. Only
+the ``LOOKUP_WORDS`` most frequent words are broadcast, to save look-ups.
 
 Defined results: null and empty texts are the end token alone; repeated rows
 count each; with no training text every token is unknown and the score is the
@@ -35,19 +38,22 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, crc_mod, materialize, mix64, read_table, small_batches, text_slices
 
-HOT_WORDS = 1 << 17
+HOT_WORDS = None  # every word is a symbol
+LOOKUP_WORDS = 1 << 17
 DEPTH = 3
-P_MIN = 2e-6
+P_MIN = 0.0
 MIN_COUNT = 2
 MIN_GAIN = 0.02
 MIN_TOTAL = 10.0
 DISCOUNT = 0.75
-END, OTHER = 0, 1  # symbols; hot words follow
+END, OTHER = 0, 1  # symbols; looked-up words follow, any other word is its hash with the top bit set
+TOP = np.uint64(1 << 63)
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -74,49 +80,70 @@ def _count_words(batches):
     yield flush()
 
 
-def _symbolise(hot: list[bytes]):
-    """Per text: its symbols (int32, the end last) and the hashes of its other
-    words, each with its number of times."""
+def _symbolise(hot: list[bytes], classes: bool):
+    """Per text: its slice, its symbols (uint64, the end last) and the hashes of
+    its other words, each with its number of times."""
     def run(batches):
         symbol = {w: i + 2 for i, w in enumerate(hot)}
         hashes = WordHashes()
-        for rows, texts in text_slices(batches):
+        for k, (rows, texts) in enumerate(text_slices(batches)):
             syms, cold, times, sizes = [], [], [], []
             for text in texts:
                 words = _words(text)
-                s = np.fromiter([symbol.get(w, OTHER) for w in words] + [END], np.int32, len(words) + 1)
+                s = np.fromiter([symbol.get(w, OTHER) for w in words] + [END], np.uint64, len(words) + 1)
+                at = np.flatnonzero(s == OTHER)
+                strange = [words[i] for i in at]
+                if not classes:
+                    s[at] = hashes.of(strange) | TOP
+                other = Counter(strange)
                 syms.append(s.tobytes())
-                other = Counter(w for w, x in zip(words, s) if x == OTHER) if OTHER in s else {}
                 cold.append(hashes.of(list(other)).view(np.int64))
                 times.append(np.fromiter(other.values(), np.int32, len(other)))
                 sizes.append(len(other))
             ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             cat = lambda x, t: pa.array(np.concatenate([*x, np.empty(0, t)]))
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(syms, pa.binary()),
+            part = np.full(len(texts), TaskContext.get().partitionId() << 24 | k, np.int64)
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(part), pa.array(syms, pa.binary()),
                                               pa.ListArray.from_arrays(ends, cat(cold, np.int64)),
                                               pa.ListArray.from_arrays(ends, cat(times, np.int32))],
-                                             ["doc_id", "held_out", "symbols", "cold", "times"])
+                                             ["doc_id", "held_out", "slice", "symbols", "cold", "times"])
     return run
 
 
-def context_keys(symbols: np.ndarray, starts: np.ndarray, depth: int) -> list[np.ndarray]:
-    """For d = 1..depth: at each position a hash of the d symbols before it, 0
-    where the text has fewer. ``starts``: 1 where a text begins."""
+def pair_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Hash of the gram that ``symbol`` makes of ``context``; 0 is the empty one."""
+    return mix64(mix64(context + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + symbol * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+
+
+def gram_keys(symbols: np.ndarray, starts: np.ndarray, longest: int) -> list[np.ndarray]:
+    """For k = 1..longest: at each position a hash of the k symbols that end
+    there, 0 where the text has fewer. ``starts``: 1 where a text begins."""
     place = np.arange(len(symbols)) - np.maximum.accumulate(np.where(starts, np.arange(len(symbols)), 0))
-    out, h = [], np.zeros(len(symbols), np.uint64)
-    for d in range(1, depth + 1):
-        back = np.zeros(len(symbols), np.uint64)
-        back[d:] = symbols[:-d]
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + back + np.uint64(d << 32))
+    out, before = [], np.zeros(len(symbols), np.uint64)
+    for k in range(1, longest + 1):
+        h = pair_keys(before, symbols)
         h[h == 0] = 1
-        out.append(np.where(place >= d, h, np.uint64(0)))
+        out.append(np.where(place >= k - 1, h, np.uint64(0)))
+        before = np.concatenate([np.zeros(min(1, len(h)), np.uint64), out[-1][:-1]])
+    return out
+
+
+def context_keys(symbols: np.ndarray, starts: np.ndarray, depth: int) -> list[np.ndarray]:
+    """For d = 1..depth: at each position the hash of the d symbols before it,
+    0 where the text has fewer."""
+    first = np.flatnonzero(starts)
+    out = []
+    for g in gram_keys(symbols, starts, depth):
+        c = np.concatenate([np.zeros(min(1, len(g)), np.uint64), g[:-1]])
+        c[first] = 0
+        out.append(c)
     return out
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    symbols = np.frombuffer(b"".join(texts), np.int32).astype(np.uint64)
+    symbols = np.frombuffer(b"".join(texts), np.uint64)
     starts = np.zeros(len(symbols), bool)
-    sizes = np.fromiter((len(t) // 4 for t in texts), np.int64, len(texts))
+    sizes = np.fromiter((len(t) // 8 for t in texts), np.int64, len(texts))
     starts[np.cumsum(sizes) - sizes] = True
     return symbols, starts
 
@@ -129,26 +156,33 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def pair_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    return mix64(context + symbol * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
-
-
 class Tree:
-    """Retained contexts by depth. Per depth: sorted context hashes with the
-    mass g left to the suffix, and sorted (context, next) hashes with the own
-    part of P(x|s)."""
+    """The part of the tree that a slice needs: retained contexts by depth. Per
+    depth: sorted context hashes with the mass g left to the suffix, and sorted
+    (context, next) hashes with the own part of P(x|s)."""
 
-    def __init__(self, root: np.ndarray):
-        self.root = root  # probability of each symbol
+    def __init__(self, root: np.ndarray, words: tuple | None = None):
+        self.root = root  # probability of each symbol that is looked up
+        self.words = words or (np.empty(0, np.uint64), np.empty(0))  # sorted hashes of other symbols, their probabilities
         self.levels: list[tuple] = []
 
     def add(self, contexts, left, pairs, own) -> None:
         i, j = np.argsort(contexts), np.argsort(pairs)
         self.levels.append((contexts[i], left[i], pairs[j], own[j]))
 
+    def roots(self, symbols: np.ndarray) -> np.ndarray:
+        """P0 of each symbol; 1 for a word that is neither looked up nor in
+        ``words``, which no context has as a next symbol."""
+        p, rare = np.ones(len(symbols)), symbols >= len(self.root)
+        p[~rare] = self.root[symbols[~rare].astype(np.int64)]
+        at = _find(self.words[0], pair_keys(np.zeros(int(rare.sum()), np.uint64), symbols[rare]))
+        if len(self.words[0]):
+            p[rare] = np.where(at >= 0, self.words[1][np.maximum(at, 0)], 1.0)
+        return p
+
     def probabilities(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """P(symbol | its longest retained suffix) at each position."""
-        p = self.root[symbols.astype(np.int64)]
+        p = self.roots(symbols)
         if not self.levels:
             return p
         alive = np.arange(len(symbols))
@@ -162,86 +196,80 @@ class Tree:
         return p
 
 
-def _count_pairs(tree: Tree, depth: int, held: np.ndarray | None):
-    """(context, suffix, symbol, n, parent) for contexts of ``depth`` whose
-    suffix is retained; ``held``: sorted hashes of contexts frequent enough."""
+def _count_grams(longest: int):
+    """(key, k, prefix, suffix, n, slice): the distinct grams of each slice, with
+    their number in training texts; prefix and suffix have one symbol less."""
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                texts = b.column(0).slice(at, 256).to_pylist()
-                symbols, starts = joined(texts)
-                keys = context_keys(symbols, starts, depth)
-                use = keys[-1] != 0
-                if held is not None:
-                    use &= _find(held, keys[-1]) >= 0
-                idx = np.flatnonzero(use)
-                if not len(idx):
+            slices = b.column(0).to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(slices)) + 1, [len(slices)]])
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
                     continue
-                found = np.empty(len(idx), [("c", np.uint64), ("x", np.uint32)])
-                found["c"], found["x"] = keys[-1][idx], symbols[idx]
-                order = np.lexsort((found["x"], found["c"]))
-                c, x = found["c"][order], found["x"][order]
-                new = np.concatenate([[True], (c[1:] != c[:-1]) | (x[1:] != x[:-1])])
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(c)))
-                # the suffix's own probability of the symbol is the same wherever the pair stands
-                parent = tree.probabilities(symbols, starts)[idx][order][first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[first].view(np.int64)), pa.array(x[first].astype(np.int32)), pa.array(n, pa.int64()), pa.array(parent)],
-                    ["context", "symbol", "n", "parent"])
+                texts = b.column(2).slice(lo, hi - lo).to_pylist()
+                symbols, starts = joined(texts)
+                learn = np.repeat(~b.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False), [len(t) // 8 for t in texts]).astype(np.int64)
+                grams = gram_keys(symbols, starts, longest)
+                for k in range(1, longest + 1):
+                    idx = np.flatnonzero(grams[k - 1])
+                    if not len(idx):
+                        break
+                    idx = idx[np.argsort(grams[k - 1][idx])]
+                    key = grams[k - 1][idx]
+                    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                    at, zero = idx[first], np.zeros(len(first), np.uint64)
+                    as_long = lambda x: pa.array(x.view(np.int64))
+                    yield pa.RecordBatch.from_arrays(
+                        [as_long(key[first]), pa.array(np.full(len(first), k, np.int32)), as_long(grams[k - 2][at - 1] if k > 1 else zero),
+                         as_long(grams[k - 2][at] if k > 1 else zero), pa.array(np.add.reduceat(learn[idx], first)),
+                         pa.array(np.full(len(first), slices[lo]))], ["key", "k", "prefix", "suffix", "n", "slice"])
     return run
 
 
-def _count_contexts(tree: Tree, depth: int):
-    """(context, n): contexts of ``depth`` whose suffix is retained."""
-    def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                symbols, starts = joined(b.column(0).slice(at, 256).to_pylist())
-                keys = context_keys(symbols, starts, depth)
-                use = keys[-1] != 0
-                if depth > 1:
-                    use &= _find(tree.levels[depth - 2][0], keys[-2]) >= 0
-                c, n = np.unique(keys[-1][use], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.array(n, pa.int64())], ["context", "n"])
-    return run
+def frequent_grams(table: DataFrame, least: float, longest: int) -> DataFrame:
+    """(key, k, prefix, suffix, n, slices): grams of ``longest`` symbols at most
+    that training texts hold ``least`` times, with the slices that hold them."""
+    found = table.select("slice", "held_out", "symbols").mapInArrow(
+        _count_grams(longest), "key long, k int, prefix long, suffix long, n long, slice long")
+    return (found.groupBy("key").agg(F.min("k").alias("k"), F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"),
+                                     F.sum("n").alias("n"), F.collect_list("slice").alias("slices"))
+            .where(F.col("n") >= least))
 
 
-def grow(symbols: DataFrame, root: np.ndarray, total: int, depth: int = DEPTH, p_min: float = P_MIN,
-         min_gain: float = MIN_GAIN, min_total: float = MIN_TOTAL, discount: float = DISCOUNT) -> Tree:
-    """The tree over the training texts' ``symbols``."""
-    tree, least = Tree(root), max(MIN_COUNT, p_min * total)
+def grow(grams: DataFrame, words: DataFrame, depth: int = DEPTH, min_gain: float = MIN_GAIN, min_total: float = MIN_TOTAL,
+         discount: float = DISCOUNT) -> list[tuple[DataFrame, DataFrame]]:
+    """The tree over frequent ``grams``, per depth: (context, left) of retained
+    contexts and (key, own) of their next symbols; ``words`` are P0 (key, p)."""
+    levels, known, suffixes = [], words, None
     for d in range(1, depth + 1):
-        counts = (symbols.mapInArrow(_count_contexts(tree, d), "context long, n long").groupBy("context")
-                  .agg(F.sum("n").alias("n")).where(F.col("n") >= least))
-        held = np.sort(np.array([r[0] for r in counts.select("context").collect()], np.int64).view(np.uint64))  # at most 1 / p_min
-        if not len(held):
-            break
-        pairs = (symbols.mapInArrow(_count_pairs(tree, d, held), "context long, symbol int, n long, parent double")
-                 .groupBy("context", "symbol").agg(F.sum("n").alias("n"), F.max("parent").alias("parent")))
-        pairs = materialize(pairs, "pst-pairs")
-        whole = pairs.groupBy("context").agg(F.sum("n").alias("all"))
-        kept = pairs.where(F.col("n") >= least).withColumn("part", F.greatest(F.col("n") - discount, F.lit(0.0)))
-        mass = kept.groupBy("context").agg(F.sum("part").alias("own"), F.sum("n").alias("seen"))
-        states = (whole.join(mass, "context", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
-                  .withColumn("left", 1 - F.col("own") / F.col("all")))
-        gain = (kept.join(states.select("context", "all", "left"), "context")
-                .withColumn("p", F.col("part") / F.col("all") + F.col("left") * F.col("parent"))
+        # any symbol but the end has a next one: a context's occurrences are those of its gram
+        contexts = grams.where(F.col("k") == d).select(F.col("key").alias("context"), F.col("n").alias("all"), F.col("suffix").alias("_s"))
+        if suffixes is not None:
+            contexts = contexts.join(suffixes.select(F.col("context").alias("_s")), "_s", "left_semi")
+        parents = known.select(F.col("key").alias("_p"), F.col("p").alias("parent"))
+        kept = (grams.where(F.col("k") == d + 1).select("key", "n", F.col("prefix").alias("context"), F.col("suffix").alias("_p"))
+                .join(contexts.drop("_s"), "context").join(parents, "_p").drop("_p")
+                .withColumn("part", F.greatest(F.col("n") - discount, F.lit(0.0))))
+        kept = materialize(kept, "pst-pairs")
+        mass = (kept.groupBy("context").agg(F.sum("part").alias("own"), F.sum("n").alias("seen"), F.first("all").alias("all"))
+                .withColumn("left", 1 - F.col("own") / F.col("all")))
+        p = F.col("part") / F.col("all") + F.col("left") * F.col("parent")
+        gain = (kept.join(mass.select("context", "left"), "context").withColumn("p", p)
                 .groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("p") / F.col("parent"))).alias("gain")))
         # symbols without a part of their own are all left * parent
-        rest = (F.col("all") - F.coalesce("seen", F.lit(0))) * F.log("left")
-        chosen = (states.join(gain, "context").withColumn("gain", F.col("gain") + F.coalesce(F.when(F.col("all") > F.col("seen"), rest), F.lit(0.0)))
-                  .where((F.col("gain") >= min_total) & (F.col("gain") >= min_gain * F.col("all"))).select("context", "all", "left"))
-        model = kept.join(chosen, "context").select("context", "symbol", (F.col("part") / F.col("all")).alias("own"), "left").toPandas()
-        if model.empty:
+        rest = (F.col("all") - F.col("seen")) * F.log("left")
+        chosen = (mass.join(gain, "context").withColumn("gain", F.col("gain") + F.coalesce(F.when(F.col("all") > F.col("seen"), rest), F.lit(0.0)))
+                  .where((F.col("gain") >= min_total) & (F.col("gain") >= min_gain * F.col("all"))).select("context", "left"))
+        suffixes = materialize(chosen, "pst-contexts")
+        if suffixes.isEmpty():
             break
-        context = model["context"].to_numpy(np.int64).view(np.uint64)
-        contexts, first = np.unique(context, return_index=True)
-        tree.add(contexts, model["left"].to_numpy()[first], pair_keys(context, model["symbol"].to_numpy().astype(np.uint64)), model["own"].to_numpy())
-    return tree
+        known = materialize(kept.join(suffixes, "context").select("key", (F.col("part") / F.col("all")).alias("own"), p.alias("p")), "pst-model")
+        levels.append((suffixes, known.select("key", "own")))
+    return levels
 
 
-def score(docs: DataFrame, train, hot_words: int = HOT_WORDS, **options) -> DataFrame:
+def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int = DEPTH, p_min: float = P_MIN,
+          lookup_words: int = LOOKUP_WORDS, **options) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row; ``train`` (a boolean column) marks the rows to learn from."""
     spark = docs.sparkSession
@@ -255,10 +283,12 @@ def score(docs: DataFrame, train, hot_words: int = HOT_WORDS, **options) -> Data
     facts = vocabulary.agg(F.sum("n"), F.count(F.lit(1)), F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))).first()
     total, distinct = (facts[0] or 0) + docs_n, facts[1] + (docs_n > 0)
     d0 = facts[2] / max(1, facts[2] + 2 * facts[3]) or 0.5
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(hot_words).select("h", "word", "n").collect()  # at most hot_words
+    classes = hot_words is not None
+    top = (vocabulary.orderBy(F.desc("n"), "word").limit(hot_words if classes else lookup_words)
+           .select("h", "word", "n").collect())  # at most hot_words or lookup_words
     hot_count = np.array([docs_n, 0, *(r["n"] for r in top)], float)
-    table = x.mapInArrow(_symbolise([bytes(r["word"]) for r in top]),
-                         f"doc_id {ids}, held_out boolean, symbols binary, cold array<long>, times array<int>")
+    table = x.mapInArrow(_symbolise([bytes(r["word"]) for r in top], classes),
+                         f"doc_id {ids}, held_out boolean, slice long, symbols binary, cold array<long>, times array<int>")
     table = materialize(table.withColumn("row", F.monotonically_increasing_id()), "pst-symbols")
 
     base = total + 0.1 * (distinct + 1)
@@ -269,36 +299,60 @@ def score(docs: DataFrame, train, hot_words: int = HOT_WORDS, **options) -> Data
     if not total:  # one kind of token, unknown
         root[:] = 1.0
     base_log = np.where(known, np.log10((hot_count + 0.1) / base), 0.0)
-    tree = grow(table.where(~F.col("held_out")).select("symbols"), root, total, **options) if total else Tree(root)
-
-    # words outside the hot list: counts by a join on the word's hash
+    if total:
+        grams = materialize(frequent_grams(table, max(MIN_COUNT, p_min * total), depth + 1), "pst-grams")
+        other = int(pair_keys(np.zeros(1, np.uint64), np.array([OTHER], np.uint64)).view(np.int64)[0])
+        words = grams.where("k = 1").select("key", F.when(F.col("key") == other, float(root[OTHER])).otherwise((F.col("n") - d0) / total).alias("p"))
+        # level 0: words outside the broadcast list, if they are symbols
+        looked = pair_keys(np.zeros(len(root), np.uint64), np.arange(len(root), dtype=np.uint64)).view(np.int64)
+        looked = F.broadcast(spark.createDataFrame([(int(h),) for h in looked], "key long"))  # at most lookup_words
+        parts = [words.join(looked, "key", "left_anti").select("key", F.lit(0).alias("d"), F.lit(False).alias("pair"), F.col("p").alias("value"))]
+        for d, (contexts, pairs) in enumerate(grow(grams, words, depth, **options), 1):
+            parts += [contexts.select(F.col("context").alias("key"), F.lit(d).alias("d"), F.lit(False).alias("pair"), F.col("left").alias("value")),
+                      pairs.select("key", F.lit(d).alias("d"), F.lit(True).alias("pair"), F.col("own").alias("value"))]
+        states = parts[0]
+        for part in parts[1:]:
+            states = states.union(part)
+        states = states.join(grams.select("key", "slices"), "key").select(F.explode("slices").alias("slice"), "key", "d", "pair", "value")
+    else:
+        states = spark.createDataFrame([], "slice long, key long, d int, pair boolean, value double")
+
+    # words outside the broadcast list: counts by a join on the word's hash
     cold = table.select("row", F.explode(F.arrays_zip("cold", "times")).alias("w")).select("row", F.col("w.cold").alias("h"), F.col("w.times").alias("times"))
     hot = spark.createDataFrame([(r["h"],) for r in top], "h long")
-    rare = vocabulary.select("h", "n").join(F.broadcast(hot), "h", "left_anti")  # hot: at most hot_words
+    rare = vocabulary.select("h", "n").join(F.broadcast(hot), "h", "left_anti")  # hot: at most lookup_words
     c = F.coalesce("n", F.lit(0))
-    p0 = F.when(c > 0, (c - d0) / max(1, total)).otherwise(unknown if total else 0.1 / base)
+    p0 = F.when(c > 0, F.greatest(c - d0, F.lit(1e-9)) / max(1, total)).otherwise(unknown if total else 0.1 / base)
     cold = (cold.join(rare, "h", "left").groupBy("row")
             .agg(F.sum(F.col("times") * F.log10((c + 0.1) / base)).alias("cold_base"),
                  F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("cold_known"),
-                 F.sum(F.col("times") * F.log10(p0 / float(root[OTHER]))).alias("cold_score")))
-
-    def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                texts = part.column(2).to_pylist()
-                symbols, starts = joined(texts)
-                logs = np.log10(np.maximum(tree.probabilities(symbols, starts), 1e-300))
-                s = symbols.astype(np.int64)
-                begin = np.flatnonzero(starts)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(3), pa.array(np.diff(np.append(begin, len(s)))),
-                     pa.array(np.add.reduceat(known[s].astype(np.int64), begin)),
-                     pa.array(np.add.reduceat(base_log[s], begin)), pa.array(np.add.reduceat(logs, begin))],
-                    ["doc_id", "held_out", "row", "n_tokens", "hot_known", "hot_base", "hot_score"])
-
-    hot_part = table.select("doc_id", "held_out", "symbols", "row").mapInArrow(
-        run, f"doc_id {ids}, held_out boolean, row long, n_tokens long, hot_known long, hot_base double, hot_score double")
+                 F.sum(F.col("times") * F.log10(p0)).alias("cold_score")))
+
+    def run(texts, found):
+        key, d = found["key"].to_numpy().view(np.uint64), found["d"].to_numpy()
+        pair, value = found["pair"].to_numpy(), found["value"].to_numpy()
+
+        def pick(level, of_pair):
+            at = (d == level) & (pair == of_pair)
+            keys, first = np.unique(key[at], return_index=True)
+            return keys, value[at][first]
+
+        tree = Tree(root, pick(0, False))
+        for level in range(1, int(d.max()) + 1 if len(d) else 1):
+            tree.add(*pick(level, False), *pick(level, True))
+        symbols, starts = joined(texts["symbols"].to_pylist())
+        logs = np.log10(np.maximum(tree.probabilities(symbols, starts), 1e-300))
+        begin = np.flatnonzero(starts)
+        rare = (symbols >= len(root)) | (symbols == OTHER)  # their P0 is in ``cold``
+        logs[rare] -= np.log10(tree.roots(symbols[rare]))
+        s = np.where(rare, OTHER, symbols).astype(np.int64)
+        return pa.table([texts["doc_id"], texts["held_out"], texts["row"], pa.array(np.diff(np.append(begin, len(s)))),
+                         pa.array(np.add.reduceat(known[s].astype(np.int64), begin)),
+                         pa.array(np.add.reduceat(base_log[s], begin)), pa.array(np.add.reduceat(logs, begin))],
+                        ["doc_id", "held_out", "row", "n_tokens", "hot_known", "hot_base", "hot_score"])
+
+    hot_part = (table.select("slice", "doc_id", "held_out", "symbols", "row").groupBy("slice").cogroup(states.groupBy("slice"))
+                .applyInArrow(run, f"doc_id {ids}, held_out boolean, row long, n_tokens long, hot_known long, hot_base double, hot_score double"))
     none = F.lit(0)
     return hot_part.join(cold, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("hot_known") + F.coalesce("cold_known", none)).cast("long").alias("n_known"),

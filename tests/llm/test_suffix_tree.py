@@ -127,3 +127,19 @@ def test_nothing_to_learn_and_empty(docs, table, spark):
     r = queries()["op2_suffix_tree"](spark, table(documents=docs([(held, "a b")]))).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and math.isclose(r.base_score, r.score)
     assert queries()["op2_suffix_tree"](spark, table(documents=docs([]))).count() == 0
+
+
+def test_passages_seen_a_few_times_are_learned_in_a_large_corpus(docs):
+    """The threshold doesn't rise with the number of tokens, nor is the tree cut
+    to the words of the broadcast list."""
+    rnd = random.Random(5)
+    passage = "seldom quoted lines return"
+    rows = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(6000))) for i in range(400)]
+    learned = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 10][:4]
+    rows += [(i, f"{passage} u{max(0, k - 1)}") for k, i in enumerate(learned)]
+    want, states = brute(rows, None, st.DEPTH, 0.0, st.MIN_GAIN, st.MIN_TOTAL, st.DISCOUNT)
+    assert 2e-6 * next(iter(want.values()))[3] > len(learned) and (b"seldom",) in states
+    want = {w[0]: w[5] for w in want.values()}
+    for lookup in (4, st.LOOKUP_WORDS):
+        got = st.score(docs(rows), crc_mod("doc_id", 10) != 0, lookup_words=lookup).collect()
+        assert len(got) == len(rows) and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-7) for r in got)
