@@ -144,11 +144,17 @@ def by_ids(df: DataFrame, ids: DataFrame, how: str, limit: int = BROADCAST_IDS)
     return df.join(side, df["doc_id"].eqNullSafe(side["__ids_key"]), how)
 
 
-def bounded_sample(rows: DataFrame, most: int, seed: int) -> DataFrame:
-    """Rows whose seeded hash of doc_id is low, about ``most`` of them in all
-    (every row while there are no more). Deterministic."""
+def bounded_sample(rows: DataFrame, most: int, seed: int, by: str | None = None) -> DataFrame:
+    """Rows whose seeded hash of doc_id is low, about ``most`` of them in all,
+    or of each value of ``by`` (every row while there are no more).
+    Deterministic."""
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30))
+    if by:
+        large = rows.groupBy(by).count().where(F.col("count") > most).collect()
+        for r in large:
+            rows = rows.where(~F.col(by).eqNullSafe(F.lit(r[0])) | (place < int(most / r[1] * (1 << 30))))
+        return rows
     n = rows.count()
     if n <= most:
         return rows
-    share = int(most / n * (1 << 30))
-    return rows.where(F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) < share)
+    return rows.where(place < int(most / n * (1 << 30)))

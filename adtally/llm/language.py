@@ -10,11 +10,17 @@ scores scaled to at most ``SHARP`` words.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.
 
-The model is fitted on a bounded sample, about ``train_docs`` documents chosen
-by a seeded hash of their id; counting is a Spark aggregation, and the most
-frequent ``max_words`` words and ``max_grams`` n-grams are kept, which bounds
-the broadcast (16 bytes and one float per language each, some 20 MB at 16
-languages). Prediction is map-side over whole texts, without a shuffle.
+A frequency is (1 - FLOOR) n / N of the language plus FLOOR times that of all
+languages together, so what a language has not seen costs every language the
+same, however few rows it has.
+
+The model is fitted on a bounded sample, about ``train_docs`` documents of each
+language chosen by a seeded hash of their id (all of a language with no more);
+counting is a Spark aggregation. The ``max_words`` words and ``max_grams``
+n-grams most frequent in all are kept from 3 occurrences on, and besides those
+at most the ``own`` most frequent words and n-grams of each length of every language,
+which bounds the broadcast (8 bytes and one float per language each, some 45 MB
+at 16 languages). Prediction is map-side over whole texts, without a shuffle.
 
 Defined results: documents with a null id, text or language are not learned
 from; a text that is null or has no letter is ``und`` with score 0; with
@@ -31,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (WordHashes, bounded_sample, crc_mod, materialize, mix64, read_table, small_batches, text_slices,
@@ -40,6 +46,8 @@ from .common import (WordHashes, bounded_sample, crc_mod, materialize, mix64, re
 TRAIN_DOCS = 20_000
 MAX_WORDS = 100_000
 MAX_GRAMS = 100_000
+OWN_KEYS = 5_000
+FLOOR = 0.01
 MIN_COUNT = 3
 LONGEST = 4
 NGRAM_WEIGHT = 1.0
@@ -129,32 +137,43 @@ class Model:
         return out
 
 
-def fit(rows: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model | None:
+def fit(rows: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS,
+        own: int = OWN_KEYS) -> Model | None:
     """Model from (doc_id, text, lang); None if there is nothing to learn."""
     small_batches(rows.sparkSession)
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sample = bounded_sample(rows.select("doc_id", "text", "lang"), train_docs, SEED)
+    sample = bounded_sample(rows.select("doc_id", "text", "lang"), train_docs, SEED, "lang")
     counts = (sample.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
               .mapInArrow(_count, "lang string, kind long, key long, n long")
               .groupBy("kind", "key", "lang").agg(F.sum("n").alias("n")))
     counts = materialize(counts, "lang-counts")
-    totals = {(r["kind"], r["lang"]): (r["n"], r["v"]) for r in
-              counts.groupBy("kind", "lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
+    totals = {(r["kind"], r["lang"]): r["n"] for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({lang for _, lang in totals})
     if not langs:
         return None
-    keys = (counts.groupBy("kind", "key").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-            .where(F.col("all") >= MIN_COUNT))
+    # the most frequent keys of each language and kind: where a histogram of (count, 1/64 of the keys) reaches ``own``
+    place = F.struct((-F.col("n")).alias("n"), F.pmod("key", F.lit(64)).alias("part"))
+    steps = counts.select("kind", "lang", place.alias("place")).groupBy("kind", "lang", "place").agg(F.count(F.lit(1)).alias("k"))
+    so_far = F.sum("k").over(Window.partitionBy("kind", "lang").orderBy("place"))
+    last = steps.withColumn("k", so_far).where(F.col("k") <= own).groupBy("kind", "lang").agg(F.max("place").alias("last"))
+    last = materialize(last, "lang-own")  # a row for each language and kind
+    mine = counts.join(F.broadcast(last), ["kind", "lang"], "left").withColumn("own", F.coalesce(place <= F.col("last"), F.lit(False)))
+    keys = materialize(mine.groupBy("kind", "key").agg(F.sum("n").alias("all"), F.max("own").alias("own"),
+                                                       F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+                       .where((F.col("all") >= MIN_COUNT) | F.col("own")), "lang-keys")
+    columns = ["key", "all", *[F.coalesce(F.col("by")[lang], F.lit(0)).alias(f"n{i}") for i, lang in enumerate(langs)]]
     tables = {}
     for kind in range(LONGEST + 1):
         most = max_words if kind == 0 else max_grams // LONGEST
-        kept = (keys.where(F.col("kind") == kind).orderBy(F.desc("all"), "key").limit(most)
-                .select("key", *[F.coalesce(F.col("by")[lang], F.lit(0)).alias(f"n{i}") for i, lang in enumerate(langs)]).toPandas())
+        there = keys.where(F.col("kind") == kind)
+        kept = pd.concat([there.where(F.col("all") >= MIN_COUNT).orderBy(F.desc("all"), "key").limit(most).select(*columns).toPandas(),
+                          there.where("own").select(*columns).toPandas()]).drop_duplicates("key")
         k = kept["key"].to_numpy(np.int64).view(np.uint64)
         n = kept[[f"n{i}" for i in range(len(langs))]].to_numpy(np.float64)
-        total = np.array([totals.get((kind, lang), (0, 0)) for lang in langs], float)
+        total = np.array([totals.get((kind, lang), 0) for lang in langs], float)
+        share = kept["all"].to_numpy(np.float64)[:, None] / max(1.0, total.sum())
         order = np.argsort(k)
-        tables[kind] = (k[order], np.log((n + 0.5) / (total[:, 0] + 0.5 * (total[:, 1] + 1))).astype(np.float32)[order])
+        tables[kind] = (k[order], np.log((1 - FLOOR) * n / np.maximum(total, 1) + FLOOR * share).astype(np.float32)[order])
     return Model(langs, tables) if any(len(k) for k, _ in tables.values()) else None
 
 

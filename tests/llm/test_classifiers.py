@@ -89,6 +89,28 @@ def test_language_words_then_characters(docs):
     assert [r.lang_pred for r in language.predict(docs(odd[:1]), None).collect()] == ["und"]
 
 
+@pytest.mark.parametrize("rare", [1, 10])
+def test_a_rare_language_takes_no_texts_of_common_ones(spark, rare):
+    """Held-out accuracy with all Spanish rows but a few taken from the training rows."""
+    given = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    train = given.where("doc_id % 8 < 4")
+    train = train.where("lang <> 'es'").union(train.where("lang = 'es'").orderBy("doc_id").limit(rare))
+    held = given.where("doc_id % 8 = 4")
+    out = language.predict(held, language.fit(train)).select("lang", "lang_pred").collect()
+    assert len(out) > 1000
+    for lang in {r.lang for r in out}:
+        right = np.mean([r.lang_pred == lang for r in out if r.lang == lang])
+        assert right > (0.9 if lang == "es" else 0.98), (lang, right)
+
+
+def test_language_sample_is_bounded_by_language(docs):
+    rows = docs([(i, "the dog and the cat running", "en") for i in range(3000)] + [(5000 + i, "el perro corre", "es") for i in range(5)])
+    model = language.fit(rows, train_docs=100, max_words=4, max_grams=8, own=20)
+    assert model.langs == ["en", "es"]
+    out = {r.doc_id: r.lang_pred for r in language.predict(docs([(1, "perro corre"), (2, "dog running")]), model).collect()}
+    assert out == {1: "es", 2: "en"}
+
+
 def test_language_score_is_the_stated_backoff(docs):
     model = language.fit(docs([(i, "abcd abce", "x") for i in range(5)] + [(9 + i, "zbcd qqqq", "y") for i in range(5)]))
     hashes = language.WordHashes()
