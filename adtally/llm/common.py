@@ -133,15 +133,15 @@ def with_global_offset(parts: DataFrame, part: str, order: list, value: str, out
 BROADCAST_IDS = 1 << 20
 
 
-def by_ids(df: DataFrame, ids: DataFrame, how: str, limit: int = BROADCAST_IDS) -> DataFrame:
+def by_ids(df: DataFrame, ids: DataFrame, how: str, limit: int = BROADCAST_IDS, on: str = "doc_id") -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``df`` by the one column of ``ids``
-    against df.doc_id (null equals null). ``ids`` must be materialised; it is
-    broadcast while it has at most ``limit`` rows, else both sides shuffle."""
+    against the column ``on`` (null equals null). ``ids`` must be materialised;
+    it is broadcast while it has at most ``limit`` rows, else both sides shuffle."""
     key = ids.columns[0]
     side = ids.select(F.col(key).alias("__ids_key"))
     if ids.count() <= limit:
         side = F.broadcast(side)
-    return df.join(side, df["doc_id"].eqNullSafe(side["__ids_key"]), how)
+    return df.join(side, df[on].eqNullSafe(side["__ids_key"]), how)
 
 
 def bounded_sample(rows: DataFrame, most: int, seed: int, by: str | None = None) -> DataFrame:

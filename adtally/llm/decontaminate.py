@@ -185,10 +185,11 @@ def covered(spans):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents, all columns kept, that hold no benchmark window. Rows
-    are matched by id; a null id or an id on several rows goes if any goes."""
-    bad = find(docs, benchmark, **options).where(F.size("item_ids") > 0).select("doc_id").distinct()
-    return by_ids(docs, materialize(bad, "decon-bad"), "left_anti")
+    """The documents, all columns kept, that hold no benchmark window. Each row
+    is judged by its own text (matched by a 64-bit hash), whatever its id."""
+    text = F.xxhash64(F.col("text").cast("string"))
+    bad = find(docs.select(text.alias("doc_id"), "text"), benchmark, **options).where(F.size("item_ids") > 0).select("doc_id").distinct()
+    return by_ids(docs.withColumn("__text_hash", text), materialize(bad, "decon-bad"), "left_anti", on="__text_hash").select(*docs.columns)
 
 
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -271,11 +271,18 @@ def _explode_sets(batches):
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with all its columns, one row of each class: that of its
-    smallest doc_id. Rows that repeat an id count as one document."""
-    found = classes(docs, **options)
-    gone = materialize(found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id"), "dup-gone")
-    return by_ids(docs, gone, "left_anti")
+    """``docs`` with all its columns, one row of each class: one of its smallest
+    doc_id, a null id last. Rows are told apart by a 64-bit hash of id and text;
+    of rows equal in both any one stays. Texts without words all stay."""
+    key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").cast("string"))
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), key.alias("key")).alias("doc_id"), "text")
+    found = materialize(classes(named, **options).select(F.col("doc_id.key").alias("key"), "kept", "n_shingles"), "dup-found")
+    gone = materialize(found.where("not kept").select("key").distinct(), "dup-gone")
+    out = by_ids(docs.withColumn("__key", key), gone, "left_anti", on="__key")
+    again = materialize(found.where("kept and n_shingles > 0").groupBy("key").count().where("count > 1").select("key"), "dup-again")
+    if not again.isEmpty():
+        out = by_ids(out, again, "left_anti", on="__key").union(by_ids(out, again, "left_semi", on="__key").dropDuplicates(["__key"]))
+    return out.select(*docs.columns)
 
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:

@@ -59,3 +59,23 @@ def test_odd_documents(docs, table, spark, rows):
     assert out.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
     n = {r.doc_id: r.n for r in out.groupBy("doc_id").count().withColumnRenamed("count", "n").collect()}
     assert set(n) <= {1, 2, 3, 4, None} and (not rows or {3, 4} <= set(n))
+
+
+def test_null_and_repeated_ids_are_judged_row_by_row(docs, table, spark):
+    """A contaminated row doesn't take other rows of its id along, and copies
+    under a null or repeated id go, one row of each class staying."""
+    say = lambda tag: " ".join(f"{tag}{i}" for i in range(14))
+    rows = [(None, "x " + say("leak")), (None, say("fine")), (None, say("good")), (7, say("leak")), (7, say("seven")),
+            (None, say("copy")), (4, say("copy")), (5, say("copy")), (6, say("twice")), (6, say("twice")), (None, say("lone")), (None, say("lone")),
+            (9, say("first")), (9, say("other")), (8, say("other")), (None, None), (None, "")]
+    d = docs(rows).withColumn("part", F.lit("x"))
+    folder = table(documents=d, benchmark=spark.createDataFrame([(1, say("leak"))], "item_id long, text string"))
+    order = lambda found: sorted(found, key=str)
+    after = corpus_pipeline.decontamination_stage(spark, d, folder)
+    assert after.columns == d.columns
+    assert order((r.doc_id, r.text) for r in after.collect()) == order(r for r in rows if "leak" not in (r[1] or ""))
+    kept = corpus_pipeline.near_dedup_stage(spark, d, folder)
+    want = [(None, say("fine")), (None, say("good")), (7, say("seven")), (4, say("copy")), (6, say("twice")), (None, say("lone")),
+            (9, say("first")), (8, say("other")), (None, None), (None, ""), (7, say("leak"))]
+    assert kept.columns == d.columns
+    assert order((r.doc_id, r.text) for r in kept.collect()) == order(want)
