@@ -5,7 +5,8 @@ Records: (record_id long, kind 'response' or 'revisit', url, ts long, status
 int, etag, last_modified, headers map<string,string>, body string).
 
 * Canonical URL: no scheme, fragment, default port, leading ``www.``, trailing
-  slash or ``utm_`` parameter; host in lower case; parameters sorted.
+  slash or ``utm_`` parameter; host in lower case; parameters sorted. A URL
+  without scheme and host is its own, trimmed and without fragment.
 * Latest earlier: the greatest (ts, record_id) before the revisit's among
   responses with status 200. Found as a running maximum cut into time slices
   per URL (``slice_seconds``), so that no task holds all records of one URL;
@@ -46,7 +47,8 @@ def canonical_url(url):
     rest = F.regexp_extract(bare, "^[a-zA-Z]+://[^/?]*(.*)$", 1)
     path = F.regexp_replace(F.regexp_extract(rest, r"^([^?]*)", 1), "/+$", "")
     kept = F.array_sort(F.filter(F.split(F.regexp_extract(rest, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~p.startswith("utm_")))
-    return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    full = F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    return F.when(host == "", F.trim(bare)).otherwise(full)
 
 
 def lower_names(headers):

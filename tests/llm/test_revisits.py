@@ -35,6 +35,15 @@ def test_canonical_urls(spark):
     assert {r.u: r.c for r in df.select("u", revisits.canonical_url(F.col("u")).alias("c")).collect()} == urls
 
 
+def test_urls_without_scheme_and_host_stay_apart(spark):
+    urls = {"dns:a.example": "dns:a.example", " urn:isbn:1#x": "urn:isbn:1", "//a.example/p": "//a.example/p", "a.example/p?b=1": "a.example/p?b=1"}
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert {r.u: r.c for r in df.select("u", revisits.canonical_url(F.col("u")).alias("c")).collect()} == urls
+    rows = [(1, "response", "dns:a.example", 1, 200, None, None, None, "a", "x"), (2, "revisit", "dns:b.example", 2, 304, None, None, None, None, "x")]
+    out = revisits.resolve(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r.record_id, r.outcome, r.body) for r in out] == [(2, "no-response", None)]
+
+
 def test_asof_equals_brute_force_on_a_hot_url(spark):
     rnd = random.Random(3)
     rows = []
