@@ -31,6 +31,15 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*written: DataFrame) -> None:
+    """Delete the files of ``materialize`` results that no later step reads."""
+    for df in written:
+        spark = df.sparkSession
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # Rows that one Arrow batch carries into a Python task (Spark's default: 10,000).
 BATCH_ROWS = 1_000
 

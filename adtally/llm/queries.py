@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, mixing, quality, revisits, suffix_tree, syncmers, tokens, toxicity
+from . import crosstoken, decontaminate, language, minhash, mixing, quality, revisits, suffix_tree, syncmers, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": mixing.op8_mixing,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_language": language.op10_language,
+        "op11_alignment": crosstoken.op11_alignment,
     }
 
 

@@ -1,0 +1,91 @@
+"""Cross-tokenizer alignment against a brute-force version."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from adtally.llm import crosstoken
+from adtally.llm.common import read_table
+from adtally.llm.tokens import tokenizer_file
+
+from llm_fixtures import docs  # noqa: F401
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_shared", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def pair():
+    return crosstoken.Pair(tokenizer_file(crosstoken.A_FILE), tokenizer_file(crosstoken.B_FILE))
+
+
+def literal(pair, texts):
+    """Rows of COLUMNS by plain loops over bytes."""
+    out, links, holds = [], [], Counter()
+    for text in texts:
+        ids = pair.encode([text.encode() if text is not None else None])[0]
+        a, b = ids or ([], [])
+        of = lambda tokens, table: [i for i, t in enumerate(tokens) for _ in table[t]]
+        byte_a, byte_b = of(a, pair.a_bytes), of(b, pair.b_bytes)
+        mine = set(zip(byte_a, byte_b))
+        groups, at_a, at_b = [], 0, 0
+        for i in range(len(byte_a)):
+            last = i + 1 == len(byte_a)
+            if last or (byte_a[i + 1] != byte_a[i] and byte_b[i + 1] != byte_b[i]):
+                groups.append((a[at_a:byte_a[i] + 1], b[at_b:byte_b[i] + 1]))
+                at_a, at_b = byte_a[i] + 1, byte_b[i] + 1
+        names = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        links.append([(a[i], b[j]) for i, j in mine])
+        holds.update(set(links[-1]))
+        out.append([len(a), len(b), len(groups), len(mine), sum(len(x) * len(y) for x, y in groups),
+                    hashlib.sha256(names.encode()).hexdigest() if ids else ""])
+    most = Counter()
+    for (x, _), n in holds.items():
+        most[x] = max(most[x], n)
+    return [(*r[:5], sum(holds[p] == most[p[0]] for p in mine), sum(holds[p] for p in mine), r[5]) for r, mine in zip(out, links)]
+
+
+def test_query_equals_the_literal_version(spark, pair):
+    docs = read_table(spark, SF, "documents").orderBy("doc_id").collect()
+    want = dict(zip([r.doc_id for r in docs], literal(pair, [r.text for r in docs])))
+    got = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in crosstoken.op11_alignment(spark, SF).collect()}
+    assert got == want
+    assert sum(r[5] for r in want.values()) < sum(r[3] for r in want.values())
+
+
+def test_odd_rows(spark, pair, docs):
+    texts = [None, "", " ", "a▁b", "<|endoftext|> <s> x", "naïve 漢字 \U0001F600\n\n\t tabs", "word " * 30_000, "the cat", "the cat", "́x"]
+    rows = [(i if i != 7 else 8, t) for i, t in enumerate(texts)] + [(None, "the cat"), (None, None)]
+    df = docs(rows).withColumnRenamed("lang", "slice").withColumnRenamed("source", "kind")
+    args = (tokenizer_file(crosstoken.A_FILE), tokenizer_file(crosstoken.B_FILE))
+    got = sorted((r.doc_id if r.doc_id is not None else -1, *[r[c] for c in COLUMNS]) for r in crosstoken.alignment(df, *args).collect())
+    want = sorted((i if i is not None else -1, *r) for (i, _), r in zip(rows, literal(pair, [t for _, t in rows])))
+    assert got == want
+    assert [r[1] for r in got if r[0] in (0, 1)] == [0, 0]
+    assert crosstoken.alignment(df.limit(0), *args).count() == 0
+
+
+def test_products(pair):
+    rng = np.random.default_rng(5)
+    dense = [rng.random((7, 9)) < 0.3, rng.random((5, 9)) < 0.3]
+
+    def csr(m):
+        return crosstoken.Csr(np.concatenate([[0], np.cumsum(m.sum(1))]), np.nonzero(m)[1], m.shape[1])
+
+    row, col, value = crosstoken.product(csr(dense[0]), csr(dense[1]).transposed())
+    full = dense[0].astype(int) @ dense[1].astype(int).T
+    assert list(zip(row, col, value)) == [(i, j, full[i, j]) for i, j in zip(*np.nonzero(full))]
+
+
+def test_shared_links_in_blocks(pair):
+    text = "uncharacteristically naïve tokenizations, 漢字かな! ".encode() * 3
+    a, b = pair.encode([text])[0]
+    a_group, b_group = crosstoken.group_of(pair.a_len[a], pair.b_len[b])
+    want = {(i, j) for i in range(len(a)) for j in range(len(b)) if a_group[i] == b_group[j]}
+    for block in (1, 5, 1 << 20):
+        got = [p for rows, cols in crosstoken.shared_links(a_group, b_group, block) for p in zip(rows.tolist(), cols.tolist())]
+        assert len(got) == len(want) and set(got) == want
