@@ -24,10 +24,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back: cuts
-    the lineage with files that survive a lost executor."""
+    the lineage with files that survive a lost executor. The write's own
+    shuffle files are deleted with its end, not at some later garbage collection."""
     spark = df.sparkSession
     path = shared_dir(spark, f"llm-{purpose}")
-    df.write.option("compression", "zstd").parquet(path)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(name, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

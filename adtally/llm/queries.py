@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, crosstoken, decontaminate, language, minhash, mixing, quality, revisits, suffix_tree, syncmers, tokens, toxicity
+from . import conversations, crosstoken, debruijn, decontaminate, language, minhash, mixing, quality, revisits, suffix_tree, syncmers, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op10_language": language.op10_language,
         "op11_alignment": crosstoken.op11_alignment,
         "op12_conversations": conversations.op12_conversations,
+        "op13_repeats": debruijn.op13_repeats,
     }
 
 
