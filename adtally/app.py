@@ -19,7 +19,8 @@ lag, and drops its rows that then come late).
 
 Each result is its own streaming query with its own checkpoint: exactly once
 into files, at least once into Kafka (record key: partner[:group]; the window
-bounds are in the value).
+bounds are in the value and in the headers, by which ``streaming.consume``
+reads each result once). ``adtally.compact`` compacts the display totals' log.
 """
 
 from __future__ import annotations
@@ -30,14 +31,12 @@ from dataclasses import dataclass, fields, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import CLICK, DEFAULT_RULES, IMPRESSION, RECORD_ORDER, STATE_SALTS, Rules, Topics, checkpoint_base, get_session
+from .config import CLICK, DEFAULT_RULES, IMPRESSION, RECORD_ORDER, STATE_BUCKET, STATE_SALTS, Rules, Topics, checkpoint_base, get_session
 from .functions import codec
 from .schemas import DISPLAY_KEY, RAW_RECORD_SCHEMA
 from .sources.topics import kafka_records
-from .streaming.queries import (
-    ROCKSDB_PROVIDER, changelog_writer, display_events_stream, display_metrics_stream, run_append, run_update,
-    run_windowed, start_stream,
-)
+from .streaming.consume import result_records
+from .streaming.queries import ROCKSDB_PROVIDER, display_metrics_stream, run_append, run_changelog, run_update, run_windowed
 
 
 @dataclass
@@ -54,6 +53,7 @@ class JobConfig:
     max_per_trigger: int | None = None
     rocksdb: bool = True
     state_salts: int = STATE_SALTS     # fixed for the life of a checkpoint
+    state_bucket: str = STATE_BUCKET   # likewise
     display_mode: str = "totals"       # "totals" (update mode) | "changelog" (one row per impression)
     event_time: str = "record"         # "record" | "payload"
     watermark_policy: str = "min"      # "min" | "max", see above
@@ -91,9 +91,9 @@ def start(spark: SparkSession, cfg: JobConfig) -> dict:
 
     imp, clk = (codec.valid_events(rows().where(F.col("kind") == k), envelope=True) for k in (IMPRESSION, CLICK))
 
-    def kafka_writer(key, names, topic):
+    def kafka_writer(key, names, topic, encode=result_records):
         def write(out: DataFrame, batch_id: int) -> None:
-            (codec.encode_records(out, key, names).write.format("kafka")
+            (encode(out, key, names).write.format("kafka")
                  .option("kafka.bootstrap.servers", cfg.bootstrap).option("topic", topic).save())
         return write
 
@@ -105,13 +105,12 @@ def start(spark: SparkSession, cfg: JobConfig) -> dict:
     for name, (key, names, topic) in windowed.items():
         writer = kafka_writer(key, names, topic) if cfg.sink == "kafka" else None
         started[name] = run_windowed(name, imp, clk, f"{cfg.output}/{name}", f"{cp_root}/{name}", cfg.rules,
-                                     cfg.available_now, cfg.trigger, cfg.state_salts, writer)
+                                     cfg.available_now, cfg.trigger, cfg.state_salts, writer, cfg.state_bucket)
     where, checkpoint = f"{cfg.output}/display_metrics", f"{cp_root}/display_metrics"
     if cfg.display_mode == "changelog":
-        writer = kafka_writer(list(DISPLAY_KEY), codec.DISPLAY_JSON_FIELDS, cfg.topics.display_metrics) if cfg.sink == "kafka" else None
-        started["display_metrics"] = start_stream(
-            display_events_stream(imp, clk), "append", changelog_writer(spark, where, f"{cp_root}/display_totals", cfg.rules, writer),
-            checkpoint, cfg.available_now, cfg.trigger)
+        writer = (kafka_writer(list(DISPLAY_KEY), codec.DISPLAY_JSON_FIELDS, cfg.topics.display_metrics, codec.encode_records)
+                  if cfg.sink == "kafka" else None)
+        started["display_metrics"] = run_changelog(imp, clk, where, checkpoint, cfg.rules, cfg.available_now, cfg.trigger, writer)
     elif cfg.sink == "kafka":
         out = codec.encode_records(display_metrics_stream(imp, clk), list(DISPLAY_KEY), codec.STREAM_DISPLAY_JSON_FIELDS)
         started["display_metrics"] = _to_kafka(out, "update", cfg, cfg.topics.display_metrics, checkpoint)
@@ -158,6 +157,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--watermark-delay", default=DEFAULT_RULES.watermark_delay)
     p.add_argument("--fraud-limit", type=int, default=DEFAULT_RULES.fraud_limit)
     p.add_argument("--state-salts", type=int, default=STATE_SALTS)
+    p.add_argument("--state-bucket", default=STATE_BUCKET)
     p.add_argument("--display-mode", choices=["totals", "changelog"], default="totals")
     p.add_argument("--event-time", choices=["record", "payload"], default="record")
     p.add_argument("--watermark-policy", choices=["min", "max"], default="min")
@@ -168,7 +168,7 @@ def main(argv: list[str] | None = None) -> None:
     cfg = JobConfig(source=a.source, input=a.input, input_format=a.input_format, bootstrap=a.bootstrap,
                     sink=a.sink, output=a.output, checkpoint_root=a.checkpoint_root,
                     available_now=a.available_now, trigger=a.trigger, max_per_trigger=a.max_per_trigger,
-                    state_salts=a.state_salts, display_mode=a.display_mode, event_time=a.event_time,
+                    state_salts=a.state_salts, state_bucket=a.state_bucket, display_mode=a.display_mode, event_time=a.event_time,
                     watermark_policy=a.watermark_policy, topics=topics_of(a), rules=rules)
     spark = get_session()
     queries = start(spark, cfg)

@@ -125,7 +125,6 @@ def queries() -> dict[str, Query]:
         "sink_roundtrip_group": sink_roundtrip_group,
         "sink_roundtrip_display": sink_roundtrip_display,
     }
-    for name in ("stream_partner_billing", "stream_group_fraud_5min", "stream_partner_group_metrics",
-                 "stream_display_metrics", "stream_display_changelog", "stream_billing_restart"):
-        q[name] = getattr(streams, name)
+    for run in streams.STREAMS:
+        q[run.__name__] = run
     return q

@@ -38,6 +38,10 @@ TOPIC_DEAD_LETTER = "ad-streams-dlq"
 # tasks) the clicks of one placement are spread over. Part of the state key,
 # so it must stay the same for the life of a checkpoint.
 STATE_SALTS = 4
+# Width of the time buckets that cut an open window's clicks in the state: an
+# array holds the clicks of one placement in one bucket, divided by the salts.
+# Part of the state key as well.
+STATE_BUCKET = "1 second"
 
 IMPRESSION = "impression"
 CLICK = "click"

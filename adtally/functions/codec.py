@@ -131,11 +131,13 @@ def json_value(df: DataFrame, fields: Sequence[tuple[str, str]]) -> Column:
                           "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss"})
 
 
-def encode_records(df: DataFrame, key_cols: Sequence[str], fields: Sequence[tuple[str, str]]) -> DataFrame:
+def encode_records(df: DataFrame, key_cols: Sequence[str], fields: Sequence[tuple[str, str]],
+                   keep: Sequence[str] = ()) -> DataFrame:
     """(key, value) text records for a Kafka or file sink: key is the
-    ``:``-joined key columns, value the JSON payload."""
+    ``:``-joined key columns, value the JSON payload; ``keep`` names columns
+    of ``df`` that go along (headers)."""
     key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in key_cols])
-    return df.select(key.alias("key"), json_value(df, fields).alias("value"))
+    return df.select(key.alias("key"), json_value(df, fields).alias("value"), *keep)
 
 
 BILLING_JSON_FIELDS = (

@@ -303,4 +303,29 @@ SELECT * FROM pgm WHERE window_end <= {_slower_source()}"""
     q["stream_billing_restart"] = q["stream_partner_billing"]
     q["stream_display_metrics"] = q["display_metrics"]
     q["stream_display_changelog"] = q["display_metrics_changelog"]
+    q["stream_display_restart"] = q["display_metrics_changelog"]
+    q["stream_partner_group_metrics_join"] = q["stream_partner_group_metrics"]
+    q["stream_late_clicks"] = q["late_click_filter"]
+    # The totals after each quarter of the time range, of the displays with an
+    # event in that quarter.
+    q["stream_display_update_log"] = _with("""
+cuts AS (
+  SELECT *, (epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM ad)) * 4
+            // ((SELECT max(epoch_us(ts)) - min(epoch_us(ts)) FROM ad) + 1) AS q
+  FROM ad
+),
+changed AS (SELECT DISTINCT q, partner_id, group_id, display_target, display_id FROM cuts),
+totals AS (
+  SELECT d.q AS "trigger", d.partner_id, d.group_id, d.display_target, d.display_id,
+         CAST(count(*) FILTER (WHERE c.kind = 'impression') AS BIGINT) AS impression_count,
+         CAST(count(*) FILTER (WHERE c.kind = 'click') AS BIGINT) AS click_count
+  FROM changed d JOIN cuts c ON c.partner_id = d.partner_id AND c.group_id = d.group_id
+    AND c.display_target = d.display_target AND c.display_id = d.display_id AND c.q <= d.q
+  GROUP BY ALL
+)""") + "SELECT * FROM totals WHERE impression_count > 0"
+    q["stream_decode_fanout"] = _with(_RECORDS) + """
+SELECT topic, "partition", "offset", error_reason,
+       CASE WHEN error_reason IS NULL THEN 'good' ELSE 'dead_letter' END AS "output"
+FROM dec"""
+    q["stream_result_dedup"] = q["encode_billing_json"].replace("FROM billing", ", window_start, window_end\nFROM billing")
     return q

@@ -58,9 +58,10 @@ def display_metrics(ad: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 
 def display_metrics_changelog(ad: DataFrame, rules: Rules = DEFAULT_RULES,
-                              slice_duration: str = CHANGELOG_SLICE) -> DataFrame:
+                              slice_duration: str = CHANGELOG_SLICE, keep: tuple[str, ...] = ()) -> DataFrame:
     """JN-3: one row per impression, with the display's impression count
     including it and the clicks strictly before it (order ``rules.order``).
+    ``keep`` names further columns of ``ad`` to carry.
     """
     ev = _keyed(ad).withColumn("_slice", F.window("ts", slice_duration).start)
     run = running_sums(
@@ -70,7 +71,7 @@ def display_metrics_changelog(ad: DataFrame, rules: Rules = DEFAULT_RULES,
     )
     return (run.where(F.col("kind") == IMPRESSION)
                .select(*DISPLAY_KEY, *[o for o in rules.order if o != "ts"], F.col("ts").cast("timestamp_ntz").alias("ts"),
-                       "impression_count", "click_count"))
+                       *keep, "impression_count", "click_count"))
 
 
 def display_metrics_asof(ad: DataFrame, rules: Rules = DEFAULT_RULES,

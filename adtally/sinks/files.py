@@ -1,5 +1,5 @@
-"""Sinks: parquet tables, Kafka-style (key, value) records, and the upsert
-of an update stream.
+"""Sinks: parquet tables, Kafka-style (key, value) records, and the log of an
+update stream with its compaction.
 
 Outputs go to the shared folder named by ``spark.checkpoint.dir`` (or a
 path given by the caller), never to a machine-local folder.
@@ -7,6 +7,7 @@ path given by the caller), never to a machine-local folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,15 @@ from ..config import shared_dir
 from ..functions.codec import encode_records
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # noqa: BLE001 - no JVM handle: let the reader decide
+        return True
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] = ()) -> str:
     """Write parquet; returns the path. File commit is atomic per job, so a
@@ -51,63 +61,43 @@ def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, key_cols: Seq
         .save())
 
 
-class UpsertTable:
-    """A table keyed by ``key`` that each micro-batch upserts into.
+def read_updates(spark: SparkSession, path: str, key: Sequence[str], schema: str) -> DataFrame:
+    """The newest row per key of an update log, with its ``batch_id``.
 
-    Rows of a batch go to ``log/batch_id=N``; after ``compact_every`` batches
-    the table so far is rewritten as ``base/version=N`` and the logs in it are
-    dropped, so the number of files does not grow with the number of batches.
-    A base holds finished batches only, so a retried batch replaces its own
-    log and finds the same table before it.
+    ``path``/log has the updates, a partition ``batch_id`` per micro-batch;
+    ``path``/snapshots has a row per compaction (``upto``, ``folder``). The last
+    snapshot stands for the log up to ``upto``, whose partitions are pruned.
     """
-
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], schema: str, compact_every: int = 16):
-        self.spark, self.path, self.key, self.compact_every = spark, path.rstrip("/"), list(key), compact_every
-        self.schema = f"{schema}, batch_id long"
-
-    def _folder(self, *parts: str):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
-
-    def _done(self, kind: str) -> list[int]:
-        """Numbers of the finished folders of ``kind`` ("log" or "base")."""
-        fs, path = self._folder(kind)
-        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-        found = sorted(int(n.split("=")[1]) for n in names if "=" in n)
-        return [n for n in found if fs.exists(self._folder(kind, f"n={n}", "_SUCCESS")[1])]
-
-    def _rows(self, before: int | None) -> DataFrame:
-        base = [n for n in self._done("base") if before is None or n < before][-1:]
-        logs = [n for n in self._done("log") if n > (base[0] if base else -1) and (before is None or n < before)]
-        paths = [f"{self.path}/base/n={n}" for n in base] + [f"{self.path}/log/n={n}" for n in logs]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """The table (as it was before batch ``before``)."""
-        return latest_per_key(self._rows(before), self.key)
-
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        """Upsert ``rows`` (one per key) as batch ``batch_id``."""
-        base = self._done("base")[-1:]
-        if len([n for n in self._done("log") if (base[0] if base else -1) < n < batch_id]) >= self.compact_every:
-            version = F.max("batch_id").alias("batch_id")
-            values = [c.split()[0] for c in self.schema.split(", ") if c.split()[0] not in (*self.key, "batch_id")]
-            table = (self._rows(batch_id).groupBy(*self.key)
-                     .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"), version).select(*self.key, "_v.*", "batch_id"))
-            write_table(table, f"{self.path}/base/n={batch_id - 1}")
-            for kind, n in [("log", n) for n in self._done("log") if n < batch_id] + [("base", n) for n in base]:
-                fs, path = self._folder(kind, f"n={n}")
-                fs.delete(path, True)
-        write_table(rows.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{self.path}/log/n={batch_id}")
-
-
-def latest_per_key(updates: DataFrame, key: Sequence[str], version: str = "batch_id") -> DataFrame:
+    columns = f"{schema}, batch_id long"
+    found = spark.read.parquet(f"{path}/snapshots").orderBy(F.desc("upto")).first() if exists(spark, f"{path}/snapshots") else None
+    log = (spark.read.schema(columns).parquet(f"{path}/log") if exists(spark, f"{path}/log") else spark.createDataFrame([], columns))
+    if found:
+        log = log.where(F.col("batch_id") > found.upto).unionByName(spark.read.schema(columns).parquet(found.folder))
+    return latest_per_key(log, key, keep_version=True)
+
+
+def compact_updates(spark: SparkSession, path: str, key: Sequence[str], schema: str) -> str | None:
+    """Batch job: write the newest rows so far as a snapshot in a folder of its
+    own and add its row to ``path``/snapshots, which is what makes readers
+    use it. Nothing is deleted or rewritten: a reader that listed its
+    files before goes on, and a compaction that fails midway is never seen. Log
+    partitions up to ``upto`` and older snapshots can be expired by the store's
+    own rules once no reader is that old. Returns the folder."""
+    rows = read_updates(spark, path, key, schema)
+    folder = f"{path}/compacted/{uuid.uuid4().hex}"
+    write_table(rows, folder)
+    upto = spark.read.parquet(folder).agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return None
+    spark.createDataFrame([(upto, folder)], "upto long, folder string").coalesce(1).write.mode("append").parquet(f"{path}/snapshots")
+    return folder
+
+
+def latest_per_key(updates: DataFrame, key: Sequence[str], version: str = "batch_id", keep_version: bool = False) -> DataFrame:
     """Collapse an update log (one row per changed key per micro-batch) to
     the newest row per key: the state an upserting consumer ends with.
     A partial aggregate (max_by), so a hot key is combined map-side."""
     value_cols = [c for c in updates.columns if c not in (*key, version)]
     latest = F.max_by(F.struct(*value_cols), F.col(version))
-    return updates.groupBy(*key).agg(latest.alias("_v")).select(*key, "_v.*")
+    out = updates.groupBy(*key).agg(latest.alias("_v"), F.max(version).alias(version))
+    return out.select(*key, "_v.*", *([version] if keep_version else []))

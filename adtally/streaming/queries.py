@@ -1,22 +1,15 @@
-"""Structured Streaming forms of the three results, JVM-side throughout.
-
-* Windowed results (billing, group metrics, group fraud): a watermark on each
-  source (no grace by default; the smaller one counts), and one append-mode
-  aggregate per placement, window and salt that keeps the counts, the amounts
-  and the clicks in order. A window's rows all close in one micro-batch, in
-  which ``foreachBatch`` merges the salts, splits off what exceeds the limit
-  and sums up to partner (and group). A result row is written once.
-* ``display_metrics_stream``: an update-mode aggregate (running counts per
-  display), upserted into a compacted table.
-* ``changelog_writer``: one row per impression with the counts so far; the
-  running counts inside a micro-batch are the batch plan's, on top of the
-  displays' totals before it, which are a table of their own.
-
-A retried micro-batch replaces its own output: exactly-once results with the
-checkpoint. ``run_*`` start a query with ``availableNow`` (or a processing-time
-trigger) and a checkpoint under the shared checkpoint folder; a restarted job
-resumes where it stopped. The ``stream_*`` registry entries run a stream over
-the whole events table and return what the sink holds.
+"""Starting streams, reading what they wrote, and the registered streams.
+
+Plans live beside this module: ``windowed`` (billing, group metrics, group
+fraud: chained append-mode aggregates), ``display`` (totals and changelog),
+``late`` (the per-record late rule). A windowed result row is written once; a
+retried micro-batch replaces its own output, so results are exactly once with
+the checkpoint.
+
+``run_*`` start a query with ``availableNow`` (or a processing-time trigger) and
+a checkpoint under the shared checkpoint folder; a restarted job resumes where
+it stopped. The ``stream_*`` registry entries run a stream over the whole events
+table and return what the sink holds.
 """
 
 from __future__ import annotations
@@ -27,176 +20,53 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CLICK, DEFAULT_RULES, IMPRESSION, STATE_SALTS, Rules, shared_dir
-from ..functions.columns import require_keys, rewindow, zero_if_null
-from ..plans.display_metrics import display_metrics_changelog
-from ..schemas import AD_EVENT_SCHEMA, BILLING_FRAUD_KEY, DISPLAY_KEY, GROUP_FRAUD_KEY, GROUP_KEY, PARTNER_BILLING_COLUMNS
-from ..schemas import PARTNER_GROUP_METRICS_COLUMNS
-from ..sinks.files import UpsertTable
-from ..sources.tables import load_ad_events
-from .sources import ad_event_streams
+from ..config import CLICK, DEFAULT_RULES, IMPRESSION, STATE_BUCKET, STATE_SALTS, Rules, shared_dir
+from ..functions import codec
+from ..plans.billing import partner_billing
+from ..schemas import AD_EVENT_SCHEMA, DISPLAY_KEY
+from ..sinks.files import compact_updates, exists, read_updates
+from ..sources.derived import DERIVED_PARTITIONS, topic_records
+from ..sources.tables import ad_events, load_ad_events, load_events
+from .consume import result_records, unique_results
+from .display import changelog_rows, changelog_stream, display_metrics_stream
+from .late import late_rows, late_stream
+from .sources import ad_event_streams, event_file_stream
+from .windowed import WINDOWED_RESULTS
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _micros(duration: str) -> int:
-    n, unit = duration.split()
-    return int(n) * {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}[unit.rstrip("s")]
-
-
-def _open_windows(ev: DataFrame, key: tuple[str, ...], window: str, rules: Rules, salts: int) -> DataFrame:
-    """Closed rows per (key, fraud minute, window, salt): impressions, clicks,
-    their amount, and the first clicks in order.
-
-    State is the clicks of the open windows, spread over ``salts`` rows per
-    key; the salt is a hash of the order key."""
-    is_click = F.col("kind") == CLICK
-    amount = zero_if_null("amount")
-    entry = F.struct(*rules.order, amount.alias("_amt"))
-    minute = F.floor(F.unix_micros("ts") / _micros(rules.billing_window))
-    return (ev.groupBy(*key, minute.alias("_minute"), F.window("ts", window).alias("_w"),
-                       F.pmod(F.xxhash64(*rules.order), F.lit(salts)).alias("_salt"))
-              .agg(F.count_if(F.col("kind") == IMPRESSION).alias("_imp"), F.count_if(is_click).alias("_clk"),
-                   zero_if_null(F.sum(F.when(is_click, amount))).alias("_all"),
-                   F.slice(F.sort_array(F.collect_list(F.when(is_click, entry))), 1, rules.fraud_limit).alias("_head"))
-              .select(*key, "_minute", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                      "_imp", "_clk", "_all", "_head"))
-
-
-def _folded(closed: DataFrame, key: tuple[str, ...], rules: Rules) -> DataFrame:
-    """Salts merged: per key and fraud minute the counts, normal and fraudulent amount."""
-    head = F.slice(F.sort_array(F.flatten(F.collect_list("_head"))), 1, rules.fraud_limit)
-    merged = (closed.groupBy(*key, "_minute", "window_start", "window_end")
-              .agg(F.sum("_imp").alias("_imp"), F.sum("_clk").alias("_clk"), F.sum("_all").alias("_all"), head.alias("_head")))
-    normal = F.aggregate("_head", F.lit(0).cast("long"), lambda total, c: total + c["_amt"])
-    return (merged.withColumn("_normal", normal).withColumn("_fraud", F.col("_all") - F.col("_normal")).drop("_head"))
-
-
-def _watermarked(rules: Rules, cols: tuple[str, ...], *streams: DataFrame) -> DataFrame:
-    """The streams' usable rows, each with its own watermark, as one."""
-    out = None
-    for s in streams:
-        s = require_keys(s, [*cols, "ts"]).withWatermark("ts", rules.watermark_delay)
-        out = s if out is None else out.unionByName(s)
-    return out
-
-
-def billing_stream(imp: DataFrame, clk: DataFrame, rules: Rules = DEFAULT_RULES, salts: int = STATE_SALTS) -> DataFrame:
-    """Open billing windows per placement; clicks only."""
-    return _open_windows(_watermarked(rules, ("partner_id",), clk), BILLING_FRAUD_KEY, rules.billing_window, rules, salts)
-
-
-def group_metrics_stream(imp: DataFrame, clk: DataFrame, rules: Rules = DEFAULT_RULES, salts: int = STATE_SALTS) -> DataFrame:
-    """Open group windows per placement and fraud minute, both kinds; a window
-    closes when the watermarks of both sources have passed it."""
-    return _open_windows(_watermarked(rules, GROUP_KEY, imp, clk), GROUP_FRAUD_KEY, rules.group_window, rules, salts)
-
-
-def group_fraud_stream(imp: DataFrame, clk: DataFrame, rules: Rules = DEFAULT_RULES, salts: int = STATE_SALTS) -> DataFrame:
-    """The same for clicks alone."""
-    return _open_windows(_watermarked(rules, GROUP_KEY, clk), GROUP_FRAUD_KEY, rules.group_window, rules, salts)
-
-
-def _ntz(df: DataFrame) -> DataFrame:
-    return (df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-              .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
-
-
-def billing_rollup(closed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Partner billing rows from the windows closed in one micro-batch."""
-    out = (_folded(closed, BILLING_FRAUD_KEY, rules).groupBy("partner_id", "window_start", "window_end")
-           .agg(F.sum("_normal").alias("aggregated_amount"), F.sum("_fraud").alias("fraudulent_amount"))
-           .withColumn("total_billing_amount", F.col("aggregated_amount")))
-    return _ntz(out).select(*PARTNER_BILLING_COLUMNS)
-
-
-def _group_totals(closed: DataFrame, rules: Rules) -> DataFrame:
-    flagged = F.col("_fraud") > 0
-    return (_folded(closed, GROUP_FRAUD_KEY, rules).groupBy(*GROUP_KEY, "window_start", "window_end")
-            .agg(F.sum("_imp").alias("impression_count"), F.sum("_clk").alias("click_count"),
-                 F.count_if(flagged).alias("fraudulent_click_count"),
-                 zero_if_null(F.sum(F.when(flagged, F.col("_fraud")))).alias("fraudulent_amount")))
-
-
-def group_rollup(closed: DataFrame, rules: Rules = DEFAULT_RULES, keep_click_only: bool = False) -> DataFrame:
-    """Partner-group metrics rows from the windows closed in one micro-batch."""
-    out = _group_totals(closed, rules)
-    if not keep_click_only:
-        out = out.where(F.col("impression_count") > 0)
-    return _ntz(out).select(*PARTNER_GROUP_METRICS_COLUMNS)
-
-
-def fraud_rollup(closed: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """5-minute fraud rows (groups with a flagged placement-minute)."""
-    out = _group_totals(closed, rules).where(F.col("fraudulent_click_count") > 0)
-    return _ntz(out).select(*GROUP_KEY, "window_start", "window_end", "fraudulent_click_count", "fraudulent_amount")
-
-
-# result name -> (open-window stream builder, rollup of a micro-batch's closed windows)
-WINDOWED_RESULTS: dict[str, tuple[Callable, Callable]] = {
-    "partner_billing": (billing_stream, billing_rollup),
-    "partner_group_metrics": (group_metrics_stream, group_rollup),
-    "group_fraud_5min": (group_fraud_stream, fraud_rollup),
-}
-
-
-def _display_events(imp: DataFrame, clk: DataFrame) -> DataFrame:
-    ev = require_keys(imp.unionByName(clk), ["partner_id", "group_id", "display_target"])
-    return ev.withColumn("display_id", F.coalesce(F.col("display_id"), F.lit("")))
-
-
-def display_metrics_stream(imp: DataFrame, clk: DataFrame) -> DataFrame:
-    """Streaming Q3 (update mode): running counts of displays with impressions."""
-    # ``emitted_at``: when the update was produced (the reference stamps its
-    # rows with the wall clock); evaluated once per micro-batch.
-    return (_display_events(imp, clk).groupBy(*DISPLAY_KEY)
-            .agg(F.count_if(F.col("kind") == IMPRESSION).alias("impression_count"),
-                 F.count_if(F.col("kind") == CLICK).alias("click_count"))
-            .where(F.col("impression_count") > 0).withColumn("emitted_at", F.current_timestamp()))
-
-
-def display_events_stream(imp: DataFrame, clk: DataFrame) -> DataFrame:
-    """The rows the display changelog is made of (stateless; see ``changelog_writer``)."""
-    return _display_events(imp, clk)
-
-
-TOTALS_SCHEMA = ("partner_id long, group_id long, display_target string, display_id string, "
-                 "_imps long, _clks long")
-
+def batch_partition_writer(path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df):
+    """foreachBatch function: ``transform(micro-batch)`` goes to its own
+    ``batch_id`` partition; a retried batch overwrites that partition only."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (transform(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(path))
+    return write
 
-def changelog_writer(spark: SparkSession, path: str, totals: str, rules: Rules = DEFAULT_RULES, writer=None):
-    """foreachBatch function of the display changelog: one row per impression
-    with the display's impressions so far and the clicks before it, in the
-    order of ``rules`` inside a micro-batch and of arrival across them. The
-    displays' totals are upserted as batch ``batch_id`` under ``totals``."""
-    table = UpsertTable(spark, totals, DISPLAY_KEY, TOTALS_SCHEMA)
-    put = writer or batch_partition_writer(path)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        before = table.read(before=batch_id)
+def persisted(write: Callable[[DataFrame, int], None]):
+    """A foreachBatch function over the micro-batch computed once: for writers
+    that read it more than once (and so would run its stateful steps again)."""
+    def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            on = list(DISPLAY_KEY)
-            log = display_metrics_changelog(batch, rules).join(before, on, "left")
-            add = lambda c, t: (F.col(c) + zero_if_null(t)).alias(c)
-            rest = [c for c in log.columns if c not in ("impression_count", "click_count", "_imps", "_clks")]
-            put(log.select(*rest, add("impression_count", "_imps"), add("click_count", "_clks")), batch_id)
-            here = batch.groupBy(*on).agg(F.count_if(F.col("kind") == IMPRESSION).alias("_i"), F.count_if(F.col("kind") == CLICK).alias("_c"))
-            table.write(here.join(before, on, "left").select(
-                *on, (F.col("_i") + zero_if_null("_imps")).alias("_imps"), (F.col("_c") + zero_if_null("_clks")).alias("_clks")), batch_id)
+            write(batch, batch_id)
         finally:
             batch.unpersist()
-    return write
+    return run
 
 
-def batch_partition_writer(path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df):
-    """foreachBatch function: ``transform(micro-batch)`` goes to its own
-    ``batch_id`` partition; a retried batch overwrites that partition only."""
+def fan_out_writer(outputs: dict[str, Callable[[DataFrame], DataFrame]], path: str):
+    """foreachBatch function: one micro-batch, several outputs, each under
+    ``path``/name with a partition per micro-batch."""
+    writers = [batch_partition_writer(f"{path}/{name}", transform) for name, transform in outputs.items()]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        (transform(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(path))
-    return write
+        for w in writers:
+            w(batch, batch_id)
+    return persisted(write)
 
 
 def start_stream(stream: DataFrame, mode: str, writer, checkpoint: str, available_now: bool,
@@ -209,38 +79,54 @@ def start_stream(stream: DataFrame, mode: str, writer, checkpoint: str, availabl
 
 def run_windowed(result: str, imp: DataFrame, clk: DataFrame, path: str, checkpoint: str, rules: Rules = DEFAULT_RULES,
                  available_now: bool = True, processing_time: str | None = None,
-                 salts: int = STATE_SALTS, writer=None):
+                 salts: int = STATE_SALTS, writer=None, bucket: str = STATE_BUCKET):
     """Start a windowed result stream over impressions and clicks; result rows
     go under ``path`` (or to ``writer(rows, batch_id)`` when given, e.g. a
     Kafka writer)."""
-    build, rollup = WINDOWED_RESULTS[result]
-    if writer is None:
-        sink = batch_partition_writer(path, lambda closed: rollup(closed, rules))
-    else:
-        def sink(batch: DataFrame, batch_id: int) -> None:
-            writer(rollup(batch, rules), batch_id)
-    return start_stream(build(imp, clk, rules, salts), "append", sink, checkpoint, available_now, processing_time)
+    stream = WINDOWED_RESULTS[result](imp, clk, rules, salts, bucket)
+    return start_stream(stream, "append", writer or batch_partition_writer(path), checkpoint, available_now, processing_time)
 
 
 def run_append(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                processing_time: str | None = None, partition_by: list[str] | None = None):
-    """Start a stateless append stream (the decoded table, the dead letter)
-    into a parquet file sink, exactly once through the sink's commit log."""
+    """Start an append stream into a parquet file sink, exactly once through
+    the sink's commit log."""
     w = (stream.writeStream.format("parquet").outputMode("append").partitionBy(*(partition_by or []))
                .option("path", path).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 second")
     return w.start()
 
 
-def display_table(spark: SparkSession, path: str) -> UpsertTable:
-    return UpsertTable(spark, path, DISPLAY_KEY, RESULT_SCHEMAS["display_metrics"])
-
-
 def run_update(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                processing_time: str | None = None):
-    """Start the display totals stream, upserting the table under ``path``."""
-    table = display_table(stream.sparkSession, path)
-    return start_stream(stream, "update", table.write, checkpoint, available_now, processing_time)
+    """Start the display totals stream: its updates go to the log under
+    ``path`` (one row per display that changed in a micro-batch)."""
+    return start_stream(stream, "update", batch_partition_writer(f"{path}/log"), checkpoint, available_now, processing_time)
+
+
+def display_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest totals per display, with the micro-batch they come from."""
+    return read_updates(spark, path, DISPLAY_KEY, RESULT_SCHEMAS["display_metrics"])
+
+
+def compact_display(spark: SparkSession, path: str) -> str | None:
+    """Batch job beside the stream: see ``sinks.files.compact_updates``."""
+    return compact_updates(spark, path, DISPLAY_KEY, RESULT_SCHEMAS["display_metrics"])
+
+
+def run_changelog(imp: DataFrame, clk: DataFrame, path: str, checkpoint: str, rules: Rules = DEFAULT_RULES,
+                  available_now: bool = True, processing_time: str | None = None, writer=None):
+    """Start the display changelog: rows go under ``path`` or to ``writer``."""
+    put = writer or batch_partition_writer(path)
+    sink = persisted(lambda batch, batch_id: put(changelog_rows(batch, rules), batch_id))
+    return start_stream(changelog_stream(imp, clk, rules), "append", sink, checkpoint, available_now, processing_time)
+
+
+def run_late(clicks: DataFrame, path: str, checkpoint: str, rules: Rules = DEFAULT_RULES, available_now: bool = True,
+             processing_time: str | None = None):
+    """Start the per-record late rule over clicks with ``partition`` and ``arrival``."""
+    put = batch_partition_writer(path, lambda batch: late_rows(batch, rules))
+    return start_stream(late_stream(clicks), "append", persisted(put), checkpoint, available_now, processing_time)
 
 
 RESULT_SCHEMAS = {
@@ -255,23 +141,20 @@ RESULT_SCHEMAS = {
                         "impression_count long, click_count long, emitted_at timestamp"),
     "display_changelog": ("partner_id long, group_id long, display_target string, display_id string, "
                           "event_id long, ts timestamp_ntz, impression_count long, click_count long"),
+    "late_clicks": ("event_id long, arrival long, ts timestamp, window_start timestamp, window_end timestamp, "
+                    "seen_max_ts timestamp, is_late boolean"),
+    "good": "topic string, partition int, offset long",
+    "dead_letter": "topic string, partition int, offset long, error_reason string",
+    "result_records": "key string, value string, window_start timestamp, window_end timestamp",
 }
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-    except Exception:  # noqa: BLE001 - no JVM handle: let the reader decide
-        return True
+RESULT_SCHEMAS["partner_group_metrics_join"] = RESULT_SCHEMAS["partner_group_metrics"]
 
 
 def read_log(spark: SparkSession, path: str, result: str) -> DataFrame:
     """A sink table with its ``batch_id`` partitions; empty (with the right
     schema) when no micro-batch has written rows yet."""
     schema = RESULT_SCHEMAS[result] + ", batch_id long"
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
@@ -298,6 +181,18 @@ def state_partitions(spark: SparkSession, n: int | None = None):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside the block keep their state in RocksDB."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old) if old else spark.conf.unset(name)
+
+
 def _run_to_table(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
     base = shared_dir(spark, f"stream-{result}")
     with state_partitions(spark):
@@ -318,33 +213,103 @@ def stream_partner_group_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_to_table(spark, sf_dir, "partner_group_metrics")
 
 
+def stream_partner_group_metrics_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by two stream-stream left joins of three windowed aggregates."""
+    return _run_to_table(spark, sf_dir, "partner_group_metrics_join")
+
+
 def stream_display_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream-display")
     with state_partitions(spark):
         q = run_update(display_metrics_stream(*ad_event_streams(spark, sf_dir)), f"{base}/table", f"{base}/checkpoint")
         q.awaitTermination()
-    return display_table(spark, f"{base}/table").read().select(*DISPLAY_KEY, "impression_count", "click_count")
+    return display_table(spark, f"{base}/table").select(*DISPLAY_KEY, "impression_count", "click_count")
 
 
 def stream_display_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream-display-changelog")
     with state_partitions(spark):
-        q = start_stream(display_events_stream(*ad_event_streams(spark, sf_dir)), "append",
-                         changelog_writer(spark, f"{base}/log", f"{base}/totals"), f"{base}/checkpoint", True, None)
+        q = run_changelog(*ad_event_streams(spark, sf_dir), f"{base}/log", f"{base}/checkpoint")
         q.awaitTermination()
     return read_log(spark, f"{base}/log", "display_changelog").drop("batch_id")
 
 
-@contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Streams started inside the block keep their state in RocksDB."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB_PROVIDER)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, old) if old else spark.conf.unset(name)
+def quarters(rows: DataFrame, by) -> list[DataFrame]:
+    """``rows`` in four arrivals: the quarters of the range of ``by`` (a long)."""
+    lo, hi = rows.agg(F.min(by), F.max(by)).first()
+    quarter = F.floor((by - F.lit(lo or 0)) * 4 / F.lit((hi or 0) - (lo or 0) + 1))
+    return [rows.where(quarter == n) for n in range(4)]
+
+
+def in_arrivals(spark: SparkSession, base: str, arrivals: list[DataFrame], start: Callable[[DataFrame], object]) -> None:
+    """Write each arrival into a folder and run the stream that ``start`` makes
+    of the folder until it has read it: a restart from the checkpoint each time."""
+    with state_partitions(spark):
+        for n, rows in enumerate(arrivals):
+            rows.write.parquet(f"{base}/in/part={n}")
+            stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+            start(stream).awaitTermination()
+
+
+def _by_kind(stream: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tuple(stream.where(F.col("kind") == k) for k in (IMPRESSION, CLICK))
+
+
+def stream_display_update_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The display totals' updates over four time-ordered arrivals, a trigger
+    each: one row per display that changed, however many events changed it."""
+    base = shared_dir(spark, "stream-updates")
+    arrivals = quarters(load_ad_events(spark, sf_dir), F.unix_micros("ts"))
+    in_arrivals(spark, base, arrivals, lambda s: run_update(display_metrics_stream(*_by_kind(s)), f"{base}/table", f"{base}/checkpoint"))
+    log = read_log(spark, f"{base}/table/log", "display_metrics")
+    return log.select(F.col("batch_id").alias("trigger"), *DISPLAY_KEY, "impression_count", "click_count")
+
+
+def stream_display_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The display changelog over four time-ordered arrivals, restarted for
+    each: the displays' totals come from the state store."""
+    base = shared_dir(spark, "stream-display-restart")
+    arrivals = quarters(load_ad_events(spark, sf_dir), F.unix_micros("ts"))
+    in_arrivals(spark, base, arrivals, lambda s: run_changelog(*_by_kind(s), f"{base}/log", f"{base}/checkpoint"))
+    return read_log(spark, f"{base}/log", "display_changelog").drop("batch_id")
+
+
+def stream_late_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-record late rule over clicks that arrive in four parts."""
+    base = shared_dir(spark, "stream-late")
+    clicks = ad_events(load_events(spark, sf_dir), with_arrival=True, kind=CLICK)
+    clicks = clicks.select("event_id", "arrival", "ts", (F.col("event_id") % DERIVED_PARTITIONS).alias("partition"))
+    in_arrivals(spark, base, quarters(clicks, F.col("arrival")), lambda s: run_late(s, f"{base}/out", f"{base}/checkpoint"))
+    out = read_log(spark, f"{base}/out", "late_clicks").drop("batch_id")
+    times = ("ts", "window_start", "window_end", "seen_max_ts")
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in times else c for c in out.columns])
+
+
+def stream_decode_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read of the records, decoded once, two outputs: good events and dead
+    letters, by their place in the topics."""
+    base = shared_dir(spark, "stream-fanout")
+    decoded = codec.decode_records(topic_records(event_file_stream(spark, sf_dir)))
+    place = ("topic", "partition", "offset")
+    outputs = {"good": lambda b: codec.valid_events(b, envelope=True).select(*place),
+               "dead_letter": lambda b: codec.dead_letter(b).select(*place, "error_reason")}
+    q = start_stream(decoded, "append", fan_out_writer(outputs, base), f"{base}/checkpoint", True, None)
+    q.awaitTermination()
+    good, dead = (read_log(spark, f"{base}/{name}", name).drop("batch_id").withColumn("output", F.lit(name)) for name in outputs)
+    return good.withColumn("error_reason", F.lit(None).cast("string")).unionByName(dead)
+
+
+def stream_result_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Billing records as a producer that retries leaves them in the topic (the
+    records of every second minute twice), read by a consumer that
+    keeps one per key and window."""
+    base = shared_dir(spark, "stream-dedup")
+    records = result_records(partner_billing(load_ad_events(spark, sf_dir, CLICK)), ["partner_id"], codec.BILLING_JSON_FIELDS)
+    minute = F.floor(F.unix_seconds(F.col("headers")[0]["value"].cast("string").cast("timestamp")) / 60)
+    again = records.where(minute % 2 == 0)
+    in_arrivals(spark, base, [records, again], lambda s: run_append(unique_results(s), f"{base}/out", f"{base}/checkpoint"))
+    out = spark.read.schema(RESULT_SCHEMAS["result_records"]).parquet(f"{base}/out")
+    return out.select("key", "value", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")])
 
 
 def stream_billing_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,12 +317,10 @@ def stream_billing_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     processing-time trigger, then stopped, two more, and restarted from the
     checkpoint. State is in RocksDB."""
     base = shared_dir(spark, "stream-restart")
-    clk = load_ad_events(spark, sf_dir, CLICK)
-    lo, hi = clk.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
-    quarter = F.floor((F.unix_micros("ts") - F.lit(lo or 0)) * 4 / F.lit((hi or 0) - (lo or 0) + 1))
+    arrivals = quarters(load_ad_events(spark, sf_dir, CLICK), F.unix_micros("ts"))
 
     def arrive(n: int) -> None:
-        clk.where(quarter == n).write.parquet(f"{base}/in/part={n}")
+        arrivals[n].write.parquet(f"{base}/in/part={n}")
 
     def start(**how):
         files = (spark.readStream.schema(AD_EVENT_SCHEMA).option("maxFilesPerTrigger", "1")
@@ -374,3 +337,8 @@ def stream_billing_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         arrive(3)
         start().awaitTermination()
     return read_result(spark, f"{base}/out")
+
+
+STREAMS = (stream_partner_billing, stream_group_fraud_5min, stream_partner_group_metrics, stream_partner_group_metrics_join,
+           stream_display_metrics, stream_display_changelog, stream_display_update_log, stream_display_restart,
+           stream_late_clicks, stream_decode_fanout, stream_result_dedup, stream_billing_restart)

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from adtally import compact
 from adtally.app import JobConfig, start
 from adtally.config import shared_dir
 from adtally.functions import codec
@@ -47,7 +48,9 @@ def test_job_on_record_files(spark):
     assert ordered(got, cols) == ordered(want, cols) and got.count() > 0
     # display: the job's own table equals batch totals
     cols = [*DISPLAY_KEY, "impression_count", "click_count"]
-    assert ordered(display_table(spark, f"{base}/out/display_metrics").read(), cols) == ordered(display_metrics(good), cols)
+    assert ordered(display_table(spark, f"{base}/out/display_metrics"), cols) == ordered(display_metrics(good), cols)
+    compact.main(["--table", f"{base}/out/display_metrics"])
+    assert ordered(display_table(spark, f"{base}/out/display_metrics"), cols) == ordered(display_metrics(good), cols)
     # dead letter: same rows as batch
     dl = spark.read.parquet(f"{base}/out/dead_letter")
     assert dl.count() == codec.dead_letter(decoded).count() > 0
@@ -104,8 +107,8 @@ def test_batch_job_reads_its_input_once(spark):
 def test_cli_help():
     import pytest
 
-    from adtally import app, batch
-    for main in (app.main, batch.main):
+    from adtally import app, batch, compact
+    for main in (app.main, batch.main, compact.main):
         with pytest.raises(SystemExit) as e:
             main(["--help"])
         assert e.value.code == 0

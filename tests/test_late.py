@@ -56,18 +56,30 @@ def test_late_rule_per_source_partition(spark):
     assert out == {1: False, 2: False, 3: True}  # 2 is the first of its partition
 
 
-def test_upsert_table_compacts_and_survives_a_retry(spark):
+def test_compaction_keeps_readers_and_the_log(spark):
+    """Updates, a compaction between them, a retried batch: the newest row per
+    key; a reader that listed its files before still reads them."""
     from adtally.config import shared_dir
-    from adtally.sinks.files import UpsertTable
-    path = shared_dir(spark, "test-upsert")
-    t = UpsertTable(spark, path, ["k"], "k long, n long", compact_every=3)
-    rows = lambda *x: spark.createDataFrame(list(x), "k long, n long").coalesce(1)
-    for b in range(10):
-        t.write(rows((b % 2, b), (100 + b, b)), b)
-        t.write(rows((b % 2, b), (100 + b, b)), b)  # the batch runs again
-        assert {r.k: r.n for r in t.read(before=b).collect()}.get((b + 1) % 2) == (b - 1 if b else None)
-    assert {r.k: r.n for r in t.read().collect()} == {0: 8, 1: 9, **{100 + b: b for b in range(10)}}
-    assert len(t._done("log")) + len(t._done("base")) <= 3 + 2
+    from adtally.sinks.files import compact_updates, read_updates
+    from adtally.streaming.queries import batch_partition_writer
+    path = shared_dir(spark, "test-updates")
+    schema = "k long, n long"
+    write = batch_partition_writer(f"{path}/log")
+    rows = lambda *x: spark.createDataFrame(list(x), schema).coalesce(1)
+    now = lambda: {r.k: r.n for r in read_updates(spark, path, ["k"], schema).collect()}
+    assert now() == {} and compact_updates(spark, path, ["k"], schema) is None
+    for b in range(6):
+        early = read_updates(spark, path, ["k"], schema) if b else None
+        before = now()
+        write(rows((b % 2, b), (100 + b, b)), b)
+        write(rows((b % 2, b), (100 + b, b)), b)  # the batch runs again
+        if b in (2, 4):
+            assert compact_updates(spark, path, ["k"], schema)
+        if early is not None:
+            assert {r.k: r.n for r in early.collect()} == before
+        assert now() == {b % 2: b, **({(b + 1) % 2: b - 1} if b else {}), **{100 + i: i for i in range(b + 1)}}
+    plan = read_updates(spark, path, ["k"], schema)._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id" in plan.split("PartitionFilters")[1].split("]")[0]  # the log up to the snapshot is pruned
 
 
 def test_latest_per_key(spark):

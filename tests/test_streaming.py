@@ -13,7 +13,8 @@ from adtally.plans.group_metrics import group_fraud_5min, partner_group_metrics
 from adtally.plans.display_metrics import display_metrics
 from adtally.schemas import AD_EVENT_SCHEMA, DISPLAY_KEY
 from adtally.sources.tables import ad_events, load_events
-from adtally.streaming.queries import display_metrics_stream, display_table, read_result, run_update, run_windowed
+from adtally.streaming.queries import compact_display, display_metrics_stream, display_table, read_log, read_result, run_changelog, run_update, run_windowed
+from adtally.streaming.windowed import WINDOWED_RESULTS
 
 SF = "/root/testdata/sf0.01"
 
@@ -77,6 +78,7 @@ def test_stream_equals_batch_multi_batch(spark):
     cases = [
         ("partner_billing", partner_billing, "kind = 'click'", 3),
         ("partner_group_metrics", partner_group_metrics, "true", 5),
+        ("partner_group_metrics_join", partner_group_metrics, "true", 2),
         ("group_fraud_5min", group_fraud_5min, "kind = 'click'", 1),
     ]
     for name, make_batch, kinds, salts in cases:
@@ -94,11 +96,14 @@ def test_display_update_stream_equals_batch(spark):
     base = split_input(spark, 3)
     q = run_update(display_metrics_stream(*stream_of(spark, f"{base}/in")), f"{base}/table", f"{base}/cp")
     q.awaitTermination()
-    assert len(display_table(spark, f"{base}/table")._done("log")) == 3
-    got = display_table(spark, f"{base}/table").read()
+    assert spark.read.parquet(f"{base}/table/log").select("batch_id").distinct().count() == 3
+    got = display_table(spark, f"{base}/table")
     ad_batch = spark.read.schema(AD_EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{base}/in")
     cols = [*DISPLAY_KEY, "impression_count", "click_count"]
-    assert rows(got, cols) == rows(display_metrics(ad_batch), cols)
+    want = rows(display_metrics(ad_batch), cols)
+    assert rows(got, cols) == want
+    assert compact_display(spark, f"{base}/table")
+    assert rows(display_table(spark, f"{base}/table"), cols) == want
 
 
 def test_restart_resumes_without_duplicates(spark):
@@ -166,16 +171,64 @@ def test_slower_source_keeps_windows_open(spark):
     assert [(r.impression_count, r.click_count) for r in first] == [(2, 1)]
 
 
-def test_hot_placement_is_spread_and_exact(spark):
-    from adtally.streaming.queries import billing_stream
+def test_hot_placement_has_bounded_state_values(spark):
+    """A million clicks of one placement in an open minute, in four
+    micro-batches: no state value holds more than a bucket's share of a salt."""
     base = shared_dir(spark, "test-hot")
-    hot = [event(i, i % 60, amount=i) for i in range(3000)]
-    arrive(spark, base, [hot[::3], hot[1::3], hot[2::3], [event(9000, 200)], [event(9001, 300)]])
-    got = [r for r in run(spark, base, "partner_billing", salts=8).collect() if r.window_start.minute == 0]
-    want = sorted(hot, key=lambda r: (r[1], r[0]))
-    assert [(r.aggregated_amount, r.fraudulent_amount) for r in got] == [(sum(r[-1] for r in want[:10]), sum(r[-1] for r in want[10:]))]
-    plan = billing_stream(*stream_of(spark, f"{base}/in"))._jdf.queryExecution().analyzed().toString()
-    assert "_salt" in plan and "Python" not in plan and "Pandas" not in plan
+    n, salts, bucket = 1_000_000, 4, "100 milliseconds"
+    i = F.col("id")
+    hot = spark.range(n).select(
+        i.alias("event_id"), F.timestamp_micros(F.lit(1704110400000000) + (i * 7919 % n) * 60).alias("ts"), F.lit("click").alias("kind"),
+        *[F.lit(v).cast("long").alias(c) for c, v in (("partner_id", 100), ("group_id", 1), ("product_id", 1))],
+        F.lit("WEB").alias("display_target"), F.lit("display-1").alias("display_id"), (i % 97).alias("amount"))
+    later = spark.createDataFrame([event(n + 1, 200), event(n + 2, 400)], AD_EVENT_SCHEMA)
+
+    def start():
+        return run_windowed("partner_billing", *stream_of(spark, f"{base}/in", "100"), f"{base}/out", f"{base}/cp", salts=salts, bucket=bucket)
+
+    for part in range(4):
+        hot.where(i % 4 == part).coalesce(2).write.parquet(f"{base}/in/p={part}")
+        start().awaitTermination()
+    state = spark.read.format("statestore").option("operatorId", 2).load(f"{base}/cp")  # the buckets
+    sizes = state.select(F.length(F.to_json("value"))).toDF("size").agg(F.max("size"), F.count("size")).first()
+    clicks = n // 600 // salts  # of one placement in a bucket and salt, on average
+    assert sizes[1] == 600 * salts and sizes[0] < 2 * clicks * 60  # bytes as text; a window's would be 600 times that
+    later.coalesce(1).write.parquet(f"{base}/in/p=9")
+    start().awaitTermination()
+    got = [r for r in read_result(spark, f"{base}/out").collect() if r.window_start.minute == 0]
+    want = partner_billing(hot).collect()
+    assert [(r.aggregated_amount, r.fraudulent_amount) for r in got] == [(r.aggregated_amount, r.fraudulent_amount) for r in want]
+
+
+def test_windowed_results_are_single_streaming_plans(spark):
+    """Chained aggregates (and joins) inside the plan, no Python in it, and no
+    placement among the keys of impressions."""
+    base = shared_dir(spark, "test-plans")
+    arrive(spark, base, [[event(1, 10), event(2, 11, "impression"), event(3, 12, "impression", display="other")], [event(8, 400), event(9, 400, "impression")]])
+    operators = {"partner_billing": 3, "group_fraud_5min": 3, "partner_group_metrics": 3, "partner_group_metrics_join": 7}
+    for name, n in operators.items():
+        q = run_windowed(name, *stream_of(spark, f"{base}/in"), f"{base}/{name}/out", f"{base}/{name}/cp", salts=1)
+        q.awaitTermination()
+        first = next(p for p in q.recentProgress if p["batchId"] == 0)
+        assert len(first["stateOperators"]) == n, name
+        if name == "partner_group_metrics":
+            assert first["stateOperators"][-1]["numRowsTotal"] == 2  # a placement's clicks, and the impressions of both displays
+        plan = WINDOWED_RESULTS[name](*stream_of(spark, f"{base}/in"))._jdf.queryExecution().analyzed().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "_salt" in plan
+
+
+def test_join_form_waits_for_the_idle_side(spark):
+    """An impression window without clicks comes out when the clicks' watermark
+    has passed it, not before."""
+    base = shared_dir(spark, "test-idle")
+    start = lambda: run(spark, base, "partner_group_metrics_join")
+    arrive(spark, base, [[event(1, 5, "impression"), event(2, 6)], [event(3, 700, "impression")], [event(4, 1400, "impression")]])
+    assert start().count() == 0  # clicks stand at second 6
+    for n in (100, 101):  # a source's watermark starts anew with a restart
+        more = [event(n, 1300), event(n + 2, 1400, "impression")]
+        spark.createDataFrame(more, AD_EVENT_SCHEMA).coalesce(1).write.parquet(f"{base}/in/p={n}")
+    got = sorted((r.window_start.minute, r.impression_count, r.click_count) for r in start().collect())
+    assert got == [(0, 1, 1), (10, 1, 0)]
 
 
 def test_stream_reads_a_folder_shaped_table(spark):
@@ -214,7 +267,6 @@ def test_display_changelog_stream_equals_batch(spark):
     (arrival = file order) equals the batch changelog (F13, F14 at scale),
     whatever the size of Arrow batches."""
     from adtally.plans.display_metrics import display_metrics_changelog
-    from adtally.streaming.queries import changelog_writer, display_events_stream, read_log, start_stream
     base = split_input(spark, 3)
     ad_batch = spark.read.schema(AD_EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{base}/in")
     want = display_metrics_changelog(ad_batch)
@@ -222,9 +274,77 @@ def test_display_changelog_stream_equals_batch(spark):
     size = "spark.sql.execution.arrow.maxRecordsPerBatch"
     for n, per_trigger in (("50", "1"), ("10000", "100")):
         spark.conf.set(size, n)
-        q = start_stream(display_events_stream(*stream_of(spark, f"{base}/in", per_trigger)), "append",
-                         changelog_writer(spark, f"{base}/log{n}", f"{base}/totals{n}"), f"{base}/cp{n}", True, None)
+        q = run_changelog(*stream_of(spark, f"{base}/in", per_trigger), f"{base}/log{n}", f"{base}/cp{n}")
         q.awaitTermination()
         spark.conf.unset(size)
         got = read_log(spark, f"{base}/log{n}", "display_changelog").drop("batch_id")
         assert rows(got, cols) == rows(want, cols)
+
+
+def test_changelog_restarts_from_the_state_store(spark):
+    """Totals outlive a restart; one hot display; clicks after the last impression."""
+    base = shared_dir(spark, "test-changelog-restart")
+    for step in range(3):
+        kinds = ["impression", "click", "click"]
+        batch = [event(10 * step + i, 100 * step + i, kinds[i % 3]) for i in range(9)] + [event(500 + step, 100 * step, "impression", display=None)]
+        spark.createDataFrame(batch, AD_EVENT_SCHEMA).coalesce(1).write.parquet(f"{base}/in/p={step}")
+        run_changelog(*stream_of(spark, f"{base}/in", "100"), f"{base}/log", f"{base}/cp").awaitTermination()
+    got = {(r.display_id, r.event_id): (r.impression_count, r.click_count) for r in read_log(spark, f"{base}/log", "display_changelog").collect()}
+    want = {("display-1", 10 * s + 3 * i): (3 * s + i + 1, 6 * s + 2 * i) for s in range(3) for i in range(3)}
+    assert got == want | {("", 500 + s): (s + 1, 0) for s in range(3)}
+
+
+def test_late_stream_equals_batch(spark):
+    """Out-of-order clicks of two source partitions over several files."""
+    import random
+
+    from adtally.operators.late import late_flags
+    from adtally.streaming.queries import run_late
+    base, rng = shared_dir(spark, "test-late-stream"), random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(i, i, t0 + dt.timedelta(seconds=i * 7 + rng.randint(-90, 90)), rng.choice([0, 0, 0, 1])) for i in range(300)]
+    schema = "event_id long, arrival long, ts timestamp, partition long"
+    for n, at in enumerate(range(0, 300, 60)):
+        spark.createDataFrame(data[at:at + 60], schema).write.parquet(f"{base}/in/p={n}")
+        s = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+        run_late(s, f"{base}/out", f"{base}/cp").awaitTermination()
+    cols = ["event_id", "window_end", "seen_max_ts", "is_late"]
+    want = late_flags(spark.createDataFrame(data, schema), partition_cols=["partition"])
+    got = read_log(spark, f"{base}/out", "late_clicks")
+    key = lambda r: r[0]
+    assert sorted((tuple(r) for r in got.select(*cols).collect()), key=key) == sorted((tuple(r) for r in want.select(*cols).collect()), key=key)
+    assert 0 < got.where("is_late").count() < 300
+
+
+def test_repeated_result_records_are_read_once(spark):
+    from adtally.functions.codec import BILLING_JSON_FIELDS
+    from adtally.streaming.consume import result_records, unique_results
+    from adtally.streaming.queries import run_append
+    base = shared_dir(spark, "test-dedup")
+    windows = [dt.datetime(2024, 1, 1, 12, m) for m in range(3)]
+    results = spark.createDataFrame([(p, 5 * p, 0, 5 * p, w, w + dt.timedelta(minutes=1)) for p in (1, 2) for w in windows],
+                                    "partner_id long, aggregated_amount long, fraudulent_amount long, total_billing_amount long, "
+                                    "window_start timestamp_ntz, window_end timestamp_ntz")
+    records = result_records(results, ["partner_id"], BILLING_JSON_FIELDS)
+    assert records.first().headers[0].key == "window_start" and bytes(records.first().headers[0].value).startswith(b"2024-01-01 12:0")
+    for n, part in enumerate((records, records.where("key = '1'"), records)):
+        part.write.parquet(f"{base}/in/p={n}")
+        s = spark.readStream.schema(records.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+        run_append(unique_results(s), f"{base}/out", f"{base}/cp").awaitTermination()
+    got = spark.read.parquet(f"{base}/out")
+    assert sorted((r.key, r.window_start.minute, r.value) for r in got.collect()) == sorted((r.key, r.m, r.value) for r in records.select(
+        "key", "value", F.minute(F.col("headers")[0]["value"].cast("string").cast("timestamp")).alias("m")).collect())
+
+
+def test_fan_out_reconciles(spark):
+    """good + dead letter = records, from one read; a retried batch changes nothing."""
+    from adtally.functions import codec
+    from adtally.sources.derived import topic_records
+    from adtally.streaming.queries import fan_out_writer
+    base = shared_dir(spark, "test-fanout")
+    decoded = codec.decode_records(topic_records(load_events(spark, "/root/testdata/sf0.001")))
+    write = fan_out_writer({"good": codec.valid_events, "dead": codec.dead_letter}, base)
+    for batch_id in (0, 1, 1):
+        write(decoded.where(F.col("offset") % 2 == batch_id), batch_id)
+    good, dead = (spark.read.parquet(f"{base}/{n}").count() for n in ("good", "dead"))
+    assert good + dead == decoded.count() and good > 0 and dead > 0
