@@ -43,6 +43,8 @@ from .common import discard, materialize, mix64, read_table, small_batches, text
 
 WINDOW = 20
 SLICE = 2 << 20
+# Shares of the nodes that are joined one after the other.
+PASSES = 4
 # Bytes that word hashing takes at a time.
 HASH_BYTES = 1 << 20
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -219,14 +221,17 @@ def candidates(found: DataFrame, k: int) -> DataFrame:
     return both.mapInArrow(run, "doc_id long, tie long, copies long, n_words long, sha string, ranges array<int>")
 
 
-VISIT = ("node", "before", "behind", "edge", "of", "start", "times")
+VISIT = ("node", "before", "behind", "flag", "of", "place")
 
 
-def visits(texts: DataFrame, k: int) -> DataFrame:
-    """Per document its text and, for each candidate window, which visit of the
-    slice it is (``idx``); per slice its distinct visits, in order of their
-    first place: text ``of`` the slice (its seq) and first word ``start``."""
-    schema = pa.schema([*BASE, ("text", pa.binary()), ("ranges", INTS), ("idx", INTS), *[(v, LONGS) for v in VISIT], ("ids", LONGS), ("ties", LONGS)])
+def visits(texts: DataFrame, k: int, passes: int = PASSES) -> DataFrame:
+    """Per document its text, its first word's place in the slice (``base``)
+    and, for each candidate window, the place of the slice's first visit like
+    it (``idx``). Per slice and ``pass`` (share of the nodes) its distinct
+    visits: ``place``, text ``of`` the slice, and ``flag``: 1 if a window goes on
+    from the node, 2 if the slice has the visit more than once."""
+    schema = pa.schema([*BASE, ("base", pa.int64()), ("text", pa.binary()), ("ranges", INTS), ("idx", INTS), ("pass", pa.int32()),
+                        *[(v, LONGS) for v in VISIT], ("ids", LONGS), ("ties", LONGS)])
 
     def run(batches):
         number = 0
@@ -247,85 +252,101 @@ def visits(texts: DataFrame, k: int) -> DataFrame:
             node = runs(words, k - 1)[place]
             before = np.where(at > 0, padded[place], np.uint64(0))
             behind = np.where(at + k <= x.count[owner], padded[np.minimum(place + k, len(words) + 1)], np.uint64(0))
-            same = np.lexsort((np.arange(len(node)), edge, behind, before, node))
+            same = np.lexsort((edge, behind, before, node))  # stable: equal visits stay in order of place
             new = np.concatenate([[True], (node[same][1:] != node[same][:-1]) | (before[same][1:] != before[same][:-1])
                                   | (behind[same][1:] != behind[same][:-1]) | (edge[same][1:] != edge[same][:-1])])
             first, group = same[new], np.cumsum(new) - 1
-            rank = np.argsort(np.argsort(first))
             idx = np.empty(len(node), np.int64)
-            idx[same] = rank[group]
-            times = np.bincount(group)[np.argsort(first)]
-            first = np.sort(first)
+            idx[same] = place[first][group]
             cut = np.searchsorted(owner[edge], np.arange(n + 1))
             name = col("part")[0].as_py() << 32 | number
             number += 1
-            yield _batch(schema, n, slice=[name] * n, seq=np.arange(n), doc_id=col("doc_id"), tie=col("tie"), copies=col("copies"),
+            yield _batch(schema, n, slice=[name] * n, seq=np.arange(n), doc_id=col("doc_id"), tie=col("tie"), copies=col("copies"), base=x.first,
                          text=col("text").cast(pa.binary()), ranges=col("ranges"), idx=_lists(cut, idx[edge]))
-            columns = dict(zip(VISIT, (node, before, behind, edge, owner, at, times)))
-            columns |= {c: v[first] for c, v in columns.items() if c != "times"}
-            yield _batch(schema, 1, slice=[name], **{c: [v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64)] for c, v in columns.items()},
-                         ids=[col("doc_id").to_pylist()], ties=[col("tie").to_pylist()])
+            flags = np.zeros(len(node), np.int64)
+            flags[first] = edge[first] + 2 * (np.bincount(group) > 1)
+            share = node[first] % np.uint64(passes)
+            for p in range(passes):
+                some = np.sort(first[share == p])
+                columns = dict(zip(VISIT, (node[some], before[some], behind[some], flags[some], owner[some], place[some])))
+                yield _batch(schema, 1, slice=[name], ids=[col("doc_id").to_pylist()], ties=[col("tie").to_pylist()], **{"pass": [p]},
+                             **{c: [v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64)] for c, v in columns.items()})
 
     x = texts.select(F.spark_partition_id().cast("long").alias("part"), "doc_id", "tie", "copies", "text", "ranges")
-    ddl = f"{BASE_DDL}, text binary, ranges array<int>, idx array<int>, " + ", ".join(f"{v} array<long>" for v in (*VISIT, "ids", "ties"))
+    ddl = f"{BASE_DDL}, base long, text binary, ranges array<int>, idx array<int>, pass int, " + ", ".join(f"{v} array<long>" for v in (*VISIT, "ids", "ties"))
     return x.mapInArrow(run, ddl)
 
 
 def paths(seen: DataFrame, refused: DataFrame | None = None) -> DataFrame:
-    """Per slice its visits that start a path: (idx, source, whether the path
-    has other copies). A path starts where its node branches."""
+    """Per slice its visits that start a path: their places, the place of the
+    path's source (slice, word) and whether the path has other copies. A path
+    starts where its node branches."""
     each = (seen.where(F.col("node").isNotNull())
-            .select("slice", "ids", "ties", F.posexplode(F.arrays_zip(*VISIT)).alias("i", "v"))
-            .select("slice", "i", *[F.col(f"v.{c}").alias(c) for c in VISIT if c != "of"],
+            .select("slice", "ids", "ties", F.explode(F.arrays_zip(*VISIT)).alias("v"))
+            .select("slice", *[F.col(f"v.{c}").alias(c) for c in VISIT if c != "of"],
                     F.col("ids")[F.col("v.of").cast("int")].alias("doc_id"), F.col("ties")[F.col("v.of").cast("int")].alias("tie")))
     each = each.repartition("node")  # the one shuffle; both windows are inside a node
     at = Window.partitionBy("node")
-    edge = Window.partitionBy("node", "behind", "edge")
-    earliest = edge.orderBy(F.col("doc_id").asc_nulls_first(), "tie", "start")
+    edge = Window.partitionBy("node", "behind", F.col("flag").bitwiseAND(1))
+    earliest = edge.orderBy(F.col("doc_id").asc_nulls_first(), "tie", "place")
     branches = ((F.min("before").over(at) != F.max("before").over(at)) | (F.min("behind").over(at) != F.max("behind").over(at))
                 | (F.col("before") == 0) | (F.col("behind") == 0))
-    source = F.first(F.struct("doc_id", "tie", "start")).over(earliest)
-    starts = (each.select("slice", "i", "edge", branches.alias("branches"), source.alias("source"), F.sum("times").over(edge).alias("n"))
-              .where("branches AND edge = 1").select("slice", "i", "source.*", (F.col("n") > 1).alias("many")))
+    many = (F.count(F.lit(1)).over(edge) > 1) | (F.max("flag").over(edge) > 1)
+    starts = (each.select("slice", "place", "flag", branches.alias("branches"), many.alias("many"), F.first("slice").over(earliest).alias("s_slice"),
+                          F.first("place").over(earliest).alias("s_place"))
+              .where(F.col("branches") & (F.col("flag").bitwiseAND(1) == 1)))
     if refused is not None:
-        no = refused.select(F.col("doc_id").alias("_d"), F.col("tie").alias("_t"), F.col("start").alias("_s"))
-        starts = starts.join(no, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t")) & (F.col("start") == F.col("_s")), "left")
-        starts = starts.withColumn("many", F.col("many") & F.col("_s").isNull()).drop("_d", "_t", "_s")
-    fields = ("i", "doc_id", "tie", "start", "many")
+        no = refused.select(F.col("s_slice").alias("_s"), F.col("s_place").alias("_p"))
+        starts = starts.join(no, (F.col("s_slice") == F.col("_s")) & (F.col("s_place") == F.col("_p")), "left")
+        starts = starts.withColumn("many", F.col("many") & F.col("_s").isNull())
+    fields = ("place", "s_slice", "s_place", "many")
     return (starts.groupBy("slice").agg(F.collect_list(F.struct(*fields)).alias("p"))
             .select("slice", F.lit(-1).alias("seq"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in fields]))
 
 
-RESULT = "doc_id long, tie long, copies long, n_words long, n_removed long, kept_sha256 string, removed array<int>, sources array<struct<doc_id: long, tie: long, start: long, low: long, high: long>>"
+def all_paths(seen: DataFrame, refused: DataFrame | None = None, passes: int = PASSES) -> DataFrame:
+    """``paths`` in several passes, each over its share of the nodes and written
+    before the next, so that shuffle files hold one share at a time."""
+    out = None
+    for p in range(passes):
+        some = materialize(paths(seen.where(F.col("pass") == p), refused), "repeats-paths")
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+RESULT = ("doc_id long, tie long, copies long, n_words long, n_removed long, kept_sha256 string, removed array<int>, "
+          "sources array<struct<s_slice: long, s_place: long, low: long, high: long>>")
+SOURCE = ("s_slice", "s_place", "low", "high")
 
 
 def cut(seen: DataFrame, starts: DataFrame, k: int) -> DataFrame:
     """The candidate documents without their repeats: ``removed`` are the
     [from, to) of cut words (flat list), ``sources`` the digests of the copies
     of paths, of the source's own too."""
-    docs = seen.where(F.col("node").isNull()).drop(*VISIT, "ids", "ties")
+    docs = seen.where(F.col("node").isNull()).drop(*VISIT, "ids", "ties", "pass")
     both = docs.unionByName(starts, allowMissingColumns=True).repartition("slice").sortWithinPartitions("slice", "seq")
-    place = pa.struct([(c, pa.int64()) for c in ("doc_id", "tie", "start", "low", "high")])
     schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("copies", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                        ("kept_sha256", pa.string()), ("removed", INTS), ("sources", pa.list_(place))])
+                        ("kept_sha256", pa.string()), ("removed", INTS), ("sources", pa.list_(pa.struct([(c, pa.int64()) for c in SOURCE])))])
 
-    def one(doc_id, tie, text, ranges, idx, known) -> dict:
+    def one(slice_of, base, text, ranges, idx, known) -> dict:
         x = Slice([text])
-        n, ranges = len(x.start), ranges.reshape(-1, 2)
-        windows = np.concatenate([np.arange(a, b) for a, b in ranges.tolist()]) if len(ranges) else np.empty(0, np.int64)
-        fresh = np.concatenate([[True], windows[1:] != windows[:-1] + 1]) if len(windows) else np.empty(0, bool)
-        at = np.searchsorted(known["i"], idx) if known else np.zeros(len(idx), np.int64)
-        is_start = (at < len(known["i"])) & (known["i"][np.minimum(at, len(known["i"]) - 1)] == idx) if known and len(idx) else np.zeros(len(idx), bool)
-        new = np.flatnonzero(fresh | is_start)
+        n = len(x.start)
+        windows = np.concatenate([np.arange(a, b) for a, b in ranges.reshape(-1, 2).tolist()])
+        at, is_start = np.zeros(len(idx), np.int64), np.zeros(len(idx), bool)
+        if known is not None:
+            at = np.minimum(np.searchsorted(known["place"], idx), len(known["place"]) - 1)
+            is_start = known["place"][at] == idx
+        # a path goes on until the next start or the end of the candidates
+        new = np.flatnonzero(is_start | np.concatenate([[True], windows[1:] != windows[:-1] + 1]))
         gone, sources = np.zeros(n + 1, np.int64), []
         for a, b in zip(new.tolist(), np.append(new[1:], len(windows)).tolist()):
             if not is_start[a] or not known["many"][at[a]]:
                 continue
-            lo, hi, j = int(windows[a]), int(windows[b - 1]) + k, at[a]
-            source = known["doc_id"][j], known["tie"][j], known["start"][j]
+            lo, hi = int(windows[a]), int(windows[b - 1]) + k
+            source = int(known["s_slice"][at[a]]), int(known["s_place"][at[a]])
             digest = hashlib.blake2b(x.text(lo, hi), digest_size=16).digest()
-            sources.append((*source, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)))
-            if source != (doc_id, tie, lo):
+            sources.append(dict(zip(SOURCE, (*source, *(int.from_bytes(digest[i:i + 8], "little", signed=True) for i in (0, 8))))))
+            if source != (slice_of, base + lo):
                 gone[lo] += 1
                 gone[hi] -= 1
         cut_off = np.cumsum(gone[:n]) > 0
@@ -336,22 +357,25 @@ def cut(seen: DataFrame, starts: DataFrame, k: int) -> DataFrame:
                 kept.append(x.text(before, a))
             before = b
         return {"n_words": n, "n_removed": int(cut_off.sum()), "kept_sha256": hashlib.sha256(b" ".join(kept)).hexdigest(),
-                "removed": edges.tolist(), "sources": [dict(zip(("doc_id", "tie", "start", "low", "high"), s)) for s in sources]}
+                "removed": edges.tolist(), "sources": sources}
 
     def run(batches):
-        here, known = None, None
+        here, parts, known = None, [], None
         for batch in batches:
             col = lambda c, b=batch: b.column(b.schema.get_field_index(c))
-            text, ranges, idx, ids, ties, copies, out = col("text"), col("ranges"), col("idx"), col("doc_id"), col("tie"), col("copies"), []
+            out = []
             for i, (s, seq) in enumerate(zip(col("slice").to_pylist(), col("seq").to_pylist())):
                 if seq < 0:
-                    here, order = s, np.argsort(col("p_i")[i].values.to_numpy(zero_copy_only=False))
-                    known = {c: [v[j] for v in [col(f"p_{c}")[i].as_py()] for j in order] for c in ("doc_id", "tie", "start", "many")}
-                    known["i"] = col("p_i")[i].values.to_numpy(zero_copy_only=False)[order]
+                    parts = [*(parts if s == here else []), {c: col(f"p_{c}")[i].values.to_numpy(zero_copy_only=False) for c in ("place", "s_slice", "s_place", "many")}]
+                    here, known = s, None
                     continue
-                row = {"doc_id": ids[i].as_py(), "tie": ties[i].as_py(), "copies": copies[i].as_py()}
-                own = [v[i].values.to_numpy(zero_copy_only=False) for v in (ranges, idx)]
-                out.append(row | one(row["doc_id"], row["tie"], text[i].as_py(), *own, known if s == here else None))
+                if s == here and known is None:
+                    known = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+                    order = np.argsort(known["place"])
+                    known = {c: v[order] for c, v in known.items()}
+                row = {c: col(c)[i].as_py() for c in ("doc_id", "tie", "copies")}
+                own = [col(c)[i].values.to_numpy(zero_copy_only=False) for c in ("ranges", "idx")]
+                out.append(row | one(s, col("base")[i].as_py(), col("text")[i].as_py(), *own, known if s == here else None))
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return both.mapInArrow(run, RESULT)
@@ -360,8 +384,8 @@ def cut(seen: DataFrame, starts: DataFrame, k: int) -> DataFrame:
 def refused(done: DataFrame) -> DataFrame:
     """Sources of paths whose copies' words are not all the same."""
     each = done.select(F.explode("sources").alias("s")).select("s.*")
-    return (each.groupBy("doc_id", "tie", "start").agg(*[f(c).alias(f"{n}_{c}") for n, f in (("a", F.min), ("b", F.max)) for c in ("low", "high")])
-            .where("a_low <> b_low OR a_high <> b_high").select("doc_id", "tie", "start"))
+    return (each.groupBy("s_slice", "s_place").agg(*[f(c).alias(f"{n}_{c}") for n, f in (("a", F.min), ("b", F.max)) for c in ("low", "high")])
+            .where("a_low <> b_low OR a_high <> b_high").select("s_slice", "s_place"))
 
 
 def without_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
@@ -377,11 +401,12 @@ def without_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     texts = (rows.join(ranges, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t"))).drop("_d", "_t")
              .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie"))
     seen = materialize(visits(texts, k), "repeats-visits")
-    done = materialize(cut(seen, paths(seen), k), "repeats-cut")
+    starts = all_paths(seen)
+    done = materialize(cut(seen, starts, k), "repeats-cut")
     bad = materialize(refused(done), "repeats-refused")
     if bad.take(1):
-        done = materialize(cut(seen, paths(seen, bad), k), "repeats-cut")
-    discard(seen)
+        done = materialize(cut(seen, all_paths(seen, bad), k), "repeats-cut")
+    discard(seen, starts)
     plain = marked.where(~some).select("doc_id", "copies", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"),
                                        F.array().cast("array<int>").alias("removed"))
     every = plain.unionByName(done.select(*plain.columns)).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
