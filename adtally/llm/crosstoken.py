@@ -29,16 +29,24 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, read_table, small_batches, text_slices
+from .common import CACHE_WORDS, discard, materialize, read_table, small_batches, text_slices
 from .tokens import tokenizer_file
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+# Bytes of text in a slice.
+SLICE = 2 << 20
+# A plain text: printable ASCII, ASCII white space and the letters of Latin-1.
+ODD = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
+# A's own split (fixed value) for plain texts.
+SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
+RUN = re.compile(" +[^ ]*")
 # Entries of a product that ``shared_links`` expands at a time.
 BLOCK_LINKS = 1 << 20
 
@@ -54,13 +62,14 @@ class Csr:
     def runs(cls, lengths: np.ndarray) -> "Csr":
         """Row i has the next ``lengths[i]`` columns."""
         ptr = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-        return cls(ptr, np.arange(ptr[-1]), int(ptr[-1]))
+        return cls(ptr, np.arange(ptr[-1], dtype=np.int32), int(ptr[-1]))
 
     def transposed(self) -> "Csr":
-        rows = np.repeat(np.arange(len(self.ptr) - 1), np.diff(self.ptr))
-        order = np.argsort(self.cols, kind="stable")
+        rows = np.repeat(np.arange(len(self.ptr) - 1, dtype=np.int32), np.diff(self.ptr))
+        if (self.cols[1:] < self.cols[:-1]).any():
+            rows = rows[np.argsort(self.cols, kind="stable")]
         ptr = np.concatenate([[0], np.cumsum(np.bincount(self.cols, minlength=self.n_cols))])
-        return Csr(ptr, rows[order], len(self.ptr) - 1)
+        return Csr(ptr, rows, len(self.ptr) - 1)
 
     def rows(self, lo: int, hi: int) -> "Csr":
         return Csr(self.ptr[lo:hi + 1] - self.ptr[lo], self.cols[self.ptr[lo]:self.ptr[hi]], self.n_cols)
@@ -69,10 +78,10 @@ class Csr:
 def product(a: Csr, bt: Csr) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gustavson's product: (row, column, value) of A·Bᵀ's entries in order."""
     owner = np.repeat(np.arange(len(a.ptr) - 1), np.diff(a.ptr))
-    width = bt.ptr[a.cols + 1] - bt.ptr[a.cols]
-    if (width == 1).all():
-        row, col = owner, bt.cols[bt.ptr[a.cols]]
+    if len(bt.cols) == len(bt.ptr) - 1 and (np.diff(bt.ptr) == 1).all():  # one entry in each row of Bᵀ
+        row, col = owner, bt.cols[a.cols]
     else:
+        width = bt.ptr[a.cols + 1] - bt.ptr[a.cols]
         row = np.repeat(owner, width)
         first = np.repeat(bt.ptr[a.cols] - (np.cumsum(width) - width), width)
         col = bt.cols[first + np.arange(len(row))]
@@ -106,7 +115,13 @@ def shared_links(a_group: np.ndarray, b_group: np.ndarray, block: int = BLOCK_LI
 
 
 class Pair:
-    """Both tokenizers, and the bytes of their entries."""
+    """Both tokenizers, and the bytes of their entries.
+
+    Neither merges across the borders of its own split, so ids are cached: A's
+    by the pieces of its split (in texts of plain Latin characters, where the
+    split is the same in ``re``), B's by runs of spaces with what follows (if no
+    entry has a space behind another character). A cached string's tokens are
+    checked to give its bytes back; texts with others are encoded whole."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -125,22 +140,58 @@ class Pair:
         b = self.b
         self.b_bytes = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
                         for i in range(b.get_piece_size())]
+        self.split_b = not any(b" " in t.lstrip(b" ") for t in self.b_bytes)
         self.a_len, self.b_len = (np.fromiter(map(len, t), np.int32, len(t)) for t in (self.a_bytes, self.b_bytes))
-        text = lambda n, mark: np.array([mark + b"%d" % i for i in range(n)], object)
-        self.a_text = {m: text(size, m) for m in (b"", b",", b";")}
-        self.b_text = {m: text(len(self.b_bytes), m) for m in (b"|", b",")}
+        # an id as text behind each of the marks that may stand before it
+        text = lambda n, marks: np.array([m + b"%d" % i for m in marks for i in range(n)], object)
+        self.a_text, self.b_text = text(size, (b"", b",", b";")), text(len(self.b_bytes), (b"|", b","))
+        self.a_known: dict[str, bytes | None] = {}
+        self.b_known: dict[str, bytes | None] = {}
+
+    def whole_a(self, texts: list[str]) -> list[np.ndarray | None]:
+        out = []
+        for t, e in zip(texts, self.a.encode_batch_fast(texts, add_special_tokens=False)):
+            same = b"".join(map(self.a_bytes.__getitem__, e.ids)) == t.encode()
+            out.append(np.array(e.ids, np.int32) if same else None)
+        return out
+
+    def whole_b(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Texts start with the space that B puts before them itself."""
+        out = []
+        for t, ids in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1)):
+            same = b"".join(map(self.b_bytes.__getitem__, ids)) == t.encode()
+            out.append(np.array(ids, np.int32) if same else None)
+        return out
+
+    def by_parts(self, texts: list[str], parts: list[list[str] | None], known: dict, whole) -> list[np.ndarray | None]:
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        need = list(set().union(*[p for p in parts if p is not None]) - known.keys())
+        for at in range(0, len(need), 4096):
+            some = need[at:at + 4096]
+            known.update((p, None if ids is None else ids.tobytes()) for p, ids in zip(some, whole(some)))
+        out: list = [None] * len(texts)
+        rest = []
+        for i, p in enumerate(parts):
+            found = None if p is None else list(map(known.__getitem__, p))
+            if found is None or None in found:
+                rest.append(i)
+            else:
+                out[i] = np.frombuffer(b"".join(found), np.int32)
+        for i, ids in zip(rest, whole([texts[i] for i in rest]) if rest else ()):
+            out[i] = ids
+        return out
 
-    def encode(self, texts: list[bytes | None]) -> list[tuple[list[int], list[int]] | None]:
+    def encode(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """(A ids, B ids) of each text, None without tokens."""
         out: list = [None] * len(texts)
         full = [i for i, t in enumerate(texts) if t]
-        plain = [texts[i].decode() for i in full]
-        for i, text, a, b in zip(full, plain, self.a.encode_batch_fast([" " + t for t in plain], add_special_tokens=False),
-                                 self.b.encode(plain, num_threads=1)):
-            whole = b" " + texts[i]
-            ids = a.ids
-            if b"".join(map(self.a_bytes.__getitem__, ids)) == whole == b"".join(map(self.b_bytes.__getitem__, b)):
-                out[i] = ids, b
+        plain = [" " + texts[i].decode() for i in full]
+        a = self.by_parts(plain, [None if ODD.search(t) else SPLIT.findall(t) for t in plain], self.a_known, self.whole_a)
+        b = self.by_parts(plain, [RUN.findall(t) if self.split_b else None for t in plain], self.b_known, self.whole_b)
+        for i, x, y in zip(full, a, b):
+            if x is not None and y is not None:
+                out[i] = x, y
         return out
 
 
@@ -150,22 +201,20 @@ def align(pair: Pair, texts: list[bytes | None]) -> dict:
     found = pair.encode(texts)
     n = len(texts)
     a_n, b_n = (np.array([len(f[k]) if f else 0 for f in found], np.int64) for k in (0, 1))
-    a, b = (np.fromiter((i for f in found if f for i in f[k]), np.int32, int(c.sum())) for k, c in ((0, a_n), (1, b_n)))
+    a, b = (np.concatenate([np.empty(0, np.int32), *[f[k] for f in found if f]]) for k in (0, 1))
     a_len, b_len = pair.a_len[a], pair.b_len[b]
     a_group, b_group = group_of(a_len, b_len)
     row, col, _ = product(Csr.runs(a_len), Csr.runs(b_len).transposed())
-    doc_a, doc_b = np.repeat(np.arange(n), a_n), np.repeat(np.arange(n), b_n)
+    doc_a = np.repeat(np.arange(n), a_n)
     groups = int(a_group[-1]) + 1 if len(a) else 0
     a_in, b_in = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
     group_doc = doc_a[np.cumsum(a_in) - 1] if groups else np.empty(0, np.int64)
     # the digests' texts: tokens with the mark before them, in the order group, side
-    a_first = np.concatenate([[True], a_group[1:] != a_group[:-1]]) if len(a) else np.empty(0, bool)
-    b_first = np.concatenate([[True], b_group[1:] != b_group[:-1]]) if len(b) else np.empty(0, bool)
-    starts_doc = np.concatenate([[True], doc_a[1:] != doc_a[:-1]]) if len(a) else np.empty(0, bool)
+    new = lambda x: np.concatenate([[True], x[1:] != x[:-1]])[:len(x)]
+    a_mark = new(a_group).astype(np.int64) + 1 - 2 * new(doc_a)
     merged = np.empty(len(a) + len(b), object)
-    merged[np.arange(len(a)) + (np.cumsum(b_in) - b_in)[a_group]] = np.where(
-        starts_doc, pair.a_text[b""][a], np.where(a_first, pair.a_text[b";"][a], pair.a_text[b","][a]))
-    merged[np.arange(len(b)) + np.cumsum(a_in)[b_group]] = np.where(b_first, pair.b_text[b"|"][b], pair.b_text[b","][b])
+    merged[np.arange(len(a)) + (np.cumsum(b_in) - b_in)[a_group]] = pair.a_text[a + a_mark * len(pair.a_bytes)]
+    merged[np.arange(len(b)) + np.cumsum(a_in)[b_group]] = pair.b_text[b + (~new(b_group)) * len(pair.b_bytes)]
     ends = np.concatenate([[0], np.cumsum(a_n + b_n)])
     digests = [hashlib.sha256(b"".join(merged[ends[i]:ends[i + 1]].tolist())).hexdigest() if found[i] else "" for i in range(n)]
     link_doc = doc_a[row]
@@ -186,7 +235,7 @@ def _slices(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches):
         pair, at = None, 0
-        for rows, texts in text_slices(batches):
+        for rows, texts in text_slices(batches, limit=SLICE):
             pair = pair or Pair(a_path, b_path)
             x = align(pair, texts)
             n = rows.num_rows

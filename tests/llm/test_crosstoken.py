@@ -28,7 +28,7 @@ def literal(pair, texts):
     out, links, holds = [], [], Counter()
     for text in texts:
         ids = pair.encode([text.encode() if text is not None else None])[0]
-        a, b = ids or ([], [])
+        a, b = [x.tolist() for x in ids] if ids else ([], [])
         of = lambda tokens, table: [i for i, t in enumerate(tokens) for _ in table[t]]
         byte_a, byte_b = of(a, pair.a_bytes), of(b, pair.b_bytes)
         mine = set(zip(byte_a, byte_b))
@@ -84,8 +84,24 @@ def test_products(pair):
 def test_shared_links_in_blocks(pair):
     text = "uncharacteristically naïve tokenizations, 漢字かな! ".encode() * 3
     a, b = pair.encode([text])[0]
+    assert len(a) > len(text) / 9
     a_group, b_group = crosstoken.group_of(pair.a_len[a], pair.b_len[b])
     want = {(i, j) for i in range(len(a)) for j in range(len(b)) if a_group[i] == b_group[j]}
     for block in (1, 5, 1 << 20):
         got = [p for rows, cols in crosstoken.shared_links(a_group, b_group, block) for p in zip(rows.tolist(), cols.tolist())]
         assert len(got) == len(want) and set(got) == want
+
+
+def test_cached_ids_equal_those_of_whole_texts(pair):
+    texts = ["don't  stop'LL  x\n\n  y \t", " lead", "trail   ", "3.14 ÀÖØÝÞß÷×ª", "a▁b c", "x\x1c\x85 y", "<|endoftext|><s>", "日本 語 é́", "\n", "A" * 300,
+             "we'll 're''s  'S $$ $5 5$ ¿qué? straße\r\n\x0b\x0c"]
+    rng = np.random.default_rng(3)
+    alphabet = list("ab'st 123 .,\n\t  éß▁日<>|\x0b")
+    texts += ["".join(rng.choice(alphabet, rng.integers(1, 60))) for _ in range(400)]
+    for text, got in zip(texts, pair.encode([t.encode() for t in texts])):
+        a, b = pair.whole_a([" " + text])[0], pair.whole_b([" " + text])[0]
+        if a is None or b is None:
+            assert got is None, text
+        else:
+            assert got[0].tolist() == a.tolist() == pair.a.encode(" " + text, add_special_tokens=False).ids, text
+            assert got[1].tolist() == b.tolist() == pair.b.encode(text), text
