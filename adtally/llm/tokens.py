@@ -1,16 +1,18 @@
 """Token-id output: Parquet files with list columns, and selective reads.
 
-``write`` range-partitions the documents by id, tokenizes each part and writes
-one row per document in ascending id order (null first; equal ids by text):
+``write`` range-partitions the documents by id and a hash of the text, tokenizes
+each part and writes one row per document in ascending id order (null first;
+equal ids by that hash, then by text):
 
-    doc_id, part, n_tokens, ids list<int32>
+    doc_id, part, at, n_tokens, ids list<int32>
 
 Layout: token ids are dictionary-encoded (at most the vocabulary's 49,408
 values, so about 2 bytes each before zstd), ``doc_id`` and the counts are
 delta-encoded (Parquet v2 pages, no dictionary), row groups and pages have set
 sizes, and Parquet's column and page indexes let a reader fetch some columns
-of some ids only. ``start`` (ids of all documents before) is not stored: it is
-the running sum of ``n_tokens``, read without touching the ids.
+of some ids only. ``at`` is the number of ids before the row in its part;
+``start`` (ids of all documents before) is ``at`` and the sizes of the parts
+before, which the metadata columns give without touching the ids.
 
 The tokenizer normalises, splits and merges inside white-space-separated words
 only, and there inside the pieces of its own split, so ids do not depend on
@@ -26,14 +28,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import shared_dir
-from .common import CACHE_WORDS, read_table, small_batches, text_slices, with_global_offset
+from .common import CACHE_WORDS, read_table, small_batches, text_slices
 
 END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
@@ -99,31 +102,38 @@ class WordIds:
         return [np.frombuffer((b"".join(map(get, f)) if isinstance(f, list) else self.by_words(f)) + end, np.uint32) for f in found]
 
 
+@lru_cache(maxsize=1)
+def coder_of(path: str) -> WordIds:
+    """The tokenizer with its caches, kept as long as the Python worker."""
+    return WordIds(path)
+
+
 def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = None, keep: tuple[str, ...] = ()) -> None:
     """Tokenize ``docs`` into ``path`` in ascending doc_id order. ``parts``:
     how many files; by default as many as adaptive execution finds fit."""
     small_batches(docs.sparkSession)
     ids = docs.schema["doc_id"].dataType.simpleString()
     kept = [f"k_{k}" for k in keep]
-    schema = f"doc_id {ids}, part int, n_tokens int, ids array<int>" + "".join(
+    schema = f"doc_id {ids}, part int, at long, n_tokens int, ids array<int>" + "".join(
         f", {n} {docs.schema[k].dataType.simpleString()}" for n, k in zip(kept, keep))
 
     def run(batches):
-        coder = None
+        before = 0  # a task writes one part
         for rows, texts in text_slices(batches):
-            coder = coder or WordIds(tokenizer_path)
-            found = coder.encode(texts)
+            found = coder_of(tokenizer_path).encode(texts)
             sizes = np.fromiter(map(len, found), np.int32, len(found))
             ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
             values = pa.array(np.concatenate([*found, np.empty(0, np.uint32)]).view(np.int32))
+            at = pa.array(before + ends[:-1].astype(np.int64))
+            before += int(ends[-1])
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array(sizes), pa.ListArray.from_arrays(pa.array(ends), values),
-                 *[rows.column(3 + i) for i in range(len(kept))]], ["doc_id", "part", "n_tokens", "ids", *kept])
+                [rows.column(0), rows.column(1), at, pa.array(sizes), pa.ListArray.from_arrays(pa.array(ends), values),
+                 *[rows.column(3 + i) for i in range(len(kept))]], ["doc_id", "part", "at", "n_tokens", "ids", *kept])
 
     x = docs.select("doc_id", F.col("text").cast("string").alias("text"), *[F.col(k).alias(n) for n, k in zip(kept, keep)])
-    order = ["doc_id", "text", *kept]
-    x = x.repartitionByRange(parts, "doc_id") if parts else x.repartitionByRange("doc_id")
-    x = (x.sortWithinPartitions(*order)
+    by = ["doc_id", F.xxhash64("text")]
+    x = x.repartitionByRange(parts, *by) if parts else x.repartitionByRange(*by)
+    x = (x.sortWithinPartitions(*by, "text", *kept)
          .select("doc_id", F.spark_partition_id().alias("part"), "text", *kept))
     (x.mapInArrow(run, schema).write
      .option("compression", "zstd")
@@ -149,10 +159,18 @@ def read(spark: SparkSession, path: str, columns: list[str] | None = None, first
     return df.select(*columns) if columns else df
 
 
+def offsets(spark: SparkSession, path: str) -> DataFrame:
+    """(part, offset): ids in all parts before, one row per part, from the
+    metadata columns alone."""
+    sums = spark.read.parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select("part", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("offset"))
+
+
 def starts(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, part, n_tokens, start) from the metadata columns alone."""
-    meta = spark.read.parquet(path).select("doc_id", "part", "n_tokens")
-    return with_global_offset(meta, "part", ["doc_id"], "n_tokens", "start")
+    meta = spark.read.parquet(path).select("doc_id", "part", "at", "n_tokens")
+    return meta.join(offsets(spark, path), "part").select("doc_id", "part", "n_tokens", (F.col("at") + F.col("offset")).alias("start"))
 
 
 def digest(df: DataFrame) -> DataFrame:
@@ -173,11 +191,11 @@ def digest(df: DataFrame) -> DataFrame:
 
 
 def with_starts(spark: SparkSession, path: str, extra: list[str] | None = None) -> DataFrame:
-    """The files' rows as (doc_id, start, n_tokens, ids_crc32, *extra). Rows of
-    a part stay together, and each part is read once."""
-    rows = digest(read(spark, path, ["doc_id", "part", "n_tokens", "ids", *(extra or [])]))
-    out = with_global_offset(rows, "part", ["doc_id", "n_tokens", "ids_crc32"], "n_tokens", "start")
-    return out.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32", *(extra or []))
+    """The files' rows as (doc_id, start, n_tokens, ids_crc32, *extra); the ids
+    are read once."""
+    rows = digest(read(spark, path, ["doc_id", "part", "at", "n_tokens", "ids", *(extra or [])]))
+    return (rows.join(offsets(spark, path), "part")
+            .select("doc_id", (F.col("at") + F.col("offset")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32", *(extra or [])))
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:

@@ -68,3 +68,27 @@ def test_selective_read_and_encodings(docs, spark):
     cols = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
     assert "RLE_DICTIONARY" in cols["ids.list.element"].encodings
     assert "DELTA_BINARY_PACKED" in cols["doc_id"].encodings and cols["doc_id"].has_column_index
+
+
+def test_starts_of_equal_ids_follow_the_files(docs, spark):
+    """Walking the files in order, each row starts where the ids before it end."""
+    import pyarrow.parquet as pq
+    path = shared_dir(spark, "test-token-starts")
+    rows = [(i % 3 if i % 4 else None, "w " * (i * 37 % 11)) for i in range(200)] + [(5, "a b c"), (5, "a")]
+    tokens.write(docs(rows), path, tokens.tokenizer_file(), parts=6)
+    files = {}
+    for f in sorted(p for p in __import__("os").listdir(path) if p.endswith(".parquet")):
+        for r in pq.read_table(f"{path}/{f}").to_pylist():
+            files.setdefault(r["part"], []).append(r)
+    walked, start, last = [], 0, float("-inf")
+    for part in sorted(files):
+        for r in files[part]:
+            assert (r["doc_id"] if r["doc_id"] is not None else float("-inf")) >= last
+            last = r["doc_id"] if r["doc_id"] is not None else float("-inf")
+            walked.append((r["doc_id"], start, r["n_tokens"], zlib.crc32(np.array(r["ids"], np.uint32).tobytes())))
+            start += r["n_tokens"]
+    key = lambda r: r[1]
+    assert len(files) > 3 and walked == sorted((tuple(r) for r in tokens.with_starts(spark, path).collect()), key=key)
+    assert sorted((r.doc_id, r.start) for r in tokens.starts(spark, path).where("doc_id = 5").collect()) == sorted(w[:2] for w in walked if w[0] == 5)
+    plan = tokens.with_starts(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ids#") and sum("ids" in x.split("ReadSchema")[1] for x in plan.split("FileScan")[1:]) == 1
