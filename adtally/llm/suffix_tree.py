@@ -21,11 +21,13 @@ must; g(s) is the mass left. Each position is scored by its longest suffix in
 the tree; a word of the class "other" by the class times P0(x) / P0(other).
 
 The tree grows with the input and is never gathered: it is a table of grams (a
-context, or a context and its next symbol), built level by level with shuffled
-joins. Texts are handled in slices of some 4 MB; each slice names its distinct
-grams once, one shuffle by gram counts them and lists the slices, and the states
-of retained grams return to those slices. A hot gram is one row a slice. Only
-the ``LOOKUP_WORDS`` most frequent words are broadcast, to save look-ups.
+context and its next symbol), built level by level with shuffled joins. Texts are
+handled in slices of some 16 MB. At each depth a slice names once each gram that
+goes on from a context that can still be retained; a shuffle by gram counts
+them, in ``SHARES`` turns that each hold a share of the grams, and the
+frequent ones stay as one row per slice that has them. States of retained grams
+return to those slices. Only the ``LOOKUP_WORDS`` most frequent words are
+broadcast, to save look-ups.
 
 Defined results: null and empty texts are the end token alone; repeated rows
 count each; with no training text every token is unknown and the score is the
@@ -39,10 +41,10 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, crc_mod, materialize, mix64, read_table, small_batches, text_slices
+from .common import WordHashes, crc_mod, discard, materialize, mix64, read_table, small_batches, text_slices
 
 HOT_WORDS = None  # every word is a symbol
 LOOKUP_WORDS = 1 << 17
@@ -52,6 +54,10 @@ MIN_COUNT = 2
 MIN_GAIN = 0.02
 MIN_TOTAL = 10.0
 DISCOUNT = 0.75
+# Bytes of text in a slice, the unit that names a gram once and gets its states.
+SLICE = 16 << 20
+# Turns in which a level's grams are counted.
+SHARES = 4
 END, OTHER = 0, 1  # symbols; looked-up words follow, any other word is its hash with the top bit set
 TOP = np.uint64(1 << 63)
 
@@ -85,8 +91,10 @@ def _symbolise(hot: list[bytes], classes: bool):
     its other words, each with its number of times."""
     def run(batches):
         symbol = {w: i + 2 for i, w in enumerate(hot)}
-        hashes = WordHashes()
-        for k, (rows, texts) in enumerate(text_slices(batches)):
+        hashes, read = WordHashes(), 0
+        for rows, texts in text_slices(batches):
+            k = read // SLICE
+            read += sum(len(t or b"") for t in texts)
             syms, cold, times, sizes = [], [], [], []
             for text in texts:
                 words = _words(text)
@@ -196,59 +204,99 @@ class Tree:
         return p
 
 
-def _count_grams(longest: int):
-    """(key, k, prefix, suffix, n, slice): the distinct grams of each slice, with
-    their number in training texts; prefix and suffix have one symbol less."""
-    def run(batches):
-        for b in batches:
-            slices = b.column(0).to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(slices)) + 1, [len(slices)]])
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if lo == hi:
-                    continue
-                texts = b.column(2).slice(lo, hi - lo).to_pylist()
-                symbols, starts = joined(texts)
-                learn = np.repeat(~b.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False), [len(t) // 8 for t in texts]).astype(np.int64)
-                grams = gram_keys(symbols, starts, longest)
-                for k in range(1, longest + 1):
-                    idx = np.flatnonzero(grams[k - 1])
-                    if not len(idx):
-                        break
-                    idx = idx[np.argsort(grams[k - 1][idx])]
-                    key = grams[k - 1][idx]
-                    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                    at, zero = idx[first], np.zeros(len(first), np.uint64)
-                    as_long = lambda x: pa.array(x.view(np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [as_long(key[first]), pa.array(np.full(len(first), k, np.int32)), as_long(grams[k - 2][at - 1] if k > 1 else zero),
-                         as_long(grams[k - 2][at] if k > 1 else zero), pa.array(np.add.reduceat(learn[idx], first)),
-                         pa.array(np.full(len(first), slices[lo]))], ["key", "k", "prefix", "suffix", "n", "slice"])
-    return run
+def _emit(slice_of: int, symbols: np.ndarray, starts: np.ndarray, learn: np.ndarray, k: int, wanted: np.ndarray | None,
+          share: int, shares: int) -> pa.Table:
+    """The distinct grams of k symbols of a slice whose first k - 1 are
+    ``wanted`` (sorted hashes), with their number in training texts."""
+    context = context_keys(symbols, starts, k - 1)[-1] if k > 1 else np.zeros(len(symbols), np.uint64)
+    key = pair_keys(context, symbols)
+    if wanted is None:
+        at = np.arange(len(symbols))
+    else:
+        at = np.flatnonzero((context > 0) & (_find(wanted, context) >= 0))
+    at = at[key[at] % np.uint64(shares) == share]
+    at = at[np.argsort(key[at], kind="stable")]
+    first = np.flatnonzero(np.concatenate([[True], key[at][1:] != key[at][:-1]])) if len(at) else np.empty(0, np.int64)
+    n = np.add.reduceat(learn[at], first) if len(at) else np.empty(0, np.int64)
+    at = at[first]
+    return pa.table([pa.array(context[at].view(np.int64)), pa.array(symbols[at].view(np.int64)), pa.array(n),
+                     pa.array(np.full(len(at), slice_of, np.int64))], ["context", "symbol", "n", "slice"])
+
+
+GRAM = "context long, symbol long, n long, slice long"
+
+
+def _read_slice(texts: pa.Table) -> tuple:
+    held, raw = texts["held_out"].to_numpy(), texts["symbols"].to_pylist()
+    symbols, starts = joined(raw)
+    return symbols, starts, np.repeat(~held, [len(t) // 8 for t in raw]).astype(np.int64)
+
 
+def count_grams(table: DataFrame, k: int, wanted: DataFrame | None, share: int, shares: int) -> DataFrame:
+    """``GRAM`` rows: a slice's distinct grams of k symbols after a ``wanted``
+    context of that slice (slice, key)."""
+    texts = table.select("slice", "held_out", "symbols")
+    if wanted is None:
+        def each(batches):
+            for b in batches:
+                slices = b.column(0).to_numpy()
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(slices)) + 1, [len(slices)]])
+                for lo, hi in zip(cuts[:-1], cuts[1:]):
+                    if hi > lo:
+                        yield from _emit(slices[lo], *_read_slice(pa.Table.from_batches([b.slice(lo, hi - lo)])), k, None, share, shares).to_batches()
 
-def frequent_grams(table: DataFrame, least: float, longest: int) -> DataFrame:
-    """(key, k, prefix, suffix, n, slices): grams of ``longest`` symbols at most
-    that training texts hold ``least`` times, with the slices that hold them."""
-    found = table.select("slice", "held_out", "symbols").mapInArrow(
-        _count_grams(longest), "key long, k int, prefix long, suffix long, n long, slice long")
-    return (found.groupBy("key").agg(F.min("k").alias("k"), F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"),
-                                     F.sum("n").alias("n"), F.collect_list("slice").alias("slices"))
-            .where(F.col("n") >= least))
+        return texts.mapInArrow(each, GRAM)
 
+    def run(rows, keys):
+        if not rows.num_rows or not keys.num_rows:
+            return pa.table([pa.array([], pa.int64())] * 4, ["context", "symbol", "n", "slice"])
+        return _emit(rows["slice"][0].as_py(), *_read_slice(rows), k, np.sort(keys["key"].to_numpy().view(np.uint64)), share, shares)
 
-def grow(grams: DataFrame, words: DataFrame, depth: int = DEPTH, min_gain: float = MIN_GAIN, min_total: float = MIN_TOTAL,
-         discount: float = DISCOUNT) -> list[tuple[DataFrame, DataFrame]]:
-    """The tree over frequent ``grams``, per depth: (context, left) of retained
-    contexts and (key, own) of their next symbols; ``words`` are P0 (key, p)."""
-    levels, known, suffixes = [], words, None
+    return texts.groupBy("slice").cogroup(wanted.select("slice", "key").groupBy("slice")).applyInArrow(run, GRAM)
+
+
+def _keyed(rows: DataFrame, prefix: str, out: str) -> DataFrame:
+    """``rows`` with the hash ``out`` of the gram that ``symbol`` makes of ``prefix``."""
+    def run(batches):
+        for b in batches:
+            col = lambda c, b=b: b.column(b.schema.get_field_index(c)).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pair_keys(col(prefix), col("symbol")).view(np.int64))], [*b.schema.names, out])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(run, f"{fields}, `{out}` long")
+
+
+def frequent_grams(table: DataFrame, least: float, k: int, wanted: DataFrame | None = None, shares: int = SHARES) -> DataFrame:
+    """(slice, context, symbol, n, first, key): grams of k symbols that training
+    texts hold ``least`` times, in each slice that has them; ``first`` marks one
+    row of each gram. The grams are counted in shares, one shuffle at a time."""
+    out = None
+    for share in range(shares):
+        gram = Window.partitionBy("context", "symbol")
+        found = (count_grams(table, k, wanted, share, shares)
+                 .select("slice", "context", "symbol", F.sum("n").over(gram).alias("n"), (F.row_number().over(gram.orderBy("slice")) == 1).alias("first"))
+                 .where(F.col("n") >= least))
+        found = materialize(_keyed(found, "context", "key"), "pst-grams")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def grow(table: DataFrame, holders: DataFrame, words: DataFrame, least: float, depth: int = DEPTH, min_gain: float = MIN_GAIN,
+         min_total: float = MIN_TOTAL, discount: float = DISCOUNT) -> list[DataFrame]:
+    """The tree from the frequent words up, as states (slice, key, d, pair,
+    value) of the slices that hold them. Per depth: the grams of a context and
+    its next symbol are counted only behind contexts that occur often enough
+    and whose own suffix is retained. ``holders``: the frequent words' rows of
+    ``frequent_grams``; ``words`` are P0 (key, p)."""
+    states, known = [], words
+    contexts = holders.where("first").select(F.col("key").alias("context"), F.col("n").alias("all"), F.lit(0).cast("long").alias("suffix"))
+    wanted = holders
     for d in range(1, depth + 1):
+        held = frequent_grams(table, least, d + 1, wanted)
         # any symbol but the end has a next one: a context's occurrences are those of its gram
-        contexts = grams.where(F.col("k") == d).select(F.col("key").alias("context"), F.col("n").alias("all"), F.col("suffix").alias("_s"))
-        if suffixes is not None:
-            contexts = contexts.join(suffixes.select(F.col("context").alias("_s")), "_s", "left_semi")
-        parents = known.select(F.col("key").alias("_p"), F.col("p").alias("parent"))
-        kept = (grams.where(F.col("k") == d + 1).select("key", "n", F.col("prefix").alias("context"), F.col("suffix").alias("_p"))
-                .join(contexts.drop("_s"), "context").join(parents, "_p").drop("_p")
+        pairs = _keyed(held.where("first").select("context", "symbol", "n", "key").join(contexts, "context"), "suffix", "_p")
+        pairs = materialize(pairs.select("context", "all", "n", "key", "_p"), "pst-counts")
+        kept = (pairs.join(known.select(F.col("key").alias("_p"), F.col("p").alias("parent")), "_p")
                 .withColumn("part", F.greatest(F.col("n") - discount, F.lit(0.0))))
         kept = materialize(kept, "pst-pairs")
         mass = (kept.groupBy("context").agg(F.sum("part").alias("own"), F.sum("n").alias("seen"), F.first("all").alias("all"))
@@ -260,12 +308,23 @@ def grow(grams: DataFrame, words: DataFrame, depth: int = DEPTH, min_gain: float
         rest = (F.col("all") - F.col("seen")) * F.log("left")
         chosen = (mass.join(gain, "context").withColumn("gain", F.col("gain") + F.coalesce(F.when(F.col("all") > F.col("seen"), rest), F.lit(0.0)))
                   .where((F.col("gain") >= min_total) & (F.col("gain") >= min_gain * F.col("all"))).select("context", "left"))
-        suffixes = materialize(chosen, "pst-contexts")
-        if suffixes.isEmpty():
+        retained = materialize(chosen, "pst-contexts")
+        if retained.isEmpty():
             break
-        known = materialize(kept.join(suffixes, "context").select("key", (F.col("part") / F.col("all")).alias("own"), p.alias("p")), "pst-model")
-        levels.append((suffixes, known.select("key", "own")))
-    return levels
+        known = materialize(kept.join(retained, "context").select("key", (F.col("part") / F.col("all")).alias("own"), p.alias("p")), "pst-model")
+        states.append(_states(retained.select(F.col("context").alias("key"), F.col("left").alias("value")), holders, d, False))
+        states.append(_states(known.select("key", F.col("own").alias("value")), held, d, True))
+        contexts = materialize(pairs.join(retained.select(F.col("context").alias("_p")), "_p", "left_semi")
+                               .select(F.col("key").alias("context"), F.col("n").alias("all"), F.col("_p").alias("suffix")), "pst-next")
+        wanted = held.select("slice", "key").join(contexts.select(F.col("context").alias("key")), "key", "left_semi")
+        discard(pairs, kept)
+        holders = held
+    return states
+
+
+def _states(values: DataFrame, holders: DataFrame, d: int, pair: bool) -> DataFrame:
+    return (holders.select("slice", "key").join(values, "key")
+            .select("slice", "key", F.lit(d).alias("d"), F.lit(pair).alias("pair"), "value"))
 
 
 def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int = DEPTH, p_min: float = P_MIN,
@@ -300,20 +359,16 @@ def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int
         root[:] = 1.0
     base_log = np.where(known, np.log10((hot_count + 0.1) / base), 0.0)
     if total:
-        grams = materialize(frequent_grams(table, max(MIN_COUNT, p_min * total), depth + 1), "pst-grams")
+        least = max(MIN_COUNT, p_min * total)
+        holders = frequent_grams(table, least, 1)
         other = int(pair_keys(np.zeros(1, np.uint64), np.array([OTHER], np.uint64)).view(np.int64)[0])
-        words = grams.where("k = 1").select("key", F.when(F.col("key") == other, float(root[OTHER])).otherwise((F.col("n") - d0) / total).alias("p"))
+        words = holders.where("first").select("key", F.when(F.col("key") == other, float(root[OTHER])).otherwise((F.col("n") - d0) / total).alias("p"))
         # level 0: words outside the broadcast list, if they are symbols
         looked = pair_keys(np.zeros(len(root), np.uint64), np.arange(len(root), dtype=np.uint64)).view(np.int64)
         looked = F.broadcast(spark.createDataFrame([(int(h),) for h in looked], "key long"))  # at most lookup_words
-        parts = [words.join(looked, "key", "left_anti").select("key", F.lit(0).alias("d"), F.lit(False).alias("pair"), F.col("p").alias("value"))]
-        for d, (contexts, pairs) in enumerate(grow(grams, words, depth, **options), 1):
-            parts += [contexts.select(F.col("context").alias("key"), F.lit(d).alias("d"), F.lit(False).alias("pair"), F.col("left").alias("value")),
-                      pairs.select("key", F.lit(d).alias("d"), F.lit(True).alias("pair"), F.col("own").alias("value"))]
-        states = parts[0]
-        for part in parts[1:]:
-            states = states.union(part)
-        states = states.join(grams.select("key", "slices"), "key").select(F.explode("slices").alias("slice"), "key", "d", "pair", "value")
+        states = _states(words.join(looked, "key", "left_anti").select("key", F.col("p").alias("value")), holders, 0, False)
+        for part in grow(table, holders, words, least, depth, **options):
+            states = states.unionByName(part)
     else:
         states = spark.createDataFrame([], "slice long, key long, d int, pair boolean, value double")
 
