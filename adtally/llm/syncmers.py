@@ -13,6 +13,13 @@ empty); ``likeness`` is the share of slots, filled in either, that agree: an
 estimate of the anchor sets' Jaccard similarity. It is 1 for equal
 fingerprints, also empty ones.
 
+``matches`` is the positional matching: each anchor of a document is joined with
+the first place that has it (smallest doc_id, then position), and anchors of one
+document, source and shift that lie within K of each other make a span. So every
+passage that also stands earlier is covered by spans, and a passage in n
+documents costs n rows, not pairs of documents. Anchors that make up more than
+1 / ``HOT`` of all are at most HOT; these are broadcast, the others joined by a shuffle.
+
 A text is cut into blocks of ``BLOCK`` starts that overlap by K - 1, so the
 cost is linear in its length. The s-mer hashes of a block are computed once.
 
@@ -27,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import materialize, read_table
 
 K = 16
 S = 8
@@ -35,6 +42,8 @@ SLOTS = 64
 BLOCK = 64
 # Range parts per shuffle partition.
 PARTS = 4
+# Most anchors that ``matches`` treats as hot.
+HOT = 1024
 
 
 def anchors(texts: DataFrame, key: list[str], text: str = "text", k: int = K, s: int = S) -> DataFrame:
@@ -109,6 +118,37 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
                        F.lag("text").over(order).alias("next_text"))
 
 
+def matches(docs: DataFrame, k: int = K, s: int = S, hot: int = HOT) -> DataFrame:
+    """(doc_id, start, end, source_id, source_start, n_anchors): spans of code
+    points [start, end) of documents that also stand at ``source_start`` of an
+    earlier place, be it in the same document. Texts of fewer than K code points
+    match as a whole. Rows of one id are told apart by their texts; equal rows
+    are matched once."""
+    x = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).dropDuplicates()
+    x = x.withColumn("_o", F.xxhash64("text")).withColumn("_len", F.length("text"))
+    found = materialize(anchors(x, ["doc_id", "_o", "_len"], k=k, s=s).where(F.col("anchor").isNotNull()), "syncmer-anchors")
+    place = F.struct(F.col("doc_id").isNotNull().alias("there"), "doc_id", "_o", "pos")
+    per = found.groupBy("anchor").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n"))
+    per = materialize(per.where(F.col("n") > 1), "syncmer-sources")
+    most = per.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") > most / hot  # of at most ``hot`` anchors
+    named = lambda side, name: side.select("anchor", F.col("source").alias(name))
+    y = found.join(F.broadcast(named(per.where(often), "_hot")), "anchor", "left")
+    # hot anchors are done: a key of their own spreads them past the shuffled join
+    y = y.withColumn("_key", F.when(F.col("_hot").isNull(), F.col("anchor")).otherwise(F.xxhash64("doc_id", "_o", "pos")))
+    rest = named(per.where(~often), "_cold").withColumnRenamed("anchor", "_key")
+    y = y.join(rest, "_key", "left").withColumn("source", F.coalesce("_hot", "_cold")).where(F.col("source").isNotNull())
+    y = y.where(~(F.col("source.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("source._o") == F.col("_o")) & (F.col("source.pos") == F.col("pos"))))
+    y = y.select("doc_id", "_o", "_len", "pos", F.col("source.doc_id").alias("source_id"), F.col("source._o").alias("_so"),
+                 (F.col("pos") - F.col("source.pos")).alias("_shift"))
+    line = ["doc_id", "_o", "_len", "source_id", "_so", "_shift"]
+    along = Window.partitionBy(*line).orderBy("pos")
+    y = y.withColumn("_new", (F.col("pos") - F.coalesce(F.lag("pos").over(along), F.lit(-k - 1)) > k).cast("int"))
+    y = y.withColumn("_span", F.sum("_new").over(along))
+    out = y.groupBy(*line, "_span").agg(F.min("pos").alias("start"), F.least(F.max("pos") + k, F.max("_len")).alias("end"), F.count(F.lit(1)).alias("n_anchors"))
+    return out.select("doc_id", "start", "end", "source_id", (F.col("start") - F.col("_shift")).alias("source_start"), "n_anchors")
+
+
 def op6_syncmers(spark, sf_dir: str) -> DataFrame:
     parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     x = with_next(read_table(spark, sf_dir, "documents"), parts)

@@ -89,3 +89,58 @@ def test_repeated_rows_null_ids_many_parts_and_empty(docs, table, spark):
 def test_no_python_in_the_plan(spark):
     text = queries()["op6_syncmers"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def literal_matches(spark, rows):
+    """Spans by plain loops over the listed anchors."""
+    k = syncmers.K
+    rows = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    listed = {}
+    for r in syncmers.anchors(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id", "text"]).collect():
+        if r.anchor is not None:
+            listed.setdefault((r.doc_id, r.text), []).append((r.pos, r.anchor))
+    first, spans = {}, []
+    for row in rows:
+        for pos, a in sorted(listed.get(row, [])):
+            first.setdefault(a, (row, pos))
+    for row in rows:
+        lines = {}
+        for pos, a in sorted(listed.get(row, [])):
+            if first[a] != (row, pos):
+                lines.setdefault((first[a][0], pos - first[a][1]), []).append(pos)
+        for (source, shift), at in lines.items():
+            cut = [0, *[i for i in range(1, len(at)) if at[i] - at[i - 1] > k], len(at)]
+            for lo, hi in zip(cut, cut[1:]):
+                spans.append((row[0], at[lo], min(at[hi - 1] + k, len(row[1])), source[0], at[lo] - shift, hi - lo))
+    return spans
+
+
+def test_matches_equal_a_literal_matcher(spark, docs):
+    rnd = random.Random(8)
+    say = lambda n: "".join(rnd.choice("abcdefgh ijklé😀") for _ in range(n))
+    passages = [say(300), say(90), "short one"]
+    rows = [(i, say(rnd.randint(0, 3000)) + rnd.choice([*passages, ""]) + say(rnd.randint(0, 200)) + rnd.choice(passages)) for i in range(25)]
+    rows += [(90, "x" * 500), (91, rows[3][1]), (92, ""), (93, "tiny"), (94, "tiny"), (None, passages[0])]
+    key = lambda r: tuple(-1 if v is None else v for v in r)
+    want = sorted(literal_matches(spark, rows), key=key)
+    for hot in (2, 1024):  # all anchors hot but few, few hot
+        got = sorted(map(tuple, syncmers.matches(docs(rows + rows[:3] + [(95, None)]), hot=hot).collect()), key=key)
+        assert got == want
+    texts = dict(rows)
+    assert all(texts[d][a:b] == texts[s][f:f + b - a] for d, a, b, s, f, _ in want)
+    assert syncmers.matches(docs([])).count() == 0
+
+
+def test_matches_find_a_shared_passage_in_long_texts(spark, docs):
+    rnd = random.Random(1)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    passage = say(50)
+    rows = [(i, f"{say(4000)} {passage} {say(2000 + i)}") for i in range(6)]
+    got = syncmers.matches(docs(rows)).collect()
+    slack = 2 * (syncmers.K - syncmers.S)
+    for i, text in rows[1:]:
+        at = text.index(passage)
+        mine = [r for r in got if r.doc_id == i and r.source_id == 0 and r.start <= at + slack and r.end >= at + len(passage) - slack]
+        assert len(mine) == 1 and mine[0].source_start - mine[0].start == rows[0][1].index(passage) - at
+    plan = syncmers.matches(docs(rows))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
