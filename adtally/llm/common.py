@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +20,16 @@ SLICE_BYTES = 4 << 20
 CACHE_WORDS = 400_000
 
 
+def per_worker(key: tuple, make):
+    """``make()``, kept as long as the Python worker lives (one value for the
+    first part of ``key``). Functions of this package are pickled by value, so a
+    module's globals would last for a task only."""
+    held = sys.modules.setdefault("adtally_worker_values", types.ModuleType("adtally_worker_values")).__dict__
+    if held.get(key[0], (None,))[0] != key:
+        held[key[0]] = key, make()
+    return held[key[0]][1]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -163,14 +175,27 @@ def by_ids(df: DataFrame, ids: DataFrame, how: str, limit: int = BROADCAST_IDS,
 def bounded_sample(rows: DataFrame, most: int, seed: int, by: str | None = None) -> DataFrame:
     """Rows whose seeded hash of doc_id is low, about ``most`` of them in all,
     or of each value of ``by`` (every row while there are no more).
-    Deterministic."""
-    place = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30))
+    Deterministic. Where ids repeat, equal rows count once, whole rows are hashed
+    instead, and the lowest ``most`` hashes stay."""
+    limit = 1 << 30
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(limit))
+    repeated = bool(rows.groupBy("doc_id").count().where("count > 1").take(1))
+    if repeated:
+        rows = rows.dropDuplicates()
+        place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in rows.columns]), F.lit(limit))
+    lowest = lambda some, n: some.where(place < int(min(1.0, 1.2 * most / n) * limit)).orderBy(place).limit(most)
     if by:
         large = rows.groupBy(by).count().where(F.col("count") > most).collect()
+        if repeated:
+            out = rows
+            for r in large:
+                mine = F.col(by).eqNullSafe(F.lit(r[0]))
+                out = out.where(~mine).unionByName(lowest(rows.where(mine), r[1]))
+            return out
         for r in large:
-            rows = rows.where(~F.col(by).eqNullSafe(F.lit(r[0])) | (place < int(most / r[1] * (1 << 30))))
+            rows = rows.where(~F.col(by).eqNullSafe(F.lit(r[0])) | (place < int(most / r[1] * limit)))
         return rows
     n = rows.count()
     if n <= most:
         return rows
-    return rows.where(place < int(most / n * (1 << 30)))
+    return lowest(rows, n) if repeated else rows.where(place < int(most / n * limit))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import CACHE_WORDS, discard, materialize, read_table, small_batches, text_slices
+from .common import CACHE_WORDS, discard, materialize, per_worker, read_table, small_batches, text_slices
 from .tokens import tokenizer_file
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -234,10 +234,9 @@ def _slices(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
               "idx array<int>, times array<int>, pairs array<long>, pair_docs array<int>")
 
     def run(batches):
-        pair, at = None, 0
+        at = 0
         for rows, texts in text_slices(batches, limit=SLICE):
-            pair = pair or Pair(a_path, b_path)
-            x = align(pair, texts)
+            x = align(per_worker(("pair", a_path, b_path), lambda: Pair(a_path, b_path)), texts)
             n = rows.num_rows
             pairs, inverse = np.unique(x["pair"], return_inverse=True)
             held, times = np.unique(x["link_doc"] * max(len(pairs), 1) + inverse, return_counts=True)

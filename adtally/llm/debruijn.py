@@ -419,3 +419,28 @@ def without_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
 
 def op13_repeats(spark, sf_dir: str) -> DataFrame:
     return without_repeats(read_table(spark, sf_dir, "documents")).drop("removed")
+
+
+ORACLE_SQL = """
+WITH lists AS (
+  SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM lists),
+windows AS (
+  SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS g FROM w
+),
+repeats AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM windows WHERE len(g) = 20
+  ) WHERE n > 1
+),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM repeats, range(20) t(k)),
+judged AS (SELECT w.doc_id, w.word, w.i, g.i IS NOT NULL AS cut FROM w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i),
+per AS (
+  SELECT doc_id, CAST(count(*) AS BIGINT) AS n_words, CAST(count(*) FILTER (WHERE cut) AS BIGINT) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT cut) AS kept
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, COALESCE(n_words, 0) AS n_words, COALESCE(n_removed, 0) AS n_removed, sha256(COALESCE(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN per USING (doc_id)
+"""

@@ -197,3 +197,32 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
     n_hit = covered(F.col("spans"))
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+_WORDS = r"regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE_SQL = f"""
+WITH doc_words AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM doc_words),
+doc_windows AS (
+  SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS g FROM w
+),
+items AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, words[k + 1:k + least(10, len(words))] AS g, least(10, len(words)) AS n
+  FROM items, range(100000) t(k) WHERE len(words) > 0 AND k <= greatest(len(words) - 10, 0)
+),
+lengths AS (SELECT DISTINCT n FROM item_windows),
+found AS (
+  SELECT d.doc_id, d.i, x.n, x.item_id
+  FROM (SELECT doc_id, i, n, g[1:n] AS g FROM doc_windows, lengths WHERE len(g) >= n) d
+  JOIN item_windows x ON x.n = d.n AND x.g = d.g
+),
+hits AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, range(10) t(k) WHERE k < n GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit, CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items,
+       sha256(COALESCE(items, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

@@ -87,7 +87,10 @@ def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame
         F.struct("status", "etag", "last_modified", "headers", "body"),
         F.struct("ts", F.xxhash64("etag", "last_modified", F.to_json("headers"), "body"))).alias("s"))
     weak = lambda c: F.regexp_replace(F.col(c), "^W/", "")
-    joined = placed.withColumn("response_id", F.col("found.record_id")).join(stored, "response_id", "left")
+    # revisits without an earlier response match nothing: a second key spreads their null one
+    placed = (placed.withColumn("response_id", F.col("found.record_id"))
+              .withColumn("_spread", F.when(F.col("response_id").isNull(), F.xxhash64("record_id")).otherwise(0)))
+    joined = placed.join(stored.withColumn("_spread", F.lit(0).cast("long")), ["response_id", "_spread"], "left")
     both_tags = F.col("etag").isNotNull() & F.col("s.etag").isNotNull()
     both_times = F.col("last_modified").isNotNull() & F.col("s.last_modified").isNotNull()
     outcome = (F.when(F.col("response_id").isNull(), "no-response")
@@ -173,7 +176,7 @@ WITH p AS (
          list_sort([x FOR x IN string_split(regexp_extract(rest, '\?(.*)$', 1), '&') IF x <> '' AND NOT starts_with(x, 'utm_')]) AS kept FROM split
 ), c AS (
   SELECT record_id, kind, ts, etag, lm, body,
-         host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical_url FROM params
+         CASE WHEN host = '' THEN trim(regexp_replace(url, '#.*$', '')) ELSE host || path || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical_url FROM params
 ), placed AS (
   SELECT *, max(CASE WHEN kind = 'response' THEN {'ts': ts, 'id': record_id} END)
               OVER (PARTITION BY canonical_url ORDER BY ts, record_id ROWS UNBOUNDED PRECEDING) AS found FROM c

@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +35,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import shared_dir
-from .common import CACHE_WORDS, read_table, small_batches, text_slices
+from .common import CACHE_WORDS, per_worker, read_table, small_batches, text_slices
 
 END_ID = 1
+# Pieces whose ids a worker remembers.
+CACHE_PIECES = 700_000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
@@ -68,7 +69,7 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def learn_pieces(self, used: list[list[str]]) -> None:
-        if len(self.pieces) > CACHE_WORDS:
+        if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
         need = list(set().union(*used) - self.pieces.keys())
         for at in range(0, len(need), 4096):  # many in one string: each ends with its first end-of-word token
@@ -102,12 +103,6 @@ class WordIds:
         return [np.frombuffer((b"".join(map(get, f)) if isinstance(f, list) else self.by_words(f)) + end, np.uint32) for f in found]
 
 
-@lru_cache(maxsize=1)
-def coder_of(path: str) -> WordIds:
-    """The tokenizer with its caches, kept as long as the Python worker."""
-    return WordIds(path)
-
-
 def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = None, keep: tuple[str, ...] = ()) -> None:
     """Tokenize ``docs`` into ``path`` in ascending doc_id order. ``parts``:
     how many files; by default as many as adaptive execution finds fit."""
@@ -120,7 +115,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = N
     def run(batches):
         before = 0  # a task writes one part
         for rows, texts in text_slices(batches):
-            found = coder_of(tokenizer_path).encode(texts)
+            found = per_worker(("ids", tokenizer_path), lambda: WordIds(tokenizer_path)).encode(texts)
             sizes = np.fromiter(map(len, found), np.int32, len(found))
             ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
             values = pa.array(np.concatenate([*found, np.empty(0, np.uint32)]).view(np.int32))
@@ -194,7 +189,7 @@ def with_starts(spark: SparkSession, path: str, extra: list[str] | None = None)
     """The files' rows as (doc_id, start, n_tokens, ids_crc32, *extra); the ids
     are read once."""
     rows = digest(read(spark, path, ["doc_id", "part", "at", "n_tokens", "ids", *(extra or [])]))
-    return (rows.join(offsets(spark, path), "part")
+    return (rows.join(F.broadcast(offsets(spark, path)), "part")  # a row per file
             .select("doc_id", (F.col("at") + F.col("offset")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32", *(extra or [])))
 
 

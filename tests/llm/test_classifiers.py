@@ -154,3 +154,20 @@ def test_quality_thresholds_are_ordered_and_odd_rows(docs, spark):
     assert quality.score(docs([]), model).count() == 0
     assert quality.graded(spark.createDataFrame([(1, 1, None), (2, None, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")) \
         .where(F.col("grade").isNotNull()).count() == 1
+
+
+def test_samples_hold_their_bound_where_ids_repeat(spark):
+    from adtally.llm.common import bounded_sample
+    schema = "doc_id long, text string, label long, lang string"
+    one = spark.range(6000).selectExpr("7 AS doc_id", "concat('t', id) AS text", "id % 2 AS label", "'a' AS lang")
+    many = spark.range(3000).selectExpr("id + 100 AS doc_id", "concat('u', id) AS text", "id % 2 AS label", "'b' AS lang")
+    same = spark.createDataFrame([(3, "same", 1, "a")] * 2000, schema)
+    for rows, distinct in ((one, 6000), (one.unionByName(many), 9000), (same, 1), (many.unionByName(same), 3001)):
+        kept = bounded_sample(rows, 1000, 5)
+        found = sorted(map(tuple, kept.collect()))
+        assert 0 < len(found) <= 1000 and len(found) >= min(distinct, 900)
+        assert found == sorted(map(tuple, bounded_sample(rows.repartition(7), 1000, 5).collect()))
+    per = {r[0]: r[1] for r in bounded_sample(one.unionByName(many), 1000, 5, "lang").groupBy("lang").count().collect()}
+    assert 900 <= per["a"] <= 1000 and 900 <= per["b"] <= 1000
+    plain = bounded_sample(many, 1000, 5).count()  # distinct ids: by id, about the bound
+    assert 900 < plain < 1100

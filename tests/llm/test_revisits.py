@@ -88,3 +88,19 @@ def test_headers_nulls_repeats_and_empty(spark):
     assert two[0].headers == {"content-type": "text/html", "etag": '"t"', "date": "9", "content-length": "3", "expires": "99"}
     assert {r.record_id: r.outcome for r in out} == {2: "etag", 3: "no-key", 4: "no-key", None: "no-key", 5: "unchecked"}
     assert revisits.resolve(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_equals_its_sql_on_urls_without_scheme(spark, table):
+    import duckdb
+
+    urls = ["dns:a.example", "//b.example/p?x=1", "urn:isbn:1", "b.example/p", " urn:isbn:1 ", "http://", "", None, "http://c.example/p/?b=2&a=1&utm_x=1#f",
+            "HTTPS://www.c.example:443/p?a=1&b=2", "dns:a.example#frag", "mailto:x@y"]
+    rows = [(i, urls[i % len(urls)], None if i % 11 == 3 else f"<p>{i % 4}") for i in range(120)]
+    d = table(pages=spark.createDataFrame(rows, "page_id long, url string, html string"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{d}/pages.parquet/*.parquet')")
+    got = queries()["op3_revisits"](spark, d).where("outcome <> 'no-key'")
+    want = con.execute(revisits.ORACLE_SQL).df()
+    want = want[want["canonical_url"].notna()].reset_index(drop=True)
+    got, want = cmp.normalise(got.toPandas()), cmp.normalise(want)
+    assert len(got) > 50 and got.equals(want), (got[(got != want).any(axis=1)], want[(got != want).any(axis=1)])
