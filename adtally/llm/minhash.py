@@ -17,7 +17,9 @@ none: empty, linked with nothing). Shingles are 64-bit hashes.
    - one that shares a rare shingle: listed by shingle (fewer than RARE nodes
      each), with the number shared; or
    - one that doesn't: then only frequent shingles can be common, which with
-     the sizes bounds the similarity; what remains is listed by bucket, from
+     the sizes bounds the similarity; a parity sketch (each shingle flips one of
+     ``SKETCH`` bits) bounds it again, as sets differ in at least as many shingles
+     as their sketches in bits. What remains is listed by bucket, from
      the members outside its largest component, ``slice_pairs`` at a time, with
      components merged in between.
    Pairs within the bounds are confirmed on full sets. No cap on partners: a
@@ -50,6 +52,7 @@ ROWS = 7
 BANDS = 50
 SLICE_PAIRS = 20_000_000
 RARE = 32
+SKETCH = 1024
 SEED = 7
 
 
@@ -87,27 +90,35 @@ def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """Sketch of a set: for each of SKETCH bits whether an odd number of members hash to it."""
+    odd = np.bincount(((values >> np.uint64(40)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_sets(docs: DataFrame, width: int, bands: int = 0, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n, digest binary(16), bands array<long>) or, without bands,
-    (doc_id, n, digest, members binary: the sorted hashes, 8 bytes each)."""
+    """(doc_id, n, digest binary(16), bands array<long>, sketch array<long>) or,
+    without bands, (doc_id, n, digest, members binary: the sorted hashes, 8 bytes each)."""
     ids = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         hashes, order = WordHashes(), donors(bands * rows) if bands else None
         for rows_, texts in text_slices(batches):
-            counts, digests, last = [], [], []
+            counts, digests, last, sketches = [], [], [], []
             for text in texts:
                 s = set_of(text, hashes, width)
                 counts.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 last.append((band_keys(signature(s, bands * rows, order), rows) if len(s) else np.empty(0, np.int64)) if bands else s.tobytes())
+                sketches.append(parity(s) if bands else None)
             yield pa.RecordBatch.from_arrays(
                 [rows_.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(last, pa.list_(pa.int64()) if bands else pa.binary())], ["doc_id", "n", "digest", "last"])
+                 pa.array(last, pa.list_(pa.int64()) if bands else pa.binary()), pa.array(sketches, pa.list_(pa.int64()))],
+                ["doc_id", "n", "digest", "last", "sketch"])
 
     out = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {ids}, n long, digest binary, last {'array<long>' if bands else 'binary'}")
-    return out.withColumnRenamed("last", "bands" if bands else "members")
+        run, f"doc_id {ids}, n long, digest binary, last {'array<long>' if bands else 'binary'}, sketch array<long>")
+    return out.withColumnRenamed("last", "bands") if bands else out.withColumnRenamed("last", "members").drop("sketch")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -151,6 +162,14 @@ def may_reach(n, private, m, other_private, similarity: float):
     return both >= similarity * (n + m - both) - 1e-9
 
 
+def sketches_allow(n, sketch: str, m, other_sketch: str, similarity: float):
+    """Whether sets of n and m members can be ``similarity`` alike: at least as
+    many members are in one set only as their sketches have differing bits."""
+    differing = sum((F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(other_sketch)[i])) for i in range(1, SKETCH // 64)),
+                    F.bit_count(F.col(sketch)[0].bitwiseXOR(F.col(other_sketch)[0])))
+    return differing * (1 + similarity) <= (n + m) * (1 - similarity) + 1e-6
+
+
 def classes(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS,
             rows: int = ROWS, slice_pairs: int = SLICE_PAIRS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
@@ -158,7 +177,7 @@ def classes(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARIT
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     per_doc = materialize(shingle_sets(docs, width, bands, rows), "dup-docs")
     nodes = materialize(per_doc.where(F.col("n") > 0).groupBy("digest")
-                        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+                        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
                         .withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
     keyed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center")).where("size > 1")
@@ -177,7 +196,7 @@ def classes(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARIT
              .join(size, F.col("center") == F.col("_c")).where(fits(F.col("n"), F.col("_m")))
              .select(F.col("center").alias("a"), F.col("node").alias("b")))
     links = materialize(confirm(stars, sets, similarity), "dup-links")
-    links, comp = _rest(members, sets, links, similarity, slice_pairs)
+    links, comp = _rest(members, sets, nodes.select("node", "sketch"), links, similarity, slice_pairs)
 
     label = nodes.join(comp, "node", "left").select("node", "digest", "doc_id", F.coalesce("comp", "node").alias("comp"))
     smallest = label.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
@@ -188,7 +207,7 @@ def classes(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARIT
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _rest(members: DataFrame, sets: DataFrame, links: DataFrame, similarity: float, slice_pairs: int):
+def _rest(members: DataFrame, sets: DataFrame, sketches: DataFrame, links: DataFrame, similarity: float, slice_pairs: int):
     """Step 3: links across components, exactly."""
     comp = components(links)
 
@@ -251,10 +270,13 @@ def _rest(members: DataFrame, sets: DataFrame, links: DataFrame, similarity: flo
     for turn in range(slices):
         left = known(open_members()) if turn else left
         part = rest.where(F.pmod(F.xxhash64("node"), F.lit(slices)) == turn).select("bucket", "node")
-        other = left.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("private").alias("q"), F.col("comp").alias("d"))
-        pairs = (left.join(part, ["bucket", "node"]).select("bucket", F.col("node").alias("a"), "n", "private", "comp")
+        drawn = left.join(sketches, "node")
+        other = drawn.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("private").alias("q"), F.col("comp").alias("d"),
+                             F.col("sketch").alias("other_sketch"))
+        pairs = (drawn.join(part, ["bucket", "node"]).select("bucket", F.col("node").alias("a"), "n", "private", "comp", "sketch")
                  .join(other, "bucket").where(F.col("comp") != F.col("d"))
-                 .where(may_reach(F.col("n"), F.col("private"), F.col("m"), F.col("q"), similarity))
+                 .where(may_reach(F.col("n"), F.col("private"), F.col("m"), F.col("q"), similarity)
+                        & sketches_allow(F.col("n"), "sketch", F.col("m"), "other_sketch", similarity))
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         links = materialize(links.union(confirm(pairs, sets, similarity)), "dup-links")
         comp = components(links)
@@ -287,3 +309,28 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:
     return classes(read_table(spark, sf_dir, "documents"), width=2)
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE lists AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 1 THEN [words[1]]
+                                      ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS s
+  FROM lists WHERE len(words) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""

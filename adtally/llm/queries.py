@@ -30,4 +30,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_revisits": revisits.ORACLE_SQL}
+    return {
+        "op3_revisits": revisits.ORACLE_SQL,
+        "op4_decontamination": decontaminate.ORACLE_SQL,
+        "op7_minhash": minhash.ORACLE_SQL,
+        "op13_repeats": debruijn.ORACLE_SQL,
+    }

@@ -95,3 +95,32 @@ def test_densified_signature():
     for v in values.tolist():  # a filled bin holds its smallest value
         same = [x for x in values.tolist() if x % 70 == v % 70]
         assert sig[v % 70] == min(same)
+
+
+def test_sketches_never_deny_a_link():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 60, 900, 6000):
+        base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        other = np.unique(np.concatenate([base[n // 9:], rng.integers(0, 1 << 63, n // 12).astype(np.uint64)]))
+        differing = int(np.bitwise_count((minhash.parity(base) ^ minhash.parity(other)).view(np.uint64)).sum())
+        assert differing <= len(np.setxor1d(base, other))
+
+
+def test_near_copies_that_do_not_link_are_not_paired_squarely(docs, monkeypatch):
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(360):
+        w = list(base)
+        for k in rnd.sample(range(120), 6):
+            w[k] = f"n{i}-{k}"
+        rows.append((i, " ".join(w)))
+    pairs, confirm = [], minhash.confirm
+    monkeypatch.setattr(minhash, "confirm", lambda p, *a: pairs.append(p.count()) or confirm(p, *a))
+    counts = []
+    for n in (120, 360):
+        pairs.clear()
+        got = minhash.classes(docs(rows[:n]), width=2)
+        assert sorted(map(tuple, got.collect())) == sorted(brute(rows[:n], 2))
+        counts.append(sum(pairs[3:]))
+    assert counts[1] <= 4 * counts[0] + 100, counts
