@@ -13,6 +13,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -39,14 +40,10 @@ def carry(stream: DataFrame, key: Sequence[str], measures: dict[str, tuple[str,
         before = list(state.get) if state.exists else [0 if k == "sum" else None for k in kinds]
         now = list(before)
         for frame in frames:
-            out = frame[keep].copy()
-            for i, n in enumerate(names):
-                out[n] = before[i]
-                if len(frame):
-                    now[i] = FOLDS[kinds[i]](now[i], frame[f"_m_{n}"])
-            for n in names:
-                out[n] = out[n].astype("Int64")
-            yield out
+            if len(frame):
+                now = [FOLDS[kind](old, frame[f"_m_{n}"].to_numpy()) for n, kind, old in zip(names, kinds, now)]
+            none = pd.Series(pd.NA, index=frame.index, dtype="Int64")
+            yield frame[keep].assign(**{n: none if b is None else b for n, b in zip(names, before)})
         state.update(tuple(now))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
