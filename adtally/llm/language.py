@@ -20,7 +20,8 @@ counting is a Spark aggregation. The ``max_words`` words and ``max_grams``
 n-grams most frequent in all are kept from 3 occurrences on, and besides those
 at most the ``own`` most frequent words and n-grams of each length of every language,
 which bounds the broadcast (8 bytes and one float per language each, some 45 MB
-at 16 languages). Prediction is map-side over whole texts, without a shuffle.
+at 16 languages). With many languages (29 or more) both numbers shrink so that no
+kind of key has more than twice ``MODEL_CELLS`` floats: 170 MB for all five kinds. Prediction is map-side over whole texts, without a shuffle.
 
 Defined results: documents with a null id, text or language are not learned
 from; a text that is null or has no letter is ``und`` with score 0; with
@@ -47,6 +48,8 @@ TRAIN_DOCS = 20_000
 MAX_WORDS = 100_000
 MAX_GRAMS = 100_000
 OWN_KEYS = 5_000
+# Most (key, language) cells of a kind's common keys, and of its own ones.
+MODEL_CELLS = 1 << 22
 FLOOR = 0.01
 MIN_COUNT = 3
 LONGEST = 4
@@ -151,6 +154,9 @@ def fit(rows: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WORD
     langs = sorted({lang for _, lang in totals})
     if not langs:
         return None
+    # at most MODEL_CELLS cells of a kind for the common keys and as many for the languages' own
+    own = max(1, min(own, MODEL_CELLS // len(langs) ** 2))
+    common = max(1, MODEL_CELLS // len(langs))
     # the most frequent keys of each language and kind: where a histogram of (count, 1/64 of the keys) reaches ``own``
     place = F.struct((-F.col("n")).alias("n"), F.pmod("key", F.lit(64)).alias("part"))
     steps = counts.select("kind", "lang", place.alias("place")).groupBy("kind", "lang", "place").agg(F.count(F.lit(1)).alias("k"))
@@ -164,7 +170,7 @@ def fit(rows: DataFrame, train_docs: int = TRAIN_DOCS, max_words: int = MAX_WORD
     columns = ["key", "all", *[F.coalesce(F.col("by")[lang], F.lit(0)).alias(f"n{i}") for i, lang in enumerate(langs)]]
     tables = {}
     for kind in range(LONGEST + 1):
-        most = max_words if kind == 0 else max_grams // LONGEST
+        most = min(common, max_words if kind == 0 else max_grams // LONGEST)
         there = keys.where(F.col("kind") == kind)
         kept = pd.concat([there.where(F.col("all") >= MIN_COUNT).orderBy(F.desc("all"), "key").limit(most).select(*columns).toPandas(),
                           there.where("own").select(*columns).toPandas()]).drop_duplicates("key")

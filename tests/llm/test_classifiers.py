@@ -171,3 +171,19 @@ def test_samples_hold_their_bound_where_ids_repeat(spark):
     assert 900 <= per["a"] <= 1000 and 900 <= per["b"] <= 1000
     plain = bounded_sample(many, 1000, 5).count()  # distinct ids: by id, about the bound
     assert 900 < plain < 1100
+
+
+def test_language_model_is_bounded_at_200_languages(spark, monkeypatch):
+    import random
+
+    from adtally.llm import language
+    rnd = random.Random(3)
+    rows = []
+    for lang in range(200):
+        own = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8))) for _ in range(60)]
+        rows += [(lang * 10 + i, " ".join(rnd.choices(own, k=80)), f"l{lang:03d}") for i in range(3)]
+    cells = 200 * 200 * 4
+    monkeypatch.setattr(language, "MODEL_CELLS", cells)
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4))
+    assert len(model.langs) == 200
+    assert all(table.size <= 2 * cells for _, table in model.tables.values()) and all(len(k) for k, _ in model.tables.values())
