@@ -39,7 +39,7 @@ from .common import CACHE_WORDS, per_worker, read_table, small_batches, text_sli
 
 END_ID = 1
 # Pieces whose ids a worker remembers.
-CACHE_PIECES = 700_000
+CACHE_PIECES = 500_000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
@@ -103,9 +103,12 @@ class WordIds:
         return [np.frombuffer((b"".join(map(get, f)) if isinstance(f, list) else self.by_words(f)) + end, np.uint32) for f in found]
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = None, keep: tuple[str, ...] = ()) -> None:
+def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = None, keep: tuple[str, ...] = (),
+          reuse: bool = False) -> None:
     """Tokenize ``docs`` into ``path`` in ascending doc_id order. ``parts``:
-    how many files; by default as many as adaptive execution finds fit."""
+    how many files; by default as many as adaptive execution finds fit.
+    ``reuse``: Python workers keep the cached ids from task to task, which
+    saves CPU and costs some 150 MB a worker until it ends."""
     small_batches(docs.sparkSession)
     ids = docs.schema["doc_id"].dataType.simpleString()
     kept = [f"k_{k}" for k in keep]
@@ -113,9 +116,12 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = N
         f", {n} {docs.schema[k].dataType.simpleString()}" for n, k in zip(kept, keep))
 
     def run(batches):
-        before = 0  # a task writes one part
+        coder, before = None, 0  # a task writes one part
         for rows, texts in text_slices(batches):
-            found = per_worker(("ids", tokenizer_path), lambda: WordIds(tokenizer_path)).encode(texts)
+            if coder is None:
+                make = lambda: WordIds(tokenizer_path)
+                coder = per_worker(("ids", tokenizer_path), make) if reuse else make()
+            found = coder.encode(texts)
             sizes = np.fromiter(map(len, found), np.int32, len(found))
             ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
             values = pa.array(np.concatenate([*found, np.empty(0, np.uint32)]).view(np.int32))
@@ -201,5 +207,5 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 
 def op1_token_output(spark, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "llm-tokens")
-    write(read_table(spark, sf_dir, "documents"), path, tokenizer_file())
+    write(read_table(spark, sf_dir, "documents"), path, tokenizer_file(), reuse=True)
     return with_starts(spark, path)
