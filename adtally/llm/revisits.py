@@ -87,10 +87,11 @@ def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame
         F.struct("status", "etag", "last_modified", "headers", "body"),
         F.struct("ts", F.xxhash64("etag", "last_modified", F.to_json("headers"), "body"))).alias("s"))
     weak = lambda c: F.regexp_replace(F.col(c), "^W/", "")
-    # revisits without an earlier response match nothing: a second key spreads their null one
+    # revisits without an earlier response match nothing: a key of their own spreads them
     placed = (placed.withColumn("response_id", F.col("found.record_id"))
-              .withColumn("_spread", F.when(F.col("response_id").isNull(), F.xxhash64("record_id")).otherwise(0)))
-    joined = placed.join(stored.withColumn("_spread", F.lit(0).cast("long")), ["response_id", "_spread"], "left")
+              .withColumn("_key", F.coalesce("response_id", F.xxhash64("record_id"))))
+    stored = stored.withColumnRenamed("response_id", "_stored")
+    joined = placed.join(stored, (F.col("_key") == F.col("_stored")) & F.col("response_id").isNotNull(), "left")
     both_tags = F.col("etag").isNotNull() & F.col("s.etag").isNotNull()
     both_times = F.col("last_modified").isNotNull() & F.col("s.last_modified").isNotNull()
     outcome = (F.when(F.col("response_id").isNull(), "no-response")
