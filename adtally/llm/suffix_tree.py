@@ -20,14 +20,17 @@ N(s) + g(s) P(x|suffix) over the next symbols that occur as often as a context
 must; g(s) is the mass left. Each position is scored by its longest suffix in
 the tree; a word of the class "other" by the class times P0(x) / P0(other).
 
-The tree grows with the input and is never gathered: it is a table of grams (a
-context and its next symbol), built level by level with shuffled joins. Texts are
-handled in slices of some 16 MB. At each depth a slice names once each gram that
-goes on from a context that can still be retained; a shuffle by gram counts
-them, in ``SHARES`` turns that each hold a share of the grams, and the
-frequent ones stay as one row per slice that has them. States of retained grams
-return to those slices. Only the ``LOOKUP_WORDS`` most frequent words are
-broadcast, to save look-ups.
+The tree grows with the input and is never gathered. Texts are handled in slices
+of some 8 MB, each a row of compressed token codes. At each depth a slice asks,
+for its distinct grams (a context and its next symbol) behind contexts that can
+be retained, how often all training texts hold them: sorted gram hashes, packed
+by bucket of hashes, go through one shuffle, in ``SHARES`` turns, and the numbers
+come back in the order asked. One slice speaks for each frequent gram; a grouping
+by context then chooses the retained ones, and each slice asks for those it
+holds in the same way. A slice walks its positions down the tree with the
+answers it has. A gram is one entry per slice and its bucket goes by its own
+hash, so neither a frequent word nor a frequent context is one task's load. Only
+the ``LOOKUP_WORDS`` most frequent words are broadcast, to save look-ups.
 
 Defined results: null and empty texts are the end token alone; repeated rows
 count each; with no training text every token is unknown and the score is the
@@ -37,11 +40,13 @@ base score; extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, crc_mod, discard, materialize, mix64, read_table, small_batches, text_slices
@@ -54,10 +59,12 @@ MIN_COUNT = 2
 MIN_GAIN = 0.02
 MIN_TOTAL = 10.0
 DISCOUNT = 0.75
-# Bytes of text in a slice, the unit that names a gram once and gets its states.
-SLICE = 16 << 20
+# Bytes of text in a slice, the unit that names a gram once and gets its answers.
+SLICE = 8 << 20
+# Tokens of all slices to one bucket of hashes.
+BUCKET = 1 << 20
 # Turns in which a level's grams are counted.
-SHARES = 4
+SHARES = 2
 END, OTHER = 0, 1  # symbols; looked-up words follow, any other word is its hash with the top bit set
 TOP = np.uint64(1 << 63)
 
@@ -86,249 +93,300 @@ def _count_words(batches):
     yield flush()
 
 
-def _symbolise(hot: list[bytes], classes: bool):
-    """Per text: its slice, its symbols (uint64, the end last) and the hashes of
-    its other words, each with its number of times."""
-    def run(batches):
-        symbol = {w: i + 2 for i, w in enumerate(hot)}
-        hashes, read = WordHashes(), 0
-        for rows, texts in text_slices(batches):
-            k = read // SLICE
-            read += sum(len(t or b"") for t in texts)
-            syms, cold, times, sizes = [], [], [], []
-            for text in texts:
-                words = _words(text)
-                s = np.fromiter([symbol.get(w, OTHER) for w in words] + [END], np.uint64, len(words) + 1)
-                at = np.flatnonzero(s == OTHER)
-                strange = [words[i] for i in at]
-                if not classes:
-                    s[at] = hashes.of(strange) | TOP
-                other = Counter(strange)
-                syms.append(s.tobytes())
-                cold.append(hashes.of(list(other)).view(np.int64))
-                times.append(np.fromiter(other.values(), np.int32, len(other)))
-                sizes.append(len(other))
-            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            cat = lambda x, t: pa.array(np.concatenate([*x, np.empty(0, t)]))
-            part = np.full(len(texts), TaskContext.get().partitionId() << 24 | k, np.int64)
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(part), pa.array(syms, pa.binary()),
-                                              pa.ListArray.from_arrays(ends, cat(cold, np.int64)),
-                                              pa.ListArray.from_arrays(ends, cat(times, np.int32))],
-                                             ["doc_id", "held_out", "slice", "symbols", "cold", "times"])
-    return run
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Index of each wanted key in the sorted keys, -1 if absent."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
 
 
-def pair_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """Hash of the gram that ``symbol`` makes of ``context``; 0 is the empty one."""
-    return mix64(mix64(context + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + symbol * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
 
+def pack(a: np.ndarray) -> bytes:
+    """Numbers as planes of equal bytes, compressed."""
+    return zstandard.compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if len(a) else b"", 3)
 
-def gram_keys(symbols: np.ndarray, starts: np.ndarray, longest: int) -> list[np.ndarray]:
-    """For k = 1..longest: at each position a hash of the k symbols that end
-    there, 0 where the text has fewer. ``starts``: 1 where a text begins."""
-    place = np.arange(len(symbols)) - np.maximum.accumulate(np.where(starts, np.arange(len(symbols)), 0))
-    out, before = [], np.zeros(len(symbols), np.uint64)
-    for k in range(1, longest + 1):
-        h = pair_keys(before, symbols)
-        h[h == 0] = 1
-        out.append(np.where(place >= k - 1, h, np.uint64(0)))
-        before = np.concatenate([np.zeros(min(1, len(h)), np.uint64), out[-1][:-1]])
-    return out
 
+def unpack(packed: bytes, kind) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel() if len(raw) else np.empty(0, kind)
 
-def context_keys(symbols: np.ndarray, starts: np.ndarray, depth: int) -> list[np.ndarray]:
-    """For d = 1..depth: at each position the hash of the d symbols before it,
-    0 where the text has fewer."""
-    first = np.flatnonzero(starts)
-    out = []
-    for g in gram_keys(symbols, starts, depth):
-        c = np.concatenate([np.zeros(min(1, len(g)), np.uint64), g[:-1]])
-        c[first] = 0
-        out.append(c)
-    return out
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.uint64(0)))
 
-def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    symbols = np.frombuffer(b"".join(texts), np.uint64)
-    starts = np.zeros(len(symbols), bool)
-    sizes = np.fromiter((len(t) // 8 for t in texts), np.int64, len(texts))
-    starts[np.cumsum(sizes) - sizes] = True
-    return symbols, starts
 
+def unpack_keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, np.uint64), dtype=np.uint64)
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Index of each wanted key in the sorted keys, -1 if absent."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
 
+class _Codes(dict):
+    """word -> code; a new word gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self) + 2
+        return code
 
-class Tree:
-    """The part of the tree that a slice needs: retained contexts by depth. Per
-    depth: sorted context hashes with the mass g left to the suffix, and sorted
-    (context, next) hashes with the own part of P(x|s)."""
-
-    def __init__(self, root: np.ndarray, words: tuple | None = None):
-        self.root = root  # probability of each symbol that is looked up
-        self.words = words or (np.empty(0, np.uint64), np.empty(0))  # sorted hashes of other symbols, their probabilities
-        self.levels: list[tuple] = []
-
-    def add(self, contexts, left, pairs, own) -> None:
-        i, j = np.argsort(contexts), np.argsort(pairs)
-        self.levels.append((contexts[i], left[i], pairs[j], own[j]))
-
-    def roots(self, symbols: np.ndarray) -> np.ndarray:
-        """P0 of each symbol; 1 for a word that is neither looked up nor in
-        ``words``, which no context has as a next symbol."""
-        p, rare = np.ones(len(symbols)), symbols >= len(self.root)
-        p[~rare] = self.root[symbols[~rare].astype(np.int64)]
-        at = _find(self.words[0], pair_keys(np.zeros(int(rare.sum()), np.uint64), symbols[rare]))
-        if len(self.words[0]):
-            p[rare] = np.where(at >= 0, self.words[1][np.maximum(at, 0)], 1.0)
-        return p
-
-    def probabilities(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """P(symbol | its longest retained suffix) at each position."""
-        p = self.roots(symbols)
-        if not self.levels:
-            return p
-        alive = np.arange(len(symbols))
-        for (keys, left, pairs, own), context in zip(self.levels, context_keys(symbols, starts, len(self.levels))):
-            at = _find(keys, context[alive])  # a suffix of a retained context is retained: the tree is walked down
-            alive, at = alive[at >= 0], at[at >= 0]
-            if not len(alive):
-                break
-            hit = _find(pairs, pair_keys(context[alive], symbols[alive]))
-            p[alive] = left[at] * p[alive] + np.where(hit >= 0, own[np.maximum(hit, 0)] if len(own) else 0.0, 0.0)
-        return p
-
-
-def _emit(slice_of: int, symbols: np.ndarray, starts: np.ndarray, learn: np.ndarray, k: int, wanted: np.ndarray | None,
-          share: int, shares: int) -> pa.Table:
-    """The distinct grams of k symbols of a slice whose first k - 1 are
-    ``wanted`` (sorted hashes), with their number in training texts."""
-    context = context_keys(symbols, starts, k - 1)[-1] if k > 1 else np.zeros(len(symbols), np.uint64)
-    key = pair_keys(context, symbols)
-    if wanted is None:
-        at = np.arange(len(symbols))
-    else:
-        at = np.flatnonzero((context > 0) & (_find(wanted, context) >= 0))
-    at = at[key[at] % np.uint64(shares) == share]
-    at = at[np.argsort(key[at], kind="stable")]
-    first = np.flatnonzero(np.concatenate([[True], key[at][1:] != key[at][:-1]])) if len(at) else np.empty(0, np.int64)
-    n = np.add.reduceat(learn[at], first) if len(at) else np.empty(0, np.int64)
-    at = at[first]
-    return pa.table([pa.array(context[at].view(np.int64)), pa.array(symbols[at].view(np.int64)), pa.array(n),
-                     pa.array(np.full(len(at), slice_of, np.int64))], ["context", "symbol", "n", "slice"])
-
-
-GRAM = "context long, symbol long, n long, slice long"
-
-
-def _read_slice(texts: pa.Table) -> tuple:
-    held, raw = texts["held_out"].to_numpy(), texts["symbols"].to_pylist()
-    symbols, starts = joined(raw)
-    return symbols, starts, np.repeat(~held, [len(t) // 8 for t in raw]).astype(np.int64)
-
-
-def count_grams(table: DataFrame, k: int, wanted: DataFrame | None, share: int, shares: int) -> DataFrame:
-    """``GRAM`` rows: a slice's distinct grams of k symbols after a ``wanted``
-    context of that slice (slice, key)."""
-    texts = table.select("slice", "held_out", "symbols")
-    if wanted is None:
-        def each(batches):
-            for b in batches:
-                slices = b.column(0).to_numpy()
-                cuts = np.concatenate([[0], np.flatnonzero(np.diff(slices)) + 1, [len(slices)]])
-                for lo, hi in zip(cuts[:-1], cuts[1:]):
-                    if hi > lo:
-                        yield from _emit(slices[lo], *_read_slice(pa.Table.from_batches([b.slice(lo, hi - lo)])), k, None, share, shares).to_batches()
-
-        return texts.mapInArrow(each, GRAM)
-
-    def run(rows, keys):
-        if not rows.num_rows or not keys.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 4, ["context", "symbol", "n", "slice"])
-        return _emit(rows["slice"][0].as_py(), *_read_slice(rows), k, np.sort(keys["key"].to_numpy().view(np.uint64)), share, shares)
-
-    return texts.groupBy("slice").cogroup(wanted.select("slice", "key").groupBy("slice")).applyInArrow(run, GRAM)
-
-
-def _keyed(rows: DataFrame, prefix: str, out: str) -> DataFrame:
-    """``rows`` with the hash ``out`` of the gram that ``symbol`` makes of ``prefix``."""
+
+def _symbolise(hot: list[bytes]):
+    """One row per slice: its rows' ids and sizes, its tokens as codes (the end,
+    looked-up words, then the slice's other words as they come) and the hashes
+    of those other words."""
     def run(batches):
-        for b in batches:
-            col = lambda c, b=b: b.column(b.schema.get_field_index(c)).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pair_keys(col(prefix), col("symbol")).view(np.int64))], [*b.schema.names, out])
+        known = {w: i + 2 for i, w in enumerate(hot)}
+        ids, held, sizes, parts, codes, read, made = [], [], [], [], _Codes(known), 0, 0
+
+        def row():
+            n = sum(map(len, ids))
+            list_of = lambda x: pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), x)
+            tokens = np.concatenate(parts)
+            cold = WordHashes().of(list(codes)[len(hot):]).view(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId() << 24 | made], pa.int64()), pa.array([len(tokens)], pa.int64()),
+                 list_of(pa.concat_arrays(ids)), list_of(pa.concat_arrays(held)), list_of(pa.array(sizes, pa.int32())),
+                 pa.array([pack(tokens)], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array([0, len(cold)], pa.int32()), pa.array(cold))],
+                ["slice", "tokens", "doc_id", "held_out", "sizes", "codes", "cold"])
+
+        for rows, texts in text_slices(batches):
+            ids.append(rows.column(0))
+            held.append(rows.column(1))
+            for text in texts:
+                words = _words(text)
+                parts.append(np.fromiter(map(codes.__getitem__, words), np.uint32, len(words)))
+                parts.append(np.zeros(1, np.uint32))
+                sizes.append(len(words) + 1)
+                read += len(text or b"")
+            if read >= SLICE:
+                yield row()
+                ids, held, sizes, parts, codes, read, made = [], [], [], [], _Codes(known), 0, made + 1
+        if sizes:
+            yield row()
+    return run
+
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{fields}, `{out}` long")
+def pair_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Hash of the gram that ``symbol`` makes of ``context``; 0 is the empty one."""
+    return mix64(mix64(context + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + symbol * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+
+
+def _before(x: np.ndarray) -> np.ndarray:
+    """What the position before has; 0 at the first."""
+    return np.concatenate([np.zeros(min(1, len(x)), x.dtype), x[:-1]])
+
+
+@dataclass(frozen=True)
+class Root:
+    """What all slices share: ``hot`` counts of the end, the class "other" and the
+    looked-up words; the totals; the rules of the tree."""
+
+    hot: np.ndarray
+    total: int
+    distinct: int
+    d0: float
+    classes: bool
+    least: float
+    discount: float
+    depth: int
+    buckets: int
+
+    def base(self, n: np.ndarray) -> np.ndarray:
+        return np.log10((n + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
+
+    def p0(self, n: np.ndarray) -> np.ndarray:
+        if not self.total:  # one kind of token, unknown
+            return np.ones(len(n))
+        return np.where(n > 0, np.maximum(n - self.d0, 1e-9), self.d0 * self.distinct) / self.total
+
+
+class Slice:
+    """A slice's positions, walked down the tree as far as ``answers`` (rows d,
+    what, bucket, answer) go. Afterwards: ``p``, P(symbol | longest retained
+    suffix so far) at each position; ``wants``, the (d, what, sorted distinct
+    keys) that the next answers are for."""
+
+    def __init__(self, row: pa.Table, answers: pa.Table, root: Root):
+        self.root, self.answers = root, {}
+        for d, what, bucket, answer in zip(*(answers[c].to_pylist() for c in ("d", "what", "bucket", "answer"))):
+            self.answers.setdefault((d, what), {})[bucket] = answer
+        codes = unpack(row["codes"][0].as_py(), np.uint32)
+        sizes, held, cold = (row[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "held_out", "cold"))
+        cold = cold.view(np.uint64)
+        self.begin = np.cumsum(sizes, dtype=np.int64) - sizes
+        self.learn = np.repeat(~held.astype(bool), sizes)
+        self.wants = None
+        order = np.argsort(cold)
+        found = self.ask(0, "words", cold[order], np.float64)
+        if found is None:
+            return
+        n = np.zeros(len(cold))
+        n[order] = np.maximum(found, 0)
+        n = np.concatenate([root.hot, n])
+        other = np.full(len(cold), OTHER, np.uint64) if root.classes else cold | TOP
+        symbol = np.concatenate([np.arange(len(root.hot), dtype=np.uint64), other])
+        p0 = root.p0(n)
+        of_symbol, times = p0.copy(), n.copy()
+        if root.classes:
+            of_symbol[len(root.hot):] = of_symbol[OTHER] = max(1e-12, 1 - p0[np.flatnonzero(root.hot)].sum())
+            times[len(root.hot):] = root.total - root.hot.sum()
+        self.n, self.p = n[codes], of_symbol[codes]
+        self.adjust = (np.log10(p0) - np.log10(of_symbol))[codes]
+        if root.total:
+            self.walk(symbol[codes], times[codes], codes)
+
+    def ask(self, d: int, what: str, keys: np.ndarray, kind):
+        """The answers for sorted distinct ``keys``; None, and ``wants`` set, if
+        they are not known yet."""
+        if (d, what) not in self.answers and len(keys):
+            self.wants = d, what, keys
+            return None
+        bucket = keys.view(np.int64) % self.root.buckets
+        order = np.argsort(bucket, kind="stable")
+        out = np.empty(len(keys), kind)
+        known = self.answers.get((d, what), {})
+        out[order] = np.concatenate([unpack(known[b], kind) for b in sorted(known)] + [np.empty(0, kind)])
+        return out
 
+    def walk(self, symbols: np.ndarray, times: np.ndarray, codes: np.ndarray) -> None:
+        """Per depth: positions whose context can be retained, the number of
+        their grams, then the mass that retained contexts leave to the suffix."""
+        root = self.root
+        place = np.arange(len(symbols)) - np.repeat(self.begin, np.diff(np.append(self.begin, len(symbols))))
+        kept = np.ones(len(symbols), bool)
+        gram = pair_keys(np.zeros(len(symbols), np.uint64), symbols)  # of d symbols that end here
+        for d in range(1, root.depth + 1):
+            context, of_context = _before(gram), _before(times)
+            can = kept & (place >= d) & (of_context >= root.least)
+            counted = can.copy()  # and what may be a context at the next depth
+            if d < root.depth:
+                counted[:-1] |= can[1:] & (place[:-1] >= d)
+            gram = pair_keys(context, symbols)
+            at = np.flatnonzero(counted)
+            keys, first, inverse = np.unique(gram[at], return_index=True, return_inverse=True)
+            found = self.ask(d, "grams", keys, np.int64)
+            if found is None:
+                self.numbers = np.bincount(inverse, self.learn[at], len(keys)).astype(np.int64)
+                return
+            number, mine = found >> 1, (found & 1).astype(bool)
+            times = np.zeros(len(symbols))
+            times[at] = number[inverse]
+            at = np.flatnonzero(can)
+            contexts, of = np.unique(context[at], return_inverse=True)
+            left = self.ask(d, "contexts", contexts, np.float64)
+            if left is None:
+                one = np.flatnonzero(mine & (number >= root.least))
+                spot = np.flatnonzero(counted)[first[one]]
+                one, spot = one[can[spot]], spot[can[spot]]
+                self.found = context[spot], of_context[spot], number[one], self.p[spot]
+                return
+            hold = left[of] >= 0
+            at, left = at[hold], left[of][hold]
+            own = np.where(times[at] >= root.least, np.maximum(times[at] - root.discount, 0), 0) / of_context[at]
+            self.p[at] = own + left * self.p[at]
+            kept = np.zeros(len(symbols), bool)
+            kept[at] = True
+
+
+ANSWERS = "slice long, d int, what string, bucket long, answer binary"
+
+
+def _requests(keys: np.ndarray, root: Root, share: int, shares: int):
+    """(bucket, the places of its keys) for the buckets of a share."""
+    bucket = keys.view(np.int64) % root.buckets
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)) if len(keys) else np.empty(0, np.int64)
+    for lo, hi in zip(cuts, np.append(cuts[1:], len(keys))):
+        b = int(bucket[order[lo]])
+        if b % shares == share:
+            yield b, order[lo:hi]
+
+
+def _per_slice(table: DataFrame, answers: DataFrame, root: Root, make, schema: str) -> DataFrame:
+    """``make(Slice, row)`` of each slice with the answers it has so far."""
+    def run(row, found):
+        return make(Slice(row, found, root), row)
+
+    return table.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, schema)
+
+
+def answered(table: DataFrame, answers: DataFrame, root: Root, d: int, what: str, values: DataFrame | None = None, shares: int = 1) -> DataFrame:
+    """What the slices ask for as (d, what), with its answers: one shuffle by
+    buckets of keys. With ``values`` (key, value) the value of each key, -1 without one;
+    else how often training texts hold the key, and which slice speaks for it."""
+    def ask(s, row):
+        keys = s.wants[2] if s.wants and s.wants[:2] == (d, what) else np.empty(0, np.uint64)
+        numbers = s.numbers if what == "grams" and len(keys) else np.zeros(len(keys), np.int64)
+        parts = list(_requests(keys, root, share, shares))
+        return pa.table([pa.array([row["slice"][0].as_py()] * len(parts), pa.int64()), pa.array([d] * len(parts), pa.int32()),
+                         pa.array([what] * len(parts), pa.string()), pa.array([b for b, _ in parts], pa.int64()),
+                         pa.array([pack_keys(keys[at]) for _, at in parts], pa.binary()),
+                         pa.array([pack(numbers[at]) for _, at in parts], pa.binary())], ["slice", "d", "what", "bucket", "keys", "numbers"])
+
+    def reply(rows, asked, out):
+        cuts = np.cumsum([0, *map(len, asked)])
+        packed = pa.array([pack(out[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:])], pa.binary())
+        return pa.table([rows["slice"], rows["d"], rows["what"], rows["bucket"], packed], ["slice", "d", "what", "bucket", "answer"])
+
+    def count(rows):
+        asked = [unpack_keys(k) for k in rows["keys"].to_pylist()]
+        numbers = np.concatenate([unpack(n, np.int64) for n in rows["numbers"].to_pylist()])
+        _, first, inverse = np.unique(np.concatenate(asked), return_index=True, return_inverse=True)
+        out = np.bincount(inverse, numbers).astype(np.int64)[inverse] << 1
+        out[first] |= 1
+        return reply(rows, asked, out)
+
+    def look_up(rows, found):
+        if not rows.num_rows:
+            return pa.table([rows["slice"], rows["d"], rows["what"], rows["bucket"], rows["keys"]], ["slice", "d", "what", "bucket", "answer"])
+        asked = [unpack_keys(k) for k in rows["keys"].to_pylist()]
+        keys = found["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        at = _find(keys[order], np.concatenate(asked))
+        value = np.append(found["value"].to_numpy()[order], -1.0)  # -1: the last
+        return reply(rows, asked, value[at])
 
-def frequent_grams(table: DataFrame, least: float, k: int, wanted: DataFrame | None = None, shares: int = SHARES) -> DataFrame:
-    """(slice, context, symbol, n, first, key): grams of k symbols that training
-    texts hold ``least`` times, in each slice that has them; ``first`` marks one
-    row of each gram. The grams are counted in shares, one shuffle at a time."""
     out = None
     for share in range(shares):
-        gram = Window.partitionBy("context", "symbol")
-        found = (count_grams(table, k, wanted, share, shares)
-                 .select("slice", "context", "symbol", F.sum("n").over(gram).alias("n"), (F.row_number().over(gram.orderBy("slice")) == 1).alias("first"))
-                 .where(F.col("n") >= least))
-        found = materialize(_keyed(found, "context", "key"), "pst-grams")
-        out = found if out is None else out.unionByName(found)
+        asked = _per_slice(table, answers, root, ask, "slice long, d int, what string, bucket long, keys binary, numbers binary")
+        if values is None:
+            part = asked.groupBy("bucket").applyInArrow(count, ANSWERS)
+        else:
+            keyed = values.select("key", F.col("value").cast("double").alias("value"), F.pmod("key", F.lit(root.buckets)).cast("long").alias("bucket"))
+            part = asked.groupBy("bucket").cogroup(keyed.groupBy("bucket")).applyInArrow(look_up, ANSWERS)
+        part = materialize(part, "pst-answers")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-def grow(table: DataFrame, holders: DataFrame, words: DataFrame, least: float, depth: int = DEPTH, min_gain: float = MIN_GAIN,
-         min_total: float = MIN_TOTAL, discount: float = DISCOUNT) -> list[DataFrame]:
-    """The tree from the frequent words up, as states (slice, key, d, pair,
-    value) of the slices that hold them. Per depth: the grams of a context and
-    its next symbol are counted only behind contexts that occur often enough
-    and whose own suffix is retained. ``holders``: the frequent words' rows of
-    ``frequent_grams``; ``words`` are P0 (key, p)."""
-    states, known = [], words
-    contexts = holders.where("first").select(F.col("key").alias("context"), F.col("n").alias("all"), F.lit(0).cast("long").alias("suffix"))
-    wanted = holders
-    for d in range(1, depth + 1):
-        held = frequent_grams(table, least, d + 1, wanted)
-        # any symbol but the end has a next one: a context's occurrences are those of its gram
-        pairs = _keyed(held.where("first").select("context", "symbol", "n", "key").join(contexts, "context"), "suffix", "_p")
-        pairs = materialize(pairs.select("context", "all", "n", "key", "_p"), "pst-counts")
-        kept = (pairs.join(known.select(F.col("key").alias("_p"), F.col("p").alias("parent")), "_p")
-                .withColumn("part", F.greatest(F.col("n") - discount, F.lit(0.0))))
-        kept = materialize(kept, "pst-pairs")
-        mass = (kept.groupBy("context").agg(F.sum("part").alias("own"), F.sum("n").alias("seen"), F.first("all").alias("all"))
-                .withColumn("left", 1 - F.col("own") / F.col("all")))
-        p = F.col("part") / F.col("all") + F.col("left") * F.col("parent")
-        gain = (kept.join(mass.select("context", "left"), "context").withColumn("p", p)
-                .groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("p") / F.col("parent"))).alias("gain")))
-        # symbols without a part of their own are all left * parent
-        rest = (F.col("all") - F.col("seen")) * F.log("left")
-        chosen = (mass.join(gain, "context").withColumn("gain", F.col("gain") + F.coalesce(F.when(F.col("all") > F.col("seen"), rest), F.lit(0.0)))
-                  .where((F.col("gain") >= min_total) & (F.col("gain") >= min_gain * F.col("all"))).select("context", "left"))
-        retained = materialize(chosen, "pst-contexts")
-        if retained.isEmpty():
-            break
-        known = materialize(kept.join(retained, "context").select("key", (F.col("part") / F.col("all")).alias("own"), p.alias("p")), "pst-model")
-        states.append(_states(retained.select(F.col("context").alias("key"), F.col("left").alias("value")), holders, d, False))
-        states.append(_states(known.select("key", F.col("own").alias("value")), held, d, True))
-        contexts = materialize(pairs.join(retained.select(F.col("context").alias("_p")), "_p", "left_semi")
-                               .select(F.col("key").alias("context"), F.col("n").alias("all"), F.col("_p").alias("suffix")), "pst-next")
-        wanted = held.select("slice", "key").join(contexts.select(F.col("context").alias("key")), "key", "left_semi")
-        discard(pairs, kept)
-        holders = held
-    return states
-
-
-def _states(values: DataFrame, holders: DataFrame, d: int, pair: bool) -> DataFrame:
-    return (holders.select("slice", "key").join(values, "key")
-            .select("slice", "key", F.lit(d).alias("d"), F.lit(pair).alias("pair"), "value"))
+def retained_contexts(table: DataFrame, answers: DataFrame, root: Root, d: int, min_gain: float, min_total: float) -> DataFrame:
+    """(key, value): contexts of ``d`` symbols that diverge from their suffix, with
+    the mass left to it."""
+    def tell(s, row):
+        if s.wants and s.wants[:2] == (d, "contexts"):
+            context, every, n, parent = s.found
+        else:
+            context, every, n, parent = np.empty(0, np.uint64), np.empty(0), np.empty(0, np.int64), np.empty(0)
+        return pa.table([pa.array(context.view(np.int64)), pa.array(every), pa.array(n), pa.array(parent)], ["context", "all", "n", "parent"])
+
+    kept = _per_slice(table, answers, root, tell, "context long, all double, n long, parent double")
+    kept = materialize(kept.withColumn("part", F.greatest(F.col("n") - root.discount, F.lit(0.0))), "pst-pairs")
+    mass = (kept.groupBy("context").agg(F.sum("part").alias("own"), F.sum("n").alias("seen"), F.first("all").alias("all"))
+            .withColumn("left", 1 - F.col("own") / F.col("all")))
+    p = F.col("part") / F.col("all") + F.col("left") * F.col("parent")
+    gain = (kept.join(mass.select("context", "left"), "context")
+            .groupBy("context").agg(F.sum(F.col("n") * F.log(p / F.col("parent"))).alias("gain")))
+    # symbols without a part of their own are all left * parent
+    rest = (F.col("all") - F.col("seen")) * F.log("left")
+    chosen = (mass.join(gain, "context").withColumn("gain", F.col("gain") + F.coalesce(F.when(F.col("all") > F.col("seen"), rest), F.lit(0.0)))
+              .where((F.col("gain") >= min_total) & (F.col("gain") >= min_gain * F.col("all"))))
+    chosen = materialize(chosen.select(F.col("context").alias("key"), F.col("left").alias("value")), "pst-contexts")
+    discard(kept)
+    return chosen
 
 
 def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int = DEPTH, p_min: float = P_MIN,
-          lookup_words: int = LOOKUP_WORDS, **options) -> DataFrame:
+          lookup_words: int = LOOKUP_WORDS, min_gain: float = MIN_GAIN, min_total: float = MIN_TOTAL, discount: float = DISCOUNT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row; ``train`` (a boolean column) marks the rows to learn from."""
     spark = docs.sparkSession
@@ -342,78 +400,31 @@ def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int
     facts = vocabulary.agg(F.sum("n"), F.count(F.lit(1)), F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))).first()
     total, distinct = (facts[0] or 0) + docs_n, facts[1] + (docs_n > 0)
     d0 = facts[2] / max(1, facts[2] + 2 * facts[3]) or 0.5
-    classes = hot_words is not None
-    top = (vocabulary.orderBy(F.desc("n"), "word").limit(hot_words if classes else lookup_words)
-           .select("h", "word", "n").collect())  # at most hot_words or lookup_words
-    hot_count = np.array([docs_n, 0, *(r["n"] for r in top)], float)
-    table = x.mapInArrow(_symbolise([bytes(r["word"]) for r in top], classes),
-                         f"doc_id {ids}, held_out boolean, slice long, symbols binary, cold array<long>, times array<int>")
-    table = materialize(table.withColumn("row", F.monotonically_increasing_id()), "pst-symbols")
-
-    base = total + 0.1 * (distinct + 1)
-    known = hot_count > 0
-    root = np.where(known, np.maximum(hot_count - d0, 1e-9) / max(1, total), 0.0)
-    unknown = d0 * distinct / max(1, total)
-    root[OTHER] = max(1e-12, 1 - root.sum())
-    if not total:  # one kind of token, unknown
-        root[:] = 1.0
-    base_log = np.where(known, np.log10((hot_count + 0.1) / base), 0.0)
-    if total:
-        least = max(MIN_COUNT, p_min * total)
-        holders = frequent_grams(table, least, 1)
-        other = int(pair_keys(np.zeros(1, np.uint64), np.array([OTHER], np.uint64)).view(np.int64)[0])
-        words = holders.where("first").select("key", F.when(F.col("key") == other, float(root[OTHER])).otherwise((F.col("n") - d0) / total).alias("p"))
-        # level 0: words outside the broadcast list, if they are symbols
-        looked = pair_keys(np.zeros(len(root), np.uint64), np.arange(len(root), dtype=np.uint64)).view(np.int64)
-        looked = F.broadcast(spark.createDataFrame([(int(h),) for h in looked], "key long"))  # at most lookup_words
-        states = _states(words.join(looked, "key", "left_anti").select("key", F.col("p").alias("value")), holders, 0, False)
-        for part in grow(table, holders, words, least, depth, **options):
-            states = states.unionByName(part)
-    else:
-        states = spark.createDataFrame([], "slice long, key long, d int, pair boolean, value double")
-
-    # words outside the broadcast list: counts by a join on the word's hash
-    cold = table.select("row", F.explode(F.arrays_zip("cold", "times")).alias("w")).select("row", F.col("w.cold").alias("h"), F.col("w.times").alias("times"))
-    hot = spark.createDataFrame([(r["h"],) for r in top], "h long")
-    rare = vocabulary.select("h", "n").join(F.broadcast(hot), "h", "left_anti")  # hot: at most lookup_words
-    c = F.coalesce("n", F.lit(0))
-    p0 = F.when(c > 0, F.greatest(c - d0, F.lit(1e-9)) / max(1, total)).otherwise(unknown if total else 0.1 / base)
-    cold = (cold.join(rare, "h", "left").groupBy("row")
-            .agg(F.sum(F.col("times") * F.log10((c + 0.1) / base)).alias("cold_base"),
-                 F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("cold_known"),
-                 F.sum(F.col("times") * F.log10(p0)).alias("cold_score")))
-
-    def run(texts, found):
-        key, d = found["key"].to_numpy().view(np.uint64), found["d"].to_numpy()
-        pair, value = found["pair"].to_numpy(), found["value"].to_numpy()
-
-        def pick(level, of_pair):
-            at = (d == level) & (pair == of_pair)
-            keys, first = np.unique(key[at], return_index=True)
-            return keys, value[at][first]
-
-        tree = Tree(root, pick(0, False))
-        for level in range(1, int(d.max()) + 1 if len(d) else 1):
-            tree.add(*pick(level, False), *pick(level, True))
-        symbols, starts = joined(texts["symbols"].to_pylist())
-        logs = np.log10(np.maximum(tree.probabilities(symbols, starts), 1e-300))
-        begin = np.flatnonzero(starts)
-        rare = (symbols >= len(root)) | (symbols == OTHER)  # their P0 is in ``cold``
-        logs[rare] -= np.log10(tree.roots(symbols[rare]))
-        s = np.where(rare, OTHER, symbols).astype(np.int64)
-        return pa.table([texts["doc_id"], texts["held_out"], texts["row"], pa.array(np.diff(np.append(begin, len(s)))),
-                         pa.array(np.add.reduceat(known[s].astype(np.int64), begin)),
-                         pa.array(np.add.reduceat(base_log[s], begin)), pa.array(np.add.reduceat(logs, begin))],
-                        ["doc_id", "held_out", "row", "n_tokens", "hot_known", "hot_base", "hot_score"])
-
-    hot_part = (table.select("slice", "doc_id", "held_out", "symbols", "row").groupBy("slice").cogroup(states.groupBy("slice"))
-                .applyInArrow(run, f"doc_id {ids}, held_out boolean, row long, n_tokens long, hot_known long, hot_base double, hot_score double"))
-    none = F.lit(0)
-    return hot_part.join(cold, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("hot_known") + F.coalesce("cold_known", none)).cast("long").alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("hot_base") + F.coalesce("cold_base", F.lit(0.0))).alias("base_score"),
-        (F.col("hot_score") + F.coalesce("cold_score", F.lit(0.0))).alias("score"))
+    top = (vocabulary.orderBy(F.desc("n"), "word").limit(lookup_words if hot_words is None else hot_words)
+           .select("word", "n").collect())  # at most hot_words or lookup_words
+    table = materialize(x.mapInArrow(_symbolise([bytes(r["word"]) for r in top]),
+                                     f"slice long, tokens long, doc_id array<{ids}>, held_out array<boolean>, sizes array<int>, codes binary, cold array<long>"),
+                        "pst-slices")
+    tokens = table.agg(F.sum("tokens")).first()[0] or 0
+    root = Root(np.array([docs_n, 0, *(r["n"] for r in top)], float), total, distinct, d0, hot_words is not None,
+                max(MIN_COUNT, p_min * total), discount, depth, tokens // BUCKET + 1)
+    numbers = vocabulary.select(F.col("h").alias("key"), F.col("n").alias("value"))
+    answers = answered(table, spark.createDataFrame([], ANSWERS), root, 0, "words", numbers)
+    discard(vocabulary)
+    for d in range(1, depth + 1 if total else 1):
+        answers = answers.unionByName(answered(table, answers, root, d, "grams", shares=SHARES))
+        retained = retained_contexts(table, answers, root, d, min_gain, min_total)
+        answers = answers.unionByName(answered(table, answers, root, d, "contexts", retained))
+
+    def tell(s, row):
+        flat = lambda c: row[c].combine_chunks().flatten()
+        logs = np.log10(np.maximum(s.p, 1e-300)) + s.adjust
+        sums = lambda v: pa.array(np.add.reduceat(v, s.begin))
+        return pa.table([flat("doc_id"), flat("held_out"), pa.array(flat("sizes").to_numpy(zero_copy_only=False).astype(np.int64)),
+                         sums((s.n > 0).astype(np.int64)), pa.array(np.full(len(s.begin), total, np.int64)), sums(root.base(s.n)), sums(logs)],
+                        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return _per_slice(table, answers, root, tell, f"doc_id {ids}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op2_suffix_tree(spark, sf_dir: str) -> DataFrame:

@@ -103,14 +103,22 @@ def test_equals_the_literal_tree(docs):
     same([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got], want.values())
 
 
-def test_probabilities_sum_to_one():
-    import numpy as np
-    tree = st.Tree(np.array([0.2, 0.3, 0.4, 0.1]))
-    context = st.context_keys(np.array([2, 0], np.uint64), np.array([True, False]), 1)[0][1]
-    own = np.array([0.5, 0.25])
-    tree.add(np.array([context]), np.array([0.25]), st.pair_keys(np.array([context, context]), np.array([0, 3], np.uint64)), own)
-    p = sum(tree.probabilities(np.array([2, x], np.uint64), np.array([True, False]))[1] for x in range(4))
-    assert abs(p - 1) < 1e-12
+def test_probabilities_sum_to_one(docs):
+    rows = corpus()
+    held = (i for i in range(10_000, 20_000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    train = [tokens(t) for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
+    c = Counter(x for t in train for x in t)
+    total, n1, n2 = sum(c.values()), *(sum(n == k for w, n in c.items() if w) for k in (1, 2))
+    d0 = n1 / max(1, n1 + 2 * n2) or 0.5
+    p0 = lambda w: (c[w] - d0) / total if c[w] else d0 * len(c) / total
+    words = [w.decode() for w in c if w] + ["neverseen"]
+    probes = {next(held): t for w in words for t in (w, f"the {w}")} | {next(held): "the"}
+    out = {probes[r.doc_id]: r.score for r in st.score(docs(rows + list(probes.items())), crc_mod("doc_id", 10) != 0, depth=1).collect() if r.doc_id in probes}
+    # P(w | the) = P("the w" end) / P0(the) / (P(w end) / P0(w))
+    p = {w: 10 ** (out[f"the {w}"] - out[w]) * p0(w.encode()) / p0(b"the") for w in words}
+    p[None] = 10 ** out["the"] / p0(b"the")
+    assert max(abs(p[w] - p0(w and w.encode())) for w in p) > 0.05  # the context is in the tree
+    assert abs(sum(p.values()) - 1) < 1e-9
 
 
 def test_given_table(spark):
@@ -143,3 +151,18 @@ def test_passages_seen_a_few_times_are_learned_in_a_large_corpus(docs):
     for lookup in (4, st.LOOKUP_WORDS):
         got = st.score(docs(rows), crc_mod("doc_id", 10) != 0, lookup_words=lookup).collect()
         assert len(got) == len(rows) and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-7) for r in got)
+
+
+def test_slices_and_turns_do_not_matter(docs, monkeypatch):
+    """Grams that all slices hold, in many buckets and turns; a slice without
+    words of its own."""
+    rnd = random.Random(9)
+    lines = ["the cat sat down", "a cat sat up", "the dog sat up there", "w3 w4 w5 w6"]
+    rows = [(i, " ".join(rnd.choice(lines) if rnd.random() < 0.5 else f"w{int(rnd.paretovariate(0.7))}" for _ in range(60))) for i in range(300)]
+    rows += [(i, "the cat sat down") for i in range(300, 330)]
+    want, states = brute(rows, None, st.DEPTH, 0.0, st.MIN_GAIN, st.MIN_TOTAL, st.DISCOUNT)
+    assert {len(s) for s in states} == {1, 2, 3}
+    for name, value in (("SLICE", 4_000), ("BUCKET", 2_000), ("SHARES", 3)):
+        monkeypatch.setattr(st, name, value)
+    got = st.score(docs(rows).repartition(3), crc_mod("doc_id", 10) != 0, lookup_words=2).collect()
+    same([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got], want.values())
