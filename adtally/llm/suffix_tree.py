@@ -21,7 +21,7 @@ must; g(s) is the mass left. Each position is scored by its longest suffix in
 the tree; a word of the class "other" by the class times P0(x) / P0(other).
 
 The tree grows with the input and is never gathered. Texts are handled in slices
-of some 8 MB, each a row of compressed token codes. At each depth a slice asks,
+of some 4 MB, each a row of compressed token codes. At each depth a slice asks,
 for its distinct grams (a context and its next symbol) behind contexts that can
 be retained, how often all training texts hold them: sorted gram hashes, packed
 by bucket of hashes, go through one shuffle, in ``SHARES`` turns, and the numbers
@@ -60,7 +60,7 @@ MIN_GAIN = 0.02
 MIN_TOTAL = 10.0
 DISCOUNT = 0.75
 # Bytes of text in a slice, the unit that names a gram once and gets its answers.
-SLICE = 8 << 20
+SLICE = 4 << 20
 # Tokens of all slices to one bucket of hashes.
 BUCKET = 1 << 20
 # Turns in which a level's grams are counted.
@@ -149,7 +149,7 @@ def _symbolise(hot: list[bytes]):
                  pa.ListArray.from_arrays(pa.array([0, len(cold)], pa.int32()), pa.array(cold))],
                 ["slice", "tokens", "doc_id", "held_out", "sizes", "codes", "cold"])
 
-        for rows, texts in text_slices(batches):
+        for rows, texts in text_slices(batches, limit=SLICE // 2):
             ids.append(rows.column(0))
             held.append(rows.column(1))
             for text in texts:
@@ -200,109 +200,144 @@ class Root:
         return np.where(n > 0, np.maximum(n - self.d0, 1e-9), self.d0 * self.distinct) / self.total
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the place of one of each, and each key's number among them."""
+    order = np.argsort(keys)
+    ahead = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ahead[1:], ahead[:-1], out=new[1:])
+    inverse = np.empty(len(keys), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    first = np.flatnonzero(new)
+    return ahead[first], order[first], inverse
+
+
 class Slice:
-    """A slice's positions, walked down the tree as far as ``answers`` (rows d,
-    what, bucket, answer) go. Afterwards: ``p``, P(symbol | longest retained
-    suffix so far) at each position; ``wants``, the (d, what, sorted distinct
-    keys) that the next answers are for."""
+    """A slice's positions on their way down the tree. ``at`` are those whose
+    context of ``d`` symbols may be retained, with ``p``, P(symbol | longest
+    retained suffix so far), and ``occurs``, how often training texts hold the
+    context; all others have their final log10 P in ``sums`` of their text."""
 
     def __init__(self, row: pa.Table, answers: pa.Table, root: Root):
         self.root, self.answers = root, {}
         for d, what, bucket, answer in zip(*(answers[c].to_pylist() for c in ("d", "what", "bucket", "answer"))):
             self.answers.setdefault((d, what), {})[bucket] = answer
-        codes = unpack(row["codes"][0].as_py(), np.uint32)
-        sizes, held, cold = (row[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "held_out", "cold"))
-        cold = cold.view(np.uint64)
-        self.begin = np.cumsum(sizes, dtype=np.int64) - sizes
-        self.learn = np.repeat(~held.astype(bool), sizes)
-        self.wants = None
-        order = np.argsort(cold)
-        found = self.ask(0, "words", cold[order], np.float64)
-        if found is None:
-            return
-        n = np.zeros(len(cold))
-        n[order] = np.maximum(found, 0)
-        n = np.concatenate([root.hot, n])
-        other = np.full(len(cold), OTHER, np.uint64) if root.classes else cold | TOP
-        symbol = np.concatenate([np.arange(len(root.hot), dtype=np.uint64), other])
-        p0 = root.p0(n)
-        of_symbol, times = p0.copy(), n.copy()
-        if root.classes:
-            of_symbol[len(root.hot):] = of_symbol[OTHER] = max(1e-12, 1 - p0[np.flatnonzero(root.hot)].sum())
-            times[len(root.hot):] = root.total - root.hot.sum()
-        self.n, self.p = n[codes], of_symbol[codes]
-        self.adjust = (np.log10(p0) - np.log10(of_symbol))[codes]
-        if root.total:
-            self.walk(symbol[codes], times[codes], codes)
-
-    def ask(self, d: int, what: str, keys: np.ndarray, kind):
-        """The answers for sorted distinct ``keys``; None, and ``wants`` set, if
-        they are not known yet."""
-        if (d, what) not in self.answers and len(keys):
-            self.wants = d, what, keys
-            return None
-        bucket = keys.view(np.int64) % self.root.buckets
-        order = np.argsort(bucket, kind="stable")
-        out = np.empty(len(keys), kind)
+        self.codes = unpack(row["codes"][0].as_py(), np.uint32)
+        self.sizes, held, cold = (row[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "held_out", "cold"))
+        self.begin = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        self.learn = np.repeat(~held.astype(bool), self.sizes)
+        self.text = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        self.place = np.arange(len(self.codes), dtype=np.int32) - self.begin.astype(np.int32)[self.text]
+        self.cold, self.cold_order = (cold.view(np.uint64), np.argsort(cold.view(np.uint64)))
+
+    def answer(self, d: int, what: str, kind) -> np.ndarray:
+        """The answers for the sorted distinct keys asked for as (d, what)."""
         known = self.answers.get((d, what), {})
-        out[order] = np.concatenate([unpack(known[b], kind) for b in sorted(known)] + [np.empty(0, kind)])
-        return out
-
-    def walk(self, symbols: np.ndarray, times: np.ndarray, codes: np.ndarray) -> None:
-        """Per depth: positions whose context can be retained, the number of
-        their grams, then the mass that retained contexts leave to the suffix."""
-        root = self.root
-        place = np.arange(len(symbols)) - np.repeat(self.begin, np.diff(np.append(self.begin, len(symbols))))
-        kept = np.ones(len(symbols), bool)
-        gram = pair_keys(np.zeros(len(symbols), np.uint64), symbols)  # of d symbols that end here
-        for d in range(1, root.depth + 1):
-            context, of_context = _before(gram), _before(times)
-            can = kept & (place >= d) & (of_context >= root.least)
-            counted = can.copy()  # and what may be a context at the next depth
-            if d < root.depth:
-                counted[:-1] |= can[1:] & (place[:-1] >= d)
-            gram = pair_keys(context, symbols)
-            at = np.flatnonzero(counted)
-            keys, first, inverse = np.unique(gram[at], return_index=True, return_inverse=True)
-            found = self.ask(d, "grams", keys, np.int64)
-            if found is None:
-                self.numbers = np.bincount(inverse, self.learn[at], len(keys)).astype(np.int64)
-                return
-            number, mine = found >> 1, (found & 1).astype(bool)
-            times = np.zeros(len(symbols))
-            times[at] = number[inverse]
-            at = np.flatnonzero(can)
-            contexts, of = np.unique(context[at], return_inverse=True)
-            left = self.ask(d, "contexts", contexts, np.float64)
-            if left is None:
-                one = np.flatnonzero(mine & (number >= root.least))
-                spot = np.flatnonzero(counted)[first[one]]
-                one, spot = one[can[spot]], spot[can[spot]]
-                self.found = context[spot], of_context[spot], number[one], self.p[spot]
-                return
-            hold = left[of] >= 0
-            at, left = at[hold], left[of][hold]
-            own = np.where(times[at] >= root.least, np.maximum(times[at] - root.discount, 0), 0) / of_context[at]
-            self.p[at] = own + left * self.p[at]
-            kept = np.zeros(len(symbols), bool)
-            kept[at] = True
+        return np.concatenate([unpack(known[b], kind) for b in sorted(known)] + [np.empty(0, kind)])
+
+    def words(self) -> None:
+        """Counts and P0 of the slice's codes, from the answers for its words."""
+        root, cold, hot = self.root, len(self.cold), len(self.root.hot)
+        n = np.zeros(cold)
+        n[self.cold_order] = np.maximum(self.answer(0, "words", np.float64), 0)
+        self.n = np.concatenate([root.hot, n])
+        other = np.full(cold, OTHER, np.uint64) if root.classes else self.cold | TOP
+        self.symbol = np.concatenate([np.arange(hot, dtype=np.uint64), other])
+        self.p0 = root.p0(self.n)
+        self.parent, self.times = self.p0.copy(), self.n.copy()  # of the symbols
+        if root.classes:
+            self.parent[hot:] = self.parent[OTHER] = max(1e-12, 1 - self.p0[np.flatnonzero(root.hot)].sum())
+            self.times[hot:] = root.total - root.hot.sum()
+
+    def load(self, d: int) -> None:
+        """The positions of depth ``d``: as ``state`` had them, or all at first."""
+        if (d, "at") in self.answers:
+            self.at = np.cumsum(self.answer(d, "at", np.uint32), dtype=np.int64)
+            self.p, self.occurs, self.sums = (self.answer(d, what, np.float64) for what in ("p", "occurs", "sums"))
+            return
+        self.at, self.sums = np.arange(len(self.codes)), np.zeros(len(self.sizes))
+        self.p = self.parent[self.codes]
+        occurs = _before(self.times[self.codes]) if self.root.total else np.zeros(len(self.codes))
+        self.keep((self.place >= 1) & (occurs >= self.root.least), occurs)
+
+    def keep(self, can: np.ndarray, occurs: np.ndarray) -> None:
+        """Go on with the positions ``can``; the others are final."""
+        self.sums = self.sums + np.bincount(self.text[self.at[~can]], np.log10(np.maximum(self.p[~can], 1e-300)), len(self.sums))
+        self.at, self.p, self.occurs = self.at[can], self.p[can], occurs[can]
+
+    def state(self) -> list[tuple[str, np.ndarray]]:
+        return [("at", np.diff(self.at, prepend=0).astype(np.uint32)), ("p", self.p), ("occurs", self.occurs), ("sums", self.sums)]
+
+    def grams(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct grams of a context of ``d`` symbols and its next, where
+        the context may be retained or the gram may be a context of the next
+        depth, and their numbers in training texts."""
+        gram = pair_keys(np.zeros(len(self.codes), np.uint64), self.symbol[self.codes])
+        symbols = self.symbol[self.codes]
+        for _ in range(d):
+            self.context = _before(gram)
+            gram = pair_keys(self.context, symbols)
+        mask = np.zeros(len(self.codes), bool)
+        mask[self.at] = True
+        if d < self.root.depth:
+            before = self.at - 1
+            mask[before[self.place[before] >= d]] = True
+        self.counted = np.flatnonzero(mask)
+        keys, self.first, self.inverse = distinct(gram[self.counted])
+        return keys, np.bincount(self.inverse, self.learn[self.counted], len(keys)).astype(np.int64)
+
+    def contexts(self, d: int) -> np.ndarray:
+        """Sorted distinct contexts; the numbers of ``grams`` are known."""
+        self.grams(d)
+        found = self.answer(d, "grams", np.int64)
+        self.number, self.mine = found >> 1, (found & 1).astype(bool)
+        self.seen = np.zeros(len(self.codes))
+        self.seen[self.counted] = self.number[self.inverse]
+        keys, _, self.of = distinct(self.context[self.at])
+        return keys
+
+    def found(self) -> np.ndarray:
+        """Frequent grams that this slice speaks for: rows of (context, its
+        occurrences, the gram's, P of its symbol after the context's suffix)."""
+        chosen = np.flatnonzero(self.mine & (self.number >= self.root.least))
+        where = np.full(len(self.codes), -1)
+        where[self.at] = np.arange(len(self.at))
+        i = where[self.counted[self.first[chosen]]]
+        chosen, i = chosen[i >= 0], i[i >= 0]
+        return np.stack([self.context[self.at[i]].view(np.float64), self.occurs[i], self.number[chosen].astype(float), self.p[i]])
+
+    def descend(self, d: int) -> None:
+        """From depth ``d`` to the next: the mass that contexts leave is known."""
+        self.contexts(d)
+        left = self.answer(d, "contexts", np.float64)[self.of]
+        hold, n = left >= 0, self.seen[self.at]
+        own = np.where(n >= self.root.least, np.maximum(n - self.root.discount, 0), 0) / self.occurs
+        self.p = np.where(hold, own + left * self.p, self.p)
+        before = self.at - 1
+        occurs = self.seen[before]
+        self.keep(hold & (self.place[self.at] > d) & (occurs >= self.root.least) & (d < self.root.depth), occurs)
 
 
 ANSWERS = "slice long, d int, what string, bucket long, answer binary"
+ASKS = "slice long, d int, what string, bucket long, keys binary, numbers binary"
+
 
+def _asks(slice_of: int, d: int, parts: list) -> pa.Table:
+    """``ASKS`` rows of (what, bucket, keys, numbers)."""
+    what, bucket, keys, numbers = zip(*parts) if parts else ((), (), (), ())
+    return pa.table([pa.array([slice_of] * len(parts), pa.int64()), pa.array([d] * len(parts), pa.int32()), pa.array(what, pa.string()),
+                     pa.array(bucket, pa.int64()), pa.array(keys, pa.binary()), pa.array(numbers, pa.binary())],
+                    ["slice", "d", "what", "bucket", "keys", "numbers"])
 
-def _requests(keys: np.ndarray, root: Root, share: int, shares: int):
-    """(bucket, the places of its keys) for the buckets of a share."""
-    bucket = keys.view(np.int64) % root.buckets
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1)) if len(keys) else np.empty(0, np.int64)
-    for lo, hi in zip(cuts, np.append(cuts[1:], len(keys))):
-        b = int(bucket[order[lo]])
-        if b % shares == share:
-            yield b, order[lo:hi]
 
+def _by_bucket(what: str, keys: np.ndarray, numbers: np.ndarray, root: Root) -> list:
+    """Sorted keys cut into buckets of equal ranges."""
+    bucket = (keys >> np.uint64(32)) * np.uint64(root.buckets) >> np.uint64(32)
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return [(what, int(bucket[lo]), pack_keys(keys[lo:hi]), pack(numbers[lo:hi])) for lo, hi in zip(cuts, np.append(cuts[1:], len(keys)))]
 
-def _per_slice(table: DataFrame, answers: DataFrame, root: Root, make, schema: str) -> DataFrame:
+
+def _per_slice(table: DataFrame, answers: DataFrame, root: Root, make, schema: str = ASKS) -> DataFrame:
     """``make(Slice, row)`` of each slice with the answers it has so far."""
     def run(row, found):
         return make(Slice(row, found, root), row)
@@ -310,19 +345,10 @@ def _per_slice(table: DataFrame, answers: DataFrame, root: Root, make, schema: s
     return table.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, schema)
 
 
-def answered(table: DataFrame, answers: DataFrame, root: Root, d: int, what: str, values: DataFrame | None = None, shares: int = 1) -> DataFrame:
-    """What the slices ask for as (d, what), with its answers: one shuffle by
-    buckets of keys. With ``values`` (key, value) the value of each key, -1 without one;
+def answered(asks: DataFrame, root: Root, what: str, values: DataFrame | None = None, shares: int = 1) -> DataFrame:
+    """Answers to what slices ask: one shuffle by buckets of keys, in ``shares``
+    turns. With ``values`` (key, value) the value of each key, -1 without one;
     else how often training texts hold the key, and which slice speaks for it."""
-    def ask(s, row):
-        keys = s.wants[2] if s.wants and s.wants[:2] == (d, what) else np.empty(0, np.uint64)
-        numbers = s.numbers if what == "grams" and len(keys) else np.zeros(len(keys), np.int64)
-        parts = list(_requests(keys, root, share, shares))
-        return pa.table([pa.array([row["slice"][0].as_py()] * len(parts), pa.int64()), pa.array([d] * len(parts), pa.int32()),
-                         pa.array([what] * len(parts), pa.string()), pa.array([b for b, _ in parts], pa.int64()),
-                         pa.array([pack_keys(keys[at]) for _, at in parts], pa.binary()),
-                         pa.array([pack(numbers[at]) for _, at in parts], pa.binary())], ["slice", "d", "what", "bucket", "keys", "numbers"])
-
     def reply(rows, asked, out):
         cuts = np.cumsum([0, *map(len, asked)])
         packed = pa.array([pack(out[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:])], pa.binary())
@@ -331,14 +357,14 @@ def answered(table: DataFrame, answers: DataFrame, root: Root, d: int, what: str
     def count(rows):
         asked = [unpack_keys(k) for k in rows["keys"].to_pylist()]
         numbers = np.concatenate([unpack(n, np.int64) for n in rows["numbers"].to_pylist()])
-        _, first, inverse = np.unique(np.concatenate(asked), return_index=True, return_inverse=True)
+        _, first, inverse = distinct(np.concatenate(asked))
         out = np.bincount(inverse, numbers).astype(np.int64)[inverse] << 1
         out[first] |= 1
         return reply(rows, asked, out)
 
     def look_up(rows, found):
         if not rows.num_rows:
-            return pa.table([rows["slice"], rows["d"], rows["what"], rows["bucket"], rows["keys"]], ["slice", "d", "what", "bucket", "answer"])
+            return pa.table([rows[c] for c in ("slice", "d", "what", "bucket", "keys")], ["slice", "d", "what", "bucket", "answer"])
         asked = [unpack_keys(k) for k in rows["keys"].to_pylist()]
         keys = found["key"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
@@ -348,28 +374,28 @@ def answered(table: DataFrame, answers: DataFrame, root: Root, d: int, what: str
 
     out = None
     for share in range(shares):
-        asked = _per_slice(table, answers, root, ask, "slice long, d int, what string, bucket long, keys binary, numbers binary")
+        asked = asks.where((F.col("what") == what) & (F.col("bucket") % shares == share))
         if values is None:
             part = asked.groupBy("bucket").applyInArrow(count, ANSWERS)
         else:
-            keyed = values.select("key", F.col("value").cast("double").alias("value"), F.pmod("key", F.lit(root.buckets)).cast("long").alias("bucket"))
+            bucket = F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(root.buckets).cast("long"), 32)
+            keyed = values.select("key", F.col("value").cast("double").alias("value"), bucket.alias("bucket"))
             part = asked.groupBy("bucket").cogroup(keyed.groupBy("bucket")).applyInArrow(look_up, ANSWERS)
         part = materialize(part, "pst-answers")
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def retained_contexts(table: DataFrame, answers: DataFrame, root: Root, d: int, min_gain: float, min_total: float) -> DataFrame:
-    """(key, value): contexts of ``d`` symbols that diverge from their suffix, with
-    the mass left to it."""
-    def tell(s, row):
-        if s.wants and s.wants[:2] == (d, "contexts"):
-            context, every, n, parent = s.found
-        else:
-            context, every, n, parent = np.empty(0, np.uint64), np.empty(0), np.empty(0, np.int64), np.empty(0)
-        return pa.table([pa.array(context.view(np.int64)), pa.array(every), pa.array(n), pa.array(parent)], ["context", "all", "n", "parent"])
+def retained_contexts(asks: DataFrame, root: Root, min_gain: float, min_total: float) -> DataFrame:
+    """(key, value): contexts that diverge from their suffix, with the mass left
+    to it; from the frequent grams that slices tell."""
+    def tell(batches):
+        for b in batches:
+            for packed in b.column(0).to_pylist():
+                found = unpack(packed, np.float64).reshape(4, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64)), *map(pa.array, found[1:])], ["context", "all", "n", "parent"])
 
-    kept = _per_slice(table, answers, root, tell, "context long, all double, n long, parent double")
+    kept = asks.where("what = 'found'").select("keys").mapInArrow(tell, "context long, all double, n double, parent double")
     kept = materialize(kept.withColumn("part", F.greatest(F.col("n") - root.discount, F.lit(0.0))), "pst-pairs")
     mass = (kept.groupBy("context").agg(F.sum("part").alias("own"), F.sum("n").alias("seen"), F.first("all").alias("all"))
             .withColumn("left", 1 - F.col("own") / F.col("all")))
@@ -408,20 +434,55 @@ def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int
     tokens = table.agg(F.sum("tokens")).first()[0] or 0
     root = Root(np.array([docs_n, 0, *(r["n"] for r in top)], float), total, distinct, d0, hot_words is not None,
                 max(MIN_COUNT, p_min * total), discount, depth, tokens // BUCKET + 1)
+    slice_of = lambda row: row["slice"][0].as_py()
+
+    def ask_words(s, row):
+        return _asks(slice_of(row), 0, _by_bucket("words", s.cold[s.cold_order], np.zeros(len(s.cold), np.int64), root))
+
+    def ask_grams(s, row):
+        s.words()
+        s.load(max(1, d - 1))
+        kept = []
+        if d > 1:
+            s.descend(d - 1)
+            kept = [(what, 0, pack(a), b"") for what, a in s.state()]
+        return _asks(slice_of(row), d, kept + _by_bucket("grams", *s.grams(d), root))
+
+    def ask_contexts(s, row):
+        s.words()
+        s.load(d)
+        keys = s.contexts(d)
+        return _asks(slice_of(row), d, [("found", 0, pack(s.found().ravel()), b""), *_by_bucket("contexts", keys, np.zeros(len(keys), np.int64), root)])
+
     numbers = vocabulary.select(F.col("h").alias("key"), F.col("n").alias("value"))
-    answers = answered(table, spark.createDataFrame([], ANSWERS), root, 0, "words", numbers)
+    asks = _per_slice(table, spark.createDataFrame([], ANSWERS), root, ask_words)
+    words = answers = answered(asks, root, "words", numbers)
     discard(vocabulary)
+    past: list[DataFrame] = []
     for d in range(1, depth + 1 if total else 1):
-        answers = answers.unionByName(answered(table, answers, root, d, "grams", shares=SHARES))
-        retained = retained_contexts(table, answers, root, d, min_gain, min_total)
-        answers = answers.unionByName(answered(table, answers, root, d, "contexts", retained))
+        asks = materialize(_per_slice(table, answers, root, ask_grams), "pst-asks")
+        discard(*past)
+        state = asks.where(F.col("what").isin("at", "p", "occurs", "sums")).select("slice", "d", "what", "bucket", F.col("keys").alias("answer"))
+        counts = answered(asks, root, "grams", shares=SHARES)
+        answers = words.unionByName(state).unionByName(counts)
+        further = materialize(_per_slice(table, answers, root, ask_contexts), "pst-asks")
+        left = answered(further, root, "contexts", retained_contexts(further, root, min_gain, min_total))
+        answers = answers.unionByName(left)
+        discard(further)
+        past = [asks, counts, left]
 
     def tell(s, row):
         flat = lambda c: row[c].combine_chunks().flatten()
-        logs = np.log10(np.maximum(s.p, 1e-300)) + s.adjust
+        s.words()
+        s.load(depth)
+        if total:
+            s.descend(depth)
+        adjust = np.log10(s.p0) - np.log10(s.parent)  # a word of the class "other"
+        s.sums = s.sums + np.add.reduceat(adjust[s.codes], s.begin)
+        n, base = s.n[s.codes], root.base(s.n)[s.codes]
         sums = lambda v: pa.array(np.add.reduceat(v, s.begin))
         return pa.table([flat("doc_id"), flat("held_out"), pa.array(flat("sizes").to_numpy(zero_copy_only=False).astype(np.int64)),
-                         sums((s.n > 0).astype(np.int64)), pa.array(np.full(len(s.begin), total, np.int64)), sums(root.base(s.n)), sums(logs)],
+                         sums((n > 0).astype(np.int64)), pa.array(np.full(len(s.begin), total, np.int64)), sums(base), pa.array(s.sums)],
                         ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return _per_slice(table, answers, root, tell, f"doc_id {ids}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
