@@ -29,8 +29,8 @@ come back in the order asked. One slice speaks for each frequent gram; a groupin
 by context then chooses the retained ones, and each slice asks for those it
 holds in the same way. A slice walks its positions down the tree with the
 answers it has. A gram is one entry per slice and its bucket goes by its own
-hash, so neither a frequent word nor a frequent context is one task's load. Only
-the ``LOOKUP_WORDS`` most frequent words are broadcast, to save look-ups.
+hash, so neither a frequent word nor a frequent context is one task's load. Nothing
+is broadcast but the totals (and ``hot_words``, if given).
 
 Defined results: null and empty texts are the end token alone; repeated rows
 count each; with no training text every token is unknown and the score is the
@@ -39,7 +39,6 @@ base score; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,7 +51,6 @@ from pyspark.sql import functions as F
 from .common import WordHashes, crc_mod, discard, materialize, mix64, read_table, small_batches, text_slices
 
 HOT_WORDS = None  # every word is a symbol
-LOOKUP_WORDS = 1 << 17
 DEPTH = 3
 P_MIN = 0.0
 MIN_COUNT = 2
@@ -65,7 +63,7 @@ SLICE = 4 << 20
 BUCKET = 1 << 20
 # Turns in which a level's grams are counted.
 SHARES = 2
-END, OTHER = 0, 1  # symbols; looked-up words follow, any other word is its hash with the top bit set
+END, OTHER = 0, 1  # symbols; a word is its hash with the top bit set
 TOP = np.uint64(1 << 63)
 
 
@@ -73,26 +71,6 @@ def _words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def _count_words(batches):
-    """(h, word, n) of training words, summed over a task while it is small."""
-    counts: Counter = Counter()
-    hashes = WordHashes()
-
-    def flush():
-        words = list(counts)
-        out = pa.RecordBatch.from_arrays([pa.array(hashes.of(words).view(np.int64)), pa.array(words, pa.binary()),
-                                          pa.array(list(counts.values()), pa.int64())], ["h", "word", "n"])
-        counts.clear()
-        return out
-
-    for _, texts in text_slices(batches):
-        for text in texts:
-            counts.update(_words(text))
-        if len(counts) > 500_000:
-            yield flush()
-    yield flush()
-
-
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Index of each wanted key in the sorted keys, -1 if absent."""
     if not len(keys):
@@ -101,7 +79,6 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-
 def pack(a: np.ndarray) -> bytes:
     """Numbers as planes of equal bytes, compressed."""
     return zstandard.compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if len(a) else b"", 3)
@@ -129,25 +106,28 @@ class _Codes(dict):
         return code
 
 
-def _symbolise(hot: list[bytes]):
+def _symbolise(spell: bool):
     """One row per slice: its rows' ids and sizes, its tokens as codes (the end,
-    looked-up words, then the slice's other words as they come) and the hashes
-    of those other words."""
+    then the slice's words as they come), and of those words the hashes, the
+    numbers in training texts and, if asked for, the spellings."""
     def run(batches):
-        known = {w: i + 2 for i, w in enumerate(hot)}
-        ids, held, sizes, parts, codes, read, made = [], [], [], [], _Codes(known), 0, 0
+        ids, held, sizes, parts, codes, read, made = [], [], [], [], _Codes(), 0, 0
 
         def row():
             n = sum(map(len, ids))
             list_of = lambda x: pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), x)
             tokens = np.concatenate(parts)
-            cold = WordHashes().of(list(codes)[len(hot):]).view(np.int64)
+            learn = ~pa.concat_arrays(held).to_numpy(zero_copy_only=False).astype(bool)
+            times = np.bincount(tokens[np.repeat(learn, sizes)], minlength=len(codes) + 2)[2:]
+            of_words = lambda x: pa.ListArray.from_arrays(pa.array([0, len(codes)], pa.int32()), x)
+            words = list(codes)
             return pa.RecordBatch.from_arrays(
                 [pa.array([TaskContext.get().partitionId() << 24 | made], pa.int64()), pa.array([len(tokens)], pa.int64()),
-                 list_of(pa.concat_arrays(ids)), list_of(pa.concat_arrays(held)), list_of(pa.array(sizes, pa.int32())),
-                 pa.array([pack(tokens)], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array([0, len(cold)], pa.int32()), pa.array(cold))],
-                ["slice", "tokens", "doc_id", "held_out", "sizes", "codes", "cold"])
+                 pa.array([int(learn.sum())], pa.int64()), list_of(pa.concat_arrays(ids)), list_of(pa.concat_arrays(held)),
+                 list_of(pa.array(sizes, pa.int32())), pa.array([pack(tokens)], pa.binary()),
+                 of_words(pa.array(WordHashes().of(words).view(np.int64))), of_words(pa.array(times, pa.int32())),
+                 of_words(pa.array(words if spell else [None] * len(words), pa.binary()))],
+                ["slice", "tokens", "learned", "doc_id", "held_out", "sizes", "codes", "words", "times", "spelled"])
 
         for rows, texts in text_slices(batches, limit=SLICE // 2):
             ids.append(rows.column(0))
@@ -160,7 +140,7 @@ def _symbolise(hot: list[bytes]):
                 read += len(text or b"")
             if read >= SLICE:
                 yield row()
-                ids, held, sizes, parts, codes, read, made = [], [], [], [], _Codes(known), 0, made + 1
+                ids, held, sizes, parts, codes, read, made = [], [], [], [], _Codes(), 0, made + 1
         if sizes:
             yield row()
     return run
@@ -178,14 +158,16 @@ def _before(x: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Root:
-    """What all slices share: ``hot`` counts of the end, the class "other" and the
-    looked-up words; the totals; the rules of the tree."""
+    """What all slices share: the number of training texts, the sorted hashes and
+    the numbers of the hot words, if only these are symbols; the totals; the
+    rules of the tree."""
 
-    hot: np.ndarray
+    ends: int
+    hot: np.ndarray | None
+    hot_times: np.ndarray | None
     total: int
     distinct: int
     d0: float
-    classes: bool
     least: float
     discount: float
     depth: int
@@ -223,12 +205,13 @@ class Slice:
         for d, what, bucket, answer in zip(*(answers[c].to_pylist() for c in ("d", "what", "bucket", "answer"))):
             self.answers.setdefault((d, what), {})[bucket] = answer
         self.codes = unpack(row["codes"][0].as_py(), np.uint32)
-        self.sizes, held, cold = (row[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "held_out", "cold"))
+        self.sizes, held, words = (row[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("sizes", "held_out", "words"))
         self.begin = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
         self.learn = np.repeat(~held.astype(bool), self.sizes)
         self.text = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         self.place = np.arange(len(self.codes), dtype=np.int32) - self.begin.astype(np.int32)[self.text]
-        self.cold, self.cold_order = (cold.view(np.uint64), np.argsort(cold.view(np.uint64)))
+        self.hashes = words.view(np.uint64)
+        self.order = np.argsort(self.hashes)
 
     def answer(self, d: int, what: str, kind) -> np.ndarray:
         """The answers for the sorted distinct keys asked for as (d, what)."""
@@ -237,17 +220,18 @@ class Slice:
 
     def words(self) -> None:
         """Counts and P0 of the slice's codes, from the answers for its words."""
-        root, cold, hot = self.root, len(self.cold), len(self.root.hot)
-        n = np.zeros(cold)
-        n[self.cold_order] = np.maximum(self.answer(0, "words", np.float64), 0)
-        self.n = np.concatenate([root.hot, n])
-        other = np.full(cold, OTHER, np.uint64) if root.classes else self.cold | TOP
-        self.symbol = np.concatenate([np.arange(hot, dtype=np.uint64), other])
+        root, n = self.root, np.zeros(len(self.hashes))
+        n[self.order] = np.maximum(self.answer(0, "words", np.float64), 0)
+        self.n = np.concatenate([[root.ends, 0], n])
+        self.symbol = np.concatenate([np.array([END, OTHER], np.uint64), self.hashes | TOP])
         self.p0 = root.p0(self.n)
         self.parent, self.times = self.p0.copy(), self.n.copy()  # of the symbols
-        if root.classes:
-            self.parent[hot:] = self.parent[OTHER] = max(1e-12, 1 - self.p0[np.flatnonzero(root.hot)].sum())
-            self.times[hot:] = root.total - root.hot.sum()
+        if root.hot is not None:
+            other = np.concatenate([[False, True], _find(root.hot, self.hashes) < 0])
+            known = np.append(root.hot_times, root.ends)
+            self.symbol[other] = OTHER
+            self.parent[other] = max(1e-12, 1 - root.p0(known)[known > 0].sum())
+            self.times[other] = root.total - known.sum()
 
     def load(self, d: int) -> None:
         """The positions of depth ``d``: as ``state`` had them, or all at first."""
@@ -412,32 +396,35 @@ def retained_contexts(asks: DataFrame, root: Root, min_gain: float, min_total: f
 
 
 def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int = DEPTH, p_min: float = P_MIN,
-          lookup_words: int = LOOKUP_WORDS, min_gain: float = MIN_GAIN, min_total: float = MIN_TOTAL, discount: float = DISCOUNT) -> DataFrame:
+          min_gain: float = MIN_GAIN, min_total: float = MIN_TOTAL, discount: float = DISCOUNT) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row; ``train`` (a boolean column) marks the rows to learn from."""
     spark = docs.sparkSession
     small_batches(spark)
     ids = docs.schema["doc_id"].dataType.simpleString()
     x = docs.select("doc_id", (~train).alias("held_out"), F.col("text").cast("string").alias("text"))
-    counted = (x.where(~F.col("held_out")).select("text").mapInArrow(_count_words, "h long, word binary, n long")
-               .groupBy("h").agg(F.first("word").alias("word"), F.sum("n").alias("n")))
-    vocabulary = materialize(counted, "pst-words")
-    docs_n = x.where(~F.col("held_out")).count()
-    facts = vocabulary.agg(F.sum("n"), F.count(F.lit(1)), F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))).first()
-    total, distinct = (facts[0] or 0) + docs_n, facts[1] + (docs_n > 0)
-    d0 = facts[2] / max(1, facts[2] + 2 * facts[3]) or 0.5
-    top = (vocabulary.orderBy(F.desc("n"), "word").limit(lookup_words if hot_words is None else hot_words)
-           .select("word", "n").collect())  # at most hot_words or lookup_words
-    table = materialize(x.mapInArrow(_symbolise([bytes(r["word"]) for r in top]),
-                                     f"slice long, tokens long, doc_id array<{ids}>, held_out array<boolean>, sizes array<int>, codes binary, cold array<long>"),
+    table = materialize(x.mapInArrow(_symbolise(hot_words is not None), f"slice long, tokens long, learned long, doc_id array<{ids}>, "
+                                     "held_out array<boolean>, sizes array<int>, codes binary, words array<long>, times array<int>, spelled array<binary>"),
                         "pst-slices")
-    tokens = table.agg(F.sum("tokens")).first()[0] or 0
-    root = Root(np.array([docs_n, 0, *(r["n"] for r in top)], float), total, distinct, d0, hot_words is not None,
-                max(MIN_COUNT, p_min * total), discount, depth, tokens // BUCKET + 1)
+    word = F.explode(F.arrays_zip("words", "times", *(["spelled"] if hot_words is not None else []))).alias("w")
+    vocabulary = (table.select(word).select("w.*").where("times > 0").groupBy(F.col("words").alias("key"))
+                  .agg(F.sum("times").alias("value"), *([F.first("spelled").alias("word")] if hot_words is not None else [])))
+    vocabulary = materialize(vocabulary, "pst-words")
+    n = F.col("value")
+    facts = vocabulary.agg(F.sum(n), F.count(F.lit(1)), F.count(F.when(n == 1, 1)), F.count(F.when(n == 2, 1))).first()
+    tokens, ends = (v or 0 for v in table.agg(F.sum("tokens"), F.sum("learned")).first())
+    hot = None
+    if hot_words is not None:  # at most hot_words rows
+        hot = vocabulary.orderBy(F.desc("value"), "word").limit(hot_words).select("key", "value").toPandas().sort_values("key", key=lambda k: k.astype("uint64"))
+    root = Root(ends, None if hot is None else hot["key"].to_numpy().view(np.uint64), None if hot is None else hot["value"].to_numpy(float),
+                (facts[0] or 0) + ends, facts[1] + (ends > 0), facts[2] / max(1, facts[2] + 2 * facts[3]) or 0.5,
+                max(MIN_COUNT, p_min * ((facts[0] or 0) + ends)), discount, depth, tokens // BUCKET + 1)
+    total = root.total
+    table = table.drop("tokens", "learned", "times", "spelled")
     slice_of = lambda row: row["slice"][0].as_py()
 
     def ask_words(s, row):
-        return _asks(slice_of(row), 0, _by_bucket("words", s.cold[s.cold_order], np.zeros(len(s.cold), np.int64), root))
+        return _asks(slice_of(row), 0, _by_bucket("words", s.hashes[s.order], np.zeros(len(s.order), np.int64), root))
 
     def ask_grams(s, row):
         s.words()
@@ -454,22 +441,23 @@ def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int
         keys = s.contexts(d)
         return _asks(slice_of(row), d, [("found", 0, pack(s.found().ravel()), b""), *_by_bucket("contexts", keys, np.zeros(len(keys), np.int64), root)])
 
-    numbers = vocabulary.select(F.col("h").alias("key"), F.col("n").alias("value"))
     asks = _per_slice(table, spark.createDataFrame([], ANSWERS), root, ask_words)
-    words = answers = answered(asks, root, "words", numbers)
+    words = answers = answered(asks, root, "words", vocabulary)
     discard(vocabulary)
     past: list[DataFrame] = []
     for d in range(1, depth + 1 if total else 1):
         asks = materialize(_per_slice(table, answers, root, ask_grams), "pst-asks")
         discard(*past)
-        state = asks.where(F.col("what").isin("at", "p", "occurs", "sums")).select("slice", "d", "what", "bucket", F.col("keys").alias("answer"))
         counts = answered(asks, root, "grams", shares=SHARES)
+        state = asks.where(F.col("what").isin("at", "p", "occurs", "sums")).select("slice", "d", "what", "bucket", F.col("keys").alias("answer"))
+        state = materialize(state, "pst-state")
+        discard(asks)
         answers = words.unionByName(state).unionByName(counts)
         further = materialize(_per_slice(table, answers, root, ask_contexts), "pst-asks")
         left = answered(further, root, "contexts", retained_contexts(further, root, min_gain, min_total))
         answers = answers.unionByName(left)
         discard(further)
-        past = [asks, counts, left]
+        past = [state, counts, left]
 
     def tell(s, row):
         flat = lambda c: row[c].combine_chunks().flatten()

@@ -138,8 +138,7 @@ def test_nothing_to_learn_and_empty(docs, table, spark):
 
 
 def test_passages_seen_a_few_times_are_learned_in_a_large_corpus(docs):
-    """The threshold doesn't rise with the number of tokens, nor is the tree cut
-    to the words of the broadcast list."""
+    """The threshold doesn't rise with the number of tokens."""
     rnd = random.Random(5)
     passage = "seldom quoted lines return"
     rows = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(6000))) for i in range(400)]
@@ -148,9 +147,8 @@ def test_passages_seen_a_few_times_are_learned_in_a_large_corpus(docs):
     want, states = brute(rows, None, st.DEPTH, 0.0, st.MIN_GAIN, st.MIN_TOTAL, st.DISCOUNT)
     assert 2e-6 * next(iter(want.values()))[3] > len(learned) and (b"seldom",) in states
     want = {w[0]: w[5] for w in want.values()}
-    for lookup in (4, st.LOOKUP_WORDS):
-        got = st.score(docs(rows), crc_mod("doc_id", 10) != 0, lookup_words=lookup).collect()
-        assert len(got) == len(rows) and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-7) for r in got)
+    got = st.score(docs(rows), crc_mod("doc_id", 10) != 0).collect()
+    assert len(got) == len(rows) and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-7) for r in got)
 
 
 def test_slices_and_turns_do_not_matter(docs, monkeypatch):
@@ -164,5 +162,5 @@ def test_slices_and_turns_do_not_matter(docs, monkeypatch):
     assert {len(s) for s in states} == {1, 2, 3}
     for name, value in (("SLICE", 4_000), ("BUCKET", 2_000), ("SHARES", 3)):
         monkeypatch.setattr(st, name, value)
-    got = st.score(docs(rows).repartition(3), crc_mod("doc_id", 10) != 0, lookup_words=2).collect()
+    got = st.score(docs(rows).repartition(3), crc_mod("doc_id", 10) != 0).collect()
     same([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got], want.values())
