@@ -28,9 +28,10 @@ by bucket of hashes, go through one shuffle, in ``SHARES`` turns, and the number
 come back in the order asked. One slice speaks for each frequent gram; a grouping
 by context then chooses the retained ones, and each slice asks for those it
 holds in the same way. A slice walks its positions down the tree with the
-answers it has. A gram is one entry per slice and its bucket goes by its own
-hash, so neither a frequent word nor a frequent context is one task's load. Nothing
-is broadcast but the totals (and ``hot_words``, if given).
+answers it has; between depths it keeps them with P in single precision. A gram
+is one entry per slice and its bucket goes by its own hash, so neither a frequent
+word nor a frequent context is one task's load. Nothing is broadcast but the
+totals (and ``hot_words``, if given).
 
 Defined results: null and empty texts are the end token alone; repeated rows
 count each; with no training text every token is unknown and the score is the
@@ -237,7 +238,8 @@ class Slice:
         """The positions of depth ``d``: as ``state`` had them, or all at first."""
         if (d, "at") in self.answers:
             self.at = np.cumsum(self.answer(d, "at", np.uint32), dtype=np.int64)
-            self.p, self.occurs, self.sums = (self.answer(d, what, np.float64) for what in ("p", "occurs", "sums"))
+            self.p, self.occurs = self.answer(d, "p", np.float32).astype(float), self.answer(d, "occurs", np.int64)
+            self.sums = self.answer(d, "sums", np.float64)
             return
         self.at, self.sums = np.arange(len(self.codes)), np.zeros(len(self.sizes))
         self.p = self.parent[self.codes]
@@ -250,7 +252,9 @@ class Slice:
         self.at, self.p, self.occurs = self.at[can], self.p[can], occurs[can]
 
     def state(self) -> list[tuple[str, np.ndarray]]:
-        return [("at", np.diff(self.at, prepend=0).astype(np.uint32)), ("p", self.p), ("occurs", self.occurs), ("sums", self.sums)]
+        # every slice rounds P of a gram alike, from the same numbers
+        return [("at", np.diff(self.at, prepend=0).astype(np.uint32)), ("p", self.p.astype(np.float32)),
+                ("occurs", self.occurs.astype(np.int64)), ("sums", self.sums)]
 
     def grams(self, d: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct grams of a context of ``d`` symbols and its next, where
@@ -288,7 +292,7 @@ class Slice:
         where[self.at] = np.arange(len(self.at))
         i = where[self.counted[self.first[chosen]]]
         chosen, i = chosen[i >= 0], i[i >= 0]
-        return np.stack([self.context[self.at[i]].view(np.float64), self.occurs[i], self.number[chosen].astype(float), self.p[i]])
+        return np.stack([self.context[self.at[i]].view(np.float64), self.occurs[i].astype(float), self.number[chosen].astype(float), self.p[i]])
 
     def descend(self, d: int) -> None:
         """From depth ``d`` to the next: the mass that contexts leave is known."""
