@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -69,12 +70,13 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def learn_pieces(self, used: list[list[str]]) -> None:
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
+        if len(self.pieces) > CACHE_PIECES:  # frequent pieces are learned early: half of these stay
+            self.pieces = dict(islice(self.pieces.items(), CACHE_PIECES // 2))
         need = list(set().union(*used) - self.pieces.keys())
         for at in range(0, len(need), 4096):  # many in one string: each ends with its first end-of-word token
             some = need[at:at + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            # without the offsets, which nothing here reads
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
             if len(ends) == len(some):
                 raw = ids.tobytes()

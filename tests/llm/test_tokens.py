@@ -45,6 +45,18 @@ def test_pieces_equal_whole_texts():
         assert ids.tolist() == tk.encode(text, add_special_tokens=False).ids + [tokens.END_ID], text
 
 
+def test_a_full_cache_keeps_what_was_learned_first(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 8)
+    w, tk = tokens.WordIds(tokens.tokenizer_file()), Tokenizer.from_file(tokens.tokenizer_file())
+    early = "alpha beta gamma delta"
+    for text in [early, *ODD, " ".join(f"late{i}" for i in range(9)), early]:
+        kept = list(w.pieces)[:4]
+        ids, = w.encode([text.encode()])
+        assert ids.tolist() == tk.encode(text, add_special_tokens=False).ids + [tokens.END_ID], text
+        assert set(kept) <= set(w.pieces)
+    assert set(early.split()) <= set(w.pieces) and len(w.pieces) <= 8 + 30
+
+
 def test_repeated_rows_null_ids_and_empty_table(docs, table, spark):
     rows = [(1, "b c"), (1, "b c"), (1, "a"), (None, "x"), (3, "")]
     got = sorted(queries()["op1_token_output"](spark, table(documents=docs(rows))).collect(), key=lambda r: r.start)
