@@ -21,7 +21,9 @@ documents costs n rows, not pairs of documents. Anchors that make up more than
 1 / ``HOT`` of all are at most HOT; these are broadcast, the others joined by a shuffle.
 
 A text is cut into blocks of ``BLOCK`` starts that overlap by K - 1, so the
-cost is linear in its length. The s-mer hashes of a block are computed once.
+cost is linear in its length. The s-mer hashes of a block are computed once, in
+compiled code, from pieces of ``PIECE`` starts: a place in a string is found by
+walking to it, and in a piece the walk is short.
 
 Defined results: null counts as empty; an empty text has no anchors and the
 fingerprint of dots alone; repeated rows (also of one id) are documents of
@@ -40,6 +42,7 @@ K = 16
 S = 8
 SLOTS = 64
 BLOCK = 64
+PIECE = 8
 # Range parts per shuffle partition.
 PARTS = 4
 # Most anchors that ``matches`` treats as hot.
@@ -51,17 +54,18 @@ def anchors(texts: DataFrame, key: list[str], text: str = "text", k: int = K, s:
     text without any."""
     w = k - s + 1
     n = F.length(F.col(text))
+    inside = range(BLOCK + k - s)  # places of s-mers; past the end of a short block they are of no use
+    piece = lambda i: F.substring(F.col("_t"), F.lit(i - i % PIECE + 1), F.lit(PIECE + s - 1))
+    smers = F.array(*[F.hash(F.substring(piece(i), F.lit(i % PIECE + 1), F.lit(s))) for i in inside])
     # a block is the next BLOCK starts with what the last of them needs
     cut = f"(?s)(?=(.{{1,{BLOCK + k - 1}}})).{{1,{BLOCK}}}"
     blocks = (texts.select(*key, n.alias("_n"), F.posexplode_outer(F.regexp_extract_all(F.col(text), F.lit(cut), F.lit(1))).alias("_b", "_t"))
               .withColumn("_starts", F.least(F.lit(BLOCK), F.length("_t") - (k - 1)))
-              .withColumn("_h", F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_starts") + (k - s))),
-                                            lambda i: F.hash(F.substring(F.col("_t"), i, F.lit(s))))))
+              .withColumn("_h", smers))
     at = F.when((F.col("_n") > 0) & (F.col("_n") < k), F.array(F.lit(0))).when(F.col("_b").isNotNull() & (F.col("_starts") > 0), F.sequence(F.lit(0), F.col("_starts") - 1))
     placed = blocks.select(*key, "_n", "_b", "_t", "_h", F.explode_outer(at).alias("_i"))
     inner = [F.get(F.col("_h"), F.col("_i") + j) for j in range(w)]
-    least = F.least(*inner)
-    closed = (inner[0] == least) | (inner[-1] == least)
+    closed = F.least(inner[0], inner[-1]) == F.least(*inner)
     chosen = (F.col("_n") < 2 * k - s + 1) | closed
     hits = placed.where(F.col("_b").isNull() | (F.col("_i").isNotNull() & chosen))  # no block: an empty text
     return hits.select(*key, (F.col("_b") * BLOCK + F.col("_i")).alias("pos"),

@@ -91,6 +91,23 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
 
 
+def test_anchors_are_found_without_interpreted_lambdas(docs, spark):
+    """The hashes of a block are compiled, in methods that the JVM still compiles
+    (8000 bytes of code), and equal for texts of one and of more bytes a character."""
+    import re
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = syncmers.anchors(docs([(1, "a text of some length, " * 9), (2, "ein längerer Text für alle 😀 " * 9)]), ["doc_id"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "lambdafunction" not in plan and "transform(" not in plan
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize: ?(\d+)", found._jdf.queryExecution().explainString(mode))]
+        assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def literal_matches(spark, rows):
     """Spans by plain loops over the listed anchors."""
     k = syncmers.K
