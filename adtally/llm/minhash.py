@@ -54,6 +54,19 @@ SLICE_PAIRS = 20_000_000
 RARE = 32
 SKETCH = 1024
 SEED = 7
+# Rows of a thin table that one file holds at least: a small table in few files is
+# read by few tasks, and broadcast by the planner while its files are small.
+FILE_ROWS = 1 << 13
+# The same of a table with sets or band keys.
+NODE_ROWS = 1 << 11
+# Pairs of sets that one task compares at least.
+TASK_PAIRS = 1 << 10
+
+
+def few_files(df: DataFrame, most: int, rows: int = FILE_ROWS) -> DataFrame:
+    """``df``, fresh from a shuffle and of at most ``most`` rows, in no more
+    partitions than one for each ``rows`` of them."""
+    return df.coalesce(1 + most // rows)
 
 
 def set_of(text: bytes | None, hashes: WordHashes, width: int) -> np.ndarray:
@@ -122,8 +135,10 @@ def shingle_sets(docs: DataFrame, width: int, bands: int = 0, rows: int = ROWS)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes whose sets are ``similarity`` alike or more."""
+    """Pairs (a, b) of nodes whose sets are ``similarity`` alike or more; ``pairs`` are distinct."""
     top = round(similarity * 1000)
+    pairs = materialize(pairs, "dup-pairs")
+    n = pairs.count()
 
     def run(batches):
         for rows in batches:
@@ -136,23 +151,42 @@ def confirm(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows.column(0).filter(pa.array(keep)), rows.column(1).filter(pa.array(keep))], ["a", "b"])
 
     sa, sb = (sets.select(F.col("node").alias(k), F.col("members").alias(f"m{k}")) for k in "ab")
-    return pairs.join(sb, "b").join(sa, "a").select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long")
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(node, comp): the smallest node reachable, for every node with a link."""
-    edges = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), "dup-edges")
-    labels = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "dup-labels")
+    both = pairs.join(sb, "b").join(sa, "a").select("a", "b", "ma", "mb")
+    tasks = 1 + n // TASK_PAIRS + sets.count() // NODE_ROWS  # a task reads its share of all sets
+    return materialize(both.coalesce(tasks).mapInArrow(run, "a long, b long"), "dup-links") if n else pairs
+
+
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(node, comp): the smallest node reachable, for every node with a link.
+    With ``known``, the components of earlier links, ``links`` are the new ones,
+    and only the components that they join are labelled, as one node each."""
+    if known is not None:
+        of = lambda k: known.select(F.col("node").alias(k), F.col("comp").alias(f"_{k}"))
+        links = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                 .select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a <> b"))
+    size = 2 * links.count()
+    if known is not None and not size:
+        return known
+    edges = materialize(few_files(links.select("a", "b").union(links.select("b", "a")).distinct(), size), "dup-edges")
+    labels = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp"))
+    labels = materialize(few_files(labels, size), "dup-labels")
     while True:
         seen = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
         step = labels.join(seen, labels["node"] == seen["a"]).select("node", F.least("comp", "near").alias("comp"), F.col("comp").alias("old"))
         jump = labels.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
         step = (step.join(jump, step["comp"] == jump["_n"], "left")
                 .select("node", F.least("comp", F.coalesce("_c", "comp")).alias("comp"), "old"))
-        step = materialize(step, "dup-labels")
+        step = materialize(few_files(step, size), "dup-labels")
         if step.where("comp <> old").isEmpty():
-            return step.select("node", "comp")
+            break
         labels = step.select("node", "comp")
+    labels = step.select("node", "comp")
+    if known is None:
+        return labels
+    of = labels.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
+    more = labels.join(known.select("node"), "node", "left_anti")
+    return materialize(known.join(of, known["comp"] == of["_n"], "left").select("node", F.coalesce("_c", "comp").alias("comp")).union(more),
+                       "dup-components")
 
 
 def may_reach(n, private, m, other_private, similarity: float):
@@ -176,27 +210,28 @@ def classes(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARIT
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     per_doc = materialize(shingle_sets(docs, width, bands, rows), "dup-docs")
-    nodes = materialize(per_doc.where(F.col("n") > 0).groupBy("digest")
-                        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-                        .withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
+    nodes = (per_doc.where(F.col("n") > 0).groupBy("digest")
+             .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    nodes = materialize(few_files(nodes, per_doc.count(), NODE_ROWS).withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
     keyed = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center")).where("size > 1")
     members = materialize(keyed.join(shared.select("bucket", "center"), "bucket"), "dup-members")
 
-    wanted = materialize(members.select("node").distinct(), "dup-wanted")
+    wanted = materialize(few_files(members.select("node").distinct(), members.count()), "dup-wanted")
     chosen = nodes.select("node", "doc_id", "digest").join(wanted, "node", "left_semi")
     chosen = materialize(chosen, "dup-chosen")
     # the sets of those nodes only, made again from their texts
     again = shingle_sets(by_ids(docs, chosen.select("doc_id"), "left_semi"), width).drop("n")
-    sets = materialize(again.join(chosen.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "members"), "dup-sets")
+    again = again.join(chosen.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "members")
+    sets = materialize(few_files(again, wanted.count(), NODE_ROWS), "dup-sets")
 
     fits = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9
     size = nodes.select(F.col("node").alias("_c"), F.col("n").alias("_m"))
     stars = (members.where("node <> center").select("center", "node", "n").distinct()
              .join(size, F.col("center") == F.col("_c")).where(fits(F.col("n"), F.col("_m")))
              .select(F.col("center").alias("a"), F.col("node").alias("b")))
-    links = materialize(confirm(stars, sets, similarity), "dup-links")
-    links, comp = _rest(members, sets, nodes.select("node", "sketch"), links, similarity, slice_pairs)
+    comp = components(confirm(stars, sets, similarity))
+    comp = _rest(members, wanted.count(), sets, nodes.select("node", "sketch"), comp, similarity, slice_pairs)
 
     label = nodes.join(comp, "node", "left").select("node", "digest", "doc_id", F.coalesce("comp", "node").alias("comp"))
     smallest = label.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
@@ -207,9 +242,10 @@ def classes(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARIT
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _rest(members: DataFrame, sets: DataFrame, sketches: DataFrame, links: DataFrame, similarity: float, slice_pairs: int):
-    """Step 3: links across components, exactly."""
-    comp = components(links)
+def _rest(members: DataFrame, n_nodes: int, sets: DataFrame, sketches: DataFrame, comp: DataFrame, similarity: float, slice_pairs: int):
+    """Step 3: the components after links across components, exactly; ``members``
+    are of ``n_nodes`` nodes."""
+    n_members = members.count()
 
     def labelled(x):
         return x.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -217,19 +253,20 @@ def _rest(members: DataFrame, sets: DataFrame, sketches: DataFrame, links: DataF
     def open_members():
         x = labelled(members.select("bucket", "node", "n"))
         several = x.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("bucket")
-        return materialize(x.join(several, "bucket"), "dup-open")
+        return materialize(few_files(x.join(several, "bucket"), n_members), "dup-open")
 
     left = open_members()
     if left.isEmpty():
-        return links, comp
-    nodes = materialize(left.select("node", "n", "comp").distinct(), "dup-open-nodes")
+        return comp
+    nodes = materialize(few_files(left.select("node", "n", "comp").distinct(), n_nodes), "dup-open-nodes")
     # nodes by shingle, for the shingles of fewer than RARE of them
     spread = (sets.join(nodes.select("node", "comp"), "node").select("node", "comp", "members")
               .mapInArrow(_explode_sets, "node long, comp long, h long"))
     rare = spread.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") < RARE).select("h")
     lists = materialize(spread.join(rare, "h").groupBy("h").agg(F.collect_list(F.struct("comp", "node")).alias("held")).select("held"), "dup-rare")
     few = lists.select(F.explode("held.node").alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("private"))
-    info = materialize(nodes.join(few, "node", "left").select("node", "n", F.coalesce("private", F.lit(0)).alias("private")), "dup-info")
+    info = nodes.join(few, "node", "left").select("node", "n", F.coalesce("private", F.lit(0)).alias("private"))
+    info = materialize(few_files(info, n_nodes), "dup-info")
     known = lambda x: x.join(info.select("node", "private"), "node")
 
     # second star: from the member with the smallest share of rare shingles
@@ -238,8 +275,7 @@ def _rest(members: DataFrame, sets: DataFrame, sketches: DataFrame, links: DataF
     star = (left.join(best, "bucket").where(F.col("comp") != F.col("c.comp"))
             .where(F.least(F.col("n"), F.col("c.n")) >= similarity * F.greatest(F.col("n"), F.col("c.n")) - 1e-9)
             .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct())
-    links = materialize(links.union(confirm(star, sets, similarity)), "dup-links")
-    comp = components(links)
+    comp = components(confirm(star, sets, similarity), comp)
 
     # pairs that share a rare shingle, with the number of rare ones they share: lists
     # that mix components, once more with the components of now
@@ -252,19 +288,18 @@ def _rest(members: DataFrame, sets: DataFrame, sketches: DataFrame, links: DataF
                         F.col("x.private").alias("p_a"), F.col("y.private").alias("p_b")).agg(F.count(F.lit(1)).alias("shared")))
     common = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) + F.col("shared")
     near = sharing.where(common >= similarity * (F.col("n_a") + F.col("n_b") - common) - 1e-9).select("a", "b")
-    links = materialize(links.union(confirm(near, sets, similarity)), "dup-links")
+    comp = components(confirm(near, sets, similarity), comp)
 
     # pairs that share none: rare shingles count for neither. The largest component of
     # each bucket waits, the others' members go out; chosen once, as components only grow
-    comp = components(links)
     left = known(open_members())
     per = left.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"))
     top = per.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("_t"), F.sum("k").alias("size"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     rest = left.join(top, "bucket").where(F.col("comp") != F.col("_t.comp"))
     # the best partner a member can have: as many members as it can share, within the bucket's sizes
     ideal = F.greatest(F.col("lo"), F.least(F.col("hi"), F.col("n") - F.col("private")))
-    rest = materialize(rest.where(may_reach(F.col("n"), F.col("private"), ideal, F.lit(0), similarity))
-                       .select("bucket", "node", "size"), "dup-rest")
+    rest = rest.where(may_reach(F.col("n"), F.col("private"), ideal, F.lit(0), similarity)).select("bucket", "node", "size")
+    rest = materialize(few_files(rest, n_members), "dup-rest")
     total = rest.agg(F.sum("size")).first()[0] or 0
     slices = -(-total // slice_pairs)
     for turn in range(slices):
@@ -278,9 +313,8 @@ def _rest(members: DataFrame, sets: DataFrame, sketches: DataFrame, links: DataF
                  .where(may_reach(F.col("n"), F.col("private"), F.col("m"), F.col("q"), similarity)
                         & sketches_allow(F.col("n"), "sketch", F.col("m"), "other_sketch", similarity))
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        links = materialize(links.union(confirm(pairs, sets, similarity)), "dup-links")
-        comp = components(links)
-    return links, comp
+        comp = components(confirm(pairs, sets, similarity), comp)
+    return comp
 
 
 def _explode_sets(batches):

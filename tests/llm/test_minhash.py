@@ -124,3 +124,42 @@ def test_near_copies_that_do_not_link_are_not_paired_squarely(docs, monkeypatch)
         assert sorted(map(tuple, got.collect())) == sorted(brute(rows[:n], 2))
         counts.append(sum(pairs[3:]))
     assert counts[1] <= 4 * counts[0] + 100, counts
+
+
+def test_new_links_join_known_components(spark):
+    rnd = random.Random(4)
+    pairs = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(240)]
+    pairs = [(min(p), max(p)) for p in pairs if p[0] != p[1]]
+    label = {}
+    for a, b in pairs:
+        a_, b_ = label.get(a, a), label.get(b, b)
+        label |= {a: a_, b: b_}
+        label = {k: min(a_, b_) if v in (a_, b_) else v for k, v in label.items()}
+    made = lambda some: spark.createDataFrame(some, "a long, b long")
+    comp = minhash.components(made(pairs[:120]))
+    for some in (pairs[120:200], [], pairs[150:]):
+        comp = minhash.components(made(some), comp)
+    rows = comp.collect()
+    assert len(rows) == len(label) and {r.node: r.comp for r in rows} == label
+
+
+def test_small_tables_are_written_in_few_files(docs, spark, monkeypatch):
+    files, write = {}, minhash.materialize
+
+    def counted(df, purpose):
+        out = write(df, purpose)
+        files[purpose] = max(files.get(purpose, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(minhash, "materialize", counted)
+    rows, conf = cases(), {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert sorted(map(tuple, minhash.classes(docs(rows), width=2).collect())) == sorted(brute(rows, 2))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for purpose in ("dup-nodes", "dup-wanted", "dup-sets", "dup-links", "dup-edges", "dup-labels", "dup-open", "dup-info"):
+        assert files[purpose] <= 3, purpose
