@@ -30,6 +30,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -114,6 +116,10 @@ def shared_links(a_group: np.ndarray, b_group: np.ndarray, block: int = BLOCK_LI
         at = to
 
 
+def arrays(ids: list[bytes | None]) -> list[np.ndarray | None]:
+    return [None if x is None else np.frombuffer(x, np.int32) for x in ids]
+
+
 class Pair:
     """Both tokenizers, and the bytes of their entries.
 
@@ -148,47 +154,53 @@ class Pair:
         self.a_known: dict[str, bytes | None] = {}
         self.b_known: dict[str, bytes | None] = {}
 
-    def whole_a(self, texts: list[str]) -> list[np.ndarray | None]:
+    def bytes_a(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of each text as 32-bit integers, None if they don't give its bytes back."""
         out = []
         for t, e in zip(texts, self.a.encode_batch_fast(texts, add_special_tokens=False)):
-            same = b"".join(map(self.a_bytes.__getitem__, e.ids)) == t.encode()
-            out.append(np.array(e.ids, np.int32) if same else None)
+            ids = e.ids
+            out.append(array("i", ids).tobytes() if b"".join([self.a_bytes[i] for i in ids]) == t.encode() else None)
         return out
 
+    def bytes_b(self, texts: list[str]) -> list[bytes | None]:
+        """The same; texts start with the space that B puts before them itself."""
+        return [array("i", ids).tobytes() if b"".join([self.b_bytes[i] for i in ids]) == t.encode() else None
+                for t, ids in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1))]
+
+    def whole_a(self, texts: list[str]) -> list[np.ndarray | None]:
+        return arrays(self.bytes_a(texts))
+
     def whole_b(self, texts: list[str]) -> list[np.ndarray | None]:
-        """Texts start with the space that B puts before them itself."""
-        out = []
-        for t, ids in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1)):
-            same = b"".join(map(self.b_bytes.__getitem__, ids)) == t.encode()
-            out.append(np.array(ids, np.int32) if same else None)
-        return out
+        return arrays(self.bytes_b(texts))
 
     def by_parts(self, texts: list[str], parts: list[list[str] | None], known: dict, whole) -> list[np.ndarray | None]:
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        need = list(set().union(*[p for p in parts if p is not None]) - known.keys())
+        if len(known) > CACHE_WORDS:  # the half learned first stays: it has the frequent ones
+            for p in list(islice(known, CACHE_WORDS // 2, None)):
+                del known[p]
+        need = list(set().union(*[p for p in parts if p is not None]).difference(known))
         for at in range(0, len(need), 4096):
             some = need[at:at + 4096]
-            known.update((p, None if ids is None else ids.tobytes()) for p, ids in zip(some, whole(some)))
+            known.update(zip(some, whole(some)))
         out: list = [None] * len(texts)
         rest = []
         for i, p in enumerate(parts):
-            found = None if p is None else list(map(known.__getitem__, p))
-            if found is None or None in found:
+            try:
+                out[i] = None if p is None else b"".join(map(known.__getitem__, p))
+            except TypeError:  # a part that has no tokens
+                pass
+            if out[i] is None:
                 rest.append(i)
-            else:
-                out[i] = np.frombuffer(b"".join(found), np.int32)
         for i, ids in zip(rest, whole([texts[i] for i in rest]) if rest else ()):
             out[i] = ids
-        return out
+        return arrays(out)
 
     def encode(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """(A ids, B ids) of each text, None without tokens."""
         out: list = [None] * len(texts)
         full = [i for i, t in enumerate(texts) if t]
         plain = [" " + texts[i].decode() for i in full]
-        a = self.by_parts(plain, [None if ODD.search(t) else SPLIT.findall(t) for t in plain], self.a_known, self.whole_a)
-        b = self.by_parts(plain, [RUN.findall(t) if self.split_b else None for t in plain], self.b_known, self.whole_b)
+        a = self.by_parts(plain, [None if ODD.search(t) else SPLIT.findall(t) for t in plain], self.a_known, self.bytes_a)
+        b = self.by_parts(plain, [RUN.findall(t) if self.split_b else None for t in plain], self.b_known, self.bytes_b)
         for i, x, y in zip(full, a, b):
             if x is not None and y is not None:
                 out[i] = x, y

@@ -105,3 +105,18 @@ def test_cached_ids_equal_those_of_whole_texts(pair):
         else:
             assert got[0].tolist() == a.tolist() == pair.a.encode(" " + text, add_special_tokens=False).ids, text
             assert got[1].tolist() == b.tolist() == pair.b.encode(text), text
+
+
+def test_a_full_cache_keeps_what_was_learned_first(monkeypatch):
+    monkeypatch.setattr(crosstoken, "CACHE_WORDS", 8)
+    a_path, b_path = tokenizer_file(crosstoken.A_FILE), tokenizer_file(crosstoken.B_FILE)
+    pair, asked = crosstoken.Pair(a_path, b_path), []
+    whole_a, whole_b = pair.whole_a, pair.whole_b
+    texts = ["the cat", "one two three four five six seven eight nine ten", "the bird and the cat", "naïve ☃ snow", "the cat"]
+    for i, t in enumerate(texts):
+        a, b = pair.encode([t.encode()])[0]
+        assert a.tolist() == whole_a([" " + t])[0].tolist() and b.tolist() == whole_b([" " + t])[0].tolist()
+        asked.append((" the" in pair.a_known, " cat" in pair.b_known))
+    assert asked == [(True, True)] * len(texts)
+    assert list(pair.a_known)[:2] in ([" the", " cat"], [" cat", " the"])  # never cleared
+    assert len(pair.a_known) <= 8 + 10 and len(pair.b_known) <= 8 + 10
