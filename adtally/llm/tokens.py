@@ -16,8 +16,8 @@ before, which the metadata columns give without touching the ids.
 
 The tokenizer normalises, splits and merges inside white-space-separated words
 only, and there inside the pieces of its own split, so ids do not depend on
-neighbours: they are cached per task, by piece in plain Latin texts and by word
-in all others.
+neighbours: they are cached, within bounds, by piece in plain Latin texts and by
+word in all others.
 
 Defined results: a null or empty text has only the end id; repeated rows are
 documents of their own; an empty table gives an empty file set; extra columns
@@ -36,11 +36,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import shared_dir
-from .common import CACHE_WORDS, per_worker, read_table, small_batches, text_slices
+from .common import CACHE_WORDS, SLICE_BYTES, per_worker, read_table, small_batches, text_slices
 
 END_ID = 1
-# Pieces whose ids a worker remembers.
+# Pieces whose ids a worker remembers; the same, and bytes of text that a step
+# holds, where nothing is kept between tasks.
 CACHE_PIECES = 500_000
+TASK_PIECES = 100_000
+TASK_BYTES = 1 << 20
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
@@ -52,7 +55,8 @@ PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß
 
 
 class WordIds:
-    """Token ids of texts, cached by piece (plain texts) or by word (others)."""
+    """Token ids of texts, cached by piece (plain texts) or by word (others),
+    of each about ``most``."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -63,6 +67,10 @@ class WordIds:
         for token, at in vocabulary.items():
             self.last[at] = token.endswith("</w>")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.most = CACHE_PIECES
+        self.forget()
+
+    def forget(self) -> None:
         self.pieces: dict[str, bytes] = {}
         self.words: dict[bytes, bytes] = {}
 
@@ -70,8 +78,8 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def learn_pieces(self, used: list[list[str]]) -> None:
-        if len(self.pieces) > CACHE_PIECES:  # frequent pieces are learned early: half of these stay
-            self.pieces = dict(islice(self.pieces.items(), CACHE_PIECES // 2))
+        if len(self.pieces) > self.most:  # frequent pieces are learned early: half of these stay
+            self.pieces = dict(islice(self.pieces.items(), self.most // 2))
         need = list(set().union(*used) - self.pieces.keys())
         for at in range(0, len(need), 4096):  # many in one string: each ends with its first end-of-word token
             some = need[at:at + 4096]
@@ -85,7 +93,7 @@ class WordIds:
                 self.pieces.update((piece, self.whole(piece)) for piece in some)
 
     def by_words(self, text: bytes) -> bytes:
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > min(self.most, CACHE_WORDS):
             self.words.clear()
         words = text.split()
         for word in set(words):
@@ -105,24 +113,13 @@ class WordIds:
         return [np.frombuffer((b"".join(map(get, f)) if isinstance(f, list) else self.by_words(f)) + end, np.uint32) for f in found]
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = None, keep: tuple[str, ...] = (),
-          reuse: bool = False) -> None:
-    """Tokenize ``docs`` into ``path`` in ascending doc_id order. ``parts``:
-    how many files; by default as many as adaptive execution finds fit.
-    ``reuse``: Python workers keep the cached ids from task to task, which
-    saves CPU and costs some 150 MB a worker until it ends."""
-    small_batches(docs.sparkSession)
-    ids = docs.schema["doc_id"].dataType.simpleString()
-    kept = [f"k_{k}" for k in keep]
-    schema = f"doc_id {ids}, part int, at long, n_tokens int, ids array<int>" + "".join(
-        f", {n} {docs.schema[k].dataType.simpleString()}" for n, k in zip(kept, keep))
-
+def encoder(tokenizer_path: str, kept: list[str], reuse: bool):
+    """What a task of ``write`` does with its (doc_id, part, text, *kept) rows."""
     def run(batches):
-        coder, before = None, 0  # a task writes one part
-        for rows, texts in text_slices(batches):
-            if coder is None:
-                make = lambda: WordIds(tokenizer_path)
-                coder = per_worker(("ids", tokenizer_path), make) if reuse else make()
+        coder = per_worker(("ids", tokenizer_path), lambda: WordIds(tokenizer_path))
+        coder.most = CACHE_PIECES if reuse else TASK_PIECES
+        before = 0  # a task writes one part
+        for rows, texts in text_slices(batches, limit=SLICE_BYTES if reuse else TASK_BYTES):
             found = coder.encode(texts)
             sizes = np.fromiter(map(len, found), np.int32, len(found))
             ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
@@ -132,13 +129,30 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = N
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(1), at, pa.array(sizes), pa.ListArray.from_arrays(pa.array(ends), values),
                  *[rows.column(3 + i) for i in range(len(kept))]], ["doc_id", "part", "at", "n_tokens", "ids", *kept])
+        if not reuse:
+            coder.forget()
+    return run
+
+
+def write(docs: DataFrame, path: str, tokenizer_path: str, parts: int | None = None, keep: tuple[str, ...] = (),
+          reuse: bool = False) -> None:
+    """Tokenize ``docs`` into ``path`` in ascending doc_id order. ``parts``:
+    how many files; by default as many as adaptive execution finds fit.
+    ``reuse``: Python workers keep the cached ids from task to task, which
+    saves CPU and costs some 150 MB a worker until it ends; else they keep the
+    tokenizer only, cache fewer ids and hold less text at a time."""
+    small_batches(docs.sparkSession)
+    ids = docs.schema["doc_id"].dataType.simpleString()
+    kept = [f"k_{k}" for k in keep]
+    schema = f"doc_id {ids}, part int, at long, n_tokens int, ids array<int>" + "".join(
+        f", {n} {docs.schema[k].dataType.simpleString()}" for n, k in zip(kept, keep))
 
     x = docs.select("doc_id", F.col("text").cast("string").alias("text"), *[F.col(k).alias(n) for n, k in zip(kept, keep)])
     by = ["doc_id", F.xxhash64("text")]
     x = x.repartitionByRange(parts, *by) if parts else x.repartitionByRange(*by)
     x = (x.sortWithinPartitions(*by, "text", *kept)
          .select("doc_id", F.spark_partition_id().alias("part"), "text", *kept))
-    (x.mapInArrow(run, schema).write
+    (x.mapInArrow(encoder(tokenizer_path, kept, reuse), schema).write
      .option("compression", "zstd")
      .option("parquet.writer.version", "PARQUET_2_0")
      .option("parquet.enable.dictionary", "false")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from llm_fixtures import docs, table  # noqa: F401
@@ -57,6 +58,30 @@ def test_a_full_cache_keeps_what_was_learned_first(monkeypatch):
     assert set(early.split()) <= set(w.pieces) and len(w.pieces) <= 8 + 30
 
 
+def test_a_task_that_keeps_nothing_holds_little(monkeypatch):
+    """Without ``reuse`` a task caches few ids, holds little text at a time and
+    leaves nothing in its worker; ids are those of the tokenizer either way."""
+    held = []
+    make = tokens.WordIds.__init__
+    monkeypatch.setattr(tokens.WordIds, "__init__", lambda w, path: (make(w, path), held.append(w))[0])
+    monkeypatch.setattr(tokens, "per_worker", lambda key, make: make())
+    monkeypatch.setattr(tokens, "TASK_PIECES", 500, raising=False)
+    monkeypatch.setattr(tokens, "TASK_BYTES", 4000, raising=False)
+    tk = Tokenizer.from_file(tokens.tokenizer_file())
+    texts = [" ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}" for j in range(26)) for i in range(200)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(200)), "part": [0] * 200, "text": texts})
+    want, sizes = [tk.encode(t, add_special_tokens=False).ids + [tokens.END_ID] for t in texts], {}
+    for reuse in (False, True):
+        got, sizes[reuse] = [], []
+        for rows in tokens.encoder(tokens.tokenizer_file(), [], reuse)(iter([batch])):
+            got += rows.column(4).to_pylist()
+            sizes[reuse].append(len(held[-1].pieces))
+        assert got == want
+        assert bool(held[-1].pieces) == reuse
+    # a step's pieces come on top of those kept
+    assert max(sizes[False]) <= 500 + 26 * 20 < max(sizes[True]) == 26 * 200 and len(sizes[False]) > 5 > len(sizes[True])
+
+
 def test_repeated_rows_null_ids_and_empty_table(docs, table, spark):
     rows = [(1, "b c"), (1, "b c"), (1, "a"), (None, "x"), (3, "")]
     got = sorted(queries()["op1_token_output"](spark, table(documents=docs(rows))).collect(), key=lambda r: r.start)
