@@ -25,7 +25,7 @@ of some 4 MB, each a row of compressed token codes. At each depth a slice asks,
 for its distinct grams (a context and its next symbol) behind contexts that can
 be retained, how often all training texts hold them: sorted gram hashes, packed
 by bucket of hashes, go through one shuffle, in ``SHARES`` turns, and the numbers
-come back in the order asked. One slice speaks for each frequent gram; a grouping
+come back in the order asked; the slices take them in ``TURNS`` turns. One slice speaks for each frequent gram; a grouping
 by context then chooses the retained ones, and each slice asks for those it
 holds in the same way. A slice walks its positions down the tree with the
 answers it has; between depths it keeps them with P in single precision. A gram
@@ -64,6 +64,8 @@ SLICE = 4 << 20
 BUCKET = 1 << 20
 # Turns in which a level's grams are counted.
 SHARES = 2
+# Turns in which slices take their answers and ask.
+TURNS = 2
 END, OTHER = 0, 1  # symbols; a word is its hash with the top bit set
 TOP = np.uint64(1 << 63)
 
@@ -333,6 +335,17 @@ def _per_slice(table: DataFrame, answers: DataFrame, root: Root, make, schema: s
     return table.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, schema)
 
 
+def _in_turns(table: DataFrame, answers: DataFrame, root: Root, make) -> DataFrame:
+    """``_per_slice``, written: only a share of the slices, with its answers, lies
+    in shuffle files at a time."""
+    out = None
+    for turn in range(TURNS):
+        some = lambda x: x.where(F.pmod(F.xxhash64("slice"), F.lit(TURNS)) == turn)
+        part = materialize(_per_slice(some(table), some(answers), root, make), "pst-asks")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def answered(asks: DataFrame, root: Root, what: str, values: DataFrame | None = None, shares: int = 1) -> DataFrame:
     """Answers to what slices ask: one shuffle by buckets of keys, in ``shares``
     turns. With ``values`` (key, value) the value of each key, -1 without one;
@@ -450,14 +463,14 @@ def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int
     discard(vocabulary)
     past: list[DataFrame] = []
     for d in range(1, depth + 1 if total else 1):
-        asks = materialize(_per_slice(table, answers, root, ask_grams), "pst-asks")
+        asks = _in_turns(table, answers, root, ask_grams)
         discard(*past)
         counts = answered(asks, root, "grams", shares=SHARES)
         state = asks.where(F.col("what").isin("at", "p", "occurs", "sums")).select("slice", "d", "what", "bucket", F.col("keys").alias("answer"))
         state = materialize(state, "pst-state")
         discard(asks)
         answers = words.unionByName(state).unionByName(counts)
-        further = materialize(_per_slice(table, answers, root, ask_contexts), "pst-asks")
+        further = _in_turns(table, answers, root, ask_contexts)
         left = answered(further, root, "contexts", retained_contexts(further, root, min_gain, min_total))
         answers = answers.unionByName(left)
         discard(further)

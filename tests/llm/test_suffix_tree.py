@@ -164,3 +164,26 @@ def test_slices_and_turns_do_not_matter(docs, monkeypatch):
         monkeypatch.setattr(st, name, value)
     got = st.score(docs(rows).repartition(3), crc_mod("doc_id", 10) != 0).collect()
     same([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got], want.values())
+
+
+def test_slices_ask_in_turns(docs, monkeypatch):
+    """What the slices of one turn ask is written before the next one's answers
+    are shuffled, so that no write holds all slices; the scores are the same."""
+    rnd = random.Random(9)
+    rows = [(i, " ".join(rnd.choice(["a b c d", "b c a", "d d e a"]) for _ in range(60)) + f" w{i % 9}") for i in range(120)]
+    train = crc_mod("doc_id", 10) != 0
+    as_rows = lambda found: [(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in found.collect()]
+    want = as_rows(st.score(docs(rows), train))
+    monkeypatch.setattr(st, "SLICE", 2_000)
+    written, write = [], st.materialize
+
+    def counted(df, purpose):
+        out = write(df, purpose)
+        if purpose == "pst-asks":
+            written.append({r.slice for r in out.select("slice").distinct().collect()})
+        return out
+
+    monkeypatch.setattr(st, "materialize", counted)
+    same(as_rows(st.score(docs(rows), train)), want)
+    slices = set().union(*written)
+    assert len(slices) > 8 and all(0 < len(w) < len(slices) for w in written) and len(written) == 2 * st.DEPTH * st.TURNS
