@@ -25,13 +25,15 @@ of some 4 MB, each a row of compressed token codes. At each depth a slice asks,
 for its distinct grams (a context and its next symbol) behind contexts that can
 be retained, how often all training texts hold them: sorted gram hashes, packed
 by bucket of hashes, go through one shuffle, in ``SHARES`` turns, and the numbers
-come back in the order asked; the slices take them in ``TURNS`` turns. One slice speaks for each frequent gram; a grouping
-by context then chooses the retained ones, and each slice asks for those it
-holds in the same way. A slice walks its positions down the tree with the
-answers it has; between depths it keeps them with P in single precision. A gram
-is one entry per slice and its bucket goes by its own hash, so neither a frequent
-word nor a frequent context is one task's load. Nothing is broadcast but the
-totals (and ``hot_words``, if given).
+come back in the order asked; the slices take them in ``TURNS`` turns. Then a
+slice asks in the same way for the contexts it holds, and adds the frequent
+grams that it speaks for (one slice does for each): the bucket of a context has
+all that decides whether it is retained. Contexts that occur more often than a
+bucket has tokens are left out there and decided by a distributed grouping. A
+slice walks its positions down the tree with the answers it has; between depths
+it keeps them with P in single precision. A gram is one entry per slice and its
+bucket goes by its own hash, so neither a frequent word nor a frequent context is
+one task's load. Nothing is broadcast but the totals (and ``hot_words``, if given).
 
 Defined results: null and empty texts are the end token alone; repeated rows
 count each; with no training text every token is unknown and the score is the
@@ -49,7 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, crc_mod, discard, materialize, mix64, read_table, small_batches, text_slices
+from .common import crc_mod, discard, materialize, mix64, read_table, small_batches, text_slices
 
 HOT_WORDS = None  # every word is a symbol
 DEPTH = 3
@@ -65,9 +67,11 @@ BUCKET = 1 << 20
 # Turns in which a level's grams are counted.
 SHARES = 2
 # Turns in which slices take their answers and ask.
-TURNS = 2
+TURNS = 4
 END, OTHER = 0, 1  # symbols; a word is its hash with the top bit set
 TOP = np.uint64(1 << 63)
+# Positions that are hashed at a time.
+BLOCK = 1 << 15
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -114,6 +118,8 @@ def _symbolise(spell: bool):
     then the slice's words as they come), and of those words the hashes, the
     numbers in training texts and, if asked for, the spellings."""
     def run(batches):
+        import xxhash
+
         ids, held, sizes, parts, codes, read, made = [], [], [], [], _Codes(), 0, 0
 
         def row():
@@ -128,7 +134,7 @@ def _symbolise(spell: bool):
                 [pa.array([TaskContext.get().partitionId() << 24 | made], pa.int64()), pa.array([len(tokens)], pa.int64()),
                  pa.array([int(learn.sum())], pa.int64()), list_of(pa.concat_arrays(ids)), list_of(pa.concat_arrays(held)),
                  list_of(pa.array(sizes, pa.int32())), pa.array([pack(tokens)], pa.binary()),
-                 of_words(pa.array(WordHashes().of(words).view(np.int64))), of_words(pa.array(times, pa.int32())),
+                 of_words(pa.array(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64))), of_words(pa.array(times, pa.int32())),
                  of_words(pa.array(words if spell else [None] * len(words), pa.binary()))],
                 ["slice", "tokens", "learned", "doc_id", "held_out", "sizes", "codes", "words", "times", "spelled"])
 
@@ -151,7 +157,15 @@ def _symbolise(spell: bool):
 
 def pair_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     """Hash of the gram that ``symbol`` makes of ``context``; 0 is the empty one."""
-    return mix64(mix64(context + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + symbol * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+    out = np.empty(len(context), np.uint64)
+    for at in range(0, len(out), BLOCK):
+        some = slice(at, at + BLOCK)
+        mixed = mix64(context[some] + np.uint64(1))
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed += symbol[some] * np.uint64(0xD6E8FEB86659FD93)
+        mixed += np.uint64(1)
+        out[some] = mix64(mixed)
+    return out
 
 
 def _before(x: np.ndarray) -> np.ndarray:
@@ -175,6 +189,7 @@ class Root:
     discount: float
     depth: int
     buckets: int
+    heavy: int
 
     def base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
@@ -185,9 +200,27 @@ class Root:
         return np.where(n > 0, np.maximum(n - self.d0, 1e-9), self.d0 * self.distinct) / self.total
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """The stable order of 64-bit keys: sorted as numbers that end in the key's
+    place; keys that differ in those last bits only are put right after."""
+    bits = np.uint64(len(keys).bit_length())
+    both = keys >> bits << bits
+    both |= np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    order = (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    ahead = keys[order]
+    wrong = np.flatnonzero(ahead[1:] < ahead[:-1])
+    if len(wrong):
+        ahead >>= bits
+        tied = np.flatnonzero(np.isin(ahead, np.unique(ahead[wrong])))
+        some = np.sort(order[tied])
+        order[tied] = some[np.argsort(keys[some], kind="stable")]
+    return order
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, the place of one of each, and each key's number among them."""
-    order = np.argsort(keys)
+    order = order_of(keys)
     ahead = keys[order]
     new = np.ones(len(keys), bool)
     np.not_equal(ahead[1:], ahead[:-1], out=new[1:])
@@ -214,7 +247,8 @@ class Slice:
         self.text = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         self.place = np.arange(len(self.codes), dtype=np.int32) - self.begin.astype(np.int32)[self.text]
         self.hashes = words.view(np.uint64)
-        self.order = np.argsort(self.hashes)
+        self.order = order_of(self.hashes)
+        self.reached = None
 
     def answer(self, d: int, what: str, kind) -> np.ndarray:
         """The answers for the sorted distinct keys asked for as (d, what)."""
@@ -262,18 +296,20 @@ class Slice:
         """Sorted distinct grams of a context of ``d`` symbols and its next, where
         the context may be retained or the gram may be a context of the next
         depth, and their numbers in training texts."""
-        gram = pair_keys(np.zeros(len(self.codes), np.uint64), self.symbol[self.codes])
+        if self.reached is None or self.reached >= d:
+            self.reached, self.gram = 0, pair_keys(np.zeros(len(self.symbol), np.uint64), self.symbol)[self.codes]
         symbols = self.symbol[self.codes]
-        for _ in range(d):
-            self.context = _before(gram)
-            gram = pair_keys(self.context, symbols)
+        for _ in range(self.reached, d):
+            self.context = _before(self.gram)
+            self.gram = pair_keys(self.context, symbols)
+        self.reached = d
         mask = np.zeros(len(self.codes), bool)
         mask[self.at] = True
         if d < self.root.depth:
             before = self.at - 1
             mask[before[self.place[before] >= d]] = True
         self.counted = np.flatnonzero(mask)
-        keys, self.first, self.inverse = distinct(gram[self.counted])
+        keys, self.first, self.inverse = distinct(self.gram[self.counted])
         return keys, np.bincount(self.inverse, self.learn[self.counted], len(keys)).astype(np.int64)
 
     def contexts(self, d: int) -> np.ndarray:
@@ -286,15 +322,20 @@ class Slice:
         keys, _, self.of = distinct(self.context[self.at])
         return keys
 
-    def found(self) -> np.ndarray:
-        """Frequent grams that this slice speaks for: rows of (context, its
-        occurrences, the gram's, P of its symbol after the context's suffix)."""
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        """Frequent grams that this slice speaks for: rows of (context's place in
+        ``contexts``, its occurrences, the gram's, P of its symbol after the
+        context's suffix) by context; for heavy contexts apart, with the context."""
         chosen = np.flatnonzero(self.mine & (self.number >= self.root.least))
         where = np.full(len(self.codes), -1)
         where[self.at] = np.arange(len(self.at))
         i = where[self.counted[self.first[chosen]]]
         chosen, i = chosen[i >= 0], i[i >= 0]
-        return np.stack([self.context[self.at[i]].view(np.float64), self.occurs[i].astype(float), self.number[chosen].astype(float), self.p[i]])
+        heavy = self.occurs[i] > self.root.heavy
+        rows = lambda context, some: np.stack([context, self.occurs[i[some]].astype(float), self.number[chosen[some]].astype(float), self.p[i[some]]])
+        light = np.flatnonzero(~heavy)
+        light = light[np.argsort(self.of[i[light]], kind="stable")]
+        return rows(self.of[i[light]].astype(float), light), rows(self.context[self.at[i[heavy]]].view(np.float64), heavy)
 
     def descend(self, d: int) -> None:
         """From depth ``d`` to the next: the mass that contexts leave is known."""
@@ -309,22 +350,38 @@ class Slice:
 
 
 ANSWERS = "slice long, d int, what string, bucket long, answer binary"
-ASKS = "slice long, d int, what string, bucket long, keys binary, numbers binary"
+ASKS = "slice long, d int, what string, bucket long, keys binary, numbers binary, told binary"
 
 
-def _asks(slice_of: int, d: int, parts: list) -> pa.Table:
-    """``ASKS`` rows of (what, bucket, keys, numbers)."""
-    what, bucket, keys, numbers = zip(*parts) if parts else ((), (), (), ())
-    return pa.table([pa.array([slice_of] * len(parts), pa.int64()), pa.array([d] * len(parts), pa.int32()), pa.array(what, pa.string()),
-                     pa.array(bucket, pa.int64()), pa.array(keys, pa.binary()), pa.array(numbers, pa.binary())],
-                    ["slice", "d", "what", "bucket", "keys", "numbers"])
+def _asks(slice_of: int, d: int, asked: list, told: list = ()) -> pa.Table:
+    """``ASKS`` rows of asked (what, bucket, keys, numbers) and of what is told
+    unasked, (what, packed): a column of its own, to be read alone."""
+    parts = [(*x, None) for x in asked] + [(what, 0, None, None, packed) for what, packed in told]
+    columns = zip(*parts) if parts else ((),) * 5
+    kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array([slice_of] * len(parts), pa.int64()), pa.array([d] * len(parts), pa.int32()), *map(pa.array, columns, kinds)],
+                    ["slice", "d", "what", "bucket", "keys", "numbers", "told"])
 
 
-def _by_bucket(what: str, keys: np.ndarray, numbers: np.ndarray, root: Root) -> list:
-    """Sorted keys cut into buckets of equal ranges."""
+def _buckets(keys: np.ndarray, root: Root) -> list[tuple[int, int, int]]:
+    """(bucket, from, to) of sorted keys in buckets of equal ranges."""
     bucket = (keys >> np.uint64(32)) * np.uint64(root.buckets) >> np.uint64(32)
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return [(what, int(bucket[lo]), pack_keys(keys[lo:hi]), pack(numbers[lo:hi])) for lo, hi in zip(cuts, np.append(cuts[1:], len(keys)))]
+    return [(int(bucket[lo]), lo, hi) for lo, hi in zip(cuts, np.append(cuts[1:], len(keys)))]
+
+
+def _by_bucket(what: str, keys: np.ndarray, numbers: np.ndarray, root: Root) -> list:
+    return [(what, b, pack_keys(keys[lo:hi]), pack(numbers[lo:hi])) for b, lo, hi in _buckets(keys, root)]
+
+
+def _contexts_by_bucket(keys: np.ndarray, found: np.ndarray, root: Root) -> list:
+    """As ``_by_bucket``, with the frequent grams ``found`` behind the contexts."""
+    def part(lo, hi):
+        some = found[:, np.searchsorted(found[0], lo):np.searchsorted(found[0], hi)].copy()
+        some[0] -= lo
+        return pack(some.ravel())
+
+    return [("contexts", b, pack_keys(keys[lo:hi]), part(lo, hi)) for b, lo, hi in _buckets(keys, root)]
 
 
 def _per_slice(table: DataFrame, answers: DataFrame, root: Root, make, schema: str = ASKS) -> DataFrame:
@@ -346,10 +403,28 @@ def _in_turns(table: DataFrame, answers: DataFrame, root: Root, make) -> DataFra
     return out
 
 
-def answered(asks: DataFrame, root: Root, what: str, values: DataFrame | None = None, shares: int = 1) -> DataFrame:
+def _chosen(told: list, places: list, n: int, root: Root, min_gain: float, min_total: float) -> np.ndarray:
+    """The mass that each of ``n`` contexts leaves to its suffix, -1 where it is
+    not retained; ``told``: its frequent grams as slices told them, ``places``:
+    the contexts' numbers."""
+    context = np.concatenate([p[f[0].astype(np.int64)] for p, f in zip(places, told)])
+    occurs, times, parent = np.concatenate([f[1:] for f in told], 1)
+    part, every = np.maximum(times - root.discount, 0), np.zeros(n)
+    every[context] = occurs
+    held, seen = every > 0, np.bincount(context, times, n)
+    left = 1 - np.bincount(context, part, n) / np.maximum(every, 1)
+    gain = np.bincount(context, times * np.log((part / occurs + left[context] * parent) / parent), n).astype(float)  # whole numbers of none
+    # symbols without a part of their own are all left * parent
+    rest = held & (every > seen) & (left > 0)
+    gain[rest] += (every - seen)[rest] * np.log(left[rest])
+    return np.where(held & (gain >= min_total) & (gain >= min_gain * every), left, -1.0)
+
+
+def answered(asks: DataFrame, root: Root, what: str, values: DataFrame | None = None, shares: int = 1, rules: tuple | None = None) -> DataFrame:
     """Answers to what slices ask: one shuffle by buckets of keys, in ``shares``
-    turns. With ``values`` (key, value) the value of each key, -1 without one;
-    else how often training texts hold the key, and which slice speaks for it."""
+    turns. With ``values`` (key, value) the value of each key, -1 without one, or,
+    with ``rules``, what ``_chosen`` finds; else how often training texts hold the
+    key, and which slice speaks for it."""
     def reply(rows, asked, out):
         cuts = np.cumsum([0, *map(len, asked)])
         packed = pa.array([pack(out[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:])], pa.binary())
@@ -367,15 +442,18 @@ def answered(asks: DataFrame, root: Root, what: str, values: DataFrame | None =
         if not rows.num_rows:
             return pa.table([rows[c] for c in ("slice", "d", "what", "bucket", "keys")], ["slice", "d", "what", "bucket", "answer"])
         asked = [unpack_keys(k) for k in rows["keys"].to_pylist()]
-        keys = found["key"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        at = _find(keys[order], np.concatenate(asked))
-        value = np.append(found["value"].to_numpy()[order], -1.0)  # -1: the last
-        return reply(rows, asked, value[at])
+        keys, _, inverse = distinct(np.concatenate(asked))
+        value = np.full(len(keys), -1.0)
+        if rules:
+            told = [unpack(n, np.float64).reshape(4, -1) for n in rows["numbers"].to_pylist()]
+            value = _chosen(told, np.split(inverse, np.cumsum([len(k) for k in asked])[:-1]), len(keys), root, *rules)
+        at = _find(keys, found["key"].to_numpy().view(np.uint64))
+        value[at[at >= 0]] = found["value"].to_numpy()[at >= 0]
+        return reply(rows, asked, value[inverse])
 
     out = None
     for share in range(shares):
-        asked = asks.where((F.col("what") == what) & (F.col("bucket") % shares == share))
+        asked = asks.where((F.col("what") == what) & (F.col("bucket") % shares == share)).drop("told")
         if values is None:
             part = asked.groupBy("bucket").applyInArrow(count, ANSWERS)
         else:
@@ -388,15 +466,15 @@ def answered(asks: DataFrame, root: Root, what: str, values: DataFrame | None =
 
 
 def retained_contexts(asks: DataFrame, root: Root, min_gain: float, min_total: float) -> DataFrame:
-    """(key, value): contexts that diverge from their suffix, with the mass left
-    to it; from the frequent grams that slices tell."""
+    """(key, value): heavy contexts that diverge from their suffix, with the mass
+    left to it; from the frequent grams that slices tell. As ``_chosen``, over all tasks."""
     def tell(batches):
         for b in batches:
             for packed in b.column(0).to_pylist():
                 found = unpack(packed, np.float64).reshape(4, -1)
                 yield pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64)), *map(pa.array, found[1:])], ["context", "all", "n", "parent"])
 
-    kept = asks.where("what = 'found'").select("keys").mapInArrow(tell, "context long, all double, n double, parent double")
+    kept = asks.where("what = 'heavy'").select("told").mapInArrow(tell, "context long, all double, n double, parent double")
     kept = materialize(kept.withColumn("part", F.greatest(F.col("n") - root.discount, F.lit(0.0))), "pst-pairs")
     mass = (kept.groupBy("context").agg(F.sum("part").alias("own"), F.sum("n").alias("seen"), F.first("all").alias("all"))
             .withColumn("left", 1 - F.col("own") / F.col("all")))
@@ -435,7 +513,7 @@ def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int
         hot = vocabulary.orderBy(F.desc("value"), "word").limit(hot_words).select("key", "value").toPandas().sort_values("key", key=lambda k: k.astype("uint64"))
     root = Root(ends, None if hot is None else hot["key"].to_numpy().view(np.uint64), None if hot is None else hot["value"].to_numpy(float),
                 (facts[0] or 0) + ends, facts[1] + (ends > 0), facts[2] / max(1, facts[2] + 2 * facts[3]) or 0.5,
-                max(MIN_COUNT, p_min * ((facts[0] or 0) + ends)), discount, depth, tokens // BUCKET + 1)
+                max(MIN_COUNT, p_min * ((facts[0] or 0) + ends)), discount, depth, tokens // BUCKET + 1, BUCKET)
     total = root.total
     table = table.drop("tokens", "learned", "times", "spelled")
     slice_of = lambda row: row["slice"][0].as_py()
@@ -449,14 +527,15 @@ def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int
         kept = []
         if d > 1:
             s.descend(d - 1)
-            kept = [(what, 0, pack(a), b"") for what, a in s.state()]
-        return _asks(slice_of(row), d, kept + _by_bucket("grams", *s.grams(d), root))
+            kept = [(what, pack(a)) for what, a in s.state()]
+        return _asks(slice_of(row), d, _by_bucket("grams", *s.grams(d), root), kept)
 
     def ask_contexts(s, row):
         s.words()
         s.load(d)
         keys = s.contexts(d)
-        return _asks(slice_of(row), d, [("found", 0, pack(s.found().ravel()), b""), *_by_bucket("contexts", keys, np.zeros(len(keys), np.int64), root)])
+        light, heavy = s.found()
+        return _asks(slice_of(row), d, _contexts_by_bucket(keys, light, root), [("heavy", pack(heavy.ravel()))] if heavy.size else [])
 
     asks = _per_slice(table, spark.createDataFrame([], ANSWERS), root, ask_words)
     words = answers = answered(asks, root, "words", vocabulary)
@@ -466,12 +545,12 @@ def score(docs: DataFrame, train, hot_words: int | None = HOT_WORDS, depth: int
         asks = _in_turns(table, answers, root, ask_grams)
         discard(*past)
         counts = answered(asks, root, "grams", shares=SHARES)
-        state = asks.where(F.col("what").isin("at", "p", "occurs", "sums")).select("slice", "d", "what", "bucket", F.col("keys").alias("answer"))
+        state = asks.where(F.col("what").isin("at", "p", "occurs", "sums")).select("slice", "d", "what", "bucket", F.col("told").alias("answer"))
         state = materialize(state, "pst-state")
         discard(asks)
         answers = words.unionByName(state).unionByName(counts)
         further = _in_turns(table, answers, root, ask_contexts)
-        left = answered(further, root, "contexts", retained_contexts(further, root, min_gain, min_total))
+        left = answered(further, root, "contexts", retained_contexts(further, root, min_gain, min_total), SHARES, (min_gain, min_total))
         answers = answers.unionByName(left)
         discard(further)
         past = [state, counts, left]
